@@ -56,7 +56,8 @@ def _shingles(words: Column, width: int) -> Column:
 
 def _signature(shingles: Column, bands: int) -> Column:
     """(band, least hash) of each band of one row."""
-    return F.array(*[F.struct(F.lit(b).alias("band"), F.array_min(F.transform(shingles, lambda x, b=b: F.xxhash64(x, F.lit(b)))).alias("least")) for b in range(bands)])
+    hashed = lambda b: lambda x: F.xxhash64(x, F.lit(b))
+    return F.array(*[F.struct(F.lit(b).alias("band"), F.array_min(F.transform(shingles, hashed(b))).alias("least")) for b in range(bands)])
 
 
 def scan(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, bands: int = BANDS, containment: float = CONTAINMENT) -> DataFrame:
@@ -65,7 +66,7 @@ def scan(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col
     ``templates`` has ``license`` and ``template``.
     """
     known = templates.select("license", F.monotonically_increasing_id().alias("t"), _words(F.col("template")).alias("w"))
-    known = known.select("license", "t", F.size("w").alias("n_words"), F.array_distinct(_shingles(F.col("w"), width)).alias("ts"))
+    known = known.select("license", "t", F.size("w").alias("n_words"), _shingles(F.col("w"), width).alias("ts")).withColumn("ts", F.array_distinct("ts"))
     facts = known.agg(F.max("n_words").alias("longest"), F.sum(F.size("ts")).alias("shingles"), F.count_if(F.col("ts").isNull()).alias("short")).first()
     if facts["short"] or not facts["longest"]:
         raise ValueError(f"templates need {width} words at least")
@@ -74,7 +75,9 @@ def scan(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col
     universe = F.broadcast(known.select(F.explode("ts").alias("s")).distinct())
     half = int(facts["longest"])
 
-    hits = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.posexplode(_shingles(_words(F.col(text_col)), width)).alias("at", "s")).join(universe, "s")
+    # words are a column of their own: inside the shingle's lambda an expression would be worked out for each place
+    split = docs.select(F.col(id_col).cast("long").alias("doc_id"), _words(F.col(text_col)).alias("w")).where(F.size("w") >= width)
+    hits = split.select("doc_id", F.posexplode(_shingles(F.col("w"), width)).alias("at", "s")).join(universe, "s")
     block = F.floor(F.col("at") / half)
     windows = hits.select("doc_id", "s", F.explode(F.array(block, block - 1)).alias("window"))
     windows = windows.groupBy("doc_id", "window").agg(F.collect_set("s").alias("ws"))

@@ -185,7 +185,7 @@ WITH pages AS (
   SELECT doc_id, text, coalesce(source, '') AS host, md5(text) AS page, string_split(text, chr(10)) AS parts FROM documents
 ), keyed AS (
   SELECT host, page, list_distinct(list_filter(list_transform(parts,
-    x -> trim(regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ')), k -> k <> '')) AS keys
+    lambda x: trim(regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ')), lambda k: k <> '')) AS keys
   FROM pages
 ), seen AS (SELECT DISTINCT host, page, unnest(keys) AS line FROM keyed),
 totals AS (SELECT host, count(DISTINCT page) AS n FROM pages WHERE text IS NOT NULL GROUP BY host),
@@ -195,7 +195,7 @@ over AS (
 ), dropped AS (SELECT host, page, list(line) AS gone FROM seen JOIN over USING (host, line) GROUP BY host, page),
 cut AS (
   SELECT p.doc_id, p.text, d.gone, array_to_string(list_filter(p.parts,
-    x -> NOT list_contains(d.gone, trim(regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' '))), chr(10)) AS short
+    lambda x: NOT list_contains(d.gone, trim(regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' '))), chr(10)) AS short
   FROM pages p LEFT JOIN dropped d ON p.host = d.host AND p.page = d.page
 ), done AS (
   SELECT doc_id, CASE WHEN gone IS NULL THEN text WHEN length(short) < 0.5 * length(text) THEN text ELSE short END AS text FROM cut

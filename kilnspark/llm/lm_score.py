@@ -149,7 +149,6 @@ def lattice_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     blocks = materialise(rows.mapInArrow(_blocks, _BLOCK))
     words = blocks.where("word is not null").select("block", "pos", "word", "n")
     counts = materialise(words.groupBy("word").agg(F.sum("n").alias("c")))
-    # a held-out document is a training document for no word: its ends don't count
     ends = blocks.where("word is null").select(F.sum(F.size(F.filter("held", lambda h: ~h))).alias("n")).first()["n"] or 0
     some = counts.agg(F.sum("c").alias("n"), F.sum((F.col("c") > 0).cast("long")).alias("v")).first()
     total, distinct = (some["n"] or 0) + ends, (some["v"] or 0) + (ends > 0)
@@ -166,9 +165,10 @@ def lattice_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     log_end = math.log((ends + 1) / weight)
 
     known = words.select("block", "pos", "word").join(counts.mapInArrow(_marginals(path, log_p), "word binary, c long, log_p double"), "word")
-    left = blocks.where("word is null").select("block", "ids", "held", "ends", "idx", "tf")
+    left = blocks.where("word is null").select(F.col("block").alias("own"), "ids", "held", "ends", "idx", "tf")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return left.groupBy("block").cogroup(known.select("block", "pos", "c", "log_p").groupBy("block")).applyInArrow(lambda a, b: _score(total, distinct, ends, log_end)(a, b), schema)
+    right = known.select(F.col("block").alias("other"), "pos", "c", "log_p")
+    return left.groupBy("own").cogroup(right.groupBy("other")).applyInArrow(_score(total, distinct, ends, log_end), schema)
 
 
 def op3_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
