@@ -30,8 +30,10 @@ def exact_dup_ids(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
 
 def ngram_hits(docs: DataFrame, bench: DataFrame, n: int) -> DataFrame:
     """Shared distinct n-grams of each (document, item)."""
-    items = bench.select("item_id", F.explode(F.array_distinct(ngrams(word_tokens(F.col("text")), n))).alias("g"))
-    grams = docs.select("doc_id", F.explode(F.array_distinct(ngrams(word_tokens(F.col("text")), n))).alias("g"))
+    items, grams = (
+        df.select(key, word_tokens(F.col("text")).alias("t")).select(key, F.explode(F.array_distinct(ngrams(F.col("t"), n))).alias("g"))
+        for df, key in ((bench, "item_id"), (docs, "doc_id"))
+    )
     return grams.join(items, "g").groupBy("doc_id", "item_id").agg(F.count("*").alias("shared"))
 
 

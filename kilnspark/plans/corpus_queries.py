@@ -13,9 +13,9 @@ QUALITY_SQL = """length(text) BETWEEN 100 AND 200000
 
 GRAMS_SQL = """
 toks AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS t FROM {docs}),
-grams AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(t) - 11), i -> array_to_string(t[i:i+12], ' '))) AS g FROM toks WHERE len(t) >= 13),
+grams AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(t) - 11), lambda i: array_to_string(t[i:i+12], ' '))) AS g FROM toks WHERE len(t) >= 13),
 itoks AS (SELECT item_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS t FROM benchmark),
-igrams AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(t) - 11), i -> array_to_string(t[i:i+12], ' '))) AS g FROM itoks WHERE len(t) >= 13),
+igrams AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(t) - 11), lambda i: array_to_string(t[i:i+12], ' '))) AS g FROM itoks WHERE len(t) >= 13),
 hits AS (SELECT doc_id, item_id, count(*) AS shared FROM grams JOIN igrams USING (g) GROUP BY ALL)"""
 
 
