@@ -66,18 +66,31 @@ def latest(df: DataFrame, key: str, order: Column) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(order))).where("_rn = 1").drop("_rn")
 
 
+#: Links up to which labels travel as broadcasts (16 bytes a label, two labels a link at most).
+BROADCAST_LINKS = 1_000_000
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """``(node, component)`` by hash-to-min with pointer jumping; the least node names a component."""
+    """``(node, component)`` of the linked nodes; the least node names a component.
+
+    Each round a node takes the least label of itself, its neighbours and its
+    own label's node, so that chains halve.  Labels are joined by broadcast
+    only behind a count of the links; beyond it the same joins shuffle.
+    """
     from kilnspark.sources.workspace import materialise
 
-    links = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null").distinct()
+    links = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
     both = materialise(links.union(links.select("b", "a")).distinct())
+    small = both.count() <= 2 * BROADCAST_LINKS
+    side = F.broadcast if small else (lambda df: df)
     labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label")))
     while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        step = labels.join(near, "node").select("node", F.least("label", "near").alias("new"), F.col("label").alias("was"))
-        far = step.select(F.col("node").alias("new"), F.col("new").alias("far"))
-        moved = materialise(step.join(far, "new").select("node", F.least("new", "far").alias("label"), (F.least("new", "far") < F.col("was")).alias("moved")))
+        known = labels.select(F.col("node").alias("b"), "label")
+        near = both.join(side(known), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        own = near.join(side(labels), "node")
+        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
+        best = F.least("near", "label", "far")
+        moved = materialise(own.join(side(jump), "label").select("node", best.alias("label"), (best < F.col("label")).alias("moved")))
         labels = moved.select("node", "label")
         if not moved.where("moved").take(1):
             return labels.select("node", F.col("label").alias("component"))
