@@ -127,7 +127,9 @@ def block_pack(df: DataFrame, group: str, order: str, tokens: str, block: int, b
     ``group`` bounds the stream, as a map batch does.
     """
     w = Window.partitionBy(group).orderBy(order)
-    placed = df.select(group, order, F.posexplode(tokens).alias("_i", "_t"), (F.sum(F.size(tokens)).over(w) - F.size(tokens)).alias("_before"))
+    # the running length belongs to whole rows: it comes before they are exploded
+    before = df.select(group, order, F.col(tokens).alias("_tokens"), (F.sum(F.size(tokens)).over(w) - F.size(tokens)).alias("_before"))
+    placed = before.select(group, "_before", F.posexplode("_tokens").alias("_i", "_t"))
     at = F.col("_before") + F.col("_i")
     cells = placed.select(group, F.floor(at / block).alias("block"), (at % block).alias("_at"), "_t")
     full = cells.groupBy(group, "block").agg(F.sort_array(F.collect_list(F.struct("_at", "_t"))).alias("_x")).where(F.size("_x") == block)
