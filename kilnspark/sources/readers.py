@@ -61,7 +61,7 @@ def read_pages(spark: SparkSession, path: str, least: int = 400) -> DataFrame:
     """HTML files as visible text; short ones dropped."""
     from kilnspark.functions.extract import html_text
 
-    pages = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("path"), html_text(F.col("value")).alias("text"))
+    pages = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), html_text(F.col("value")).alias("text"))
     return pages.where(F.length("text") >= least)
 
 
@@ -114,7 +114,7 @@ def read_yaml_rules(spark: SparkSession, path: str) -> DataFrame:
                         out.append((p, top, item[1].strip().strip("'\"")))
             yield pd.DataFrame(out, columns=["path", "key", "value"])
 
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.yml").text(path)
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.yml")
     return files.select(F.input_file_name().alias("path"), "value").mapInPandas(parse, "path string, key string, value string")
 
 
