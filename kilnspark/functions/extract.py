@@ -74,7 +74,8 @@ def first_sentence(text: Column, most: int = 400) -> Column:
 
 def clean_freeform(text: Column) -> Column:
     """Tags out, runs of blank lines to one, ends trimmed."""
-    return F.trim(F.regexp_replace(F.regexp_replace(text, "<[^>]*>", ""), r"\n[ \t]*\n[ \t\n]*", "\n\n"))
+    bare = F.regexp_replace(F.regexp_replace(text, "<[^>]*>", ""), r"\n[ \t]*\n[ \t\n]*", "\n\n")
+    return F.regexp_replace(bare, r"^\s+|\s+$", "")
 
 
 def canonical_url(url: Column) -> Column:
