@@ -77,14 +77,14 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 col.append(value)
         longs = pa.list_(pa.int64())
         arrays = [pa.array(c, pa.int64()) for c in cols[:6]] + [pa.array(c, longs) for c in cols[6:]]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("host"), *arrays], names=["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "page", "lines", "line_words"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("host"), batch.column("text_hash"), *arrays], names=["doc_id", "host", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "page", "lines", "line_words"])
 
 
-_MEASURED = "doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, page long, lines array<long>, line_words array<long>"
+_MEASURED = "doc_id long, host string, text_hash long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, page long, lines array<long>, line_words array<long>"
 
 
 def _measured(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
     return materialise(rows.mapInArrow(_measure, _MEASURED))
 
 
@@ -98,13 +98,14 @@ def _frequent(measured: DataFrame, max_ratio: float, min_pages: int) -> tuple[Da
     return lines, over.where(F.col("n_pages") > max_ratio * F.col("pages")).select("host", "line", "n_pages", "pages")
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_ratio: float = 0.1, min_pages: int = 10, min_left: float = 0.3) -> DataFrame:
+def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_ratio: float = 0.1, min_pages: int = 10, min_left: float = 0.3, with_hash: bool = False) -> DataFrame:
     """One row per row of ``docs``: base measures, ``n_removed_words`` and ``kept``.
 
     Lines on more than ``max_ratio`` of a host's distinct pages, and on
     ``min_pages`` at least, are removed; a document that keeps less than
     ``min_left`` of its words is depleted and rejected, as is one that fails
     the base rules.  Rows that repeat a document get equal results.
+    ``with_hash`` adds ``text_hash``, xxhash64 of the text.
     """
     measured = _measured(docs, id_col, text_col, host_col)
     lines, over = _frequent(measured, max_ratio, min_pages)
@@ -118,13 +119,14 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), removed.cast("long").alias("n_removed_words"),
         (~failed & (F.col("n_words") - removed >= min_left * F.col("n_words"))).alias("kept"),
+        *(["text_hash"] if with_hash else []),
     )
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: rejected documents go, the others stay whole."""
-    good = quality(docs).where("kept").select("doc_id").distinct()
-    return docs.join(good, "doc_id", "left_semi").select(*docs.columns)
+    """Pipeline stage: rejected documents go, the others stay whole; rows without an id are told by their text."""
+    good = quality(docs, with_hash=True).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    return docs.join(good, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left_semi")
 
 
 _BLANK = r"[\x20\x09-\x0D]"
