@@ -2,45 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-_own: dict[str, str] = {}
+from kilnspark.operators.graph import components
+from kilnspark.sources.workspace import materialise
 
-
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a temporary folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-    if "dir" not in _own:
-        _own["dir"] = tempfile.mkdtemp(prefix="kilnspark-")
-        atexit.register(shutil.rmtree, _own["dir"], ignore_errors=True)
-    return f"file://{_own['dir']}"
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
-
-    This cuts the lineage and keeps costly Python stages from running twice;
-    the table outlives lost executors.
-    """
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/kilnspark-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["components", "materialise", "parts", "small_batches", "table", "texts"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,23 +37,3 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, most_bytes: in
         step = max(1, -(-batch.num_rows // pieces))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
-
-
-def components(nodes_links: DataFrame) -> DataFrame:
-    """Connected components of ``links(a, b)`` as ``(node, component)``.
-
-    The component is the smallest node reachable.  Labels spread along the
-    links and then along themselves (pointer jumping), so the rounds grow with
-    the logarithm of the longest path.  Each round is a written table.
-    """
-    links = materialise(nodes_links.where("a <> b").select("a", "b").distinct())
-    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("label")))
-    while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        step = labels.join(near, "node").select("node", F.least("label", "near").alias("label"), F.col("label").alias("was"))
-        jump = step.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        new = materialise(step.join(jump, "label").select("node", F.least("label", "far").alias("label"), (F.least("label", "far") < F.col("was")).alias("moved")))
-        labels = new.select("node", "label")
-        if not new.where("moved").take(1):
-            return labels.select("node", F.col("label").alias("component"))
