@@ -35,7 +35,7 @@ from kilnspark.llm.kernels import as_bytes, sliding_min, window_hashes
 WIDTH = 400
 KGRAM = 48
 GROUP = 2048
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def anchors(text: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,7 +110,16 @@ def suffix_order(data: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """
     n = len(data)
     rank, held = data.astype(np.int64) + 1, 1
+    base = int(rank.max()) + 1 if n else 2
+    if width >= 4 and base < 1 << 15:
+        # the first two rounds at once: four symbols fit one key
+        padded = np.concatenate([rank, np.zeros(3, dtype=np.int64)])
+        rank, held = ((padded[:n] * base + padded[1 : n + 1]) * base + padded[2 : n + 2]) * base + padded[3:], 4
     order = np.argsort(rank)
+    if held > 1:
+        ordered = rank[order]
+        rank = np.empty(n, dtype=np.int64)
+        rank[order] = np.cumsum(np.concatenate(([1], ordered[1:] != ordered[:-1])))
     while held < width:
         step = min(held, width - held)
         later = np.zeros(n, dtype=np.int64)
