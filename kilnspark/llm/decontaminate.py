@@ -3,8 +3,9 @@
 Texts and benchmark items are word sequences: A-Z lower-cased, punctuation
 taken out, split at white space.  Windows of an item's own length slide over
 the whole text.  A window that can lie within the allowed edit distance has
-enough words of the benchmark's vocabulary; that exact count, a running sum,
-spares the others.  The windows left and the items are embedded by CGK random
+enough words of the benchmark's vocabulary, and enough of its pairs of
+neighbouring words (each edit spoils two at most); these exact counts, running
+sums, spare the others.  The windows left and the items are embedded by CGK random
 walks (position i moves on by a random bit that depends on step and symbol), so
 that small edit distance becomes small Hamming distance; each of ``tables``
 repetitions samples ``samples`` coordinates, and equal samples make a
@@ -19,6 +20,7 @@ items without words match nothing; repeated rows get equal results.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -52,33 +54,36 @@ class Index:
             if ids:
                 by_length.setdefault(len(ids), []).append((item, ids))
         rng = np.random.default_rng(977)
+        longest = max(by_length, default=0)
+        # random bits of the walks: table, step, symbol (the last two stand for unknown words and the end)
+        self.bits = rng.integers(0, 2, (TABLES, 2 * longest, len(self.vocab) + 2), dtype=np.int8)
+        pairs = [np.zeros(0, dtype=np.int64)]
+        pairs += [np.array(s[:-1], dtype=np.int64) * len(self.vocab) + s[1:] for group in by_length.values() for _, s in group if len(s) > 1]
+        self.pairs = np.unique(np.concatenate(pairs))
         self.classes = []
         for n in sorted(by_length):
             ids = np.array([i for i, _ in by_length[n]])
             seqs = np.array([s for _, s in by_length[n]], dtype=np.int32)
-            seeds = rng.integers(1, 1 << 62, TABLES, dtype=np.uint64)
             at = np.sort(np.array([rng.choice(2 * n, size=min(SAMPLES, 2 * n), replace=False) for _ in range(TABLES)]), axis=1)
-            tables = []
-            for t in range(TABLES):
-                keys = self.sampled(seqs, seeds[t], at[t])
-                order = np.argsort(keys, kind="stable")
-                tables.append((seeds[t], at[t], keys[order], order))
-            self.classes.append((n, int(max_edits * n), ids, seqs, tables))
-
-    @staticmethod
-    def sampled(seqs: np.ndarray, seed: np.uint64, at: np.ndarray) -> np.ndarray:
-        """Hash of the embedded symbols at the sampled coordinates."""
+            keys = self.sampled(seqs, at)
+            order = np.argsort(keys, axis=1, kind="stable")
+            own = np.unique(seqs[:, :-1].astype(np.int64) * len(self.vocab) + seqs[:, 1:])
+            self.classes.append((n, int(max_edits * n), ids, seqs, own, at, np.take_along_axis(keys, order, 1), order))
+
+    def sampled(self, seqs: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """By table, the hash of the embedded symbols of each sequence at the sampled coordinates."""
         n = seqs.shape[1]
-        rows = np.arange(len(seqs))
-        place = np.zeros(len(seqs), dtype=np.int64)
-        acc = np.zeros(len(seqs), dtype=np.uint64)
-        for step in range(int(at[-1]) + 1):
-            symbol = np.where(place < n, seqs[rows, np.minimum(place, n - 1)], -5).astype(np.int64).view(np.uint64)
-            if step in at:
-                acc = mix(acc * np.uint64(0x2545F4914F6CDD1D) + symbol)
-            with np.errstate(over="ignore"):
-                bit = mix(symbol * np.uint64(0x9E3779B97F4A7C15) + seed + np.uint64(step * 2 + 1)) >> np.uint64(63)
-            place += bit.astype(np.int64)
+        rows, tables = np.arange(len(seqs))[None, :], np.arange(TABLES)[:, None]
+        padded = np.concatenate([seqs, np.full((len(seqs), 1), -1, dtype=np.int32)], axis=1)
+        padded = np.where(padded < 0, len(self.vocab), padded)
+        padded[:, n] = len(self.vocab) + 1
+        place = np.zeros((TABLES, len(seqs)), dtype=np.int64)
+        acc = np.zeros((TABLES, len(seqs)), dtype=np.uint64)
+        for step in range(int(at.max()) + 1):
+            symbol = padded[rows, place]
+            if (take := (at == step).any(axis=1)).any():
+                acc[take] = mix(acc[take] * np.uint64(0x2545F4914F6CDD1D) + symbol[take].astype(np.uint64) + np.uint64(1))
+            place = np.minimum(place + self.bits[tables, step, symbol], n)
         return acc
 
     def search(self, docs: list[bytes]) -> list[tuple[int, int, int, int]]:
@@ -86,7 +91,7 @@ class Index:
         get = self.vocab.get
         parts, owner_starts, total = [], [], 0
         for text in docs:
-            ids = np.fromiter((get(w, -1) for w in words_of(text)), dtype=np.int32)
+            ids = np.array(list(map(get, words_of(text), repeat(-1))), dtype=np.int32)
             owner_starts.append(total)
             parts += [ids, np.array([-2], dtype=np.int32)]
             total += len(ids) + 1
@@ -96,26 +101,43 @@ class Index:
         known = (seq >= 0).astype(np.int32)
         known[seq == -2] = -(1 << 20)
         sums = np.concatenate(([0], np.cumsum(known, dtype=np.int64)))
+        both = np.flatnonzero((seq[:-1] >= 0) & (seq[1:] >= 0)) if len(self.pairs) else np.zeros(0, dtype=np.int64)
+        codes = seq[both].astype(np.int64) * len(self.vocab) + seq[both + 1]
+        held = np.zeros(len(seq), dtype=np.int32)
+        if len(both):
+            held[both[self.pairs[np.minimum(np.searchsorted(self.pairs, codes), len(self.pairs) - 1)] == codes]] = 1
+        pair_sums = np.concatenate(([0], np.cumsum(held, dtype=np.int64)))
         starts = np.array(owner_starts)
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        for n, edits, ids, items, tables in self.classes:
+        for n, edits, ids, items, own, places, all_keys, all_orders in self.classes:
             if len(seq) < n:
                 continue
-            near = np.flatnonzero(sums[n:] - sums[:-n] >= n - edits)
+            enough = sums[n:] - sums[:-n] >= n - edits
+            if n > 1:
+                enough &= pair_sums[n - 1 : -1] - pair_sums[:-n] >= n - 1 - 2 * edits
+            near = np.flatnonzero(enough)
             for at in range(0, len(near), 20_000):
                 where = near[at : at + 20_000]
                 windows = seq[where[:, None] + np.arange(n)]
+                if len(own):
+                    # the pairs of this length's own items, counted in the windows that are left
+                    pairs = windows[:, :-1].astype(np.int64) * len(self.vocab) + windows[:, 1:]
+                    inside = own[np.minimum(np.searchsorted(own, pairs), len(own) - 1)] == pairs
+                    inside &= (windows[:, :-1] >= 0) & (windows[:, 1:] >= 0)
+                    kept = inside.sum(axis=1) >= n - 1 - 2 * edits
+                    where, windows = where[kept], windows[kept]
+                if not len(where):
+                    continue
                 found = []
-                for seed, places, keys, order in tables:
-                    mine = self.sampled(windows, seed, places)
+                for mine, keys, order in zip(self.sampled(windows, places), all_keys, all_orders):
                     lo, hi = np.searchsorted(keys, mine, "left"), np.searchsorted(keys, mine, "right")
                     hit = np.flatnonzero(hi > lo)
                     many = hi[hit] - lo[hit]
                     first = np.repeat(hit, many)
                     inner = np.arange(len(first)) - np.repeat(np.cumsum(many) - many, many)
                     found.append(first * len(ids) + order[lo[first] + inner])
-                pairs = np.unique(np.concatenate(found))
-                w, i = pairs // len(ids), pairs % len(ids)
+                candidates = np.unique(np.concatenate(found))
+                w, i = candidates // len(ids), candidates % len(ids)
                 for cut in range(0, len(w), 50_000):
                     ww, ii = w[cut : cut + 50_000], i[cut : cut + 50_000]
                     distance = edit_distances(windows[ww], items[ii])
@@ -145,7 +167,7 @@ def edit_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _run(block: list[tuple[int, bytes]], max_edits: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(block, max_edits)
-        for batch in small_batches(batches, "text", 4 << 20):
+        for batch in small_batches(batches, "text", 12 << 20):
             found = index.search(texts(batch.column("text")))
             items: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             for d, item, place, edits in found:
