@@ -334,7 +334,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     starts = contexts.select("sha", "start", "gram", "ctx", (F.octet_length("body") - (width - 1)).alias("n"))
     answer = starts.join(classes.select("gram", "ctx", F.col("n").alias("same")), ["gram", "ctx"])
-    answer = answer.join(bits, ["gram", "ctx"], "left").join(hot, ["gram", "ctx"], "left")
+    # three parts of the answer follow: without a table each would sort the suffixes again
+    answer = materialise(answer.join(bits, ["gram", "ctx"], "left").join(hot, ["gram", "ctx"], "left").select("sha", "start", "n", "same", "bits", "ats"))
     full = answer.where("same > 1").select("sha", "start", "n", F.lit(None).cast("binary").alias("bits"))
     part = answer.where("same = 1 and bits is not null").select("sha", "start", "n", "bits")
     each = answer.where("same = 1 and ats is not null").select("sha", F.explode("ats").alias("at"), "start").select("sha", (F.col("start") + F.col("at")).cast("int").alias("start"), F.lit(1).alias("n"), F.lit(None).cast("binary").alias("bits"))
