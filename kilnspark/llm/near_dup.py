@@ -9,8 +9,8 @@ similarity, and full shingle sets decide.
 No bucket of a hot group is expanded into all pairs.  Identical sets are one
 class.  Within a band bucket, in tiles of bounded size, each class proposes its
 best-estimated partner and its best among the classes before it in a hashed
-order; after these are verified, only pairs that still lie in different
-components are looked at, in tile pairs, so that no link between components
+order; after these are verified, pairs that still lie in different
+components are decided in tile pairs, so that no link between components
 is lost.
 
 Rows without ``doc_id`` are kept and take no part; of rows that share a
@@ -20,6 +20,7 @@ and are linked with nothing.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilnspark.llm.common import components, materialise, parts, small_batches, table, texts
+from kilnspark.llm.common import components, materialise, small_batches, table, texts
 from kilnspark.llm.kernels import mix, shingle_set
 
 BUCKETS = 128
@@ -70,26 +71,39 @@ def estimate(matches: np.ndarray) -> np.ndarray:
     return (matches / BUCKETS - _CHANCE) / (1 - _CHANCE)
 
 
+def matches_for(similarity: float) -> int:
+    """Register matches from which the estimate reaches ``similarity``."""
+    return math.ceil((similarity * (1 - _CHANCE) + _CHANCE) * BUCKETS)
+
+
 def _signatures(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", 4 << 20):
-            out: dict[str, list] = {"id": [], "n": [], "f1": [], "f2": [], "regs": [], "keys": [], "shingles": []}
+            out: dict[str, list] = {"id": [], "n": [], "f1": [], "f2": [], "regs": [], "keys": []}
             for doc, text in zip(batch.column("id").to_pylist(), texts(batch.column("text"))):
                 s = shingle_set(text, width)
+                some = len(s) > 0
+                regs = sketch(s) if some else None
                 out["id"].append(doc)
                 out["n"].append(len(s))
-                some = len(s) > 0
                 out["f1"].append(int(np.add.reduce(mix(s)).view(np.int64)) if some else 0)
                 out["f2"].append(int(np.bitwise_xor.reduce(mix(s + np.uint64(77))).view(np.int64)) if some else 0)
-                regs = sketch(s) if some else None
                 out["regs"].append(regs.tobytes() if some else None)
                 out["keys"].append(bands(regs) if some else None)
-                out["shingles"].append(s.view(np.int64) if some else None)
-            longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out["id"], pa.int64()), pa.array(out["n"], pa.int64()), pa.array(out["f1"], pa.int64()), pa.array(out["f2"], pa.int64()), pa.array(out["regs"], pa.binary()), pa.array(out["keys"], longs), pa.array(out["shingles"], longs)],
-                names=list(out),
-            )
+            kinds = [pa.int64()] * 4 + [pa.binary(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out.values(), kinds)], names=list(out))
+
+    return run
+
+
+def _sets(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text", 4 << 20):
+            found = [shingle_set(t, width) for t in texts(batch.column("text"))]
+            # of rows that share an id, those with another set than the one that counts are left out
+            right = [i for i, (s, f) in enumerate(zip(found, batch.column("f1").to_pylist())) if int(np.add.reduce(mix(s)).view(np.int64)) == f]
+            kept = batch.take(pa.array(right, pa.int64()))
+            yield pa.RecordBatch.from_arrays([kept.column("id"), kept.column("regs"), pa.array([found[i].view(np.int64) for i in right], pa.list_(pa.int64()))], names=["id", "regs", "shingles"])
 
     return run
 
@@ -101,50 +115,116 @@ def _matches(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _registers(frame) -> np.ndarray:
-    return np.frombuffer(b"".join(frame["regs"]), dtype=np.uint16).reshape(len(frame), BUCKETS)
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
+    """Runs of equal keys of a sorted stream, as numpy columns; a run may span batches."""
+    carry = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held = pa.Table.from_batches([batch])
+        if carry is not None:
+            held = pa.concat_tables([carry, held])
+        change = np.zeros(held.num_rows - 1, dtype=bool)
+        for k in keys:
+            column = held.column(k).to_numpy()
+            change |= column[1:] != column[:-1]
+        cuts = np.concatenate(([0], np.flatnonzero(change) + 1))
+        yield from _cut(held.slice(0, int(cuts[-1])), cuts)
+        carry = held.slice(int(cuts[-1]))
+    if carry is not None and carry.num_rows:
+        yield from _cut(carry, np.array([0, carry.num_rows]))
+
+
+def _cut(held: pa.Table, cuts: np.ndarray) -> Iterator[dict[str, np.ndarray]]:
+    if held.num_rows:
+        columns = {c: held.column(c).to_numpy() for c in held.column_names if c != "regs"}
+        columns["regs"] = np.frombuffer(b"".join(held.column("regs").to_pylist()), dtype=np.uint16).reshape(-1, BUCKETS)
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            yield {c: x[a:b] for c, x in columns.items()}
+
+
+def _rows(parts_: list[np.ndarray], names: list[str], kinds: list) -> pa.RecordBatch:
+    whole = np.concatenate(parts_, axis=1) if parts_ else np.zeros((len(names), 0))
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(k.to_pandas_dtype()), k) for c, k in zip(whole, kinds)], names=names)
 
 
 def _propose(threshold: float):
-    """Of one tile: for each class its best partner, and its best among those before it."""
-
-    def run(frame):
-        import pandas as pd
-
-        ids = frame["id"].to_numpy()
-        order = np.argsort(mix(ids.astype(np.uint64)), kind="stable")
-        ids, regs = ids[order], _registers(frame)[order]
-        score = estimate(_matches(regs, regs))
-        np.fill_diagonal(score, -1.0)
-        out = []
-        for grid in (score, np.where(np.tri(len(ids), k=-1, dtype=bool), score, -1.0)):
-            best = grid.argmax(axis=1)
-            est = grid[np.arange(len(ids)), best]
-            ok = est >= threshold - SLACK
-            out.append(pd.DataFrame({"u": ids[ok], "a": np.minimum(ids, ids[best])[ok], "b": np.maximum(ids, ids[best])[ok], "est": est[ok], "kind": len(out)}))
-        return pd.concat(out)
+    """Of each tile: for each class its best partner, and its best among those before it.
+
+    Estimates travel as matches, so that all columns are whole numbers.
+    """
+    least = matches_for(threshold - SLACK)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, kinds = ["u", "a", "b", "matches", "kind"], [pa.int64()] * 4 + [pa.int32()]
+        out: list[np.ndarray] = []
+        for group in _groups(batches, ["bucket", "tile"]):
+            ids, where = np.unique(group["id"], return_index=True)
+            if len(ids) < 2:
+                continue
+            order = np.argsort(mix(ids.astype(np.uint64)))
+            ids, regs = ids[order], group["regs"][where[order]]
+            score = _matches(regs, regs)
+            np.fill_diagonal(score, -1)
+            for kind, grid in enumerate((score, np.where(np.tri(len(ids), k=-1, dtype=bool), score, -1))):
+                best = grid.argmax(axis=1)
+                got = grid[np.arange(len(ids)), best]
+                ok = got >= least
+                u, v = ids[ok], ids[best[ok]]
+                out.append(np.stack([u, np.minimum(u, v), np.maximum(u, v), got[ok], np.full(len(u), kind)]))
+            if len(out) > 2000:
+                yield _rows(out, names, kinds)
+                out = []
+        yield _rows(out, names, kinds)
 
     return run
 
 
 def _cross(threshold: float):
-    """Of one pair of tiles: pairs of different components, each in the first band that it shares."""
-
-    def run(frame):
-        import pandas as pd
-
-        side = frame["side"].to_numpy()
-        left, right = frame[side != 1], frame[side != 0]
-        a, b = _registers(left), _registers(right)
-        ca, cb = left["component"].to_numpy(), right["component"].to_numpy()
-        score = estimate(_matches(a, b))
-        i, j = np.nonzero((score >= threshold - SLACK) & (ca[:, None] != cb[None, :]))
-        if len(i):
-            equal = (a[i].reshape(len(i), -1, ROWS) == b[j].reshape(len(j), -1, ROWS)).all(axis=2)
-            ok = equal.argmax(axis=1) == int(frame["band"].iloc[0])
-            i, j = i[ok], j[ok]
-        x, y = left["id"].to_numpy()[i], right["id"].to_numpy()[j]
-        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)}).drop_duplicates()
+    """Of each pair of tiles: links between components, decided on full sets.
+
+    A pair is looked at in the first band that it shares.  Once two components
+    are linked here, further pairs of theirs add nothing and are not worked out.
+    """
+    least = matches_for(threshold - SLACK)
+    share = round(threshold * 100)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, kinds = ["a", "b"], [pa.int64()] * 2
+        out: list[tuple[int, int]] = []
+        for group in _groups(batches, ["bucket", "t1", "t2"]):
+            side, part, ids, sets = group["side"], group["component"], group["id"], group["shingles"]
+            left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+            if not len(left) or not len(right) or (part == part[0]).all():
+                continue
+            a, b = group["regs"][left], group["regs"][right]
+            comp = part.copy()
+            near = (_matches(a, b) >= least) & (part[left][:, None] != part[right][None, :])
+            if side[0] == 2:
+                near &= left[:, None] < right[None, :]
+            band = int(np.flatnonzero(bands(group["regs"][0]) == group["bucket"][0])[0])
+            a4, b4 = a.reshape(len(a), -1, ROWS), b.reshape(len(b), -1, ROWS)
+            for i in np.flatnonzero(near.any(axis=1)).tolist():
+                j = np.flatnonzero(near[i])
+                j = j[comp[right[j]] != comp[left[i]]]
+                j = j[(a4[i] == b4[j]).all(axis=2).argmax(axis=1) == band]
+                if not len(j):
+                    continue
+                mine = sets[left[i]].view(np.uint64)
+                theirs = [sets[k].view(np.uint64) for k in right[j]]
+                sizes = np.array([len(x) for x in theirs])
+                whole = np.concatenate(theirs)
+                hit = mine[np.minimum(np.searchsorted(mine, whole), len(mine) - 1)] == whole
+                both = np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes) - sizes)
+                for k in right[j[100 * both >= share * (len(mine) + sizes - both)]].tolist():
+                    x, y = comp[left[i]], comp[k]
+                    if x != y:
+                        comp[comp == y] = x
+                        out.append((ids[left[i]], ids[k]))
+            if len(out) > 50_000:
+                yield _rows([np.array(out).T], names, kinds)
+                out = []
+        yield _rows([np.array(out).T] if out else [], names, kinds)
 
     return run
 
@@ -160,34 +240,34 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, threshold: float = 0.8) -> DataFrame:
     """``(doc_id, n_shingles, component_id, n_class, kept)``, one row per document."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    schema = "id long, n long, f1 long, f2 long, regs binary, keys array<long>, shingles array<long>"
-    signed = materialise(rows.where("id is not null").mapInArrow(_signatures(width), schema))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where("id is not null")
+    signed = materialise(rows.mapInArrow(_signatures(width), "id long, n long, f1 long, f2 long, regs binary, keys array<long>"))
     short = signed.select("id", "n", "f1", "f2")
     short = short.groupBy("id").agg(F.min(F.struct("n", "f1", "f2")).alias("s")).select("id", "s.*")
     classes = materialise(short.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("id").alias("rep"), F.count("*").alias("n_class")))
     reps = signed.join(classes.select(F.col("rep").alias("id"), "n", "f1", "f2"), ["id", "n", "f1", "f2"]).dropDuplicates(["id"])
 
-    buckets = reps.select("id", F.posexplode("keys").alias("band", "bucket"))
-    shared = buckets.groupBy("band", "bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members = materialise(buckets.join(shared, ["band", "bucket"]))
-    near = materialise(reps.select("id", "regs", "shingles").join(members.select("id").distinct(), "id", "left_semi"))
-    tiled = members.join(near.select("id", "regs"), "id").withColumn("tiles", F.ceil(F.col("size") / TILE)).withColumn("tile", F.expr("pmod(xxhash64(id, 7), tiles)"))
-    found = tiled.groupBy("band", "bucket", "tile").applyInPandas(_propose(threshold), "u long, a long, b long, est double, kind int")
-    first = found.groupBy("u", "kind").agg(F.max(F.struct("est", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
+    # the number of a band is part of its bucket's hash
+    buckets = reps.select("id", F.explode("keys").alias("bucket"))
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    members = materialise(buckets.join(shared, "bucket"))
+    chosen = signed.join(members.select("id").distinct(), "id", "left_semi").join(classes.select(F.col("rep").alias("id"), "n", "f1", "f2"), ["id", "n", "f1", "f2"], "left_semi").select("id", "regs", "f1").dropDuplicates(["id"])
+    near = materialise(rows.join(chosen, "id").select("id", "regs", "f1", "text").mapInArrow(_sets(width), "id long, regs binary, shingles array<long>"))
+    tiled = members.join(near.select("id", "regs"), "id").withColumn("tile", F.expr(f"cast(pmod(xxhash64(id, 7), ceil(size / {TILE})) as int)"))
+    dealt = tiled.select("bucket", "tile", "id", "regs").repartition("bucket", "tile").sortWithinPartitions("bucket", "tile")
+    found = dealt.mapInArrow(_propose(threshold), "u long, a long, b long, matches long, kind int")
+    first = found.groupBy("u", "kind").agg(F.max(F.struct("matches", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
     links = materialise(_verified(first, near, threshold))
     label = components(links)
 
     known = members.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_buckets = known.groupBy("band", "bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("band", "bucket")
-    left = known.join(open_buckets, ["band", "bucket"]).withColumn("tiles", F.ceil(F.col("size") / TILE).cast("int"))
+    open_buckets = known.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
+    left = known.join(open_buckets, "bucket").withColumn("tiles", F.ceil(F.col("size") / TILE).cast("int"))
     left = left.withColumn("tile", F.expr("cast(pmod(xxhash64(id, 7), tiles) as int)"))
     spread = left.withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
-    spread = spread.select("id", "band", "bucket", "component", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), F.when(F.col("tile") == F.col("other"), 2).when(F.col("tile") < F.col("other"), 0).otherwise(1).alias("side"))
-    pairs = spread.join(near.select("id", "regs"), "id").groupBy("band", "bucket", "t1", "t2").applyInPandas(_cross(threshold), "a long, b long")
-    more = _verified(pairs.distinct(), near, threshold)
-    label = components(links.union(more))
+    spread = spread.select("id", "bucket", "component", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), F.when(F.col("tile") == F.col("other"), 2).when(F.col("tile") < F.col("other"), 0).otherwise(1).alias("side"))
+    dealt = spread.join(near, "id").repartition("bucket", "t1", "t2").sortWithinPartitions("bucket", "t1", "t2")
+    label = components(links.union(dealt.mapInArrow(_cross(threshold), "a long, b long")))
 
     by_class = classes.join(label.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     with_class = short.join(by_class, ["n", "f1", "f2"], "left")
