@@ -15,6 +15,7 @@ rows are packed each on its own.
 from __future__ import annotations
 
 import zlib
+from array import array
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from kilnspark.llm.common import materialise, parts, small_batches, table, texts
 
 CAPACITY = 2048
-CACHE = 400_000
+CACHE = 450_000
 _kept: dict[str, ChunkTokenizer] = {}
 
 
@@ -44,22 +45,48 @@ class ChunkTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.cache: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.ends[[i for s, i in vocabulary.items() if s.endswith("</w>")]] = True
 
     def _encode(self, chunks: list[bytes]) -> dict[bytes, bytes]:
-        found = self.tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)
-        return {c: np.array(e.ids, dtype="<u4").tobytes() for c, e in zip(chunks, found)}
+        """Ids of each chunk.
+
+        A chunk of letters is one pre-token, and its last id alone ends a word:
+        such chunks go through in one text and are cut apart at those ids,
+        if there is one for each; else, as all other chunks, one by one.
+        """
+        decoded = [c.decode() for c in chunks]
+        letters = [k for k, c in enumerate(decoded) if c.isalpha()]
+        out: dict[bytes, bytes] = {}
+        if letters:
+            whole = np.array(self.tokenizer.encode_batch_fast([" ".join([decoded[k] for k in letters])], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = 4 * (np.flatnonzero(self.ends[whole]) + 1)
+            if len(cuts) == len(letters) and cuts[-1] == 4 * len(whole):
+                raw, at = whole.tobytes(), 0
+                for k, to in zip(letters, cuts.tolist()):
+                    out[chunks[k]] = raw[at:to]
+                    at = to
+        rest = [k for k in range(len(chunks)) if chunks[k] not in out]
+        found = self.tokenizer.encode_batch_fast([decoded[k] for k in rest], add_special_tokens=False)
+        return out | {chunks[k]: array("I", e.ids).tobytes() for k, e in zip(rest, found)}
 
     def ids(self, docs: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [(t if b"<|" in t else t.lower()).split() for t in docs]
         cache = self.cache
-        new = {c for chunks in split for c in chunks if c not in cache}
+        new = set().union(*split) - cache.keys()
         stems = {c: c[:-1] for c in new if c[-1:] in (b".", b",") and c[-2:-1].isalnum() and b"<|" not in c}
-        need = {x for x in (new - stems.keys()) | set(stems.values()) | {b".", b","} if x not in cache}
+        need = ((new - stems.keys()) | set(stems.values()) | {b".", b","}) - cache.keys()
         fresh = self._encode(list(need))
         get = lambda x: fresh.get(x) or cache[x]
         fresh |= {c: get(stem) + get(c[-1:]) for c, stem in stems.items()}
-        out = [b"".join([fresh[c] if c in fresh else cache[c] for c in chunks]) for chunks in split]
+        out = []
+        for chunks in split:
+            parts_ = list(map(cache.get, chunks))
+            if None in parts_:
+                parts_ = [fresh[c] if x is None else x for c, x in zip(chunks, parts_)]
+            out.append(b"".join(parts_))
         room = CACHE - len(cache)
         if room > 0:
             cache.update(list(fresh.items())[:room])
