@@ -2,11 +2,12 @@
 
 The network learns from labelled spans that ``training_windows`` writes: personal data in
 usual and unusual spellings among filler words, and look-alikes that are none.
-It reads overlapping windows.  Every kind holds a digit or an at sign, so a
-window is laid wherever one occurs, at any place of the whole text; windows
-of a text overlap by half, each character takes the tag of the window whose
-centre is nearest, and only spans that also pass the kind's own check (digits,
-parts, an at sign and a dot) are added, where they touch no base span.
+It reads windows that overlap by half over the whole text; each character takes
+the tag of the window whose centre is nearest, and only spans that also pass the
+kind's own check (digits, parts, an at sign and a dot) are added, where they
+touch no base span.  That check asks for a digit, an '@', an '(at)' or an
+'[at]' inside the span, so windows that own none of these, and to which no
+span of a window that does runs on, are not decoded: they can't change the answer.
 
 A null text is an empty one; repeated rows get equal results.
 """
@@ -33,7 +34,8 @@ _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_SEED = re.compile(r"[0-9@]")
+#: What every span that _valid accepts holds.
+_SEED = re.compile(r"[0-9@]|\(at\)|\[at\]")
 
 
 def luhn(digits: str) -> bool:
@@ -175,30 +177,20 @@ def trained(windows: int = TRAIN_WINDOWS, steps: int = TRAIN_STEPS) -> Model:
 # ---------------------------------------------------------------- decoding
 
 
-def _regions(text: str) -> list[tuple[int, int]]:
-    """Stretches around digits and at signs, merged where they touch."""
-    half = WINDOW // 2
-    out: list[list[int]] = []
-    for m in _SEED.finditer(text):
-        a, b = max(0, m.start() - half), min(len(text), m.start() + half)
-        if out and a <= out[-1][1]:
-            out[-1][1] = b
-        else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
+def _zone(k: int, n: int) -> tuple[int, int]:
+    """The characters of a text of ``n`` whose nearest window is the ``k``-th, which starts at k * WINDOW / 2."""
+    step = WINDOW // 2
+    return k * step + step // 2 if k else 0, n if k == _last(n) else k * step + step // 2 + step
+
+
+def _last(n: int) -> int:
+    return max(0, -(-(n - WINDOW) // (WINDOW // 2)))
 
 
-def _windows(text: str) -> list[int]:
-    """Starts of windows that overlap by half and cover the regions."""
-    starts: list[int] = []
-    for a, b in _regions(text):
-        at = a
-        while True:
-            starts.append(at)
-            if at + WINDOW >= b:
-                break
-            at += WINDOW // 2
-    return starts
+def _seeded(text: str) -> list[int]:
+    """Numbers of the windows that own a seed."""
+    step, last = WINDOW // 2, _last(len(text))
+    return sorted({min(last, max(0, (m.start() - step // 2) // step)) for m in _SEED.finditer(text)})
 
 
 def _valid(kind: str, s: str) -> bool:
@@ -213,43 +205,50 @@ def _valid(kind: str, s: str) -> bool:
     return 9 <= len(d) <= 15 and bool(re.fullmatch(r"\+?\(?[0-9][ ().0-9-]*[0-9]", s)) and bool(re.search(r"[^0-9]", s))
 
 
-def model_spans(docs: list[str], model: Model) -> list[list[tuple[int, int, str]]]:
-    """Spans of the network in each text, reconciled over overlapping windows."""
-    where = [(k, at) for k, text in enumerate(docs) for at in _windows(text)]
-    tags = [dict() for _ in docs]  # position -> (distance to window centre, tag)
-    for cut in range(0, len(where), 2048):
-        part = where[cut : cut + 2048]
-        x = np.full((len(part), WINDOW), 4, dtype=np.int64)
-        for r, (k, at) in enumerate(part):
-            c = char_classes(docs[k][at : at + WINDOW])
-            x[r, : len(c)] = c
-        found = model.decode(x)
-        for r in np.flatnonzero(found.any(axis=1)).tolist():
-            k, at = part[r]
-            n = len(docs[k])
-            for t in range(min(WINDOW, n - at)):
-                near = abs(2 * t + 1 - WINDOW)
-                if (held := tags[k].get(at + t)) is None or near < held[0]:
-                    tags[k][at + t] = (near, int(found[r, t]))
-        for r in np.flatnonzero(~found.any(axis=1)).tolist():
-            k, at = part[r]
-            if tags[k]:
-                for t in range(min(WINDOW, len(docs[k]) - at)):
-                    near = abs(2 * t + 1 - WINDOW)
-                    if (held := tags[k].get(at + t)) is not None and near < held[0]:
-                        tags[k][at + t] = (near, 0)
+def model_spans(docs: list[str], model: Model, everywhere: bool = False) -> list[list[tuple[int, int, str]]]:
+    """Spans of the network in each text, reconciled over overlapping windows.
+
+    ``everywhere`` decodes every window; the spans are the same.
+    """
+    tags: list[dict[int, np.ndarray]] = [{} for _ in docs]  # window -> tags of the characters it owns
+    where = [(d, k) for d, text in enumerate(docs) for k in (range(_last(len(text)) + 1) if everywhere else _seeded(text))]
+    while where:
+        for cut in range(0, len(where), 2048):
+            part = where[cut : cut + 2048]
+            x = np.full((len(part), WINDOW), 4, dtype=np.int64)
+            for r, (d, k) in enumerate(part):
+                at = k * (WINDOW // 2)
+                c = char_classes(docs[d][at : at + WINDOW])
+                x[r, : len(c)] = c
+            found = model.decode(x).astype(np.int8)
+            for r, (d, k) in enumerate(part):
+                a, b = _zone(k, len(docs[d]))
+                at = k * (WINDOW // 2)
+                tags[d][k] = found[r, a - at : b - at]
+        more = set()
+        for d, k in where:
+            held = tags[d][k]
+            if not len(held):
+                continue
+            if k and held[0] and held[0] % 2 == 0 and k - 1 not in tags[d]:
+                more.add((d, k - 1))
+            if k < _last(len(docs[d])) and held[-1] and k + 1 not in tags[d]:
+                more.add((d, k + 1))
+        where = sorted(more)
     out = []
     for text, held in zip(docs, tags):
         spans, start, kind, last = [], None, None, None
-        for p in sorted(held):
-            tag = held[p][1]
-            mine = None if tag == 0 else KINDS[(tag - 1) // 2]
-            if start is not None and (mine != kind or tag % 2 == 1 or p != last + 1):
-                spans.append((start, last + 1, kind))
-                start = None
-            if mine is not None and start is None:
-                start, kind = p, mine
-            last = p
+        for k in sorted(held):
+            first = _zone(k, len(text))[0]
+            for t in np.flatnonzero(held[k]).tolist():
+                p, tag = first + t, int(held[k][t])
+                mine = KINDS[(tag - 1) // 2]
+                if start is not None and (mine != kind or tag % 2 == 1 or p != last + 1):
+                    spans.append((start, last + 1, kind))
+                    start = None
+                if start is None:
+                    start, kind = p, mine
+                last = p
         if start is not None:
             spans.append((start, last + 1, kind))
         good = []

@@ -343,6 +343,23 @@ def test_personal_data(spark, empty):
     assert pii.personal_data(empty, model=model).collect() == []
 
 
+def test_addresses_without_digits_are_read_anywhere():
+    from kilnspark.llm import pii
+
+    model, rng = pii.trained(), random.Random(12)
+    filler = lambda n: "".join(rng.choice(["then ", "onre ", "hali ", "stin, ", "que ", "ouer.\n"]) for _ in range(n))
+    docs, want = [], []
+    for k, spelling in enumerate(["anna.b (at) hostel.com", "kiwixy [at] boxer.org", "m_olke (at) frabo.net", "zeta [at] kiln.com"] * 5):
+        before = filler(40 + k)
+        docs.append(f"{before}{spelling} {filler(40)}")
+        want.append((len(before), len(before) + len(spelling), "email"))
+    found = pii.model_spans(docs, model)
+    assert sum(w in f for w, f in zip(want, found)) >= 19
+    # what is not decoded can't change the answer
+    mixed = [f"{filler(12)}{pii._sample(np.random.default_rng(k))[0]} {filler(k % 9)}{pii._sample(np.random.default_rng(-k % 997))[0]}" for k in range(120)] + ["", "a", "7" * 300, "x@" * 90]
+    assert pii.model_spans(mixed, model) == pii.model_spans(mixed, model, everywhere=True)
+
+
 def test_email_pattern_agrees_on_random_texts():
     from hypothesis import given, settings, strategies as st
 
