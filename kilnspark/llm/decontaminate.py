@@ -2,15 +2,17 @@
 
 Texts and benchmark items are word sequences: A-Z lower-cased, punctuation
 taken out, split at white space.  Windows of an item's own length slide over
-the whole text.  A window that can lie within the allowed edit distance has
-enough words of the benchmark's vocabulary, and enough of its pairs of
-neighbouring words (each edit spoils two at most); these exact counts, running
-sums, spare the others.  The windows left and the items are embedded by CGK random
+the whole text and over its ends.  A passage of other length, with words inserted
+or dropped, is met by the window that starts where it does: whatever the mix of
+edits, that window keeps all but ``edits`` of the item's words, and all but
+twice as many of its pairs of neighbouring words.  These exact counts, by running
+sums and then of different pairs, spare the other windows.  The windows left and the items are embedded by CGK random
 walks (position i moves on by a random bit that depends on step and symbol), so
 that small edit distance becomes small Hamming distance; each of ``tables``
 repetitions samples ``samples`` coordinates, and equal samples make a
 candidate.  A banded-free dynamic programme over all candidates at once then
-decides by exact edit distance.
+finds the exact edit distance of the item to the best passage of any length
+around the window: its ends are free.
 
 The benchmark side goes to every executor; ``MAX_ITEM_WORDS`` bounds it in one
 piece, larger benchmarks are taken block by block.  Null texts are empty;
@@ -68,7 +70,8 @@ class Index:
             keys = self.sampled(seqs, at)
             order = np.argsort(keys, axis=1, kind="stable")
             own = np.unique(seqs[:, :-1].astype(np.int64) * len(self.vocab) + seqs[:, 1:])
-            self.classes.append((n, int(max_edits * n), ids, seqs, own, at, np.take_along_axis(keys, order, 1), order))
+            again = max(n - 1 - len(set(zip(s[:-1], s[1:]))) for _, s in by_length[n])
+            self.classes.append((n, int(max_edits * n), ids, seqs, own, again, at, np.take_along_axis(keys, order, 1), order))
 
     def sampled(self, seqs: np.ndarray, at: np.ndarray) -> np.ndarray:
         """By table, the hash of the embedded symbols of each sequence at the sampled coordinates."""
@@ -89,12 +92,16 @@ class Index:
     def search(self, docs: list[bytes]) -> list[tuple[int, int, int, int]]:
         """(document, item, first word, edits) of each window within the allowed edits, best window of each item."""
         get = self.vocab.get
-        parts, owner_starts, total = [], [], 0
+        # around each text as many words of none as a window may hang over, then a stop
+        gap = np.full(max((c[1] for c in self.classes), default=0), -1, dtype=np.int32)
+        stop = np.array([-2], dtype=np.int32)
+        parts, owner_starts, owner_ends, total = [], [], [], 0
         for text in docs:
             ids = np.array(list(map(get, words_of(text), repeat(-1))), dtype=np.int32)
             owner_starts.append(total)
-            parts += [ids, np.array([-2], dtype=np.int32)]
-            total += len(ids) + 1
+            owner_ends.append(total + len(gap) + len(ids))
+            parts += [gap, ids, gap, stop]
+            total += len(ids) + 2 * len(gap) + 1
         if not total:
             return []
         seq = np.concatenate(parts)
@@ -107,9 +114,10 @@ class Index:
         if len(both):
             held[both[self.pairs[np.minimum(np.searchsorted(self.pairs, codes), len(self.pairs) - 1)] == codes]] = 1
         pair_sums = np.concatenate(([0], np.cumsum(held, dtype=np.int64)))
-        starts = np.array(owner_starts)
+        blocks, ends = np.array(owner_starts), np.array(owner_ends)
+        starts = blocks + len(gap)
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        for n, edits, ids, items, own, places, all_keys, all_orders in self.classes:
+        for n, edits, ids, items, own, again, places, all_keys, all_orders in self.classes:
             if len(seq) < n:
                 continue
             enough = sums[n:] - sums[:-n] >= n - edits
@@ -125,11 +133,18 @@ class Index:
                     inside = own[np.minimum(np.searchsorted(own, pairs), len(own) - 1)] == pairs
                     inside &= (windows[:, :-1] >= 0) & (windows[:, 1:] >= 0)
                     kept = inside.sum(axis=1) >= n - 1 - 2 * edits
+                    where, windows, pairs, inside = where[kept], windows[kept], pairs[kept], inside[kept]
+                    # different ones: an item repeats ``again`` of its own pairs at most
+                    codes = np.sort(np.where(inside, pairs, -1), axis=1)
+                    different = (codes[:, 0] >= 0) + ((codes[:, 1:] != codes[:, :-1]) & (codes[:, 1:] >= 0)).sum(axis=1)
+                    kept = different >= n - 1 - 2 * edits - again
                     where, windows = where[kept], windows[kept]
                 if not len(where):
                     continue
                 found = []
-                for mine, keys, order in zip(self.sampled(windows, places), all_keys, all_orders):
+                # once more without the words that a passage with dropped words does not have
+                walks = [self.sampled(windows[:, :size], places) for size in {n, n - edits}]
+                for mine, keys, order in (x for walk in walks for x in zip(walk, all_keys, all_orders)):
                     lo, hi = np.searchsorted(keys, mine, "left"), np.searchsorted(keys, mine, "right")
                     hit = np.flatnonzero(hi > lo)
                     many = hi[hit] - lo[hit]
@@ -140,11 +155,16 @@ class Index:
                 w, i = candidates // len(ids), candidates % len(ids)
                 for cut in range(0, len(w), 50_000):
                     ww, ii = w[cut : cut + 50_000], i[cut : cut + 50_000]
-                    distance = edit_distances(windows[ww], items[ii])
+                    doc = np.searchsorted(blocks, where[ww], "right") - 1
+                    # a window with enough words starts at most ``edits`` words off the passage, which has n + edits at most
+                    spots = where[ww][:, None] + np.arange(-edits, n + 2 * edits)
+                    inside = (spots >= starts[doc][:, None]) & (spots < ends[doc][:, None])
+                    around = np.where(inside, seq[np.clip(spots, 0, len(seq) - 1)], -3)
+                    distance, first = best_passages(around, items[ii])
                     ok = distance <= edits
-                    spot = where[ww[ok]]
-                    doc = np.searchsorted(starts, spot, "right") - 1
-                    for d, item, p, e in zip(doc.tolist(), ids[ii[ok]].tolist(), (spot - starts[doc]).tolist(), distance[ok].tolist()):
+                    doc = doc[ok]
+                    place = np.maximum(spots[ok, 0] + first[ok] - starts[doc], 0)
+                    for d, item, p, e in zip(doc.tolist(), ids[ii[ok]].tolist(), place.tolist(), distance[ok].tolist()):
                         if (d, item) not in best or (e, p) < best[d, item]:
                             best[d, item] = (e, p)
         return [(d, item, p, e) for (d, item), (e, p) in sorted(best.items())]
@@ -164,6 +184,23 @@ def edit_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return last[:, -1]
 
 
+def best_passages(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least edit distance of any passage of each row of ``a`` to the same row of ``b``, and its earliest start."""
+    rows, n = a.shape
+    m = b.shape[1]
+    edit = np.int32(n + 1)  # a cell is edits * edit + start
+    steps = np.arange(m + 1, dtype=np.int32) * edit
+    last = np.repeat(steps[None, :], rows, axis=0)
+    best = last[:, -1].copy()
+    for i in range(n):
+        now = np.empty_like(last)
+        now[:, 0] = i + 1
+        now[:, 1:] = np.minimum(last[:, 1:] + edit, last[:, :-1] + (b != a[:, i : i + 1]) * edit)
+        last = np.minimum.accumulate(now - steps, axis=1) + steps
+        np.minimum(best, last[:, -1], out=best)
+    return best // edit, best % edit
+
+
 def _run(block: list[tuple[int, bytes]], max_edits: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(block, max_edits)

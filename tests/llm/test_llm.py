@@ -171,6 +171,41 @@ def test_decontaminate(spark, empty):
     assert Index([], 0.2).search([b"x y"]) == []
 
 
+@pytest.mark.parametrize("kind", ["substitute", "insert", "drop", "mixed"])
+def test_decontaminate_recall_at_the_limit(kind):
+    """Edits of 20 % of an item's words, at the start, inside and at the end of a text."""
+    from kilnspark.llm.decontaminate import Index
+
+    rng = random.Random(kind)
+    fill = lambda n: [f"u{rng.randrange(20000)}" for _ in range(n)]
+    found = total = 0
+    for n in (15, 25, 40, 57):
+        items = [[f"w{rng.randrange(20000)}" for _ in range(n)] for _ in range(60)]
+        docs = []
+        for k, words_ in enumerate(items):
+            passage = list(words_)
+            edits = [kind if kind != "mixed" else rng.choice(["substitute", "insert", "drop"]) for _ in range(n // 5)]
+            for p, edit in sorted(zip(rng.sample(range(1, n - 1), n // 5), edits), reverse=True):
+                passage[p : p + (edit != "insert")] = [] if edit == "drop" else fill(1)
+            docs.append(" ".join((fill(30) if k % 3 else []) + passage + (fill(30) if k % 3 != 2 else [])).encode())
+        hits = Index([(k, " ".join(w).encode()) for k, w in enumerate(items)], 0.2).search(docs)
+        assert all(d == item and edits <= n // 5 for d, item, _, edits in hits)
+        found, total = found + len({d for d, *_ in hits}), total + len(docs)
+    assert found >= 0.97 * total
+
+
+def test_best_passages_have_free_ends():
+    from kilnspark.llm.decontaminate import best_passages, edit_distances
+
+    rng = np.random.default_rng(4)
+    a, b = rng.integers(0, 4, (60, 11)), rng.integers(0, 4, (60, 6))
+    spans = [(i, j) for i in range(11) for j in range(i, 12)]
+    all_ = np.array([edit_distances(a[:, i:j], b) for i, j in spans])
+    distance, first = best_passages(a, b)
+    assert distance.tolist() == all_.min(axis=0).tolist()
+    assert first.tolist() == [min(i for (i, _), d in zip(spans, col) if d == col.min()) for col in all_.T]
+
+
 def brute_repeats(texts, width):
     data = [(t or "").encode() for t in texts]
     counts = Counter(d[i : i + width] for d in data for i in range(len(d) - width + 1))
