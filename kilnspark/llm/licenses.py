@@ -7,9 +7,11 @@ shingles, whatever text surrounds them.  Windows are twice as long as the
 longest template and overlap by half, so each occurrence lies whole in one of
 them.  With 32 bands of one row, a window that shares a fraction J of its
 template shingles with a template is retrieved with probability
-1 - (1 - J)**32: above 0.9999 for J >= 0.25, which is a template at containment
-0.8 next to two others of its size.  Exact containment of the template's shingles in the
-window then decides.
+1 - (1 - J)**32: above 0.9999 for J >= 0.25.  A template too short to hold that
+share of a full window is also retrieved by its shingles themselves: whatever
+holds ``containment`` of n shingles holds one of the n - ceil(containment * n) + 1
+that the fewest templates have, so none is missed, however many notices stand
+together.  Exact containment of the template's shingles in the window then decides.
 
 The template table is a parameter; its shingles are broadcast behind a check
 of their number.  Null and empty texts have no licenses; repeated rows get
@@ -18,7 +20,7 @@ equal results; templates with fewer words than a shingle are refused.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kilnspark.llm.common import table
@@ -39,6 +41,8 @@ TEMPLATES = [
 ]
 WIDTH = 5
 BANDS = 32
+#: The bands alone retrieve templates that hold this share of a window's template shingles.
+SAFE_SHARE = 0.25
 CONTAINMENT = 0.8
 MAX_SHINGLES = 1_000_000
 
@@ -60,6 +64,17 @@ def _signature(shingles: Column, bands: int) -> Column:
     return F.array(*[F.struct(F.lit(b).alias("band"), F.array_min(F.transform(shingles, hashed(b))).alias("least")) for b in range(bands)])
 
 
+def _rare(known: DataFrame, most: int, containment: float) -> DataFrame:
+    """Band -1: the shingles by which templates too short for windows of ``most`` shingles are retrieved."""
+    n = F.size("ts")
+    each = known.select("license", "t", "ts", F.explode("ts").alias("least"))
+    common = known.select(F.explode("ts").alias("least")).groupBy("least").agg(F.count("*").alias("n_templates"))
+    ranked = each.join(common, "least").withColumn("rank", F.row_number().over(Window.partitionBy("t").orderBy("n_templates", "least")))
+    needed = F.ceil(containment * n - 1e-9)
+    ranked = ranked.where((F.col("rank") <= n - needed + 1) & (needed < SAFE_SHARE * (most + n - needed)))
+    return ranked.select("license", "t", "ts", F.lit(-1).alias("band"), "least")
+
+
 def scan(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, bands: int = BANDS, containment: float = CONTAINMENT) -> DataFrame:
     """``(doc_id, license, containment)``: the best match of each license in each document.
 
@@ -81,8 +96,10 @@ def scan(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col
     block = F.floor(F.col("at") / half)
     windows = hits.select("doc_id", "s", F.explode(F.array(block, block - 1)).alias("window"))
     windows = windows.groupBy("doc_id", "window").agg(F.collect_set("s").alias("ws"))
-    banded = windows.select("doc_id", "window", "ws", F.explode(_signature(F.col("ws"), bands)).alias("x")).select("doc_id", "window", "ws", "x.*")
+    keys = F.concat(_signature(F.col("ws"), bands), F.transform("ws", lambda s: F.struct(F.lit(-1).alias("band"), s.alias("least"))))
+    banded = windows.select("doc_id", "window", "ws", F.explode(keys).alias("x")).select("doc_id", "window", "ws", "x.*")
     wanted = known.select("license", "t", "ts", F.explode(_signature(F.col("ts"), bands)).alias("x")).select("license", "t", "ts", "x.*")
+    wanted = wanted.union(_rare(known, 2 * half, containment))
     near = banded.join(F.broadcast(wanted), ["band", "least"])
     share = F.size(F.array_intersect("ws", "ts")) / F.size("ts")
     return near.withColumn("share", share).where(F.col("share") >= containment).groupBy("doc_id", "license").agg(F.max("share").alias("containment"))

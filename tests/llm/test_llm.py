@@ -447,6 +447,16 @@ def test_license_scan(spark, empty):
         scan(empty, spark.createDataFrame([("x", "too short")], "license string, template string"))
 
 
+def test_license_scan_of_notices_side_by_side(spark):
+    from kilnspark.llm.licenses import TEMPLATES, default_templates, scan
+
+    triples = list(itertools.permutations(range(len(TEMPLATES)), 3))
+    data = [(2 * k + o, "lead " * (9 * o) + " ".join(TEMPLATES[t][1] for t in x)) for k, x in enumerate(triples) for o in (0, 1)]
+    want = {(2 * k + o, TEMPLATES[t][0]) for k, x in enumerate(triples) for o in (0, 1) for t in x}
+    found = {(r["doc_id"], r["license"]) for r in scan(spark.createDataFrame(data, "doc_id long, text string"), default_templates(spark)).collect()}
+    assert len(want - found) == 0
+
+
 def test_pipeline_runs_and_drops_what_it_should(spark, tmp_path):
     import corpus_pipeline
 
