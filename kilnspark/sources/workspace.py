@@ -28,5 +28,5 @@ def folder(spark: SparkSession) -> str:
 def materialise(df: DataFrame) -> DataFrame:
     """Write as a table and read it back: the lineage is cut."""
     path = folder(df.sparkSession)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
