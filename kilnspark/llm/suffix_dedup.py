@@ -1,22 +1,30 @@
 """Removal of long repeats, with longest-previous-factor arrays.
 
-Two equal strings of ``width`` bytes contain an equal anchor at the same
-place: the least hash among their substrings of ``KGRAM`` bytes.  Anchors that
-occur once in the corpus can't lie in a repeat, and most are of that kind.
-Around each other one, the bytes of the windows that it stands for are a
-context.  Contexts that are equal byte for byte are one, with a count.
-Contexts of one anchor are sorted as suffixes (prefix doubling up to
-``width`` bytes), and the previous and next smaller positions in suffix order
-give for each start the longest factor that occurs earlier, and later; a start
-repeats if one of the two reaches ``width``.
-
-Groups of contexts are cut to a bounded size.  An anchor with more different contexts than
-``GROUP`` would not fit; for it the window hashes are counted by
-Spark, which answers the same question at any size.
-
-A text that repeats whole is one context of its own: it is represented by one
-copy in the search, and all copies get the copy's answer.  Null texts are
-empty.  Rows that repeat a document (same id and text) are two occurrences.
+Two equal strings of ``width`` bytes (400), and as well two of ``ANCHOR`` bytes, hold an
+equal anchor at the same place: the least hash among the substrings of ``KGRAM``
+bytes of a window of ``ANCHOR``.  Anchors that occur once in the corpus can't lie in a
+repeat, and most are of that kind.  Around each other one, the bytes of the
+windows that it stands for are a context.  Contexts that are equal byte for
+byte are one class, which knows how many there are and which is the first:
+the others have it as their previous factor.
+
+The different contexts of an anchor, in the order of their first places, are
+sorted as suffixes by prefix doubling.  Previous and next smaller positions in
+suffix order hold the longest earlier factor of a start, so comparing with these two
+gives the longest previous factor, cut at ``width``: a start with one of full length is a
+later copy.  A start repeats if that holds, or if it is the previous factor of
+another: equal starts are neighbours in suffix order.
+
+An anchor with more than ``GROUP`` different contexts is dealt by the whole
+prefix of ``width`` bytes instead of by the anchor: the suffixes of such a part
+are one run of the suffix order, the least position has no previous factor of
+that length, and all others have it.  Parts meet partial aggregates first,
+so that no task gets a hot anchor whole.
+
+A text that repeats whole takes part once; later copies of it are later copies
+from end to end.  Defined cases: null and empty texts have no spans; rows that
+repeat a document (same id and text) are two occurrences; rows without an id are the last; texts
+shorter than ``width`` bytes lose nothing; other columns are left alone.
 """
 
 from __future__ import annotations
@@ -26,16 +34,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kilnspark.llm.common import materialise, small_batches, table, texts
-from kilnspark.llm.kernels import as_bytes, sliding_min, window_hashes
+from kilnspark.llm.kernels import _SPACE, as_bytes, sliding_min, window_hashes
 
 WIDTH = 400
-KGRAM = 48
+ANCHOR = 256
+KGRAM = 32
+#: Different contexts of an anchor that are sorted together.
 GROUP = 2048
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
+#: Parts over which the rows of one anchor or one text are dealt.
+SALTS = 16
+#: Words of a passage that counts as a repeat although it is shorter than ``width`` bytes.
+PASSAGE_WORDS = 50
+_NO_ID = (1 << 63) - 1
 
 
 def anchors(text: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -51,131 +66,141 @@ def anchors(text: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
     return at, hashes[at]
 
 
-def window_anchor(text: bytes, width: int) -> np.ndarray:
+def window_anchor(text: bytes, width: int, hashes: np.ndarray) -> np.ndarray:
     """Position of the first least k-gram of each window, by the window's start."""
-    at, hashes = anchors(text, width)
-    starts = np.arange(len(text) - width + 1)
-    if not len(starts):
-        return starts
     span = width - KGRAM + 1
-    least = sliding_min(window_hashes(as_bytes(text), KGRAM), span)
-    order = np.lexsort((at, hashes))
+    if len(hashes) < span:
+        return np.zeros(0, dtype=np.int64)
+    at, keys = anchors(text, width)
+    starts = np.arange(len(hashes) - span + 1)
+    least = sliding_min(hashes, span)
     # first anchor at or after the start that has the window's least hash
-    key_h, key_p = hashes[order], at[order]
-    lo = np.searchsorted(key_h, least, "left")
-    pack = np.empty(len(key_h), dtype=np.int64)
+    order = np.lexsort((at, keys))
+    key_h, key_p = keys[order], at[order]
     rank = np.cumsum(np.concatenate(([0], key_h[1:] != key_h[:-1])))
     big = len(text) + 1
-    pack[:] = rank * big + key_p
-    return key_p[np.searchsorted(pack, rank[lo] * big + starts, "left")]
+    own = rank[np.searchsorted(key_h, least, "left")]
+    return key_p[np.searchsorted(rank * big + key_p, own * big + starts, "left")]
 
 
-def _anchor_rows(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
-            found = [anchors(t, width) for t in texts(batch.column("text"))]
-            counts = [len(p) for p, _ in found]
-            sha = np.repeat(np.array(batch.column("sha").to_pylist(), dtype=object), counts)
-            grams = np.concatenate([h for _, h in found] or [np.zeros(0, np.uint64)])
-            places = np.concatenate([p for p, _ in found] or [np.zeros(0, np.int64)])
-            yield pa.RecordBatch.from_arrays([pa.array(sha, pa.binary()), pa.array(places, pa.int32()), pa.array(grams.view(np.int64), pa.int64())], names=["sha", "at", "gram"])
+def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in small_batches(batches, "text"):
+        found = [anchors(t, ANCHOR) for t in texts(batch.column("text"))]
+        counts = [len(p) for p, _ in found]
+        sha = batch.column("sha").take(pa.array(np.repeat(np.arange(len(counts)), counts)))
+        grams = np.concatenate([h for _, h in found] or [np.zeros(0, np.uint64)])
+        places = np.concatenate([p for p, _ in found] or [np.zeros(0, np.int64)])
+        yield pa.RecordBatch.from_arrays([sha, pa.array(places, pa.int32()), pa.array(grams.view(np.int64), pa.int64())], names=["sha", "at", "gram"])
 
-    return run
+
+_CONTEXT = "k long, sha binary, start int, n int, words int, gram long, ctx binary, body binary"
 
 
 def _contexts(width: int):
+    """Around each anchor of ``places``: start and number of its windows, and the bytes from there to the end of the last window."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
             rows: list[tuple] = []
-            for sha, text, places in zip(batch.column("sha").to_pylist(), texts(batch.column("text")), batch.column("places").to_pylist()):
-                owner = window_anchor(text, width)
+            for k, sha, text, places in zip(batch.column("k").to_pylist(), batch.column("sha").to_pylist(), texts(batch.column("text")), batch.column("places").to_pylist()):
                 hashes = window_hashes(as_bytes(text), KGRAM)
+                owner = window_anchor(text, ANCHOR, hashes)
                 cut = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
                 ends = np.append(cut[1:], len(owner))
                 wanted = np.isin(owner[cut], np.array(places, dtype=np.int64))
                 for i, j in zip(cut[wanted].tolist(), ends[wanted].tolist()):
                     context = text[i : j - 1 + width]
-                    rows.append((sha, i, int(hashes[owner[i]].view(np.int64)), hashlib.blake2b(context, digest_size=16).digest(), context))
-            cols = list(zip(*rows)) or [[]] * 5
-            kinds = [pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["sha", "start", "gram", "ctx", "body"])
+                    rows.append((k, sha, i, j - i, len(context.split()), int(hashes[owner[i]].view(np.int64)), hashlib.blake2b(context, digest_size=16).digest(), context))
+            cols = list(zip(*rows)) or [[]] * 8
+            kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["k", "sha", "start", "n", "words", "gram", "ctx", "body"])
 
     return run
 
 
-def suffix_order(data: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix order up to ``width`` symbols, and the rank of each suffix's prefix of that length.
+# ---------------------------------------------------------------- suffix order and factors
 
-    Prefix doubling; the last round overlaps, so that ranks compare exactly ``width`` symbols.
+
+def prefix_ranks(data: np.ndarray, width: int, wanted: np.ndarray | None = None) -> dict[int, np.ndarray]:
+    """Ranks of all suffixes by their first 8, 16, ... bytes and by their first ``width``.
+
+    Prefix doubling; the last round overlaps, so that it compares exactly
+    ``width`` bytes.  With ``wanted`` (starts as a mask), rounds leave out suffixes that no
+    wanted rank needs; their ranks stay 0.  Behind the end come zeros.
     """
     n = len(data)
-    rank, held = data.astype(np.int64) + 1, 1
-    base = int(rank.max()) + 1 if n else 2
-    if width >= 4 and base < 1 << 15:
-        # the first two rounds at once: four symbols fit one key
-        padded = np.concatenate([rank, np.zeros(3, dtype=np.int64)])
-        rank, held = ((padded[:n] * base + padded[1 : n + 1]) * base + padded[2 : n + 2]) * base + padded[3:], 4
-    order = np.argsort(rank)
-    if held > 1:
-        ordered = rank[order]
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.cumsum(np.concatenate(([1], ordered[1:] != ordered[:-1])))
-    while held < width:
-        step = min(held, width - held)
-        later = np.zeros(n, dtype=np.int64)
-        later[: n - step] = rank[step:]
-        key = rank * (int(rank.max()) + 1) + later
-        order = np.argsort(key)
-        sorted_key = key[order]
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.cumsum(np.concatenate(([1], sorted_key[1:] != sorted_key[:-1])))
-        held += step
-    return order, rank
-
-
-def smaller_neighbours(order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    first = min(8, width)
+    key = np.zeros(n, dtype=np.uint64)
+    for j in range(first):
+        key[: n - j] |= data[j:].astype(np.uint64) << np.uint64(56 - 8 * j)
+    lengths = [first]
+    while lengths[-1] < width:
+        lengths.append(min(2 * lengths[-1], width))
+    needed = [np.ones(n, dtype=bool)] * len(lengths)
+    if wanted is not None:
+        here = np.arange(n)
+        back = here - np.maximum.accumulate(np.where(wanted, here, -width))  # from the last wanted start
+        # a rank of a length is asked for at most ``width`` less that length behind a wanted start
+        needed = [back <= width - length for length in lengths[:-1]] + [wanted]
+    out = {}
+    for level, length in enumerate(lengths):
+        at = np.flatnonzero(needed[level])
+        if level:
+            held = lengths[level - 1]
+            later = at + (length - held)
+            inside = later < n
+            part = out[held][at] * np.int64(n + 1)
+            part[inside] += out[held][later[inside]]
+        else:
+            part = key[at]
+        order = np.argsort(part)
+        ordered = part[order]
+        rank = np.zeros(n, dtype=np.int64)
+        if len(at):
+            rank[at[order]] = np.cumsum(np.concatenate(([1], ordered[1:] != ordered[:-1])))
+        out[length] = rank
+    return out
+
+
+def smaller_neighbours(positions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each place of the suffix order, the nearest place before and after it with a smaller position.
 
-    Pointer doubling over blocks keeps this in numpy; -1 where there is none.
+    All between a place and its pointer have larger positions, so a pointer to a
+    larger position may jump on by that one's pointer.  -1 and n: there is none.
     """
-    n = len(order)
-    before, after = np.full(n, -1), np.full(n, -1)
-    stack: list[int] = []
-    for i, p in enumerate(order.tolist()):
-        while stack and order[stack[-1]] > p:
-            after[stack.pop()] = i
-        if stack:
-            before[i] = stack[-1]
-        stack.append(i)
-    return before, after
-
-
-def repeated_starts(data: np.ndarray, width: int) -> np.ndarray:
-    """Whether the ``width`` symbols from each start occur from an earlier or a later start too.
-
-    In suffix order equal prefixes are neighbours, so the previous and next
-    smaller positions of a start lie in its run of equal prefixes if there is an earlier copy,
-    and the first of a run has a later one; the longest previous and next
-    factors, cut at ``width``, follow from the run alone.
+    n = len(positions)
+    both = []
+    for p in (positions, positions[::-1]):
+        padded = np.append(p, -1)  # the last element stands for none: smaller than all
+        jump = np.append(np.arange(n) - 1, n)
+        jump[jump < 0] = n
+        todo = np.arange(n)
+        while len(todo):
+            todo = todo[padded[jump[todo]] > p[todo]]
+            jump[todo] = jump[jump[todo]]
+        both.append(np.where(jump[:n] == n, -1, jump[:n]))
+    return both[0], np.where(both[1][::-1] < 0, n, n - 1 - both[1][::-1])
+
+
+def same_prefix(ranks: dict[int, np.ndarray], a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether the suffixes at ``a`` and ``b`` share their first ``length`` bytes: two overlapping ranks tell.
+
+    Those of ``a`` must lie before the separator that ends the data.
     """
-    order, rank = suffix_order(data, width)
-    ranked = rank[order]
-    same = np.concatenate((ranked[1:] == ranked[:-1], [False]))
-    run = np.cumsum(np.concatenate(([True], ~same[:-1])))
-    first = np.full(run[-1] + 1, len(data), dtype=np.int64)
-    np.minimum.at(first, run, order)
-    size = np.bincount(run)
-    previous = np.zeros(len(data), dtype=bool)  # LPF >= width: a smaller position in the run
-    previous[order] = order > first[run]
-    later = np.zeros(len(data), dtype=bool)
-    later[order] = (order == first[run]) & (size[run] > 1)
-    return previous | later
+    out, last = np.zeros(len(a), dtype=bool), len(next(iter(ranks.values()))) - 1
+    known = sorted(ranks)
+    for held, above in zip(known, [*known[1:], known[-1] + 1]):
+        at = np.flatnonzero((length >= held) & (length < above))
+        r, shift = ranks[held], length[at] - held
+        out[at] = (r[a[at]] == r[b[at]]) & (r[a[at] + shift] == r[np.minimum(b[at] + shift, last)])
+    return out
 
 
 def longest_previous(data: np.ndarray) -> np.ndarray:
-    """The full longest-previous-factor array of a short text, from previous and next smaller positions."""
+    """The whole longest-previous-factor array of a short text, from previous and next smaller positions."""
     n = len(data)
-    order, _ = suffix_order(data, max(1, n))
+    ranks = prefix_ranks(data, max(1, n))
+    order = np.argsort(ranks[max(ranks)])
     before, after = smaller_neighbours(order)
     place = np.empty(n, dtype=np.int64)
     place[order] = np.arange(n)
@@ -186,62 +211,77 @@ def longest_previous(data: np.ndarray) -> np.ndarray:
         differ = np.flatnonzero(a[:m] != b[:m])
         return int(differ[0]) if len(differ) else m
 
-    return np.array([max([common(i, int(order[k])) for k in (before[place[i]], after[place[i]]) if k >= 0], default=0) for i in range(n)], dtype=np.int64)
+    return np.array([max([common(i, int(order[k])) for k in (before[place[i]], after[place[i]]) if 0 <= k < n], default=0) for i in range(n)], dtype=np.int64)
 
 
-def _bits(flags: np.ndarray) -> bytes:
-    return np.packbits(flags).tobytes()
+def _words_from(data: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of words that follow a space, and the bytes of ``count`` words from there (0: fewer words follow)."""
+    space = _SPACE[data] | (data == 255)
+    begins = np.flatnonzero(~space[1:] & space[:-1]) + 1
+    ends = np.flatnonzero(space[1:] & ~space[:-1]) + 1
+    if len(begins):
+        ends = ends[np.searchsorted(ends, begins[0], "right") :]  # from the end of the first of these words on
+    size = np.zeros(len(begins), dtype=np.int64)
+    if len(begins) >= count:
+        m = len(begins) - count + 1
+        size[:m] = ends[count - 1 : count - 1 + m] - begins[:m]
+    return begins, size
 
 
-def _classify(width: int):
-    """Contexts of whole anchors, sorted by anchor, in chunks: repeated starts of each as bits."""
+def _classify(width: int, passage_words: int):
+    """Contexts sorted by anchor and first place: which starts of each have an earlier copy, and which any; whether a passage of so many words repeats."""
 
     def chunk(rows: list[tuple]) -> list[tuple]:
-        # one symbol string: contexts of one anchor share bytes only with each other through a leading rank,
-        # and a separator of its own ends each context
-        sizes = [len(r[2]) for r in rows]
-        total = sum(sizes) + len(rows)
-        data = np.empty(total, dtype=np.int64)
-        group, last, at, begins = -1, None, 0, []
-        usable = np.zeros(total, dtype=bool)
-        tag = np.zeros(total, dtype=np.int64)
-        for k, (gram, _, body) in enumerate(rows):
-            group += gram != last
-            last = gram
-            n = len(body)
-            data[at : at + n] = np.frombuffer(body, dtype=np.uint8)
-            data[at + n] = 256 + k
-            tag[at : at + n + 1] = group
-            usable[at : at + n - width + 1] = True
-            begins.append(at)
-            at += n + 1
-        order, rank = suffix_order(data, width)
-        # only starts whose window lies inside a context; runs of equal window and anchor
-        starts = order[usable[order]]
-        key_r, key_g = rank[starts], tag[starts]
-        by = np.lexsort((starts, key_g, key_r))
-        s, r, g = starts[by], key_r[by], key_g[by]
-        new = np.concatenate(([True], (r[1:] != r[:-1]) | (g[1:] != g[:-1])))
-        run = np.cumsum(new) - 1
-        size = np.bincount(run)
-        first = s[np.flatnonzero(new)]
-        lpf = np.zeros(total, dtype=bool)
-        lpf[s] = s > first[run]
-        lnf = np.zeros(total, dtype=bool)
-        lnf[s] = (s == first[run]) & (size[run] > 1)
-        either = lpf | lnf
-        return [(gram, ctx, _bits(either[b : b + len(body) - width + 1])) for (gram, ctx, body), b in zip(rows, begins)]
+        sizes = np.array([len(r[3]) for r in rows])
+        begins = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
+        total = int(sizes.sum()) + len(rows)
+        data = np.frombuffer(b"\xff".join([r[3] for r in rows]) + b"\xff", dtype=np.uint8)
+        grams = np.array([r[0] for r in rows])
+        group = np.repeat(np.cumsum(np.concatenate(([0], grams[1:] != grams[:-1]))), sizes + 1)
+        counts = np.array([r[2] for r in rows])
+        edge = np.zeros(total + 1, dtype=np.int32)
+        edge[begins] += 1
+        edge[begins + counts] -= 1
+        starts_here = np.cumsum(edge[:-1]) > 0
+        end_of = np.repeat(begins + sizes, sizes + 1)
+        ranks = prefix_ranks(data, width, starts_here)
+        s = np.flatnonzero(starts_here)
+        # suffix order within each anchor; equal prefixes by position
+        by = np.argsort((group[s] * np.int64(total + 1) + ranks[width][s]) * np.int64(total + 1) + s) if len(rows) * float(total) ** 2 < 2e18 else np.lexsort((s, ranks[width][s], group[s]))
+        order = s[by]
+        g, n = group[order], len(order)
+        whole = end_of[order] - order >= width
+        earlier, either, passage = np.zeros(total, dtype=bool), np.zeros(total, dtype=bool), np.zeros(total, dtype=bool)
+        before, after = smaller_neighbours(order)
+        words_at, words_len = _words_from(data, passage_words)
+        wanted = np.zeros(total, dtype=np.int64)
+        wanted[words_at] = np.where((words_len < width) & (words_at + words_len <= end_of[words_at]), words_len, 0)
+        asked = wanted[order]
+        here = np.arange(n)
+        for neighbour, into in ((before, earlier), (after, earlier), (here - 1, either), (here + 1, either)):
+            ok = np.flatnonzero((neighbour >= 0) & (neighbour < n))
+            ok = ok[g[ok] == g[neighbour[ok]]]
+            full = ok[whole[ok]]
+            same = ranks[width][order[full]] == ranks[width][order[neighbour[full]]]
+            into[order[full[same]]] = True
+            if into is either:
+                some = ok[asked[ok] > 0]
+                passage[order[some[same_prefix(ranks, order[some], order[neighbour[some]], asked[some])]]] = True
+        either |= earlier
+        at = begins.tolist()
+        cut = lambda flags, b, k: np.packbits(flags[b : b + k]).tobytes()
+        return [(gram, ctx, cut(earlier, b, k), cut(either, b, k), bool(passage[b : b + k].any() or either[b : b + k].any())) for (gram, ctx, k, _), b in zip(rows, at)]
 
     def emit(found: list[tuple]) -> pa.RecordBatch:
-        cols = list(zip(*found))
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.binary(), pa.binary()))], names=["gram", "ctx", "bits"])
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.bool_())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=["gram", "ctx", "earlier", "either", "passage"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         own: list[tuple] = []
         held_bytes = own_bytes = 0
         for batch in batches:
-            for row in zip(batch.column("gram").to_pylist(), batch.column("ctx").to_pylist(), batch.column("body").to_pylist()):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("gram", "ctx", "n", "body"))):
                 if own and own[0][0] != row[0]:
                     held += own
                     held_bytes += own_bytes
@@ -250,7 +290,7 @@ def _classify(width: int):
                         yield emit(chunk(held))
                         held, held_bytes = [], 0
                 own.append(row)
-                own_bytes += len(row[2])
+                own_bytes += len(row[3])
         held += own
         if held:
             yield emit(chunk(held))
@@ -258,92 +298,150 @@ def _classify(width: int):
     return run
 
 
-def _window_rows(width: int):
+def _prefix_rows(width: int, passage_words: int):
+    """The suffixes of a hot anchor's contexts by the hash of their whole prefix: of ``width`` bytes, and of so many words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "body", 1 << 20):
-            grams, ctxs = batch.column("gram").to_pylist(), batch.column("ctx").to_pylist()
-            hashes = [window_hashes(as_bytes(b), width).view(np.int64) for b in batch.column("body").to_pylist()]
-            n = [len(h) for h in hashes]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(np.array(grams, dtype=np.int64), n)), pa.array(np.repeat(np.array(ctxs, dtype=object), n), pa.binary()), pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in n])), pa.array(np.concatenate(hashes))],
-                names=["gram", "ctx", "at", "window"],
-            )
+            found: list[tuple] = []
+            for row, (body, count) in enumerate(zip(batch.column("body").to_pylist(), batch.column("n").to_pylist())):
+                data = np.frombuffer(body + b"\xff", dtype=np.uint8)
+                hashes = window_hashes(data[:-1], width).view(np.int64)[:count]
+                found.append((np.full(len(hashes), row), np.zeros(len(hashes), dtype=np.int32), np.arange(len(hashes), dtype=np.int32), hashes))
+                at, size = _words_from(data, passage_words)
+                keep = (size > 0) & (size < width) & (at < count)
+                words = np.array([hash_of(body[a : a + k]) for a, k in zip(at[keep].tolist(), size[keep].tolist())], dtype=np.int64)
+                found.append((np.full(len(words), row), np.ones(len(words), dtype=np.int32), at[keep].astype(np.int32), words))
+            rows, kind, at, prefix = (np.concatenate(c) for c in zip(*found))
+            pick = pa.array(rows)
+            keys = [batch.column(c).take(pick) for c in ("gram", "ctx", "first")]
+            yield pa.RecordBatch.from_arrays([*keys, pa.array(kind, pa.int32()), pa.array(at, pa.int32()), pa.array(prefix, pa.int64())], names=["gram", "ctx", "first", "kind", "at", "prefix"])
 
     return run
 
 
-def _cut(width: int):
-    """Answers for whole texts: removed bytes, spans and the hash of what is left."""
+def hash_of(body: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(body, digest_size=8).digest(), "little", signed=True)
+
+
+# ---------------------------------------------------------------- answers
+
 
+def _cover(n: int, found: list[dict], name: str, width: int) -> np.ndarray:
+    """Bytes that lie in a string of ``width`` from one of the starts that ``name`` flags."""
+    edge = np.zeros(n + 1, dtype=np.int32)
+    for x in found:
+        if x[f"all_{name}"]:
+            starts = np.arange(x["start"], min(x["start"] + x["n"], n - width + 1))
+        elif x[name] is not None:
+            starts = x["start"] + np.flatnonzero(np.unpackbits(np.frombuffer(x[name], dtype=np.uint8), count=x["n"]))
+        else:
+            starts = x["start"] + np.array(x[f"{name}_at"] or [], dtype=np.int64)
+        edge[starts] += 1
+        edge[starts + width] -= 1
+    return np.cumsum(edge[:-1]) > 0
+
+
+def _runs(gone: np.ndarray) -> list[dict]:
+    steps = np.diff(np.concatenate(([0], gone.view(np.int8), [0])))
+    return [{"start": a, "end": b} for a, b in zip(np.flatnonzero(steps == 1).tolist(), np.flatnonzero(steps == -1).tolist())]
+
+
+_SPANS = "array<struct<start:bigint,end:bigint>>"
+
+
+def _spans(width: int, keep_first: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
             out: list[tuple] = []
-            for doc, text, whole, found in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text")), batch.column("whole").to_pylist(), batch.column("found").to_pylist()):
-                n = len(text)
-                if whole and n >= width:
-                    out.append((doc, n, n, 1, hashlib.sha256(b"").hexdigest()))
-                    continue
-                if not found:
-                    out.append((doc, n, 0, 0, hashlib.sha256(text).hexdigest()))
-                    continue
-                edge = np.zeros(n + 1, dtype=np.int32)
-                for x in found:
-                    if x["bits"] is None:
-                        starts = np.arange(x["start"], x["start"] + x["n"])
-                    else:
-                        starts = x["start"] + np.flatnonzero(np.unpackbits(np.frombuffer(x["bits"], dtype=np.uint8), count=x["n"]))
-                    np.add.at(edge, starts, 1)
-                    np.add.at(edge, starts + width, -1)
-                gone = np.cumsum(edge[:-1]) > 0
-                spans = int((np.diff(np.concatenate(([0], gone.view(np.int8)))) == 1).sum())
-                left = np.frombuffer(text, dtype=np.uint8)[~gone].tobytes()
-                out.append((doc, n, int(gone.sum()), spans, hashlib.sha256(left).hexdigest()))
-            cols = list(zip(*out))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            for sha, text, found in zip(batch.column("sha").to_pylist(), texts(batch.column("text")), batch.column("found").to_pylist()):
+                later, any_ = (_cover(len(text), found, name, width) for name in ("earlier", "either"))
+                gone = later if keep_first else any_
+                out.append((sha, _runs(gone), np.frombuffer(text, dtype=np.uint8)[~gone].tobytes() if gone.any() else None, int(later.sum()), any(x["passage"] for x in found)))
+            kinds = [pa.binary(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary(), pa.int64(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["sha", "spans", "kept", "n_later", "repeats"])
 
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)``, one row per row of ``docs``."""
+def _salt(column: str):
+    return F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int")
+
+
+def _total_by(rows: DataFrame, key: str, salted: str) -> DataFrame:
+    """(key, salt, total): rows of each key, counted in parts first, so that a hot key is never in one task."""
+    parts = rows.groupBy(key, _salt(salted).alias("salt")).agg(F.count("*").alias("n"))
+    return parts.select(key, "salt", F.sum("n").over(Window.partitionBy(key)).alias("total"))
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, keep_first: bool = False, passage_words: int = PASSAGE_WORDS) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, n_bytes, text_sha256, spans, kept, n_later, repeats``.
+
+    ``spans`` are the removed runs of bytes (start, end exclusive) and ``kept``
+    the bytes that are left (null: all).  Every copy goes, or with ``keep_first`` all but the
+    first in the order of id, text hash and place.  ``n_later`` counts the bytes in
+    strings of ``width`` that occur earlier too (rows with id and text of the first copy are no later ones); ``repeats`` tells of such a string anywhere else, or of
+    ``passage_words`` words in a row (found for certain from ``ANCHOR`` bytes on).
+    """
+    if width < ANCHOR:
+        raise ValueError(f"width is {ANCHOR} at least")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    # sha2 gives hex; its first 128 bits name a text
-    named = rows.withColumn("sha", F.unhex(F.substring(F.sha2("text", 256), 1, 32)))
-    copies = materialise(named.where(F.octet_length("text") >= width).groupBy("sha").agg(F.count("*").alias("copies"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("rep")))
-    copied = copies.where("copies > 1").select("sha")
-
-    grams = materialise(named.where(F.octet_length("text") >= width).select("sha", "text").mapInArrow(_anchor_rows(width), "sha binary, at int, gram long"))
-    distinct = grams.distinct() if copied.take(1) else grams
-    again = distinct.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    places = distinct.join(again, "gram").groupBy("sha").agg(F.collect_list("at").alias("places"))
-    rep = places.join(copies.select("sha", F.coalesce("rep.doc_id", F.lit(0)).alias("k")), "sha")
-    once = named.select("sha", F.coalesce("doc_id", F.lit(0)).alias("k"), "text").join(rep, ["sha", "k"]).dropDuplicates(["sha", "k"])
-    contexts = materialise(once.mapInArrow(_contexts(width), "sha binary, start int, gram long, ctx binary, body binary"))
-
-    classes = contexts.groupBy("gram", "ctx").agg(F.count("*").alias("n"), F.min("body").alias("body"))
-    classes = materialise(classes)
-    sizes = classes.groupBy("gram").agg(F.count("*").alias("different")).where("different > 1")
-    open_ = classes.select("gram", "ctx", "body").join(sizes, "gram")
-    small = open_.where(F.col("different") <= GROUP).select("gram", "ctx", "body")
-    bits = small.repartition("gram").sortWithinPartitions("gram").mapInArrow(_classify(width), "gram long, ctx binary, bits binary")
-    large = open_.where(F.col("different") > GROUP).select("gram", "ctx", "body")
-    windows = large.mapInArrow(_window_rows(width), "gram long, ctx binary, at int, window long")
-    twice = windows.groupBy("gram", "window").agg(F.count("*").alias("n")).where("n > 1").select("gram", "window")
-    hot = windows.join(twice, ["gram", "window"]).groupBy("gram", "ctx").agg(F.collect_list("at").alias("ats"))
-
-    starts = contexts.select("sha", "start", "gram", "ctx", (F.octet_length("body") - (width - 1)).alias("n"))
-    answer = starts.join(classes.select("gram", "ctx", F.col("n").alias("same")), ["gram", "ctx"])
-    # three parts of the answer follow: without a table each would sort the suffixes again
-    answer = materialise(answer.join(bits, ["gram", "ctx"], "left").join(hot, ["gram", "ctx"], "left").select("sha", "start", "n", "same", "bits", "ats"))
-    full = answer.where("same > 1").select("sha", "start", "n", F.lit(None).cast("binary").alias("bits"))
-    part = answer.where("same = 1 and bits is not null").select("sha", "start", "n", "bits")
-    each = answer.where("same = 1 and ats is not null").select("sha", F.explode("ats").alias("at"), "start").select("sha", (F.col("start") + F.col("at")).cast("int").alias("start"), F.lit(1).alias("n"), F.lit(None).cast("binary").alias("bits"))
-    found = full.unionByName(part).unionByName(each).join(copied, "sha", "left_anti").groupBy("sha").agg(F.collect_list(F.struct("start", "n", "bits")).alias("found"))
-    known = found.withColumn("whole", F.lit(False)).unionByName(copied.withColumn("whole", F.lit(True)), allowMissingColumns=True)
-    done = named.join(known, "sha", "left")
-    return done.select("doc_id", "text", F.coalesce("whole", F.lit(False)).alias("whole"), "found").mapInArrow(_cut(width), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    named = rows.withColumn("hex", F.sha2("text", 256)).withColumn("k", F.coalesce("doc_id", F.lit(_NO_ID)))
+    # the first 128 bits of the hash name a text
+    named = named.withColumn("sha", F.unhex(F.substring("hex", 1, 32))).withColumn("salt", _salt("k"))
+    parts = named.groupBy("sha", "salt").agg(F.count("*").alias("n"), F.min("k").alias("k"), F.max(F.octet_length("text")).alias("size"))
+    alone = Window.partitionBy("sha")
+    copies = materialise(parts.select("sha", "salt", "size", F.sum("n").over(alone).alias("copies"), F.min("k").over(alone).alias("rep")))
+
+    long_ = named.where(F.octet_length("text") >= ANCHOR)
+    grams = materialise(long_.select("sha", "text").mapInArrow(_anchor_rows, "sha binary, at int, gram long"))
+    distinct = grams.distinct() if copies.where("copies > 1").take(1) else grams
+    again = _total_by(distinct, "gram", "sha").where("total > 1").select("gram", "salt")
+    places = distinct.withColumn("salt", _salt("sha")).join(again, ["gram", "salt"]).groupBy("sha").agg(F.collect_list("at").alias("places"))
+    rep = places.join(copies.select("sha", F.col("rep").alias("k")).distinct(), "sha")
+    once = materialise(long_.select("sha", "k", "text").join(rep, ["sha", "k"]).dropDuplicates(["sha", "k"]))
+    contexts = materialise(once.mapInArrow(_contexts(width), _CONTEXT))
+
+    place = F.struct("k", "sha", "start")
+    classes = materialise(contexts.groupBy("gram", "ctx").agg(F.count("*").alias("same"), F.min(place).alias("first"), F.min("n").alias("n"), F.min("body").alias("body")))
+    sizes = _total_by(classes.select("gram", "ctx"), "gram", "ctx").where("total > 1")
+    open_ = classes.withColumn("salt", _salt("ctx")).join(sizes, ["gram", "salt"])
+    small = open_.where(F.col("total") <= GROUP).select("gram", "ctx", "n", "first", "body")
+    flags = small.repartition("gram").sortWithinPartitions("gram", "first").select("gram", "ctx", "n", "body").mapInArrow(_classify(width, passage_words), "gram long, ctx binary, earlier binary, either binary, passage boolean")
+    large = open_.where(F.col("total") > GROUP).select("gram", "ctx", "n", "first", "body")
+    suffixes = large.mapInArrow(_prefix_rows(width, passage_words), "gram long, ctx binary, first struct<k:bigint,sha:binary,start:int>, kind int, at int, prefix long")
+    spot = F.struct("first", "at")
+    runs = suffixes.groupBy("gram", "kind", "prefix").agg(F.count("*").alias("size"), F.min(spot).alias("least")).where("size > 1")
+    hot = suffixes.join(runs, ["gram", "kind", "prefix"]).groupBy("gram", "ctx").agg(
+        F.collect_list(F.when((F.col("kind") == 0) & (spot > F.col("least")), F.col("at"))).alias("earlier_at"), F.collect_list(F.when(F.col("kind") == 0, F.col("at"))).alias("either_at")
+    )
+
+    known = classes.select("gram", "ctx", "same", "first").join(flags, ["gram", "ctx"], "left").join(hot, ["gram", "ctx"], "left").where("same > 1 or passage or earlier_at is not null")
+    answer = contexts.select("k", "sha", "start", "n", "words", "gram", "ctx").join(known, ["gram", "ctx"])
+    again_here = (F.col("same") > 1) & (place > F.col("first"))
+    passage = F.coalesce("passage", F.col("earlier_at").isNotNull(), F.lit(False)) | ((F.col("same") > 1) & (F.col("words") >= passage_words))
+    part = F.struct("start", "n", again_here.alias("all_earlier"), (F.col("same") > 1).alias("all_either"), "earlier", "either", "earlier_at", "either_at", passage.alias("passage"))
+    found = answer.groupBy("sha").agg(F.collect_list(part).alias("found"))
+    done = once.select("sha", "text").join(found, "sha").mapInArrow(_spans(width, keep_first), f"sha binary, spans {_SPANS}, kept binary, n_later long, repeats boolean")
+
+    # a text that repeats whole needs its bytes for the first copy alone, and only if that one is kept
+    own = F.col("copies") == 1
+    info = copies.join(done, "sha", "left").withColumn("kept", F.when(own | (F.lit(keep_first) & (F.col("salt") == _salt("rep"))), F.col("kept")))
+    narrow = named.select("doc_id", "k", "hex", "sha", "salt", F.octet_length("text").cast("long").alias("n_bytes"))
+    joined = narrow.join(info.drop("size"), ["sha", "salt"])
+    long_copy = (F.col("copies") > 1) & (F.col("n_bytes") >= width)
+    later_copy = long_copy & (F.col("k") != F.col("rep"))
+    whole = later_copy if keep_first else long_copy
+    return joined.select(
+        "doc_id", "n_bytes", F.col("hex").alias("text_sha256"),
+        F.when(whole, F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))).otherwise(F.coalesce("spans", F.array().cast(_SPANS))).alias("spans"),
+        F.when(whole, F.lit(b"")).otherwise(F.col("kept")).alias("kept"),
+        F.when(later_copy, F.col("n_bytes")).otherwise(F.coalesce("n_later", F.lit(0))).cast("long").alias("n_later"),
+        (F.coalesce("repeats", F.lit(False)) | ((F.col("copies") > 1) & (F.col("n_bytes") >= ANCHOR))).alias("repeats"),
+    )
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents"))
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s.end - s.start)
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.coalesce(F.sha2("kept", 256), "text_sha256").alias("kept_sha256"), "n_later", "repeats")

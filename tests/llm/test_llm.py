@@ -220,30 +220,70 @@ def brute_repeats(texts, width):
     return out
 
 
+def brute_later(data, width):
+    """Rows as (id, text) in any order: covered bytes of strings that occur earlier, in the order of id, text hash and place."""
+    order = sorted(range(len(data)), key=lambda i: (data[i][0] is None, data[i][0] or 0, hashlib.sha256((data[i][1] or "").encode()).digest()))
+    seen, out = set(), [0] * len(data)
+    for i in order:
+        d = (data[i][1] or "").encode()
+        gone = np.zeros(len(d), dtype=bool)
+        for j in range(len(d) - width + 1):
+            if d[j : j + width] in seen:
+                gone[j : j + width] = True
+            seen.add(d[j : j + width])
+        out[i] = int(gone.sum())
+    return out
+
+
 @pytest.mark.parametrize("hot", [False, True])
 def test_suffix_dedup(spark, rows, empty, hot):
     from kilnspark.llm import suffix_dedup
 
-    passage = prose(random.Random(1), 120)
-    data = rows + [(500 + i, f"{prose(random.Random(i), 40)} {passage} {prose(random.Random(-i - 1), 40)}", "", "", 0, "") for i in range(12)] + [rows[0]]
+    passage, short = prose(random.Random(1), 120), prose(random.Random(2), 62)
+    around = lambda i, inner: f"{prose(random.Random(i), 40)} {inner} {prose(random.Random(-i - 1), 40)}"
+    data = rows + [(500 + i, around(i, passage), "", "", 0, "") for i in range(12)] + [rows[0]]
+    data += [(600 + i, around(50 + i, short), "", "", 0, "") for i in range(6)] + [(700, around(90, "nothing"), "", "", 0, ""), (None, around(91, passage), "", "", 0, "")]
+    assert 256 < len(short.encode()) < 400
     group, suffix_dedup.GROUP = suffix_dedup.GROUP, 3 if hot else suffix_dedup.GROUP
+    df = spark.createDataFrame(data, SCHEMA)
     try:
-        found = suffix_dedup.remove_repeats(spark.createDataFrame(data, SCHEMA)).collect()
+        found = suffix_dedup.remove_repeats(df).collect()
+        first = suffix_dedup.remove_repeats(df, keep_first=True).collect()
     finally:
         suffix_dedup.GROUP = group
+
+    def digest(r):
+        kept = r["text_sha256"] if r["kept"] is None else hashlib.sha256(r["kept"]).hexdigest()
+        return (r["doc_id"], r["n_bytes"], sum(x["end"] - x["start"] for x in r["spans"]), len(r["spans"]), kept)
+
     want = Counter((r[0], *x) for r, x in zip(data, brute_repeats([r[1] for r in data], 400)))
-    assert Counter(tuple(r) for r in found) == want
+    assert Counter(map(digest, found)) == want
+    # rows[0] occurs twice under one id: both are the first copy
+    later = Counter({(r[0], n): 1 for r, n in zip(data, brute_later([r[:2] for r in data], 400)) if r[0] != rows[0][0]})
+    assert Counter((r["doc_id"], r["n_later"]) for r in found if r["doc_id"] != rows[0][0]) == later
+    assert Counter((r["doc_id"], sum(x["end"] - x["start"] for x in r["spans"])) for r in first if r["doc_id"] != rows[0][0]) == later
+    repeats = {r["doc_id"] for r in found if r["repeats"]}
+    assert {500 + i for i in range(12)} | {600 + i for i in range(6)} | {None} <= repeats and 700 not in repeats
     assert suffix_dedup.remove_repeats(empty).collect() == []
 
 
 def test_longest_previous_factor():
-    from kilnspark.llm.suffix_dedup import longest_previous, repeated_starts
-
-    data = np.frombuffer(b"abracadabra_abra", dtype=np.uint8)
-    n = len(data)
-    want = [max([next((k for k in range(n - i) if data[i + k] != data[j + k]), n - i) for j in range(i)], default=0) for i in range(n)]
-    assert longest_previous(data).tolist() == want
-    assert repeated_starts(data, 4).tolist() == [i in (0, 7, 12) for i in range(n)]
+    from kilnspark.llm import suffix_dedup as S
+
+    rng = np.random.default_rng(6)
+    for data in (np.frombuffer(b"abracadabra_abra", dtype=np.uint8), rng.integers(97, 99, 150).astype(np.uint8)):
+        n = len(data)
+        common = lambda i, j: next((k for k in range(n - i) if data[i + k] != data[j + k]), n - i)  # noqa: B023, E731
+        assert S.longest_previous(data).tolist() == [max([common(i, j) for j in range(i)], default=0) for i in range(n)]
+        ranks = S.prefix_ranks(data, 13)
+        pairs = np.array([(i, j) for i in range(n) for j in range(i)])
+        length = rng.integers(8, 14, len(pairs))
+        pairs, length = pairs[pairs[:, 0] + length <= n], length[pairs[:, 0] + length <= n]
+        assert S.same_prefix(ranks, pairs[:, 0], pairs[:, 1], length).tolist() == [common(i, j) >= k for (i, j), k in zip(pairs.tolist(), length.tolist())]
+    for p in (rng.permutation(300), np.arange(300), np.arange(300)[::-1]):
+        before, after = S.smaller_neighbours(p)
+        assert before.tolist() == [max([j for j in range(i) if p[j] < p[i]], default=-1) for i in range(300)]
+        assert after.tolist() == [min([j for j in range(i + 1, 300) if p[j] < p[i]], default=300) for i in range(300)]
 
 
 def test_lattice_scores(docs, rows, empty):
