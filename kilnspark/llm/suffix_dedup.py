@@ -41,13 +41,15 @@ from kilnspark.llm.common import materialise, small_batches, table, texts
 from kilnspark.llm.kernels import _SPACE, as_bytes, sliding_min, window_hashes
 
 WIDTH = 400
-ANCHOR = 256
+ANCHOR = 320
 KGRAM = 32
 #: Different contexts of an anchor that are sorted together.
 GROUP = 2048
 CHUNK_BYTES = 1 << 18
 #: Parts over which the rows of one anchor or one text are dealt.
-SALTS = 16
+SALTS = 8
+#: Hot anchors up to which their list is broadcast (8 bytes each).
+BROADCAST_ANCHORS = 1_000_000
 #: Words of a passage that counts as a repeat although it is shorter than ``width`` bytes.
 PASSAGE_WORDS = 50
 _NO_ID = (1 << 63) - 1
@@ -270,30 +272,34 @@ def _classify(width: int, passage_words: int):
         either |= earlier
         at = begins.tolist()
         cut = lambda flags, b, k: np.packbits(flags[b : b + k]).tobytes()
-        return [(gram, ctx, cut(earlier, b, k), cut(either, b, k), bool(passage[b : b + k].any() or either[b : b + k].any())) for (gram, ctx, k, _), b in zip(rows, at)]
+        return [(gram, ctx, cut(earlier, b, k), cut(either, b, k), bool(passage[b : b + k].any() or either[b : b + k].any())) for (gram, ctx, k, *_), b in zip(rows, at)]
 
-    def emit(found: list[tuple]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.bool_())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=["gram", "ctx", "earlier", "either", "passage"])
+    def emit(rows: list[tuple], alone: list[tuple]) -> pa.RecordBatch:
+        found = (chunk(rows) if rows else []) + [(gram, ctx, None, None, False) for gram, ctx, *_ in alone]
+        known = [(*f, *row[4:]) for f, row in zip(found, rows + alone) if f[4] or row[4] > 1]
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.bool_(), pa.int64(), pa.int64(), pa.binary(), pa.int32())
+        columns = list(zip(*known)) or [[]] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["gram", "ctx", "earlier", "either", "passage", "same", "k", "sha", "start"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         own: list[tuple] = []
-        held_bytes = own_bytes = 0
+        alone: list[tuple] = []  # anchors with one context: it has no other to be compared with
+        held_bytes = 0
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("gram", "ctx", "n", "body"))):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("gram", "ctx", "n", "body", "same", "k", "sha", "start"))):
                 if own and own[0][0] != row[0]:
-                    held += own
-                    held_bytes += own_bytes
-                    own, own_bytes = [], 0
-                    if held_bytes > CHUNK_BYTES:
-                        yield emit(chunk(held))
-                        held, held_bytes = [], 0
+                    if len(own) == 1:
+                        alone += own
+                    else:
+                        held += own
+                        held_bytes += sum(len(r[3]) for r in own)
+                    own = []
+                    if held_bytes > CHUNK_BYTES or len(alone) > 10_000:
+                        yield emit(held, alone)
+                        held, alone, held_bytes = [], [], 0
                 own.append(row)
-                own_bytes += len(row[3])
-        held += own
-        if held:
-            yield emit(chunk(held))
+        yield emit(held + own * (len(own) > 1), alone + own * (len(own) == 1))
 
     return run
 
@@ -368,10 +374,33 @@ def _salt(column: str):
     return F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int")
 
 
-def _total_by(rows: DataFrame, key: str, salted: str) -> DataFrame:
-    """(key, salt, total): rows of each key, counted in parts first, so that a hot key is never in one task."""
-    parts = rows.groupBy(key, _salt(salted).alias("salt")).agg(F.count("*").alias("n"))
-    return parts.select(key, "salt", F.sum("n").over(Window.partitionBy(key)).alias("total"))
+def _all_salts(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+_FLAGS = "gram long, ctx binary, earlier binary, either binary, passage boolean, same long, k long, sha binary, start int"
+
+
+def _flags(classes: DataFrame, width: int, passage_words: int) -> DataFrame:
+    """Of each class that repeats in some place: its flags, or for hot anchors the places themselves."""
+    crowded = materialise(classes.groupBy("gram").agg(F.count("*").alias("different")).where(F.col("different") > GROUP).select("gram"))
+    many = crowded.count()
+    side = F.broadcast(crowded) if many <= BROADCAST_ANCHORS else crowded
+    small = classes.join(side, "gram", "left_anti") if many else classes
+    dealt = small.repartition("gram").sortWithinPartitions("gram", "k", "sha", "start")
+    flags = dealt.mapInArrow(_classify(width, passage_words), _FLAGS).withColumns({c: F.lit(None).cast("array<int>") for c in ("earlier_at", "either_at")})
+    if not many:
+        return flags
+    large = classes.join(side, "gram", "left_semi")
+    first = F.struct("k", "sha", "start")
+    suffixes = large.select("gram", "ctx", "n", first.alias("first"), "body").mapInArrow(_prefix_rows(width, passage_words), "gram long, ctx binary, first struct<k:bigint,sha:binary,start:int>, kind int, at int, prefix long")
+    spot = F.struct("first", "at")
+    runs = suffixes.groupBy("gram", "kind", "prefix").agg(F.count("*").alias("size"), F.min(spot).alias("least")).where("size > 1")
+    hot = suffixes.join(runs, ["gram", "kind", "prefix"]).groupBy("gram", "ctx").agg(
+        F.collect_list(F.when((F.col("kind") == 0) & (spot > F.col("least")), F.col("at"))).alias("earlier_at"), F.collect_list(F.when(F.col("kind") == 0, F.col("at"))).alias("either_at")
+    )
+    found = large.drop("n", "body").join(hot, ["gram", "ctx"], "left").withColumn("passage", F.col("either_at").isNotNull()).where("passage or same > 1")
+    return flags.unionByName(found, allowMissingColumns=True)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, keep_first: bool = False, passage_words: int = PASSAGE_WORDS) -> DataFrame:
@@ -389,38 +418,29 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     named = rows.withColumn("hex", F.sha2("text", 256)).withColumn("k", F.coalesce("doc_id", F.lit(_NO_ID)))
     # the first 128 bits of the hash name a text
     named = named.withColumn("sha", F.unhex(F.substring("hex", 1, 32))).withColumn("salt", _salt("k"))
-    parts = named.groupBy("sha", "salt").agg(F.count("*").alias("n"), F.min("k").alias("k"), F.max(F.octet_length("text")).alias("size"))
-    alone = Window.partitionBy("sha")
-    copies = materialise(parts.select("sha", "salt", "size", F.sum("n").over(alone).alias("copies"), F.min("k").over(alone).alias("rep")))
+    parts = named.groupBy("sha", "salt").agg(F.count("*").alias("n"), F.min("k").alias("k"))
+    alone = Window.partitionBy("sha")  # at most SALTS rows
+    copies = materialise(parts.select("sha", "salt", F.sum("n").over(alone).alias("copies"), F.min("k").over(alone).alias("rep")))
 
     long_ = named.where(F.octet_length("text") >= ANCHOR)
     grams = materialise(long_.select("sha", "text").mapInArrow(_anchor_rows, "sha binary, at int, gram long"))
-    distinct = grams.distinct() if copies.where("copies > 1").take(1) else grams
-    again = _total_by(distinct, "gram", "sha").where("total > 1").select("gram", "salt")
-    places = distinct.withColumn("salt", _salt("sha")).join(again, ["gram", "salt"]).groupBy("sha").agg(F.collect_list("at").alias("places"))
-    rep = places.join(copies.select("sha", F.col("rep").alias("k")).distinct(), "sha")
+    # an anchor that occurs at two places; copies of a text are one place
+    spots = grams.groupBy("gram").agg(F.min(F.xxhash64("sha", "at")).alias("lo"), F.max(F.xxhash64("sha", "at")).alias("hi"))
+    again = _all_salts(spots.where("lo <> hi").select("gram"))
+    places = grams.withColumn("salt", _salt("sha")).join(again, ["gram", "salt"]).groupBy("sha").agg(F.collect_set("at").alias("places"))
+    rep = places.join(copies.groupBy("sha").agg(F.min("rep").alias("k")), "sha")
     once = materialise(long_.select("sha", "k", "text").join(rep, ["sha", "k"]).dropDuplicates(["sha", "k"]))
     contexts = materialise(once.mapInArrow(_contexts(width), _CONTEXT))
 
     place = F.struct("k", "sha", "start")
-    classes = materialise(contexts.groupBy("gram", "ctx").agg(F.count("*").alias("same"), F.min(place).alias("first"), F.min("n").alias("n"), F.min("body").alias("body")))
-    sizes = _total_by(classes.select("gram", "ctx"), "gram", "ctx").where("total > 1")
-    open_ = classes.withColumn("salt", _salt("ctx")).join(sizes, ["gram", "salt"])
-    small = open_.where(F.col("total") <= GROUP).select("gram", "ctx", "n", "first", "body")
-    flags = small.repartition("gram").sortWithinPartitions("gram", "first").select("gram", "ctx", "n", "body").mapInArrow(_classify(width, passage_words), "gram long, ctx binary, earlier binary, either binary, passage boolean")
-    large = open_.where(F.col("total") > GROUP).select("gram", "ctx", "n", "first", "body")
-    suffixes = large.mapInArrow(_prefix_rows(width, passage_words), "gram long, ctx binary, first struct<k:bigint,sha:binary,start:int>, kind int, at int, prefix long")
-    spot = F.struct("first", "at")
-    runs = suffixes.groupBy("gram", "kind", "prefix").agg(F.count("*").alias("size"), F.min(spot).alias("least")).where("size > 1")
-    hot = suffixes.join(runs, ["gram", "kind", "prefix"]).groupBy("gram", "ctx").agg(
-        F.collect_list(F.when((F.col("kind") == 0) & (spot > F.col("least")), F.col("at"))).alias("earlier_at"), F.collect_list(F.when(F.col("kind") == 0, F.col("at"))).alias("either_at")
-    )
-
-    known = classes.select("gram", "ctx", "same", "first").join(flags, ["gram", "ctx"], "left").join(hot, ["gram", "ctx"], "left").where("same > 1 or passage or earlier_at is not null")
+    classes = contexts.groupBy("gram", "ctx").agg(F.count("*").alias("same"), F.min(place).alias("first"), F.min("n").alias("n"), F.min("body").alias("body"))
+    classes = materialise(classes.select("gram", "ctx", "same", "n", "body", "first.*"))
+    flags = _flags(classes, width, passage_words)
+    known = flags.select("gram", "ctx", "earlier", "either", "passage", "same", "earlier_at", "either_at", F.struct("k", "sha", "start").alias("first"))
     answer = contexts.select("k", "sha", "start", "n", "words", "gram", "ctx").join(known, ["gram", "ctx"])
-    again_here = (F.col("same") > 1) & (place > F.col("first"))
-    passage = F.coalesce("passage", F.col("earlier_at").isNotNull(), F.lit(False)) | ((F.col("same") > 1) & (F.col("words") >= passage_words))
-    part = F.struct("start", "n", again_here.alias("all_earlier"), (F.col("same") > 1).alias("all_either"), "earlier", "either", "earlier_at", "either_at", passage.alias("passage"))
+    several = F.col("same") > 1
+    passage = F.col("passage") | (several & (F.col("words") >= passage_words))
+    part = F.struct("start", "n", (several & (place > F.col("first"))).alias("all_earlier"), several.alias("all_either"), "earlier", "either", "earlier_at", "either_at", passage.alias("passage"))
     found = answer.groupBy("sha").agg(F.collect_list(part).alias("found"))
     done = once.select("sha", "text").join(found, "sha").mapInArrow(_spans(width, keep_first), f"sha binary, spans {_SPANS}, kept binary, n_later long, repeats boolean")
 
@@ -428,7 +448,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     own = F.col("copies") == 1
     info = copies.join(done, "sha", "left").withColumn("kept", F.when(own | (F.lit(keep_first) & (F.col("salt") == _salt("rep"))), F.col("kept")))
     narrow = named.select("doc_id", "k", "hex", "sha", "salt", F.octet_length("text").cast("long").alias("n_bytes"))
-    joined = narrow.join(info.drop("size"), ["sha", "salt"])
+    joined = narrow.join(info, ["sha", "salt"])
     long_copy = (F.col("copies") > 1) & (F.col("n_bytes") >= width)
     later_copy = long_copy & (F.col("k") != F.col("rep"))
     whole = later_copy if keep_first else long_copy

@@ -239,11 +239,11 @@ def brute_later(data, width):
 def test_suffix_dedup(spark, rows, empty, hot):
     from kilnspark.llm import suffix_dedup
 
-    passage, short = prose(random.Random(1), 120), prose(random.Random(2), 62)
+    passage, short = prose(random.Random(1), 120), prose(random.Random(2), 72)
     around = lambda i, inner: f"{prose(random.Random(i), 40)} {inner} {prose(random.Random(-i - 1), 40)}"
     data = rows + [(500 + i, around(i, passage), "", "", 0, "") for i in range(12)] + [rows[0]]
     data += [(600 + i, around(50 + i, short), "", "", 0, "") for i in range(6)] + [(700, around(90, "nothing"), "", "", 0, ""), (None, around(91, passage), "", "", 0, "")]
-    assert 256 < len(short.encode()) < 400
+    assert 320 < len(short.encode()) < 400
     group, suffix_dedup.GROUP = suffix_dedup.GROUP, 3 if hot else suffix_dedup.GROUP
     df = spark.createDataFrame(data, SCHEMA)
     try:
