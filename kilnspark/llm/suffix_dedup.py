@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kilnspark.llm.common import materialise, small_batches, table, texts
-from kilnspark.llm.kernels import _SPACE, as_bytes, sliding_min, window_hashes
+from kilnspark.llm.kernels import _SPACE, as_bytes, sliding_min, window_hashes, word_bounds
 
 WIDTH = 400
 ANCHOR = 320
@@ -110,9 +110,13 @@ def _contexts(width: int):
                 cut = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
                 ends = np.append(cut[1:], len(owner))
                 wanted = np.isin(owner[cut], np.array(places, dtype=np.int64))
-                for i, j in zip(cut[wanted].tolist(), ends[wanted].tolist()):
+                first, last = cut[wanted], ends[wanted]
+                grams = hashes[owner[first]].view(np.int64)
+                starts = word_bounds(as_bytes(text))[0]
+                words = np.searchsorted(starts, last - 1 + width) - np.searchsorted(starts, first)  # those that begin inside
+                for i, j, w, g in zip(first.tolist(), last.tolist(), words.tolist(), grams.tolist()):
                     context = text[i : j - 1 + width]
-                    rows.append((k, sha, i, j - i, len(context.split()), int(hashes[owner[i]].view(np.int64)), hashlib.blake2b(context, digest_size=16).digest(), context))
+                    rows.append((k, sha, i, j - i, w, g, hashlib.blake2b(context, digest_size=16).digest(), context))
             cols = list(zip(*rows)) or [[]] * 8
             kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["k", "sha", "start", "n", "words", "gram", "ctx", "body"])
@@ -333,18 +337,24 @@ def hash_of(body: bytes) -> int:
 # ---------------------------------------------------------------- answers
 
 
-def _cover(n: int, found: list[dict], name: str, width: int) -> np.ndarray:
+def _cover(n: int, parts: dict[str, list], rows: range, name: str, width: int) -> np.ndarray:
     """Bytes that lie in a string of ``width`` from one of the starts that ``name`` flags."""
     edge = np.zeros(n + 1, dtype=np.int32)
-    for x in found:
-        if x[f"all_{name}"]:
-            starts = np.arange(x["start"], min(x["start"] + x["n"], n - width + 1))
-        elif x[name] is not None:
-            starts = x["start"] + np.flatnonzero(np.unpackbits(np.frombuffer(x[name], dtype=np.uint8), count=x["n"]))
+    starts, counts, whole, bits, places = (parts[c] for c in ("start", "n", f"all_{name}", name, f"{name}_at"))
+    for r in rows:
+        first = starts[r]
+        if whole[r]:
+            stop = min(first + counts[r], n - width + 1)
+            if stop > first:
+                edge[first] += 1
+                edge[stop - 1 + width] -= 1
+            continue
+        if bits[r] is not None:
+            at = first + np.flatnonzero(np.unpackbits(np.frombuffer(bits[r], dtype=np.uint8), count=counts[r]))
         else:
-            starts = x["start"] + np.array(x[f"{name}_at"] or [], dtype=np.int64)
-        edge[starts] += 1
-        edge[starts + width] -= 1
+            at = first + np.array(places[r] or [], dtype=np.int64)
+        edge[at] += 1
+        edge[at + width] -= 1
     return np.cumsum(edge[:-1]) > 0
 
 
@@ -360,10 +370,15 @@ def _spans(width: int, keep_first: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
             out: list[tuple] = []
-            for sha, text, found in zip(batch.column("sha").to_pylist(), texts(batch.column("text")), batch.column("found").to_pylist()):
-                later, any_ = (_cover(len(text), found, name, width) for name in ("earlier", "either"))
+            found = batch.column("found")
+            cuts = found.offsets.to_pylist()
+            flat = found.values  # from the first offset of the whole column on
+            parts = {flat.type.field(c).name: flat.field(c).to_pylist() for c in range(flat.type.num_fields)}
+            for k, (sha, text) in enumerate(zip(batch.column("sha").to_pylist(), texts(batch.column("text")))):
+                rows = range(cuts[k], cuts[k + 1])
+                later, any_ = (_cover(len(text), parts, rows, name, width) for name in ("earlier", "either"))
                 gone = later if keep_first else any_
-                out.append((sha, _runs(gone), np.frombuffer(text, dtype=np.uint8)[~gone].tobytes() if gone.any() else None, int(later.sum()), any(x["passage"] for x in found)))
+                out.append((sha, _runs(gone), np.frombuffer(text, dtype=np.uint8)[~gone].tobytes() if gone.any() else None, int(later.sum()), any(parts["passage"][r] for r in rows)))
             kinds = [pa.binary(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary(), pa.int64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["sha", "spans", "kept", "n_later", "repeats"])
 
