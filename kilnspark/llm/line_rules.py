@@ -5,7 +5,16 @@ The host of a document is its ``source`` (null: the empty host).  A line is a
 lower-casing A-Z and joining their words by one space.  A page that repeats
 another page of its host word for word is one page, so that groups of exact
 copies do not turn their own lines into boilerplate; near-duplicate removal
-deals with those.  Null texts are empty.
+deals with those.  A line that fewer than ``min_pages`` pages hold is never too
+frequent: on a host of few pages the ratio alone would say that of every line.
+
+Lines above a limit are at most 1 / ``max_ratio`` times a host's lines on a mean page,
+so a host's set of them is as small as a page.  Sets meet the documents by
+broadcast behind a count of their lines (``BROADCAST_LINES``), beyond it by a salted join; texts are not
+shuffled but beyond it.
+
+Defined cases: null texts stay null and count as empty; rows without an id are documents as others;
+repeated rows get equal results; other columns may have any names.
 """
 
 from __future__ import annotations
@@ -14,14 +23,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from kilnspark.llm.common import materialise, small_batches, table, texts
-from kilnspark.llm.kernels import _LOWER, as_bytes, mix, prefix_sums, powers, word_bounds, word_hashes
+from kilnspark.llm.kernels import _LOWER, as_bytes, mix, powers, word_bounds, word_hashes
 
 _SYMBOLS = np.zeros(256, dtype=bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
+_BLANKS = b" \t\r\x0b\x0c"
 
 
 def repeated_words(words: np.ndarray) -> int:
@@ -58,7 +69,7 @@ def _line_table(text: bytes, data: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     for line in text.split(b"\n"):
         if line in seen:
             repeats += 1
-        elif line.strip(b" \t\r\x0b\x0c"):
+        elif line.strip(_BLANKS):
             seen.add(line)
     return hashes.view(np.int64), counts, repeats
 
@@ -81,94 +92,143 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _MEASURED = "doc_id long, host string, text_hash long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, page long, lines array<long>, line_words array<long>"
+#: Lines above the limits, over all hosts, up to which their sets are broadcast (8 bytes a line).
+BROADCAST_LINES = 1_000_000
+SALTS = 16
+
+
+def _rest(names: list[str], text_col: str) -> Column:
+    """All columns but the text, in one."""
+    return F.struct(*[F.col(f"`{c}`") for c in names if c != text_col], F.lit(0).alias("_"))
+
+
+def _host(host_col: str) -> Column:
+    return F.coalesce(F.col(host_col).cast("string"), F.lit(""))
 
 
 def _measured(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _host(host_col).alias("host"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
     return materialise(rows.mapInArrow(_measure, _MEASURED))
 
 
-def _frequent(measured: DataFrame, max_ratio: float, min_pages: int) -> tuple[DataFrame, DataFrame]:
-    """All (doc, host, page, line, words) rows, and the (host, line) pairs above the limits."""
-    lines = measured.select("doc_id", "host", "page", F.explode(F.arrays_zip("lines", "line_words")).alias("x"))
-    lines = lines.select("doc_id", "host", "page", F.col("x.lines").alias("line"), F.col("x.line_words").alias("words"))
-    pages = measured.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    counts = lines.select("host", "line", "page").distinct().groupBy("host", "line").agg(F.count("*").alias("n_pages"))
-    over = counts.where(F.col("n_pages") >= min_pages).join(pages, "host")
-    return lines, over.where(F.col("n_pages") > max_ratio * F.col("pages")).select("host", "line", "n_pages", "pages")
+def _frequent(pages: DataFrame, max_ratio: float, min_pages: int) -> DataFrame:
+    """(host, line) above the limits, from the distinct (host, page, lines)."""
+    totals = pages.groupBy("host").agg(F.count("*").alias("pages"))
+    counts = pages.select("host", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n_pages"))
+    over = counts.where(F.col("n_pages") >= min_pages).join(totals, "host")
+    return materialise(over.where(F.col("n_pages") > max_ratio * F.col("pages")).select("host", "line"))
+
 
+def _with_sets(rows: DataFrame, over: DataFrame, host: str, spread: list[Column], name: str) -> DataFrame:
+    """``rows`` with the array of their host's lines above the limits (null: none) as ``name``."""
+    sets = over.groupBy(F.col("host").alias(host)).agg(F.collect_set("line").alias(name))
+    if over.count() <= BROADCAST_LINES:
+        return rows.join(F.broadcast(sets), host, "left")
+    salt = f"{name}_salt"
+    salted = sets.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn(salt, F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")).join(salted, [host, salt], "left").drop(salt)
 
-def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_ratio: float = 0.1, min_pages: int = 10, min_left: float = 0.3, with_hash: bool = False) -> DataFrame:
+
+def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_ratio: float = 0.1, min_pages: int = 10, min_left: float = 0.3) -> DataFrame:
     """One row per row of ``docs``: base measures, ``n_removed_words`` and ``kept``.
 
     Lines on more than ``max_ratio`` of a host's distinct pages, and on
     ``min_pages`` at least, are removed; a document that keeps less than
     ``min_left`` of its words is depleted and rejected, as is one that fails
-    the base rules.  Rows that repeat a document get equal results.
-    ``with_hash`` adds ``text_hash``, xxhash64 of the text.
+    the base rules.  ``clean`` returns the documents themselves.
     """
     measured = _measured(docs, id_col, text_col, host_col)
-    lines, over = _frequent(measured, max_ratio, min_pages)
-    cut = lines.join(over.select("host", "line"), ["host", "line"]).distinct()
-    cut = cut.groupBy(F.coalesce("doc_id", F.lit(0)).alias("k_doc"), F.col("doc_id").isNull().alias("k_null"), F.col("host").alias("k_host"), F.col("page").alias("k_page")).agg(F.sum("words").alias("gone"))
-    same = (F.coalesce(F.col("doc_id"), F.lit(0)) == F.col("k_doc")) & (F.col("doc_id").isNull() == F.col("k_null")) & (F.col("host") == F.col("k_host")) & (F.col("page") == F.col("k_page"))
-    joined = measured.drop("lines", "line_words").join(cut, same, "left")
+    over = _frequent(measured.select("host", "page", "lines").dropDuplicates(["host", "page"]), max_ratio, min_pages)
+    joined = _with_sets(measured, over, "host", [F.col("text_hash"), F.col("doc_id")], "gone")
+    lost = F.expr("aggregate(filter(arrays_zip(lines, line_words), x -> array_contains(gone, x.lines)), 0L, (n, x) -> n + x.line_words)")
+    removed = F.when(F.col("gone").isNull(), F.lit(0)).otherwise(lost).cast("long")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    removed = F.coalesce("gone", F.lit(0))
-    return joined.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), removed.cast("long").alias("n_removed_words"),
-        (~failed & (F.col("n_words") - removed >= min_left * F.col("n_words"))).alias("kept"),
-        *(["text_hash"] if with_hash else []),
+    out = joined.withColumn("n_removed_words", removed)
+    return out.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), "n_removed_words",
+        (~failed & (F.col("n_words") - F.col("n_removed_words") >= min_left * F.col("n_words"))).alias("kept"),
     )
 
 
-def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: rejected documents go, the others stay whole; rows without an id are told by their text."""
-    good = quality(docs, with_hash=True).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    return docs.join(good, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left_semi")
+def cut_lines(text: bytes, gone: np.ndarray, min_left: float) -> bytes | None:
+    """The text without the lines of ``gone``; None if it fails the base rules or is depleted."""
+    data = as_bytes(text)
+    words = word_hashes(data)
+    if len(words) < 50 or 100 * repeated_words(words) > 50 * len(words):
+        return None
+    hashes, counts, _ = _line_table(text, data)
+    drop = np.isin(hashes, gone)
+    if not drop.any():
+        return text
+    if len(words) - counts[drop].sum() < min_left * len(words):
+        return None
+    lines = text.split(b"\n")
+    filled = [k for k, line in enumerate(lines) if line.strip(_BLANKS)]
+    bad = {filled[k] for k in np.flatnonzero(drop).tolist()}
+    return b"\n".join(line for k, line in enumerate(lines) if k not in bad)
+
+
+def _apply(min_left: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text"):
+            none = np.zeros(0, dtype=np.int64)
+            left = [cut_lines(t, none if g is None else np.array(g, dtype=np.int64), min_left) for t, g in zip(texts(batch.column("text")), batch.column("gone").to_pylist())]
+            at = [k for k, t in enumerate(left) if t is not None]
+            kept = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array([left[k].decode() for k in at], pa.string()), kept.column("rest")], names=["text", "rest"])
+
+    return run
+
+
+def clean(docs: DataFrame, text_col: str = "text", host_col: str = "source", max_ratio: float = 0.1, min_pages: int = 10, min_left: float = 0.3) -> DataFrame:
+    """The documents that ``quality`` keeps, without the lines above its limits; columns stay."""
+    pages = _measured(docs, "doc_id", text_col, host_col).select("host", "page", "lines").dropDuplicates(["host", "page"])
+    over = _frequent(pages, max_ratio, min_pages)
+    names = docs.columns
+    rows = docs.select(F.col(text_col).cast("string").alias("text"), _host(host_col).alias("host"), _rest(names, text_col).alias("rest"))
+    joined = _with_sets(rows, over, "host", [F.col("text"), F.col("rest")], "gone").select("text", "gone", "rest")
+    schema = StructType([StructField("text", StringType()), StructField("rest", joined.schema["rest"].dataType)])
+    done = joined.mapInArrow(_apply(min_left), schema)
+    return done.select(*[F.col("text").alias(c) if c == text_col else F.col("rest").getField(c).alias(c) for c in names])
+
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: rejected documents go (null and empty texts with them), the others lose the lines above the limits.
 
-_BLANK = r"[\x20\x09-\x0D]"
+    Rows without an id and repeated rows are judged each by its text; an empty table stays empty.
+    """
+    return clean(docs)
 
 
-def _line_key(line):
-    """A line with its words in lower case (A-Z), joined by one space."""
-    lowered = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.trim(F.regexp_replace(lowered, _BLANK + "+", " "))
+def _lines(text: Column) -> Column:
+    """The lines of a text with words in lower case (A-Z), one space between them and at most one at each end."""
+    lowered = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.split(F.regexp_replace(lowered, r"[\x20\x09\x0B-\x0D]+", " "), "\n")
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_ratio: float = 0.1, min_pages: int = 10, max_share: float = 0.5) -> DataFrame:
+def line_dedup(docs: DataFrame, text_col: str = "text", host_col: str = "source", max_ratio: float = 0.1, min_pages: int = 10) -> DataFrame:
     """``docs`` with boilerplate lines cut out of ``text_col``; rows and columns stay.
 
     A line is boilerplate when more than ``max_ratio`` of the host's distinct
-    pages, and ``min_pages`` at least, contain it.  A page of which
-    boilerplate would take more than ``max_share`` of the characters of its
-    lines is left whole: there it is the content and not furniture.  Null texts stay null.
+    pages, and ``min_pages`` at least, contain it, whatever share of a page
+    such lines take; a page of nothing else becomes an empty text.
     """
-    host = F.coalesce(F.col(host_col).cast("string"), F.lit(""))
-    keys = F.transform(F.split(F.col(text_col), "\n"), _line_key)
-    base = docs.select(host.alias("host"), F.xxhash64(text_col).alias("page"), F.array_distinct(F.filter(keys, lambda k: k != "")).alias("keys"))
-    base = base.where(F.col("keys").isNotNull()).dropDuplicates(["host", "page"])
-    seen = materialise(base.select("host", "page", F.transform("keys", lambda k: F.xxhash64(k)).alias("lines")))
-    pages = seen.groupBy("host").agg(F.count("*").alias("pages"))
-    exploded = seen.select("host", "page", F.explode("lines").alias("line"))
-    over = exploded.groupBy("host", "line").agg(F.count("*").alias("n_pages")).where(F.col("n_pages") >= min_pages)
-    over = over.join(pages, "host").where(F.col("n_pages") > max_ratio * F.col("pages")).select("host", "line")
-    drop = exploded.join(over, ["host", "line"]).groupBy("host", "page").agg(F.collect_set("line").alias("_drop"))
-
-    rows = docs.withColumn("_host", host).withColumn("_page", F.xxhash64(text_col))
-    drop = drop.select(F.col("host").alias("_host"), F.col("page").alias("_page"), "_drop")
-    joined = rows.join(drop, ["_host", "_page"], "left")
-    kept = F.expr(f"filter(split(`{text_col}`, '\\n'), x -> NOT array_contains(_drop, xxhash64(trim(regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\\\x20\\\\x09-\\\\x0D]+', ' ')))))")
-    cut = F.array_join(kept, "\n")
-    whole = F.col(text_col)
-    text = F.when(F.col("_drop").isNull(), whole).when(F.length(cut) < (1 - max_share) * F.length(whole), whole).otherwise(cut)
-    return joined.withColumn(text_col, text).select(*docs.columns)
+    filled = F.filter(F.transform(_lines(F.col(text_col)), F.trim), lambda k: k != "")
+    pages = docs.select(_host(host_col).alias("host"), F.xxhash64(text_col).alias("page"), F.array_distinct(F.transform(filled, lambda k: F.xxhash64(k))).alias("lines"))
+    seen = materialise(pages.where(F.col("lines").isNotNull()).dropDuplicates(["host", "page"]))
+    over = _frequent(seen, max_ratio, min_pages)
+
+    names = docs.columns
+    rows = docs.select(F.col(text_col).alias("text"), _host(host_col).alias("host"), _rest(names, text_col).alias("rest"))
+    joined = _with_sets(rows, over, "host", [F.col("text"), F.col("rest")], "gone")
+    both = F.arrays_zip(F.split("text", "\n").alias("line"), _lines(F.col("text")).alias("key"))
+    left = F.filter(both, lambda x: ~F.array_contains(F.col("gone"), F.xxhash64(F.trim(x.key))))
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda x: x.line), "\n"))
+    return joined.select(*[text.alias(c) if c == text_col else F.col("rest").getField(c).alias(c) for c in names])
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: boilerplate lines go, every document stays."""
+    """Pipeline stage: boilerplate lines go, every document stays, null texts and repeated rows included."""
     return line_dedup(docs)
 
 
@@ -200,7 +260,7 @@ cut AS (
     lambda x: NOT list_contains(d.gone, trim(regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' '))), chr(10)) AS short
   FROM pages p LEFT JOIN dropped d ON p.host = d.host AND p.page = d.page
 ), done AS (
-  SELECT doc_id, CASE WHEN gone IS NULL THEN text WHEN length(short) < 0.5 * length(text) THEN text ELSE short END AS text FROM cut
+  SELECT doc_id, CASE WHEN gone IS NULL THEN text ELSE short END AS text FROM cut
 )
 SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars_left, md5(coalesce(text, '')) AS text_md5 FROM done
 """
