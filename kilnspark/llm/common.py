@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from kilnspark.operators.graph import components
 from kilnspark.sources.workspace import materialise
 
-__all__ = ["components", "materialise", "parts", "small_batches", "table", "texts"]
+__all__ = ["components", "free_name", "materialise", "parts", "small_batches", "table", "texts"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,3 +37,11 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, most_bytes: in
         step = max(1, -(-batch.num_rows // pieces))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
+
+
+def free_name(taken: list[str], wanted: str) -> str:
+    """``wanted``, or that with underscores behind it, so that it is no column yet."""
+    lowered = {c.lower() for c in taken}
+    while wanted.lower() in lowered:
+        wanted += "_"
+    return wanted

@@ -15,8 +15,9 @@ finds the exact edit distance of the item to the best passage of any length
 around the window: its ends are free.
 
 The benchmark side goes to every executor; ``MAX_ITEM_WORDS`` bounds it in one
-piece, larger benchmarks are taken block by block.  Null texts are empty;
-items without words match nothing; repeated rows get equal results.
+piece, larger benchmarks are taken block by block.  Defined cases: null texts are empty;
+items of fewer than ``MIN_ITEM_WORDS`` words match nothing; repeated rows get equal results; other
+columns are left alone; an empty benchmark finds nothing.
 """
 
 from __future__ import annotations
@@ -28,14 +29,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from kilnspark.llm.common import small_batches, table, texts
+from kilnspark.llm.common import free_name, materialise, small_batches, table, texts
 from kilnspark.llm.kernels import mix
 
 TABLES = 24
 SAMPLES = 2
-#: Words of benchmark items that one pass holds (about 40 MB in a worker).
+#: Words of benchmark items that one pass holds, on the driver and in each worker.
 MAX_ITEM_WORDS = 400_000
+#: Items of fewer words match nothing: whatever holds a common word or two would be contaminated.
+MIN_ITEM_WORDS = 4
 _PUNCT = b".,;:!?\"()[]{}'"
 _LOWER_TABLE = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -53,12 +57,14 @@ class Index:
         by_length: dict[int, list[tuple[int, list[int]]]] = {}
         for item, text in items:
             ids = [self.vocab.setdefault(w, len(self.vocab)) for w in words_of(text)]
-            if ids:
+            if len(ids) >= MIN_ITEM_WORDS:
                 by_length.setdefault(len(ids), []).append((item, ids))
         rng = np.random.default_rng(977)
         longest = max(by_length, default=0)
-        # random bits of the walks: table, step, symbol (the last two stand for unknown words and the end)
-        self.bits = rng.integers(0, 2, (TABLES, 2 * longest, len(self.vocab) + 2), dtype=np.int8)
+        # a random bit of the walks is the first of (number of the symbol * number of table and step), both odd and random;
+        # the last two symbols stand for unknown words and the end
+        self.symbols = rng.integers(0, 1 << 63, len(self.vocab) + 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.steps = rng.integers(0, 1 << 63, (TABLES, 2 * longest), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         pairs = [np.zeros(0, dtype=np.int64)]
         pairs += [np.array(s[:-1], dtype=np.int64) * len(self.vocab) + s[1:] for group in by_length.values() for _, s in group if len(s) > 1]
         self.pairs = np.unique(np.concatenate(pairs))
@@ -76,7 +82,7 @@ class Index:
     def sampled(self, seqs: np.ndarray, at: np.ndarray) -> np.ndarray:
         """By table, the hash of the embedded symbols of each sequence at the sampled coordinates."""
         n = seqs.shape[1]
-        rows, tables = np.arange(len(seqs))[None, :], np.arange(TABLES)[:, None]
+        rows = np.arange(len(seqs))[None, :]
         padded = np.concatenate([seqs, np.full((len(seqs), 1), -1, dtype=np.int32)], axis=1)
         padded = np.where(padded < 0, len(self.vocab), padded)
         padded[:, n] = len(self.vocab) + 1
@@ -86,7 +92,7 @@ class Index:
             symbol = padded[rows, place]
             if (take := (at == step).any(axis=1)).any():
                 acc[take] = mix(acc[take] * np.uint64(0x2545F4914F6CDD1D) + symbol[take].astype(np.uint64) + np.uint64(1))
-            place = np.minimum(place + self.bits[tables, step, symbol], n)
+            place = np.minimum(place + (self.symbols[symbol] * self.steps[:, step, None] >> np.uint64(63)).astype(np.int64), n)
         return acc
 
     def search(self, docs: list[bytes]) -> list[tuple[int, int, int, int]]:
@@ -211,50 +217,65 @@ def _run(block: list[tuple[int, bytes]], max_edits: float):
                 items[d].append({"item_id": item, "word": place, "edits": edits})
             kind = pa.list_(pa.struct([("item_id", pa.int64()), ("word", pa.int64()), ("edits", pa.int64())]))
             keep = [batch.column(c) for c in batch.schema.names]
-            yield pa.RecordBatch.from_arrays([*keep, pa.array(items, kind)], names=[*batch.schema.names, "_found"])
+            yield pa.RecordBatch.from_arrays([*keep, pa.array(items, kind)], names=[*batch.schema.names, "found"])
 
     return run
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> list[list[tuple[int, bytes]]]:
-    """Distinct items in blocks of at most MAX_ITEM_WORDS words."""
-    blocks: list[list[tuple[int, bytes]]] = [[]]
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, bytes]]]:
+    """Distinct items in blocks of at most MAX_ITEM_WORDS words; the driver holds one and the item that follows."""
+    block: list[tuple[int, bytes]] = []
     held = 0
     for row in benchmark.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("i"), F.coalesce(text_col, F.lit("")).alias("t")).distinct().orderBy("i", "t").toLocalIterator():
         n = len(words_of(row.t.encode()))
         if held and held + n > MAX_ITEM_WORDS:
-            blocks.append([])
-            held = 0
-        blocks[-1].append((row.i, row.t.encode()))
+            yield block
+            block, held = [], 0
+        block.append((row.i, row.t.encode()))
         held += n
-    return blocks
+    yield block
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", max_edits: float = 0.2) -> DataFrame:
-    """``docs`` with ``leaks``: array of (item_id, word, edits), one entry for each item found."""
-    kind = "array<struct<item_id:bigint,word:bigint,edits:bigint>>"
-    out = docs.withColumn("leaks", F.expr(f"cast(array() as {kind})"))
-    for block in _blocks(benchmark, item_id, item_text):
-        if block:
-            out = _one_block(out, block, text_col, max_edits)
-    return out
+_LEAKS = "array<struct<item_id:bigint,word:bigint,edits:bigint>>"
+
 
+def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", max_edits: float = 0.2, into: str = "leaks") -> DataFrame:
+    """``docs`` with the new column ``into``: array of (item_id, word, edits), one entry for each item found.
 
-def _one_block(docs: DataFrame, block: list[tuple[int, bytes]], text_col: str, max_edits: float) -> DataFrame:
-    from pyspark.sql.types import StructField, StructType
+    With more items than one block holds, the result of each block is written
+    before the next one is read.
+    """
+    if into in docs.columns:
+        raise ValueError(f"there is a column {into} already")
+    out = docs.withColumn(into, F.expr(f"cast(array() as {_LEAKS})"))
+    blocks = _blocks(benchmark, item_id, item_text)
+    block = next(blocks)
+    while block is not None:
+        following = next(blocks, None)
+        out = _one_block(out, block, text_col, max_edits, into)
+        if following is not None:
+            out = materialise(out)
+        block = following
+    return out
 
+
+def _one_block(docs: DataFrame, block: list[tuple[int, bytes]], text_col: str, max_edits: float, into: str) -> DataFrame:
     names = docs.columns
-    moved = docs.select(F.col(text_col).alias("text"), F.struct(*[F.col(c) for c in names if c != text_col]).alias("_rest"))
-    leaks = docs.schema["leaks"].dataType
-    schema = StructType([*moved.schema.fields, StructField("_found", leaks)])
+    moved = docs.select(F.col(text_col).cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in names if c != text_col]).alias("rest"))
+    schema = StructType([*moved.schema.fields, StructField("found", docs.schema[into].dataType)])
     found = moved.mapInArrow(_run(block, max_edits), schema)
-    back = [F.col("text").alias(text_col) if c == text_col else F.concat(F.col("_rest.leaks"), F.col("_found")).alias("leaks") if c == "leaks" else F.col("_rest").getField(c).alias(c) for c in names]
+    inside = lambda c: F.col("rest").getField(c)
+    back = [F.col("text").alias(c) if c == text_col else F.concat(inside(c), "found").alias(c) if c == into else inside(c).alias(c) for c in names]
     return found.select(*back)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that hold a benchmark item go."""
-    return find_leaks(docs, table(spark, sf_dir, "benchmark")).where(F.size("leaks") == 0).select(*docs.columns)
+    """Pipeline stage: documents that hold a benchmark item go.
+
+    Null and empty texts stay, repeated rows go or stay together, and with an empty benchmark nothing goes.
+    """
+    into = free_name(docs.columns, "leaks")
+    return find_leaks(docs, table(spark, sf_dir, "benchmark"), into=into).where(F.size(into) == 0).select(*docs.columns)
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
