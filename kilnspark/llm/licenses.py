@@ -13,13 +13,16 @@ holds ``containment`` of n shingles holds one of the n - ceil(containment * n) +
 that the fewest templates have, so none is missed, however many notices stand
 together.  Exact containment of the template's shingles in the window then decides.
 
-The template table is a parameter; its shingles are broadcast behind a check
-of their number.  Null and empty texts have no licenses; repeated rows get
-equal results; templates with fewer words than a shingle are refused.
+The template table is a parameter; its shingles are broadcast in blocks of about
+``MAX_SHINGLES``, one scan for each block.  Defined cases: null and empty texts have no licenses; rows
+that share an id, or have none, are told apart by their texts; rows with equal id and text
+answer once; an empty table has no rows; templates with fewer words than a shingle are refused.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +47,7 @@ BANDS = 32
 #: The bands alone retrieve templates that hold this share of a window's template shingles.
 SAFE_SHARE = 0.25
 CONTAINMENT = 0.8
+#: Shingles of templates that one scan broadcasts (8 bytes each).
 MAX_SHINGLES = 1_000_000
 
 
@@ -80,29 +84,31 @@ def scan(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col
 
     ``templates`` has ``license`` and ``template``.
     """
-    known = templates.select("license", F.monotonically_increasing_id().alias("t"), _words(F.col("template")).alias("w"))
+    known = templates.select("license", F.xxhash64("license", "template").alias("t"), _words(F.col("template")).alias("w")).dropDuplicates(["t"])
     known = known.select("license", "t", F.size("w").alias("n_words"), _shingles(F.col("w"), width).alias("ts")).withColumn("ts", F.array_distinct("ts"))
     facts = known.agg(F.max("n_words").alias("longest"), F.sum(F.size("ts")).alias("shingles"), F.count_if(F.col("ts").isNull()).alias("short")).first()
     if facts["short"] or not facts["longest"]:
         raise ValueError(f"templates need {width} words at least")
-    if facts["shingles"] > MAX_SHINGLES:
-        raise ValueError("too many template shingles to broadcast; scan in blocks of templates")
-    universe = F.broadcast(known.select(F.explode("ts").alias("s")).distinct())
-    half = int(facts["longest"])
-
+    blocks = 1 if facts["shingles"] <= MAX_SHINGLES else -(-2 * facts["shingles"] // MAX_SHINGLES)
     # words are a column of their own: inside the shingle's lambda an expression would be worked out for each place
-    split = docs.select(F.col(id_col).cast("long").alias("doc_id"), _words(F.col(text_col)).alias("w")).where(F.size("w") >= width)
-    hits = split.select("doc_id", F.posexplode(_shingles(F.col("w"), width)).alias("at", "s")).join(universe, "s")
+    split = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("page"), _words(F.col(text_col)).alias("w")).where(F.size("w") >= width)
+    found = [_scan_block(split, known.where(F.pmod("t", F.lit(blocks)) == b) if blocks > 1 else known, int(facts["longest"]), width, bands, containment) for b in range(blocks)]
+    return reduce(DataFrame.union, found).groupBy("doc_id", "page", "license").agg(F.max("share").alias("containment")).drop("page")
+
+
+def _scan_block(split: DataFrame, known: DataFrame, half: int, width: int, bands: int, containment: float) -> DataFrame:
+    universe = F.broadcast(known.select(F.explode("ts").alias("s")).distinct())
+    hits = split.select("doc_id", "page", F.posexplode(_shingles(F.col("w"), width)).alias("at", "s")).join(universe, "s")
     block = F.floor(F.col("at") / half)
-    windows = hits.select("doc_id", "s", F.explode(F.array(block, block - 1)).alias("window"))
-    windows = windows.groupBy("doc_id", "window").agg(F.collect_set("s").alias("ws"))
+    windows = hits.select("doc_id", "page", "s", F.explode(F.array(block, block - 1)).alias("window"))
+    windows = windows.groupBy("doc_id", "page", "window").agg(F.collect_set("s").alias("ws"))
     keys = F.concat(_signature(F.col("ws"), bands), F.transform("ws", lambda s: F.struct(F.lit(-1).alias("band"), s.alias("least"))))
-    banded = windows.select("doc_id", "window", "ws", F.explode(keys).alias("x")).select("doc_id", "window", "ws", "x.*")
+    banded = windows.select("doc_id", "page", "ws", F.explode(keys).alias("x")).select("doc_id", "page", "ws", "x.*")
     wanted = known.select("license", "t", "ts", F.explode(_signature(F.col("ts"), bands)).alias("x")).select("license", "t", "ts", "x.*")
     wanted = wanted.union(_rare(known, 2 * half, containment))
     near = banded.join(F.broadcast(wanted), ["band", "least"])
     share = F.size(F.array_intersect("ws", "ts")) / F.size("ts")
-    return near.withColumn("share", share).where(F.col("share") >= containment).groupBy("doc_id", "license").agg(F.max("share").alias("containment"))
+    return near.select("doc_id", "page", "license", share.alias("share")).where(F.col("share") >= containment)
 
 
 def default_templates(spark: SparkSession) -> DataFrame:

@@ -93,12 +93,56 @@ def test_near_duplicates_of_one_hot_group(spark):
 
 
 def test_sketch_estimates_similarity():
-    from kilnspark.llm.near_dup import estimate, sketch
+    from kilnspark.llm.near_dup import _EMPTY, BUCKETS, _matches, collisions, estimate, least_matches, sketch
     from kilnspark.llm.kernels import mix
 
-    ids = mix(np.arange(1, 3001, dtype=np.uint64))
-    a, b = sketch(np.sort(ids[:2000])), sketch(np.sort(ids[500:2500]))
-    assert abs(estimate((a == b).sum()) - 1500 / 2500) < 0.15
+    ids = mix(np.arange(1, 30_001, dtype=np.uint64))
+    a, b = sketch(np.sort(ids[:20_000])), sketch(np.sort(ids[5000:25_000]))
+    matches, filled = _matches(a[None], b[None])
+    assert filled[0, 0] == BUCKETS and abs(estimate(matches, filled, np.array([[20_000]]), np.array([[20_000]]))[0, 0] - 15_000 / 25_000) < 0.15
+    few = sketch(np.sort(ids[:5]))
+    assert (few != _EMPTY).sum() <= 5
+    # unequal sets: the expected collisions are those that disjoint sets of that size show
+    x, y = (np.array([sketch(np.sort(mix(np.arange(k * 40_000 + o, k * 40_000 + o + 8192, dtype=np.uint64)))) for k in range(60)]) for o in (1, 20_001))
+    assert (x == y).mean() == pytest.approx(collisions()[6, 6], abs=8e-4)
+    assert least_matches(0.8)[128] < 75 and least_matches(0.8)[4] == 0
+
+
+def test_recall_of_pairs_at_the_threshold(spark):
+    """Planted pairs with similarity 0.80 to 0.85, from a few shingles to thousands."""
+    from kilnspark.llm.near_dup import near_duplicates
+
+    rng, rows, pairs = random.Random(21), [], 0
+    for k in range(400):
+        n = rng.choice([12, 30, 60, 120, 300, 900, 3000])
+        w = [f"v{rng.randrange(10**9)}" for _ in range(n)]
+        v = list(w)
+        at = rng.sample(range(n), n)
+        best = list(w)
+        for i in at:
+            v[i] = f"z{rng.randrange(10**9)}"
+            x, y = shingles(" ".join(w)), shingles(" ".join(v))
+            if 100 * len(x & y) < 80 * len(x | y):
+                break
+            best = list(v)
+            if n > 300 and rng.random() < 0.5:
+                best = list(v)
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(best))]
+        pairs += 1
+    out = {r["doc_id"]: r["component_id"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(out[2 * k + 1] == 2 * k for k in range(pairs)) == pairs
+
+
+def test_near_duplicates_of_shared_and_missing_ids(spark):
+    from kilnspark.llm.near_dup import keep_one, near_duplicates
+
+    rng = random.Random(31)
+    a, b, c = (prose(rng, 80, 9000) for _ in range(3))
+    data = [(5, a), (7, a), (7, b), (9, b), (7, b), (None, a), (None, None), (11, c), (3, ""), (12, None)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    out = near_duplicates(df).collect()
+    assert Counter((r["doc_id"], r["component_id"], r["kept"]) for r in out) == Counter([(5, 5, True), *[(7, 5, False)] * 3, (9, 5, False), (None, None, True), (None, None, True), (11, 11, True), (3, 3, True), (12, 12, True)])
+    assert sorted(str(r["doc_id"]) for r in keep_one(spark, df, "").collect()) == sorted(["5", "None", "None", "11", "3", "12"])
 
 
 def base_quality(text):
@@ -136,6 +180,43 @@ def test_quality(spark, rows, empty):
     assert quality(empty).collect() == []
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_quality_cuts_lines_and_rejects(spark, monkeypatch, broadcast):
+    """The documents themselves, by plain Python: lines above both limits go, then depleted ones."""
+    from kilnspark.llm import line_rules as L
+
+    monkeypatch.setattr(L, "BROADCAST_LINES", L.BROADCAST_LINES if broadcast else 0)
+    rng = random.Random(17)
+    common = ["Read  more here", "Subscribe to the letter", "seldom seen"]
+    data = []
+    for i in range(60):
+        lines = [prose(rng, 30, 3000), prose(rng, 30, 3000)]
+        for k, line in enumerate(common):
+            if rng.random() < (0.5, 0.3, 0.02)[k]:
+                lines.insert(rng.randrange(3), line.upper() if i % 2 else line)
+        data.append((i, "\n".join(lines), "en", f"h{i % 2}", 0, "x"))
+    data += [(90, "subscribe to the letter\n" * 40 + "few words of its own " * 3, "en", "h0", 0, "y"), (91, None, "en", "h0", 0, ""), (None, data[0][1], "en", "h0", 0, ""), data[1], (92, "", None, None, 0, "")]
+    key = lambda line: " ".join(words(line.lower()))
+    pages = {}
+    for r in data:
+        pages.setdefault(r[3] or "", set()).add(tuple(key(x) for x in (r[1] or "").split("\n") if words(x)))
+    over = {(h, x) for h, ps in pages.items() for x in {x for p in ps for x in p} if sum(x in p for p in ps) >= 10 and sum(x in p for p in ps) > 0.1 * len(ps)}
+    assert len(over) >= 3
+    want = Counter()
+    for r in data:
+        text = r[1] or ""
+        n, _, _, _, rep = base_quality(text)
+        left = "\n".join(x for x in text.split("\n") if (r[3] or "", key(x)) not in over)
+        if n >= 50 and 100 * rep <= 50 * n and len(words(left)) >= 0.3 * n:
+            want[(r[0], left, *r[2:])] += 1
+    df = spark.createDataFrame(data, SCHEMA)
+    assert Counter(tuple(r) for r in L.clean(df).collect()) == want
+    assert any(a[1] != b[1] for a in want for b in data if a[0] == b[0])
+    if broadcast:
+        kept = Counter(r["doc_id"] for r in L.quality(df).where("kept").collect())
+        assert kept == Counter(x for r, c in want.items() for x in [r[0]] * c)
+
+
 def test_line_dedup(spark, empty):
     from kilnspark.llm.line_rules import line_dedup
 
@@ -143,7 +224,7 @@ def test_line_dedup(spark, empty):
     data += [(50 + i, "menu home", "en", "h", 0, "") for i in range(3)] + [(60, None, "en", None, 0, ""), (61, "menu home\nrest of it", "en", "other", 0, "")]
     out = {r["doc_id"]: r["text"] for r in line_dedup(spark.createDataFrame(data, SCHEMA)).collect()}
     assert all(out[i].startswith(f"body {i} ") for i in range(15))
-    assert out[50] == "menu home" and out[60] is None and out[61] == "menu home\nrest of it"
+    assert out[50] == "" and out[60] is None and out[61] == "menu home\nrest of it"  # a page of nothing but boilerplate loses it too
     assert line_dedup(empty).columns == empty.columns and line_dedup(empty).collect() == []
 
 
@@ -194,6 +275,51 @@ def test_decontaminate_recall_at_the_limit(kind):
     assert found >= 0.97 * total
 
 
+def test_decontaminate_against_brute_force(spark, monkeypatch):
+    """Every passage of every text by exact edit distance, in one block and in several; user columns stay."""
+    from kilnspark.llm import decontaminate as D
+
+    def best(text, item):
+        last = [0] * (len(text) + 1)  # a passage may begin anywhere
+        for i, w in enumerate(item, 1):
+            now = [i]
+            for j, v in enumerate(text, 1):
+                now.append(min(last[j] + 1, now[-1] + 1, last[j - 1] + (w != v)))
+            last = now
+        return min(last)
+
+    rng = random.Random(77)
+    items = [(i, prose(rng, rng.randrange(4, 30), 60)) for i in range(12)] + [(20, "one"), (21, None), (3, "another text of the same item number")]
+    data = []
+    for i in range(80):
+        w = prose(rng, rng.randrange(0, 40), 60).split(" ")
+        if i % 2:
+            part = items[rng.randrange(12)][1].split(" ")
+            for _ in range(rng.randrange(0, len(part) // 4 + 1)):
+                k = rng.randrange(len(part))
+                part[k : k + rng.randrange(2)] = [] if rng.random() < 0.3 else [f"w{rng.randrange(60)}"]
+            w[len(w) // 2 : len(w) // 2] = part
+        data.append((i, " ".join(w), ["mine"], "rest", "found"))
+    df = spark.createDataFrame(data, "doc_id long, text string, leaks array<string>, rest string, found string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    sure, possible = set(), set()
+    for d, text, *_ in data:
+        for i, item in items:
+            seq = [x.decode() for x in D.words_of((item or "").encode())]
+            if len(seq) >= D.MIN_ITEM_WORDS and best([x.decode() for x in D.words_of(text.encode())], seq) <= int(0.2 * len(seq)):
+                possible.add((d, i))
+                if item in text:
+                    sure.add((d, i))
+    for most in (D.MAX_ITEM_WORDS, 60):
+        monkeypatch.setattr(D, "MAX_ITEM_WORDS", most)
+        rows = D.find_leaks(df, bench, into="hits").collect()
+        got = {(r["doc_id"], x["item_id"]) for r in rows for x in r["hits"]}
+        assert sure <= got <= possible and len(got) >= 0.95 * len(possible)
+        assert all(r["leaks"] == ["mine"] and r["rest"] == "rest" and r["found"] == "found" for r in rows)
+    with pytest.raises(ValueError):
+        D.find_leaks(df, bench)
+
+
 def test_best_passages_have_free_ends():
     from kilnspark.llm.decontaminate import best_passages, edit_distances
 
@@ -487,6 +613,44 @@ def test_license_scan(spark, empty):
         scan(empty, spark.createDataFrame([("x", "too short")], "license string, template string"))
 
 
+def test_license_scan_against_brute_force(spark, monkeypatch):
+    """Whole windows by plain Python: every license with enough of its shingles in one; in one block and in several."""
+    from kilnspark.llm import licenses as L
+
+    rng = random.Random(14)
+    split = lambda t: [w for w in re.sub("[^a-z0-9]+", " ", (t or "").lower()).split(" ") if w]
+    grams = lambda w: [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+    texts_ = []
+    for k in range(60):
+        parts = [prose(rng, rng.randrange(3, 60))]
+        for _ in range(rng.randrange(3)):
+            t = rng.choice(L.TEMPLATES)[1].split(" ")
+            if rng.random() < 0.5:
+                t[rng.randrange(len(t))] = "changed"
+            parts += [" ".join(t), prose(rng, rng.randrange(0, 20))]
+        texts_.append(" ".join(parts))
+    half = max(len(split(t)) for _, t in L.TEMPLATES)
+    every = {g for _, t in L.TEMPLATES for g in grams(split(t))}
+    data = [(k // 2 if k < 50 else None, t) for k, t in enumerate(texts_)] + [(1000, None), (1001, ""), (0, texts_[0])]
+    want = Counter()
+    for d, text in {(d, t) for d, t in data}:
+        hits = [(i, g) for i, g in enumerate(grams(split(text))) if g in every]
+        for name in {n for n, _ in L.TEMPLATES}:
+            best = 0.0
+            for block in range(-1, len(split(text)) // half + 1):
+                inside = {g for i, g in hits if i // half in (block, block + 1)}
+                best = max([best, *(len(inside & set(grams(split(t)))) / len(set(grams(split(t)))) for n, t in L.TEMPLATES if n == name)])
+            if best >= 0.8:
+                want[d, name, round(best, 9)] += 1
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    for most in (L.MAX_SHINGLES, 100):
+        monkeypatch.setattr(L, "MAX_SHINGLES", most)
+        assert Counter((r["doc_id"], r["license"], round(r["containment"], 9)) for r in L.scan(df, L.default_templates(spark)).collect()) == want
+    halves = L.TEMPLATES[3][1].split(" ")
+    cut = [(None, " ".join(halves[:14])), (None, " ".join(halves[14:])), (4, " ".join(halves[:14])), (4, " ".join(halves[14:]))]
+    assert L.scan(spark.createDataFrame(cut, "doc_id long, text string"), L.default_templates(spark)).collect() == []
+
+
 def test_license_scan_of_notices_side_by_side(spark):
     from kilnspark.llm.licenses import TEMPLATES, default_templates, scan
 
