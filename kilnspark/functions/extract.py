@@ -14,13 +14,13 @@ def found(text: Column, pattern: str, group: int = 0) -> Column:
 
 def last(text: Column, pattern: str, group: int = 0) -> Column:
     """Last match or null."""
-    return F.element_at(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), -1)
+    return F.try_element_at(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.lit(-1))
 
 
 def bottom_up(text: Column, pattern: str) -> Column:
     """Last match of the last line that has one."""
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(pattern))
-    return last(F.element_at(lines, -1), pattern)
+    return last(F.try_element_at(lines, F.lit(-1)), pattern)
 
 
 def ids(text: Column, pattern: str) -> Column:
@@ -88,7 +88,7 @@ def canonical_url(url: Column) -> Column:
 
 def safe_name(url: Column, most: int = 80) -> Column:
     """Last path segment with safe characters; long names end in a hash."""
-    name = F.regexp_replace(F.element_at(F.split(F.regexp_replace(url, r"[/?#]+$", ""), "/"), -1), "[^A-Za-z0-9._-]", "_")
+    name = F.regexp_replace(F.try_element_at(F.split(F.regexp_replace(url, r"[/?#]+$", ""), "/"), F.lit(-1)), "[^A-Za-z0-9._-]", "_")
     return F.when(F.length(name) > most, F.concat(F.substring(name, 1, most - 9), F.lit("-"), F.substring(F.sha1(url), 1, 8))).otherwise(name)
 
 
