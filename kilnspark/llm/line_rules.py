@@ -213,7 +213,7 @@ def line_dedup(docs: DataFrame, text_col: str = "text", host_col: str = "source"
     pages, and ``min_pages`` at least, contain it, whatever share of a page
     such lines take; a page of nothing else becomes an empty text.
     """
-    filled = F.filter(F.transform(_lines(F.col(text_col)), F.trim), lambda k: k != "")
+    filled = F.filter(F.transform(_lines(F.col(text_col)), lambda k: F.trim(k)), lambda k: k != "")
     pages = docs.select(_host(host_col).alias("host"), F.xxhash64(text_col).alias("page"), F.array_distinct(F.transform(filled, lambda k: F.xxhash64(k))).alias("lines"))
     seen = materialise(pages.where(F.col("lines").isNotNull()).dropDuplicates(["host", "page"]))
     over = _frequent(seen, max_ratio, min_pages)

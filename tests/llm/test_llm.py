@@ -220,7 +220,7 @@ def test_quality_cuts_lines_and_rejects(spark, monkeypatch, broadcast):
 def test_line_dedup(spark, empty):
     from kilnspark.llm.line_rules import line_dedup
 
-    data = [(i, f"Menu  Home\nbody {i} {prose(random.Random(i), 30)}", "en", "h", 0, "") for i in range(15)]
+    data = [(i, f"{chr(32) * (i % 3)}Menu  Home{chr(9) * (i % 2)}\nbody {i} {prose(random.Random(i), 30)}", "en", "h", 0, "") for i in range(15)]
     data += [(50 + i, "menu home", "en", "h", 0, "") for i in range(3)] + [(60, None, "en", None, 0, ""), (61, "menu home\nrest of it", "en", "other", 0, "")]
     out = {r["doc_id"]: r["text"] for r in line_dedup(spark.createDataFrame(data, SCHEMA)).collect()}
     assert all(out[i].startswith(f"body {i} ") for i in range(15))
