@@ -3,8 +3,9 @@
 Each set of word shingles gets a sketch of ``BUCKETS`` registers.  One hash of a
 shingle chooses the bucket by its first bits; the register holds the
 leading-zero count of the least remainder in its bucket and the mantissa bits that
-follow, 16 bits in all; a bucket without shingles is empty.  Bands of registers
-give candidates.  Register matches among the buckets that either set fills, corrected for
+follow, 16 bits in all; a bucket without shingles is empty.  For banding, an empty bucket
+borrows the register of another, the first filled one in an order of its own, so that
+short texts give keys as selective as long ones; bands of four registers give candidates.  Register matches among the buckets that either set fills, corrected for
 the collisions to be expected of sets of these sizes, estimate the Jaccard
 similarity; they rank partners and spare pairs that are far off, and full shingle sets decide.
 
@@ -67,13 +68,31 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return np.where(filled, ((32 - exponent).astype(np.uint64) << np.uint64(MANTISSA)) | mantissa, _EMPTY).astype(np.uint16)
 
 
+#: By bucket, the order in which it looks for a filled one.
+_LENDERS = np.array([np.random.default_rng(4410 + i).permutation(BUCKETS) for i in range(BUCKETS)])
+
+
+def densify(registers: np.ndarray) -> np.ndarray:
+    """Rows of registers with the empty ones borrowed; a row without any stays empty."""
+    out = registers.copy()
+    rows, cols = np.nonzero(out == _EMPTY)
+    for turn in range(BUCKETS):
+        if not len(rows):
+            break
+        found = registers[rows, _LENDERS[cols, turn]]
+        out[rows, cols] = found
+        still = found == _EMPTY
+        rows, cols = rows[still], cols[still]
+    return out
+
+
 def bands(registers: np.ndarray) -> np.ndarray:
-    """Hash of each band that is not empty; the number of a band is part of its hash."""
-    keys = registers.reshape(-1, ROWS)
+    """Hash of each band; the number of a band is part of its hash."""
+    keys = densify(registers[None])[0].reshape(-1, ROWS).astype(np.uint64)
     acc = np.arange(1, len(keys) + 1, dtype=np.uint64)
     for j in range(ROWS):
-        acc = mix(acc * np.uint64(0x2545F4914F6CDD1D) + keys[:, j].astype(np.uint64) + np.uint64(1))
-    return acc[(keys != _EMPTY).any(axis=1)].view(np.int64)
+        acc = mix(acc * np.uint64(0x2545F4914F6CDD1D) + keys[:, j] + np.uint64(1))
+    return acc.view(np.int64)
 
 
 @lru_cache
@@ -247,13 +266,12 @@ def _cross(threshold: float):
             near = (matches >= np.maximum(least[filled], 1)) & (part[left][:, None] != part[right][None, :])
             if side[0] == 2:
                 near &= left[:, None] < right[None, :]
-            a4, b4 = a.reshape(len(a), -1, ROWS), b.reshape(len(b), -1, ROWS)
-            filled_bands = (a4 != _EMPTY).any(axis=2)
-            band = int(np.flatnonzero(filled_bands[0])[np.flatnonzero(bands(a[0]) == group["bucket"][0])[0]])
+            a4, b4 = (densify(x).reshape(len(x), -1, ROWS) for x in (a, b))
+            band = int(np.flatnonzero(bands(a[0]) == group["bucket"][0])[0])
             for i in np.flatnonzero(near.any(axis=1)).tolist():
                 j = np.flatnonzero(near[i])
                 j = j[comp[right[j]] != comp[left[i]]]
-                j = j[((a4[i] == b4[j]).all(axis=2) & filled_bands[i]).argmax(axis=1) == band]
+                j = j[(a4[i] == b4[j]).all(axis=2).argmax(axis=1) == band]
                 if not len(j):
                     continue
                 mine = sets[left[i]].view(np.uint64)
