@@ -5,21 +5,28 @@ Random choice is an order by ``md5(seed|key)``: any engine can repeat it.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kilnspark.operators.numbering import numbered
+
 
 def draw(seed: str, *keys: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(seed), *[F.col(k).cast("string") for k in keys]))
 
 
 def interleave(df: DataFrame, family: str, key: str, seed: str) -> DataFrame:
-    """Stride interleave: family ``f`` with k of N rows takes positions (i - 0.5) * N / k."""
-    per = Window.partitionBy(family)
-    total = df.agg(F.count("*").alias("_all"))
-    rank = F.row_number().over(per.orderBy(draw(seed, key), key))
-    out = df.withColumn("_rank", rank).withColumn("_size", F.count("*").over(per)).crossJoin(F.broadcast(total))
-    return out.withColumn("pos", (F.col("_rank") - 0.5) * F.col("_all") / F.col("_size")).drop("_rank", "_size", "_all")
+    """Stride interleave: family ``f`` with k of N rows takes positions (i - 0.5) * N / k.
+
+    Places within a family come from ranges of the drawn order, so that a family may be of any size.
+    """
+    sizes = df.groupBy(family).agg(F.count("*").alias("_size"))
+    total = sizes.agg(F.sum("_size").alias("_all"))
+    ranked = numbered(df.withColumn("_draw", draw(seed, key)), ["_draw", key], "_rank", family)
+    out = ranked.join(sizes, ranked[family].eqNullSafe(sizes[family])).drop(sizes[family]).crossJoin(F.broadcast(total))
+    return out.withColumn("pos", (F.col("_rank") + 0.5) * F.col("_all") / F.col("_size")).select(*df.columns, "pos")
 
 
 def cap(df: DataFrame, family: str, key: str, most: int, seed: str, preserve: str | None = None) -> DataFrame:
@@ -59,36 +66,109 @@ def fraction(df: DataFrame, group: str, key: str, share: float, seed: str) -> Da
 
 def resample(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:
     """Whole copies first, then a drawn rest, to reach ``n`` rows; column ``copy`` from 0."""
-    w = Window.orderBy(draw(seed, key), key)
     total = df.agg(F.count("*").alias("_all"))
-    ranked = df.withColumn("_rn", F.row_number().over(w)).crossJoin(F.broadcast(total))
-    copies = F.floor(F.lit(n) / F.col("_all")) + F.when(F.col("_rn") <= F.lit(n) % F.col("_all"), 1).otherwise(0)
-    return ranked.withColumn("copy", F.explode(F.when(copies > 0, F.sequence(F.lit(0), (copies - 1).cast("int"))).otherwise(F.array().cast("array<int>")))).drop("_rn", "_all")
+    ranked = numbered(df.withColumn("_draw", draw(seed, key)), ["_draw", key], "_at").crossJoin(F.broadcast(total))
+    copies = F.floor(F.lit(n) / F.col("_all")) + F.when(F.col("_at") < F.lit(n) % F.col("_all"), 1).otherwise(0)
+    copied = F.explode(F.when(copies > 0, F.sequence(F.lit(0), (copies - 1).cast("int"))).otherwise(F.array().cast("array<int>")))
+    return ranked.withColumn("copy", copied).select(*df.columns, "copy")
 
 
-def mix_interleave(parts: dict[str, DataFrame], weights: dict[str, float], key: str, slots: int, seed: str) -> DataFrame:
-    """Slot i takes a source by its hashed place in the cumulative weights, and that source's next row, cycling.
+def _place(seed: str, *keys: Column) -> Column:
+    """A drawn number from 0 to below 1 by the md5 of the keys."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), *[k.cast("string") for k in keys])), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+
+
+def draws(df: DataFrame, key: str, n: int, seed: str, first: int = 0) -> DataFrame:
+    """``n`` rows drawn with replacement: draw i takes the row at its hashed place in the order of ``key``; column ``draw`` from ``first``."""
+    rows = numbered(df, [key], "_at")
+    total = df.agg(F.count("*").alias("_all"))
+    slots = df.sparkSession.range(first, first + n).withColumnRenamed("id", "draw").crossJoin(F.broadcast(total)).where("_all > 0")
+    slots = slots.withColumn("_at", F.floor(_place(seed, F.col("draw")) * F.col("_all")))
+    return slots.select("draw", "_at").join(rows, "_at").drop("_at")
+
+
+def resample_drawn(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:
+    """``n`` rows: a drawn order of all rows first, then rows drawn with replacement; column ``draw`` from 0."""
+    size = df.count()
+    once = numbered(df.withColumn("_draw", draw(seed, key)), ["_draw", key], "draw").drop("_draw").where(F.col("draw") < n)
+    return once.unionByName(draws(df, key, n - size, seed, size)) if n > size else once
+
+
+def resample_weighted(df: DataFrame, key: str, seed: str, size: int | None = None, weight: float | None = None) -> DataFrame:
+    """Rows drawn with replacement: ``size`` of them, then ``weight`` times as many of those."""
+    if size is not None:
+        df = draws(df, key, size, seed).drop("draw")
+    if weight is not None:
+        df = draws(df, key, int(df.count() * weight), f"{seed}w").drop("draw")
+    return df
 
-    ``slots`` rows come out: (slot, dataset, key).
-    """
-    from functools import reduce
 
-    spark = next(iter(parts.values())).sparkSession
-    place = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.col("slot").cast("string"))), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
-    name, upto = F.lit(None).cast("string"), 0.0
-    bounds = []
+def split_sizes(rows: int, val: float) -> int:
+    """Rows of the validation part: a share below 1, else a count; all rows at most."""
+    if val < 0:
+        raise ValueError("the validation size is negative")
+    return min(rows, int(rows * val) if val < 1 else int(val))
+
+
+def train_val(df: DataFrame, key: str, val: float, seed: str) -> DataFrame:
+    """Column ``split``: val for the first rows of a drawn order, a share or a count of them."""
+    most = split_sizes(df.count(), val)
+    ranked = numbered(df.withColumn("_draw", draw(seed, key)), ["_draw", key], "_at")
+    return ranked.select(*df.columns, F.when(F.col("_at") < most, "val").otherwise("train").alias("split"))
+
+
+def _chosen(spark, weights: dict[str, float], slots: int, seed: str) -> DataFrame:
+    """(slot, dataset, turn): a slot takes a dataset by its drawn place in the cumulative weights; turns count a dataset's slots."""
+    place = _place(seed, F.col("slot"))
+    name, upto, bounds = F.lit(list(weights)[-1]), 0.0, []
     for d, w in weights.items():
         upto += w
         bounds.append((d, upto))
-    for d, top in reversed(bounds):
-        name = F.when(place < top, d).otherwise(F.coalesce(name, F.lit(bounds[-1][0])))
-    chosen = spark.range(slots).withColumnRenamed("id", "slot").withColumn("dataset", name)
-    chosen = chosen.withColumn("turn", F.row_number().over(Window.partitionBy("dataset").orderBy("slot")) - 1)
+    for d, top in reversed(bounds[:-1]):
+        name = F.when(place < top, d).otherwise(name)
+    return numbered(spark.range(slots).withColumnRenamed("id", "slot").withColumn("dataset", name), ["slot"], "turn", "dataset")
+
+
+def _parts(parts: dict[str, DataFrame], key: str) -> DataFrame:
     rows = reduce(DataFrame.unionByName, [d.select(F.lit(n).alias("dataset"), F.col(key)) for n, d in parts.items()])
-    per = Window.partitionBy("dataset")
-    rows = rows.withColumn("at", F.row_number().over(per.orderBy(key)) - 1).withColumn("n", F.count("*").over(per))
-    sizes = rows.select("dataset", "n").distinct()
-    return chosen.join(F.broadcast(sizes), "dataset").withColumn("at", F.col("turn") % F.col("n")).join(rows.drop("n"), ["dataset", "at"]).select("slot", "dataset", key)
+    return numbered(rows, [key], "at", "dataset")
+
+
+def mix_interleave(parts: dict[str, DataFrame], weights: dict[str, float], key: str, slots: int, seed: str) -> DataFrame:
+    """A fixed number of slots, each with its dataset's next row, cycling: (slot, dataset, key)."""
+    rows = _parts(parts, key)
+    sizes = rows.groupBy("dataset").agg(F.count("*").alias("n"))
+    chosen = _chosen(rows.sparkSession, weights, slots, seed).join(F.broadcast(sizes), "dataset").withColumn("at", F.col("turn") % F.col("n"))
+    return chosen.join(rows, ["dataset", "at"]).select("slot", "dataset", key)
+
+
+def mix_until(parts: dict[str, DataFrame], weights: dict[str, float], key: str, seed: str, stop: str) -> DataFrame:
+    """Slots drawn by weight until ``stop``: (slot, dataset, key).
+
+    ``under``: right after the last row of the first dataset that ends; ``over``:
+    after all have ended once, those that end sooner begin anew; ``once``: each row
+    once, slots of a dataset that has ended are skipped.
+    """
+    if stop not in ("under", "over", "once"):
+        raise ValueError(f"unknown stopping rule {stop}")
+    rows = _parts(parts, key)
+    sizes = {r["dataset"]: r["n"] for r in rows.groupBy("dataset").agg(F.count("*").alias("n")).collect()}  # one row for each dataset
+    if set(sizes) != set(weights):
+        raise ValueError("a dataset is empty or has no weight")
+    slots = int(2 * max(n / weights[d] for d, n in sizes.items())) + 100
+    while True:
+        chosen = _chosen(rows.sparkSession, weights, slots, seed)
+        counts = F.broadcast(chosen.sparkSession.createDataFrame(list(sizes.items()), "dataset string, n long"))
+        sized = chosen.join(counts, "dataset")
+        ends = {r["dataset"]: r["slot"] for r in sized.where("turn = n - 1").select("dataset", "slot").collect()}
+        if len(ends) == len(sizes):
+            break
+        slots *= 2
+    if stop == "once":
+        kept = sized.where("turn < n")
+    else:
+        kept = sized.where(F.col("slot") <= (min if stop == "under" else max)(ends.values()))
+    return kept.withColumn("at", F.col("turn") % F.col("n")).join(rows, ["dataset", "at"]).select("slot", "dataset", key)
 
 
 def shard(df: DataFrame, name: Column) -> DataFrame:

@@ -1,6 +1,6 @@
 """Corpus curation: quality filter, n-gram decontamination, exact dedup, drop counters.
 
-Every function takes and returns DataFrames; nothing is collected.
+Every function takes and returns DataFrames; no rows are collected.
 """
 
 from __future__ import annotations
@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kilnspark.functions.text import ascii_ratio, ngrams, word_tokens
+from kilnspark.functions.text import ascii_ratio, word_tokens
+from kilnspark.sources.workspace import materialise
 
 
 def quality_flag(text: Column, lo: int = 100, hi: int = 200_000, ascii_min: float = 0.85, words_min: int = 15) -> Column:
@@ -28,13 +29,26 @@ def exact_dup_ids(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
     return df.groupBy(F.sha1(text_col).alias("h")).agg(F.min(id_col).alias("first_id"), F.count("*").alias("copies"))
 
 
+#: N-grams of benchmark items up to which they are broadcast (16 bytes each and their item).
+BROADCAST_GRAMS = 2_000_000
+
+
+def _gram_keys(tokens: Column, n: int) -> Column:
+    """128 hash bits of each run of ``n`` tokens; null with fewer."""
+    runs = F.transform(F.sequence(F.lit(1), F.size(tokens) - (n - 1)), lambda i: F.slice(tokens, i, n))
+    return F.when(F.size(tokens) >= n, F.transform(runs, lambda r: F.struct(F.xxhash64(r).alias("a"), F.xxhash64(F.lit(1), r).alias("b"))))
+
+
 def ngram_hits(docs: DataFrame, bench: DataFrame, n: int) -> DataFrame:
-    """Shared distinct n-grams of each (document, item)."""
-    items, grams = (
-        df.select(key, word_tokens(F.col("text")).alias("t")).select(key, F.explode(F.array_distinct(ngrams(F.col("t"), n))).alias("g"))
-        for df, key in ((bench, "item_id"), (docs, "doc_id"))
-    )
-    return grams.join(items, "g").groupBy("doc_id", "item_id").agg(F.count("*").alias("shared"))
+    """Shared distinct n-grams of each (document, item).
+
+    N-grams travel as hashes of 128 bits; those of the items are broadcast behind a
+    count, so that a document's other n-grams go no further than their task.
+    """
+    keys = lambda df, key: df.select(key, word_tokens(F.col("text")).alias("t")).select(key, F.explode(F.array_distinct(_gram_keys(F.col("t"), n))).alias("g"))
+    items = materialise(keys(bench, "item_id"))
+    side = F.broadcast(items) if items.count() <= BROADCAST_GRAMS else items
+    return keys(docs, "doc_id").join(side, "g").groupBy("doc_id", "item_id").agg(F.count("*").alias("shared"))
 
 
 def max_hits(hits: DataFrame, top: int = 5) -> DataFrame:
@@ -48,7 +62,7 @@ def drop_reasons(docs: DataFrame, bench: DataFrame, n: int = 13, drop_at: int =
     """One ``reason`` for each document: quality, leak, duplicate or kept, first match wins."""
     flagged = docs.withColumn("ok", quality_flag(F.col("text")))
     good = flagged.where("ok")
-    leaks = max_hits(ngram_hits(good, bench, n)).where(F.col("max_shared") >= drop_at).select("doc_id", F.lit(True).alias("leak"))
+    leaks = materialise(max_hits(ngram_hits(good, bench, n)).where(F.col("max_shared") >= drop_at).select("doc_id", F.lit(True).alias("leak")))
     clean = good.join(leaks, "doc_id", "left_anti")
     firsts = exact_dup_ids(clean, "text", "doc_id").select(F.col("first_id").alias("doc_id"), F.lit(True).alias("first"))
     joined = flagged.join(leaks, "doc_id", "left").join(firsts, "doc_id", "left")

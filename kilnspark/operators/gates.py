@@ -11,10 +11,12 @@ from kilnspark.operators.filters import license_verdict, wildcard
 def row_counts(df: DataFrame, name: str, axes: DataFrame) -> DataFrame:
     """Verdict of each axis; ``axes`` has axis, pattern, low, high.  Axes may overlap.
 
-    Names are counted first, so the pattern join meets one row for each name.
+    Names are counted first, so the pattern join meets one row for each name; the
+    axes are a plan of a few rows and are broadcast.
     """
     names = df.groupBy(F.col(name).alias("name")).agg(F.count("*").alias("n"))
-    hit = axes.join(F.broadcast(names), wildcard(F.col("name"), F.col("pattern")), "left")
+    found = names.join(F.broadcast(axes), wildcard(F.col("name"), F.col("pattern"))).groupBy("axis", "low", "high").agg(F.sum("n").alias("n"))
+    hit = axes.select("axis", "low", "high").distinct().join(found, ["axis", "low", "high"], "left")
     got = hit.groupBy("axis", "low", "high").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
     verdict = F.when(F.col("rows") < F.col("low"), "FAIL_LOW").when(F.col("rows") > F.col("high"), "FAIL_HIGH").otherwise("OK")
     return got.select("axis", "rows", verdict.alias("verdict"))

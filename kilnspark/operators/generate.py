@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kilnspark.operators.numbering import numbered
+
 
 def shuffle_options(df: DataFrame, key: str, options: str, answer: str, seed: str) -> DataFrame:
     """Options in drawn order with the answer's new letter: columns ``shuffled`` and ``letter``.
@@ -20,7 +22,7 @@ def shuffle_options(df: DataFrame, key: str, options: str, answer: str, seed: st
 def parse_options(text: Column) -> Column:
     """Bodies of ``X) ...`` option lines; a body runs to the next option."""
     parts = F.split(F.concat(F.lit("\n"), text), r"\n(?=[A-H]\) )")
-    return F.transform(F.slice(parts, F.lit(2), F.size(parts) - 1), lambda p: F.regexp_replace(F.substring(p, 4, 1_000_000), r"^\s+|\s+$", ""))
+    return F.transform(F.slice(parts, F.lit(2), F.size(parts) - 1), lambda p: F.regexp_replace(F.substring(p, F.lit(4), F.length(p)), r"^\s+|\s+$", ""))
 
 
 def answer_letter(text: Column) -> Column:
@@ -30,13 +32,26 @@ def answer_letter(text: Column) -> Column:
 
 
 def alias_subsets(df: DataFrame, key: str, aliases: str, most: int, cap: int, seed: str) -> DataFrame:
-    """Up to ``cap`` drawn subsets of each size up to ``most``; lists are cut to 16 aliases for the bit mask."""
-    n = F.least(F.size(aliases), F.lit(16))
-    masks = df.where(F.size(aliases) > 0).select(key, F.slice(aliases, F.lit(1), n).alias("_a"), F.explode(F.sequence(F.lit(1), F.pow(F.lit(2), n).cast("int") - 1)).alias("mask"))
-    masks = masks.withColumn("size", F.bit_count("mask")).where(F.col("size") <= most)
+    """Up to ``cap`` drawn subsets of each size up to ``most``, of all aliases.
+
+    A subset is the aliases of least hash in a drawn order of its own; the same subset is
+    drawn once.  Lists of up to 12 aliases have all their subsets drawn from.
+    """
+    rows = df.where(F.size(aliases) > 0).select(key, F.col(aliases).alias("_a"))
+    n = F.size("_a")
+    masks = rows.where(n <= 12).select(key, "_a", F.explode(F.sequence(F.lit(1), F.pow(F.lit(2), n).cast("int") - 1)).alias("mask"))
+    small = masks.withColumn("size", F.bit_count("mask")).where(F.col("size") <= most)
     w = Window.partitionBy(key, "size").orderBy(F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string"), F.col("mask").cast("string"))), "mask")
-    kept = masks.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap)
-    return kept.select(key, "size", F.filter("_a", lambda a, i: F.getbit(F.col("mask"), i) == 1).alias("subset"))
+    kept = small.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap)
+    kept = kept.select(key, "size", F.filter("_a", lambda a, i: F.getbit(F.col("mask"), i) == 1).alias("subset"))
+    # longer lists: a few more orders than wanted, since two may give the same subset
+    tries = rows.where(n > 12).select(key, "_a", F.explode(F.sequence(F.lit(1), F.least(n, F.lit(most)))).alias("size")).withColumn("try", F.explode(F.sequence(F.lit(1), F.lit(4 * cap))))
+    order = F.sort_array(F.transform("_a", lambda a, i: F.struct(F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string"), F.col("size").cast("string"), F.col("try").cast("string"), i.cast("string"))).alias("h"), i.alias("i"))))
+    picked = tries.select(key, "_a", "size", "try", F.sort_array(F.transform(F.slice(order, F.lit(1), F.col("size")), lambda x: x["i"])).alias("at"))
+    first = picked.groupBy(key, "_a", "size", "at").agg(F.min("try").alias("try"))
+    v = Window.partitionBy(key, "size").orderBy("try")
+    large = first.withColumn("_rn", F.row_number().over(v)).where(F.col("_rn") <= cap)
+    return kept.union(large.select(key, "size", F.transform("at", lambda i: F.get(F.col("_a"), i))))
 
 
 def hard_negatives(owners: DataFrame, alias: str, owner: str, n: int, seed: str) -> DataFrame:
@@ -45,7 +60,7 @@ def hard_negatives(owners: DataFrame, alias: str, owner: str, n: int, seed: str)
     No cross product: each (alias, step) meets one owner by its place.
     """
     groups = owners.select(F.col(owner).alias("foil")).distinct()
-    ranked = groups.withColumn("at", F.row_number().over(Window.orderBy(F.md5(F.concat_ws("|", F.lit(seed), F.col("foil").cast("string"))), "foil")) - 1)
+    ranked = numbered(groups, [F.md5(F.concat_ws("|", F.lit(seed), F.col("foil").cast("string"))), "foil"])
     total = F.broadcast(groups.agg(F.count("*").alias("total")))
     own = owners.join(ranked.withColumnRenamed("foil", owner), owner).crossJoin(total).withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(n)))).where(F.col("step") < F.col("total"))
     return own.withColumn("at", (F.col("at") + F.col("step")) % F.col("total")).join(ranked, "at").select(alias, owner, "foil").distinct()

@@ -102,11 +102,13 @@ def neighbourhood(up: DataFrame, links: DataFrame) -> DataFrame:
     ``up`` has (child, parent), ``links`` has (node, partner).  Strict: the
     node's own partners.  Plausible: those of parent, siblings and children, less the strict.
     """
-    parent = up.select(F.col("child").alias("node"), F.col("parent").alias("near"))
-    child = up.select(F.col("parent").alias("node"), F.col("child").alias("near"))
-    sibling = up.alias("x").join(up.alias("y"), F.col("x.parent") == F.col("y.parent")).where(F.col("x.child") != F.col("y.child")).select(F.col("x.child").alias("node"), F.col("y.child").alias("near"))
-    near = parent.union(child).union(sibling).distinct()
-    plausible = near.join(links.select(F.col("node").alias("near"), "partner"), "near").groupBy("node").agg(F.collect_set("partner").alias("p"))
+    # siblings are met through their parent: what all its children have, a node's own partners are strict anyway
+    own = links.select(F.col("node").alias("near"), "partner")
+    of_parent = up.join(own, up["parent"] == own["near"]).select(F.col("child").alias("node"), "partner")
+    of_child = up.join(own, up["child"] == own["near"]).select("parent", "partner").distinct()
+    family = up.join(of_child, "parent").select(F.col("child").alias("node"), "partner")
+    near = of_parent.union(of_child.select(F.col("parent").alias("node"), "partner")).union(family)
+    plausible = near.groupBy("node").agg(F.collect_set("partner").alias("p"))
     strict = links.groupBy("node").agg(F.sort_array(F.collect_set("partner")).alias("strict"))
     joined = strict.join(plausible, "node", "left")
     return joined.select("node", "strict", F.sort_array(F.array_except(F.coalesce("p", F.array().cast(joined.schema["p"].dataType)), "strict")).alias("plausible"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kilnspark.operators.metrics import infer_lengths
+from kilnspark.operators.numbering import numbered
 
 MESSAGE = "array<struct<role:string,content:string>>"
 IGNORE = -100
@@ -44,9 +45,13 @@ def align_messages(df: DataFrame, messages: str, ranking: bool = False) -> DataF
     return out.withColumn("_response", response).drop("_body")
 
 
+#: Fixed value: what stands between two tool answers.
+TOOL_BREAK = "\n</tool_response>\n<tool_response>\n"
+
+
 def merge_tools(messages: Column) -> Column:
     """Runs of tool messages join into one."""
-    sep = "\n</tool_response>\n<tool_response>\n"
+    sep = TOOL_BREAK
 
     def step(acc, m):
         last = F.element_at(acc, -1)
@@ -175,8 +180,7 @@ def knapsack(df: DataFrame, key: str, length: str, capacity: int, shard: Column)
 def batches(df: DataFrame, order: str, ranks: int, micro: int, steps: int) -> DataFrame:
     """Rank, step and micro-batch of each row; an incomplete global batch is dropped."""
     size = ranks * micro * steps
-    at = F.row_number().over(Window.orderBy(order)) - 1
-    out = df.withColumn("_at", at).withColumn("global_batch", F.floor(F.col("_at") / size))
+    out = numbered(df, [order], "_at").withColumn("global_batch", F.floor(F.col("_at") / size))
     full = df.agg(F.floor(F.count("*") / size).alias("_full"))
     out = out.crossJoin(F.broadcast(full)).where(F.col("global_batch") < F.col("_full"))
     inner = F.col("_at") % size
@@ -184,14 +188,21 @@ def batches(df: DataFrame, order: str, ranks: int, micro: int, steps: int) -> Da
 
 
 def stitch(df: DataFrame, key: str, text: str, least: int, most: int, seed: str, groups: int) -> DataFrame:
-    """Long contexts: hashed groups of rows joined in drawn order until the length bound."""
+    """Long contexts: (grp, part, n_rows, question_of, context), each within the length bounds.
+
+    Rows are dealt to hashed groups; in drawn order each begins the next context of
+    its group where the one before is full: parts are the steps of the running
+    length by ``most``, and a row that crosses a step begins the next part.  Choose ``groups`` so
+    that a group holds a bounded number of rows.
+    """
     h = F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string")))
     g = F.conv(F.substring(h, 1, 8), 16, 10).cast("long") % groups
     w = Window.partitionBy("grp").orderBy("h", key)
-    rows = df.select(key, text, h.alias("h"), g.alias("grp")).withColumn("upto", F.sum(F.length(text)).over(w)).where(F.col("upto") <= most)
-    out = rows.groupBy("grp").agg(F.sort_array(F.collect_list(F.struct("h", F.col(key).alias("k"), F.col(text).alias("t")))).alias("x"), F.max_by(key, F.struct(F.length(text), F.col(key))).alias("question_of"))
+    rows = df.where(F.col(text).isNotNull()).select(key, text, h.alias("h"), g.alias("grp")).withColumn("upto", F.sum(F.length(text)).over(w))
+    rows = rows.withColumn("part", F.floor((F.col("upto") - 1) / most))
+    out = rows.groupBy("grp", "part").agg(F.sort_array(F.collect_list(F.struct("h", F.col(key).alias("k"), F.col(text).alias("t")))).alias("x"), F.max_by(key, F.struct(F.length(text), F.col(key))).alias("question_of"))
     joined = F.array_join(F.transform("x", lambda r: r["t"]), "\n\n")
-    return out.select("grp", F.size("x").alias("n_rows"), "question_of", joined.alias("context")).where(F.length("context") >= least)
+    return out.select("grp", "part", F.size("x").alias("n_rows"), "question_of", joined.alias("context")).where(F.length("context") >= least)
 
 
 def tool_text(calls: Column, dialect: str = "default") -> Column:

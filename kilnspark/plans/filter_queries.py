@@ -28,12 +28,17 @@ def filter_recency(spark, sf):
     return o.where(P.recent(date, "1997-01-01")).select("o_orderkey")
 
 
-@query("filter_exact_id_leak", r"""
-WITH d AS (SELECT doc_id, unnest(list_distinct(list_transform(regexp_extract_all(text, '(?i)\b[a-z]{9,}\b'), lambda x: upper(x)))) AS id FROM documents),
-b AS (SELECT DISTINCT unnest(list_transform(regexp_extract_all(text, '(?i)\b[a-z]{9,}\b'), lambda x: upper(x))) AS id FROM benchmark)
+_ID_SQL = r"list_distinct(list_transform(list_filter(regexp_extract_all(text, '[\p{L}\p{N}_]+'), lambda x: regexp_full_match(x, '[A-Za-z]{9,}')), lambda x: upper(x)))"
+
+
+@query("filter_exact_id_leak", f"""
+WITH d AS (SELECT doc_id, unnest({_ID_SQL}) AS id FROM documents), b AS (SELECT DISTINCT unnest({_ID_SQL}) AS id FROM benchmark)
 SELECT DISTINCT doc_id FROM d WHERE id IN (SELECT id FROM b)""")
 def filter_exact_id_leak(spark, sf):
-    ids = lambda c: F.array_distinct(F.transform(F.regexp_extract_all(c, F.lit(r"(?i)\b[a-z]{9,}\b"), F.lit(0)), F.upper))
+    """Identifiers are whole runs of letters, digits and underscores, so that both engines see the same word bounds."""
+    from kilnspark.functions import extract as E
+
+    ids = lambda c: F.filter(E.ids(c, r"[\p{L}\p{N}_]+"), lambda x: x.rlike("^[A-Z]{9,}$"))
     return P.exact_id_leak(table(spark, sf, "documents"), table(spark, sf, "benchmark"), ids)
 
 
@@ -184,18 +189,21 @@ def interleave_families(spark, sf):
 
 
 @query("interleave_check", f"""WITH p AS (SELECT doc_id, source, (row_number() OVER (PARTITION BY source ORDER BY {_draw_sql('s1', 'doc_id')}, doc_id) - 0.5) * (SELECT count(*) FROM documents) / count(*) OVER (PARTITION BY source) AS pos FROM documents),
-r AS (SELECT source, row_number() OVER (ORDER BY pos, source) AS rn FROM p), t AS (SELECT source, count(*) AS n, 128.0 * count(*) / (SELECT count(*) FROM documents) AS target FROM documents GROUP BY source)
-SELECT source, count(*) AS seen, round(abs(count(*) - any_value(target)) / any_value(target), 6) AS error FROM r JOIN t USING (source) WHERE rn <= 128 AND target >= 0.5 GROUP BY source""")
+r AS (SELECT source, row_number() OVER (ORDER BY pos, source) - 1 AS rn FROM p), z AS (SELECT count(*) AS m, least(512, count(*)) AS w FROM documents),
+v AS (SELECT 'start' AS part, 0 AS lo, w FROM z UNION ALL SELECT 'middle', (m - w) // 2, w FROM z UNION ALL SELECT 'end', m - w, w FROM z), t AS (SELECT source, 1.0 * count(*) / (SELECT m FROM z) AS share FROM documents GROUP BY source)
+SELECT part, source, count(*) AS seen, round(abs(count(*) - any_value(w * share)) / any_value(w * share), 6) AS error FROM r JOIN v ON rn >= lo AND rn < lo + w JOIN t USING (source) WHERE w * share >= 0.5 GROUP BY part, source""")
 def interleave_check(spark, sf):
-    """The first 128 rows of the interleave hold each family in proportion."""
-    from pyspark.sql import Window
+    """Windows of 512 rows at the start, in the middle and at the end hold each family in proportion."""
+    from kilnspark.operators.numbering import numbered
 
     d = table(spark, sf, "documents").select("doc_id", "source")
-    total = F.broadcast(d.agg(F.count("*").alias("all")))
-    target = d.groupBy("source").agg(F.count("*").alias("n")).crossJoin(total).select("source", (128.0 * F.col("n") / F.col("all")).alias("target")).where("target >= 0.5")
-    head = B.interleave(d, "source", "doc_id", "s1").orderBy("pos", "source").limit(128)
-    seen = head.groupBy("source").agg(F.count("*").alias("seen"))
-    return seen.join(target, "source").select("source", "seen", F.round(F.abs(F.col("seen") - F.col("target")) / F.col("target"), 6).alias("error"))
+    total = d.agg(F.count("*").alias("all")).withColumn("w", F.least(F.lit(512), "all"))
+    target = d.groupBy("source").agg(F.count("*").alias("n")).crossJoin(F.broadcast(total)).select("source", (F.col("w") * F.col("n") / F.col("all")).alias("target")).where("target >= 0.5")
+    rows = numbered(B.interleave(d, "source", "doc_id", "s1"), ["pos", "source", "doc_id"], "rn").crossJoin(F.broadcast(total))
+    starts = {"start": F.lit(0), "middle": F.floor((F.col("all") - F.col("w")) / 2), "end": F.col("all") - F.col("w")}
+    parts = F.filter(F.array(*[F.when((F.col("rn") >= at) & (F.col("rn") < at + F.col("w")), F.lit(k)) for k, at in starts.items()]), lambda x: x.isNotNull())
+    seen = rows.select("source", F.explode(parts).alias("part")).groupBy("part", "source").agg(F.count("*").alias("seen"))
+    return seen.join(target, "source").select("part", "source", "seen", F.round(F.abs(F.col("seen") - F.col("target")) / F.col("target"), 6).alias("error"))
 
 
 @query("cap_families", f"SELECT doc_id FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY {_draw_sql('s2', 'doc_id')}, doc_id) AS rn FROM documents) WHERE rn <= 5 OR starts_with(source, 'src1')")
@@ -272,9 +280,56 @@ def corpus_merge(spark, sf):
 
 @query("train_val_split", f"SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY {_draw_sql('v1', 'doc_id')}, doc_id) <= 40 THEN 'val' ELSE 'train' END AS split FROM documents")
 def train_val_split(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id")
-    val = B.sample(d, "doc_id", 40, "v1").withColumn("split", F.lit("val"))
-    return d.join(F.broadcast(val), "doc_id", "left").fillna("train", ["split"])
+    return B.train_val(table(spark, sf, "documents").select("doc_id"), "doc_id", 40, "v1")
+
+
+@query("train_val_share", f"SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY {_draw_sql('v2', 'doc_id')}, doc_id) <= floor(0.15 * (SELECT count(*) FROM documents)) THEN 'val' ELSE 'train' END AS split FROM documents")
+def train_val_share(spark, sf):
+    return B.train_val(table(spark, sf, "documents").select("doc_id"), "doc_id", 0.15, "v2")
+
+
+_DRAWN = "CAST(floor(CAST('0x' || substring(md5(concat_ws('|', '{seed}', CAST({k} AS VARCHAR))), 1, 8) AS BIGINT) / 4294967296.0 * {n}) AS BIGINT)"
+
+
+@query("resample_drawn", f"""WITH r AS (SELECT item_id, row_number() OVER (ORDER BY {_draw_sql('s9', 'item_id')}, item_id) - 1 AS draw FROM benchmark), k AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS p FROM benchmark), n AS (SELECT count(*) AS n FROM benchmark),
+x AS (SELECT range + n AS draw, {_DRAWN.format(seed='s9', k='range + n', n='n')} AS p FROM range(0, 90), n) SELECT draw, item_id FROM r UNION ALL SELECT draw, item_id FROM x JOIN k USING (p)""")
+def resample_drawn(spark, sf):
+    """All rows in drawn order, then 90 more with replacement."""
+    b = table(spark, sf, "benchmark").select("item_id")
+    return B.resample_drawn(b, "item_id", b.count() + 90, "s9")
+
+
+@query("resample_weighted", f"""WITH k AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS p FROM documents), n AS (SELECT count(*) AS n FROM documents), x AS (SELECT {_DRAWN.format(seed='w2w', k='range', n='n')} AS p FROM n, range(0, CAST(floor(n.n * 1.5) AS BIGINT)))
+SELECT doc_id, count(*) AS n FROM x JOIN k USING (p) GROUP BY doc_id""")
+def resample_weighted(spark, sf):
+    return B.resample_weighted(table(spark, sf, "documents").select("doc_id"), "doc_id", "w2", weight=1.5).groupBy("doc_id").agg(F.count("*").alias("n"))
+
+
+_UNTIL = """WITH c AS (SELECT range AS slot, CAST('0x' || substring(md5('m2|' || range), 1, 8) AS BIGINT) / 4294967296.0 AS u FROM range(0, 20 * (SELECT count(*) FROM documents))),
+t AS (SELECT slot, dataset, row_number() OVER (PARTITION BY dataset ORDER BY slot) - 1 AS turn FROM (SELECT slot, CASE WHEN u < 0.5 THEN 'en' WHEN u < 0.8 THEN 'fr' ELSE 'de' END AS dataset FROM c)),
+r AS (SELECT lang AS dataset, doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS at, count(*) OVER (PARTITION BY lang) AS n FROM documents WHERE lang IN ('en', 'fr', 'de')),
+s AS (SELECT t.*, n FROM t JOIN (SELECT DISTINCT dataset, n FROM r) USING (dataset)), e AS (SELECT slot FROM s WHERE turn = n - 1)
+SELECT s.slot, s.dataset, r.doc_id FROM s JOIN r ON r.dataset = s.dataset AND r.at = s.turn % s.n WHERE {rule}"""
+
+
+def _mix_until(spark, sf, stop):
+    d = table(spark, sf, "documents")
+    return B.mix_until({k: d.where(F.col("lang") == k) for k in ("en", "fr", "de")}, {"en": 0.5, "fr": 0.3, "de": 0.2}, "doc_id", "m2", stop)
+
+
+@query("mix_under", _UNTIL.format(rule="s.slot <= (SELECT min(slot) FROM e)"))
+def mix_under(spark, sf):
+    return _mix_until(spark, sf, "under")
+
+
+@query("mix_over", _UNTIL.format(rule="s.slot <= (SELECT max(slot) FROM e)"))
+def mix_over(spark, sf):
+    return _mix_until(spark, sf, "over")
+
+
+@query("mix_once", _UNTIL.format(rule="s.turn < s.n"))
+def mix_once(spark, sf):
+    return _mix_until(spark, sf, "once")
 
 
 @query("split_three", "SELECT doc_id, CASE WHEN source IN ('src1', 'src10') THEN 'c' WHEN starts_with(source, 'src1') THEN 'b' ELSE 'broad' END AS shard FROM documents WHERE source NOT IN ('src1', 'src10')")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from kilnspark.operators import build as U
 from kilnspark.operators import generate as N
 from kilnspark.operators import render as D
+from kilnspark.plans.metric_queries import uuid5_sql
 from kilnspark.registry import query, table
 
 
@@ -42,7 +43,7 @@ def build_rule_techniques(spark, sf):
     return U.rule_techniques(rules, tech)
 
 
-@query("build_entity_ids")
+@query("build_entity_ids", f"SELECT n_nationkey, {uuid5_sql('n_name')} AS stix_id FROM nation")
 def build_entity_ids(spark, sf):
     return table(spark, sf, "nation").select("n_nationkey", U.entity_id("example.org", F.col("n_name")).alias("stix_id"))
 
@@ -65,6 +66,15 @@ def alias_subsets(spark, sf):
     return N.alias_subsets(n, "n_nationkey", "aliases", 3, 4, "a").select("n_nationkey", "size", F.array_join("subset", ",").alias("subset"))
 
 
+@query("alias_subsets_long", "SELECT n_nationkey, CAST(unnest([1, 2, 3]) AS INT) AS size, 4 AS n, true AS fits FROM nation")
+def alias_subsets_long(spark, sf):
+    """Lists of 20 aliases: four different subsets of each size."""
+    n = table(spark, sf, "nation").select("n_nationkey", F.array(*[F.lit(f"a{i}") for i in range(20)]).alias("aliases"))
+    s = N.alias_subsets(n, "n_nationkey", "aliases", 3, 4, "a")
+    fits = (F.size(F.array_distinct("subset")) == F.col("size")) & (F.size(F.array_intersect("subset", F.array(*[F.lit(f"a{i}") for i in range(20)]))) == F.col("size"))
+    return s.groupBy("n_nationkey", "size").agg(F.count_distinct("subset").cast("int").alias("n"), F.bool_and(fits).alias("fits"))
+
+
 @query("hard_negatives", "WITH g AS (SELECT DISTINCT c_mktsegment AS foil FROM customer), k AS (SELECT foil, row_number() OVER (ORDER BY md5('h|' || foil), foil) - 1 AS ix FROM g), t AS (SELECT count(*) AS n FROM g) SELECT DISTINCT c_name, c_mktsegment, f.foil FROM customer JOIN k o ON o.foil = c_mktsegment, t, range(1, 4) s JOIN k f ON f.ix = (o.ix + s.range) % t.n")
 def hard_negatives(spark, sf):
     return N.hard_negatives(table(spark, sf, "customer").select("c_name", "c_mktsegment"), "c_name", "c_mktsegment", 3, "h")

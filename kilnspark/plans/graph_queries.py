@@ -82,13 +82,13 @@ def graph_latest_load(spark, sf):
     return G.latest(o, "o_custkey", F.struct("o_orderdate", "o_orderkey").desc()).select("o_custkey", "o_orderkey")
 
 
-@query("graph_neighbourhood", """WITH up AS (SELECT c_custkey AS child, c_nationkey + 1000000 AS parent FROM customer WHERE c_custkey <= 400), links AS (SELECT DISTINCT o_custkey AS node, o_orderpriority AS partner FROM orders WHERE o_custkey <= 400),
+@query("graph_neighbourhood", """WITH up AS (SELECT c_custkey AS child, c_nationkey + 1000000 AS parent FROM customer), links AS (SELECT DISTINCT o_custkey AS node, o_orderpriority AS partner FROM orders),
 near AS (SELECT child AS node, parent AS near FROM up UNION SELECT parent, child FROM up UNION SELECT x.child, y.child FROM up x JOIN up y USING (parent) WHERE x.child <> y.child),
 p AS (SELECT n.node, list_distinct(list(partner)) AS p FROM near n JOIN links l ON l.node = n.near GROUP BY n.node), s AS (SELECT node, list_sort(list_distinct(list(partner))) AS strict FROM links GROUP BY node)
 SELECT node, strict, list_sort(list_filter(coalesce(p, []), lambda x: NOT list_contains(strict, x))) AS plausible FROM s LEFT JOIN p USING (node)""")
 def graph_neighbourhood(spark, sf):
-    up = table(spark, sf, "customer").where("c_custkey <= 400").select(F.col("c_custkey").alias("child"), (F.col("c_nationkey") + 1000000).alias("parent"))
-    links = table(spark, sf, "orders").where("o_custkey <= 400").select(F.col("o_custkey").alias("node"), F.col("o_orderpriority").alias("partner")).distinct()
+    up = table(spark, sf, "customer").select(F.col("c_custkey").alias("child"), (F.col("c_nationkey") + 1000000).alias("parent"))
+    links = table(spark, sf, "orders").select(F.col("o_custkey").alias("node"), F.col("o_orderpriority").alias("partner")).distinct()
     return G.neighbourhood(up, links)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -263,14 +265,21 @@ def url_functions(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.substring(F.sha1("url"), 1, 16).alias("url_id"), E.canonical_url(F.col("url")).alias("canonical"))
 
 
-@query("uuid5_ids")
-def uuid5_ids(spark, sf):
-    import uuid
+def uuid5_sql(name: str) -> str:
+    """Version-5 UUID of a text column under example.org, in SQL."""
+    space = uuid.uuid5(uuid.NAMESPACE_DNS, "example.org").hex
+    h = f"sha1(unhex('{space}') || encode({name}))"
+    return f"substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-5' || substr({h}, 14, 3) || '-' || substr('89ab', CAST(CAST('0x' || substr({h}, 17, 1) AS INT) % 4 + 1 AS INT), 1) || substr({h}, 18, 3) || '-' || substr({h}, 21, 12)"
 
+
+@query("uuid5_ids", f"SELECT c_custkey, {uuid5_sql('c_name')} AS stix_id FROM customer")
+def uuid5_ids(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", E.uuid5(uuid.uuid5(uuid.NAMESPACE_DNS, "example.org").bytes, F.col("c_name")).alias("stix_id"))
 
 
-@query("page_text")
+@query("page_text", r"""WITH a AS (SELECT page_id, url, regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<nav\b.*?</nav\s*>|<header\b.*?</header\s*>|<footer\b.*?</footer\s*>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g') AS h FROM pages),
+b AS (SELECT page_id, url, replace(replace(replace(replace(replace(regexp_replace(h, '<[^>]*>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS t FROM a)
+SELECT page_id, url, trim(regexp_replace(t, '[ \t\n\x0B\f\r]+', ' ', 'g')) AS text FROM b WHERE length(trim(regexp_replace(t, '[ \t\n\x0B\f\r]+', ' ', 'g'))) >= 400""")
 def page_text(spark, sf):
     """Visible text of pages, short pages dropped."""
     t = table(spark, sf, "pages").select("page_id", "url", E.html_text(F.col("html")).alias("text"))

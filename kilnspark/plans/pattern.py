@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from kilnspark.operators.filters import compare, present
 from kilnspark.operators.graph import Graph
+from kilnspark.operators.numbering import numbered
 
 _FIELD = re.compile(r"<\*|\*>|\{[^{}]*\}")
 _FORCE = re.compile(r"force\s+(\w+)\.(\w+)\s*(<=|>=|!=|=|<|>|~)\s*(\w+)\.(\w+)$")
@@ -222,7 +223,7 @@ def sample_primaries(graph: Graph, template: str, primary: str, n: int, seed: st
     key = _name(primary, "id")
     one = Window.partitionBy(key).orderBy(F.md5(F.concat_ws("|", F.lit(seed), "text")), "text")
     each = rows.withColumn("_rn", F.row_number().over(one)).where("_rn = 1").select(key, "text")
-    ranked = each.withColumn("_at", F.row_number().over(Window.orderBy(F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string"))), key)) - 1)
+    ranked = numbered(each, [F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string"))), key], "_at")
     if not replace:
         return ranked.where(F.col("_at") < n).select(F.col("_at").cast("long").alias("draw"), "text")
     total = F.broadcast(each.agg(F.count("*").alias("_n")))

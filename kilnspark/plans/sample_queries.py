@@ -84,10 +84,10 @@ def data_parallel_batches(spark, sf):
     return S.batches(table(spark, sf, "documents").select("doc_id"), "doc_id", 2, 4, 3)
 
 
-@query("stitch_contexts", """WITH r AS (SELECT doc_id, text, md5('st|' || doc_id) AS h, CAST('0x' || substring(md5('st|' || doc_id), 1, 8) AS BIGINT) % 20 AS grp FROM documents), u AS (SELECT *, sum(length(text)) OVER (PARTITION BY grp ORDER BY h, doc_id) AS upto FROM r)
-SELECT grp, n_rows, question_of, md5(context) AS context_md5 FROM (SELECT grp, count(*)::INT AS n_rows, arg_max(doc_id, struct_pack(n := length(text), d := doc_id)) AS question_of, string_agg(text, chr(10) || chr(10) ORDER BY h, doc_id) AS context FROM u WHERE upto <= 60000 GROUP BY grp) WHERE length(context) >= 5000""")
+@query("stitch_contexts", """WITH r AS (SELECT doc_id, text, md5('st|' || doc_id) AS h, CAST('0x' || substring(md5('st|' || doc_id), 1, 8) AS BIGINT) % 20 AS grp FROM documents WHERE text IS NOT NULL), u AS (SELECT *, CAST(floor((sum(length(text)) OVER (PARTITION BY grp ORDER BY h, doc_id) - 1) / 60000) AS BIGINT) AS part FROM r)
+SELECT grp, part, n_rows, question_of, md5(context) AS context_md5 FROM (SELECT grp, part, count(*)::INT AS n_rows, arg_max(doc_id, struct_pack(n := length(text), d := doc_id)) AS question_of, string_agg(text, chr(10) || chr(10) ORDER BY h, doc_id) AS context FROM u GROUP BY grp, part) WHERE length(context) >= 5000""")
 def stitch_contexts(spark, sf):
-    return S.stitch(table(spark, sf, "documents"), "doc_id", "text", 5000, 60000, "st", 20).select("grp", "n_rows", "question_of", F.md5("context").alias("context_md5"))
+    return S.stitch(table(spark, sf, "documents"), "doc_id", "text", 5000, 60000, "st", 20).select("grp", "part", "n_rows", "question_of", F.md5("context").alias("context_md5"))
 
 
 @query("tool_dialects", """SELECT conv_id, 'Action: ' || role || chr(10) || 'Action Input: {}' AS "default", role || chr(10) || '{}' AS glm4, '[{"name": "' || role || '", "arguments": {}}]' AS mistral FROM conversations WHERE turn = 0""")
@@ -140,10 +140,10 @@ def scan_event_props(spark, sf):
     return e.groupBy("event_type").agg(F.count("*").alias("n"), F.count("p").alias("with_props"))
 
 
-@query("sink_corpus", "SELECT text FROM documents WHERE doc_id % 2 = 0")
+@query("sink_corpus", "SELECT text FROM documents")
 def sink_corpus(spark, sf):
     path = folder(spark)
-    K.write_corpus(table(spark, sf, "documents").where("doc_id % 2 = 0"), path)
+    K.write_corpus(table(spark, sf, "documents"), path)
     return R.read_jsonl(spark, path, "text string")
 
 
