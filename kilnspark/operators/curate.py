@@ -45,10 +45,11 @@ def ngram_hits(docs: DataFrame, bench: DataFrame, n: int) -> DataFrame:
     N-grams travel as hashes of 128 bits; those of the items are broadcast behind a
     count, so that a document's other n-grams go no further than their task.
     """
-    keys = lambda df, key: df.select(key, word_tokens(F.col("text")).alias("t")).select(key, F.explode(F.array_distinct(_gram_keys(F.col("t"), n))).alias("g"))
-    items = materialise(keys(bench, "item_id"))
+    keys = lambda df, key: df.select(key, word_tokens(F.col("text")).alias("t")).select(key, F.explode(_gram_keys(F.col("t"), n)).alias("g"))
+    items = materialise(keys(bench, "item_id").distinct())
     side = F.broadcast(items) if items.count() <= BROADCAST_GRAMS else items
-    return keys(docs, "doc_id").join(side, "g").groupBy("doc_id", "item_id").agg(F.count("*").alias("shared"))
+    # repeats go after the join: few are left there, and arrays of pairs are compared one by one
+    return keys(docs, "doc_id").join(side, "g").distinct().groupBy("doc_id", "item_id").agg(F.count("*").alias("shared"))
 
 
 def max_hits(hits: DataFrame, top: int = 5) -> DataFrame:
