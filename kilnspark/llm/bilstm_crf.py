@@ -70,8 +70,11 @@ class Model:
         return both @ self.w["O"] + self.w["b"], both, sf, sr
 
     def decode(self, x: np.ndarray) -> np.ndarray:
-        """Best tag sequence of each window (Viterbi)."""
-        e = self.emissions(x)[0]
+        """Best tag sequence of each window."""
+        return self.viterbi(self.emissions(x)[0])
+
+    def viterbi(self, e: np.ndarray) -> np.ndarray:
+        """Best tag sequences for emissions of shape (steps, rows, tags)."""
         steps, n, _ = e.shape
         score = e[0] + self.w["S"]
         back = np.zeros((steps, n, TAGS), dtype=np.int8)

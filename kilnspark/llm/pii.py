@@ -2,14 +2,15 @@
 
 The network learns from labelled spans that ``training_windows`` writes: personal data in
 usual and unusual spellings among filler words, and look-alikes that are none.
-It reads windows that overlap by half over the whole text; each character takes
-the tag of the window whose centre is nearest, and only spans that also pass the
-kind's own check (digits, parts, an at sign and a dot) are added, where they
-touch no base span.  That check asks for a digit, an '@', an '(at)' or an
-'[at]' inside the span, so windows that own none of these, and to which no
-span of a window that does runs on, are not decoded: they can't change the answer.
-
-A null text is an empty one; repeated rows get equal results.
+Its windows overlap by half.  Where windows overlap, their emissions are averaged, and one
+Viterbi pass over a whole region of windows gives the tags, so that overlaps agree on one
+sequence.  Only spans that also pass the kind's own check (digits, an at sign and a dot)
+are added, where they touch no base span; an address of four numbers that would
+pass is a base span already.  That check asks for a digit, an '@', an '(at)' or an
+'[at]' inside the span, so regions are laid around these, a window wider on each side, and
+grow while a span runs to their edge; text far from any of them can't hold a span that passes.
+
+Defined cases: a null text is an empty one; repeated rows get equal results; other columns are left alone.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilnspark.llm.bilstm_crf import KINDS, Model, char_classes
+from kilnspark.llm.bilstm_crf import KINDS, TAGS, Model, char_classes
 from kilnspark.llm.common import small_batches, table, texts
 
 WINDOW = 64
@@ -177,20 +178,43 @@ def trained(windows: int = TRAIN_WINDOWS, steps: int = TRAIN_STEPS) -> Model:
 # ---------------------------------------------------------------- decoding
 
 
-def _zone(k: int, n: int) -> tuple[int, int]:
-    """The characters of a text of ``n`` whose nearest window is the ``k``-th, which starts at k * WINDOW / 2."""
-    step = WINDOW // 2
-    return k * step + step // 2 if k else 0, n if k == _last(n) else k * step + step // 2 + step
+STEP = WINDOW // 2
+#: Windows of a region that one Viterbi pass takes; longer regions are cut, with two windows in common.
+REGION = 128
 
 
 def _last(n: int) -> int:
-    return max(0, -(-(n - WINDOW) // (WINDOW // 2)))
+    """Number of the last window of a text of ``n`` characters."""
+    return max(0, -(-(n - WINDOW) // STEP))
 
 
-def _seeded(text: str) -> list[int]:
-    """Numbers of the windows that own a seed."""
-    step, last = WINDOW // 2, _last(len(text))
-    return sorted({min(last, max(0, (m.start() - step // 2) // step)) for m in _SEED.finditer(text)})
+def _regions(text: str) -> list[tuple[int, int]]:
+    """First and last window of each region: windows with a seed in their middle, and one more on each side."""
+    last = _last(len(text))
+    seeded = sorted({min(last, max(0, (m.start() - STEP // 2) // STEP)) for m in _SEED.finditer(text)})
+    return _joined([(max(0, k - 1), min(last, k + 1)) for k in seeded])
+
+
+def _joined(regions: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(regions):
+        if out and a <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _pieces(a: int, b: int) -> list[tuple[int, int, int, int]]:
+    """Passes over a region: first and last window, and the characters that each pass owns (from the region's text offset)."""
+    out, at = [], a
+    while True:
+        end = min(b, at + REGION - 1)
+        own_from = at * STEP if at == a else at * STEP + WINDOW // 2
+        out.append((at, end, own_from, end * STEP + WINDOW if end == b else (end - 1) * STEP + WINDOW // 2))
+        if end == b:
+            return out
+        at = end - 1
 
 
 def _valid(kind: str, s: str) -> bool:
@@ -205,65 +229,89 @@ def _valid(kind: str, s: str) -> bool:
     return 9 <= len(d) <= 15 and bool(re.fullmatch(r"\+?\(?[0-9][ ().0-9-]*[0-9]", s)) and bool(re.search(r"[^0-9]", s))
 
 
-def model_spans(docs: list[str], model: Model, everywhere: bool = False) -> list[list[tuple[int, int, str]]]:
-    """Spans of the network in each text, reconciled over overlapping windows.
-
-    ``everywhere`` decodes every window; the spans are the same.
-    """
-    tags: list[dict[int, np.ndarray]] = [{} for _ in docs]  # window -> tags of the characters it owns
-    where = [(d, k) for d, text in enumerate(docs) for k in (range(_last(len(text)) + 1) if everywhere else _seeded(text))]
-    while where:
-        for cut in range(0, len(where), 2048):
-            part = where[cut : cut + 2048]
-            x = np.full((len(part), WINDOW), 4, dtype=np.int64)
-            for r, (d, k) in enumerate(part):
-                at = k * (WINDOW // 2)
-                c = char_classes(docs[d][at : at + WINDOW])
-                x[r, : len(c)] = c
-            found = model.decode(x).astype(np.int8)
-            for r, (d, k) in enumerate(part):
-                a, b = _zone(k, len(docs[d]))
-                at = k * (WINDOW // 2)
-                tags[d][k] = found[r, a - at : b - at]
-        more = set()
-        for d, k in where:
-            held = tags[d][k]
-            if not len(held):
-                continue
-            if k and held[0] and held[0] % 2 == 0 and k - 1 not in tags[d]:
-                more.add((d, k - 1))
-            if k < _last(len(docs[d])) and held[-1] and k + 1 not in tags[d]:
-                more.add((d, k + 1))
-        where = sorted(more)
-    out = []
-    for text, held in zip(docs, tags):
-        spans, start, kind, last = [], None, None, None
-        for k in sorted(held):
-            first = _zone(k, len(text))[0]
-            for t in np.flatnonzero(held[k]).tolist():
-                p, tag = first + t, int(held[k][t])
-                mine = KINDS[(tag - 1) // 2]
-                if start is not None and (mine != kind or tag % 2 == 1 or p != last + 1):
-                    spans.append((start, last + 1, kind))
-                    start = None
-                if start is None:
-                    start, kind = p, mine
-                last = p
-        if start is not None:
-            spans.append((start, last + 1, kind))
-        good = []
-        for a, b, kind in spans:
-            while a < b and text[a] in " \n,":
-                a += 1
-            while b > a and text[b - 1] in " \n,.":
-                b -= 1
-            bounded = (a == 0 or not text[a - 1].isalnum()) and (b == len(text) or not text[b].isalnum())
-            if bounded and _valid(kind, text[a:b]):
-                good.append((a, b, kind))
-        out.append(good)
+def _tags(docs: list[str], passes: list[tuple[int, int, int]], model: Model) -> list[np.ndarray]:
+    """Tags of each pass (document, first and last window): averaged emissions, one Viterbi."""
+    out: list[np.ndarray] = [np.zeros(0, dtype=np.int8)] * len(passes)
+    by_size: dict[int, list[int]] = {}
+    for i, (_, a, b) in enumerate(passes):
+        by_size.setdefault(b - a + 1, []).append(i)
+    for m, members in by_size.items():
+        size = (m - 1) * STEP + WINDOW
+        share = np.full(size, 0.5)
+        share[:STEP], share[size - STEP :] = 1.0, 1.0
+        most = max(1, 2048 // m)
+        for cut in range(0, len(members), most):
+            part = members[cut : cut + most]
+            whole = np.full((len(part), size), 4, dtype=np.int64)
+            for r, i in enumerate(part):
+                d, a, _ = passes[i]
+                c = char_classes(docs[d][a * STEP : a * STEP + size])
+                whole[r, : len(c)] = c
+            e = np.zeros((size, len(part), TAGS))
+            for w in range(m):
+                e[w * STEP : w * STEP + WINDOW] += model.emissions(whole[:, w * STEP : w * STEP + WINDOW])[0]
+            found = model.viterbi(e * share[:, None, None] if m > 1 else e).astype(np.int8)
+            for r, i in enumerate(part):
+                out[i] = found[r]
     return out
 
 
+def model_spans(docs: list[str], model: Model) -> list[list[tuple[int, int, str]]]:
+    """Spans of the network in each text, from one tag sequence for each region."""
+    regions = [_regions(text) for text in docs]
+    tags: list[dict[tuple[int, int], np.ndarray]] = [{} for _ in docs]
+    while True:
+        todo = [(d, r) for d, rs in enumerate(regions) for r in rs if r not in tags[d]]
+        if not todo:
+            break
+        passes = [(d, p, r) for d, r in todo for p in _pieces(*r)]
+        found = _tags(docs, [(d, p[0], p[1]) for d, p, _ in passes], model)
+        joined: dict[tuple[int, tuple[int, int]], list[np.ndarray]] = {}
+        for (d, (a, _, own_from, own_to), r), t in zip(passes, found):
+            joined.setdefault((d, r), []).append(t[own_from - a * STEP : own_to - a * STEP])
+        for (d, r), parts in joined.items():
+            tags[d][r] = np.concatenate(parts)[: max(0, len(docs[d]) - r[0] * STEP)]
+        grown = set()
+        for d, r in todo:
+            t, last = tags[d][r], _last(len(docs[d]))
+            a = r[0] - 1 if r[0] and len(t) and t[0] else r[0]
+            b = r[1] + 1 if r[1] < last and len(t) and t[-1] else r[1]
+            if (a, b) != r:
+                regions[d] = [(a, b) if x == r else x for x in regions[d]]
+                grown.add(d)
+        for d in grown:
+            regions[d] = _joined(regions[d])
+    return [_good(text, [(r[0] * STEP, tags[d][r]) for r in regions[d]]) for d, text in enumerate(docs)]
+
+
+def _good(text: str, parts: list[tuple[int, np.ndarray]]) -> list[tuple[int, int, str]]:
+    """Spans of tagged parts, trimmed, at word bounds and accepted by the kind's check."""
+    spans: list[tuple[int, int, str]] = []
+    for offset, t in parts:
+        start, kind, last = None, None, None
+        for p in np.flatnonzero(t).tolist():
+            tag = int(t[p])
+            mine = KINDS[(tag - 1) // 2]
+            if start is not None and (mine != kind or tag % 2 == 1 or p != last + 1):
+                spans.append((offset + start, offset + last + 1, kind))
+                start = None
+            if start is None:
+                start, kind = p, mine
+            last = p
+        if start is not None:
+            spans.append((offset + start, offset + last + 1, kind))
+    good = []
+    for a, b, kind in spans:
+        while a < b and text[a] in " \n,":
+            a += 1
+        while b > a and text[b - 1] in " \n,.":
+            b -= 1
+        bounded = (a == 0 or not text[a - 1].isalnum()) and (b == len(text) or not text[b].isalnum())
+        if bounded and _valid(kind, text[a:b]):
+            good.append((a, b, kind))
+    return good
+
+
 def find_spans(docs: list[str], model: Model) -> list[tuple[list, list]]:
     """(base spans, all spans) of each text."""
     out = []
@@ -281,18 +329,18 @@ def _run(model: Model):
             docs = [t.decode() for t in texts(batch.column("text"))]
             for doc, (base, all_) in zip(batch.column("doc_id").to_pylist(), find_spans(docs, model)):
                 n = [sum(s[2] == k for s in base) for k in KINDS]
-                rows.append((doc, *n, hashlib.sha256(_join(base).encode()).hexdigest(), _join(all_)))
+                rows.append((doc, *n, hashlib.sha256(_join(base).encode()).hexdigest(), _join(all_), len(all_)))
             cols = list(zip(*rows))
-            kinds = [pa.int64()] * 5 + [pa.string()] * 2
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
+            kinds = [pa.int64()] * 5 + [pa.string()] * 2 + [pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_spans"])
 
     return run
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: Model | None = None) -> DataFrame:
-    """doc_id, counts of base spans, base_sha256 and all spans; one row per row of ``docs``."""
+    """doc_id, counts of base spans, base_sha256, all spans and their number; one row per row of ``docs``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_run(model or trained()), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return rows.mapInArrow(_run(model or trained()), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long")
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
