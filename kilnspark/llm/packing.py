@@ -93,7 +93,7 @@ class ChunkTokenizer:
         return out
 
 
-def _pieces(path: str, capacity: int):
+def _pieces(path: str, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _kept:
             _kept[path] = ChunkTokenizer(path)
@@ -104,10 +104,10 @@ def _pieces(path: str, capacity: int):
                 ids = raw + b"\0\0\0\0"
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
-                    rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))
+                    rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part), *([part] if with_ids else [])))
             cols = list(zip(*rows))
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), *([pa.binary()] if with_ids else [])]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])])
 
     return run
 
@@ -188,14 +188,20 @@ def _place(segments: list[tuple[int, int, int, int, int, int]]):
     return run
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, ids, sequence_id, offset.
+
+    ``ids`` are the piece's token ids as little-endian unsigned 32-bit numbers;
+    without ``with_ids`` there is their checksum alone.  ``sequences`` joins them.
+    """
     if tokenizer is None:
         import public_tokenizers
 
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    ids = ["ids"] if with_ids else []
+    binary = ", ids binary" if with_ids else ""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    pieces = materialise(rows.mapInArrow(_pieces(tokenizer, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long"))
+    pieces = materialise(rows.mapInArrow(_pieces(tokenizer, capacity, with_ids), f"doc_id long, piece int, start long, length long, ids_crc32 long{binary}"))
     salt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(4 * parts(docs.sparkSession)))
     counted = materialise(pieces.groupBy("length", salt.alias("salt")).agg(F.count("*").alias("n")))
     segments = plan({r["length"]: r["n"] for r in counted.groupBy("length").agg(F.sum("n").alias("n")).collect()}, capacity)
@@ -203,17 +209,25 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     offsets = counted.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     order = Window.partitionBy("length", "salt").orderBy("doc_id", "piece")
     ranked = pieces.withColumn("salt", salt).withColumn("at", F.row_number().over(order)).join(offsets, ["length", "salt"])
-    ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("at") - 1).alias("rank"))
-    kept = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    null_safe = ranked.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("_null"), "piece", "start", "length", "ids_crc32", "rank")
-    placed = null_safe.mapInPandas(_place(segments), kept.replace("piece int", "_null boolean, piece int"))
-    return placed.select(F.when(~F.col("_null"), F.col("doc_id")).alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    null_safe = ranked.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), "piece", "start", "length", "ids_crc32", *ids, (F.col("before") + F.col("at") - 1).alias("rank"))
+    placed = null_safe.mapInPandas(_place(segments), f"doc_id long, no_id boolean, piece int, start long, length long, ids_crc32 long{binary}, sequence_id long, offset long")
+    return placed.select(F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "piece", "start", "length", "ids_crc32", *ids, "sequence_id", "offset")
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """``(sequence_id, length, ids)``: the pieces of each sequence joined in the order of their offsets, ready for training."""
+    joined = packed.groupBy("sequence_id").agg(F.sum("length").alias("length"), F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("x"))
+    return joined.select("sequence_id", "length", F.aggregate("x", F.lit(b""), lambda acc, p: F.concat(acc, p["ids"])).alias("ids"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the packed pieces of all documents."""
+    """Pipeline stage: the packed pieces of all documents with their token ids.
+
+    Null and empty texts are pieces of the end id alone; rows without an id and
+    repeated rows are packed each on its own; an empty table gives none.
+    """
     return pack(docs)
 
 
 def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"))
+    return pack(table(spark, sf_dir, "documents"), with_ids=False)

@@ -482,7 +482,7 @@ def test_packing(docs, rows, empty):
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    from kilnspark.llm.packing import pack
+    from kilnspark.llm.packing import pack, sequences
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     ids = {r[0]: [*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 0] for r in rows}
@@ -490,7 +490,7 @@ def test_packing(docs, rows, empty):
     by_doc, by_seq = {}, {}
     for r in out:
         part = ids[r["doc_id"]][r["start"] : r["start"] + r["length"]]
-        assert r["ids_crc32"] == zlib.crc32(np.array(part, dtype="<u4").tobytes()) and r["start"] == 2048 * r["piece"]
+        assert r["ids_crc32"] == zlib.crc32(np.array(part, dtype="<u4").tobytes()) and bytes(r["ids"]) == np.array(part, dtype="<u4").tobytes() and r["start"] == 2048 * r["piece"]
         by_doc.setdefault(r["doc_id"], []).append(r)
         by_seq.setdefault(r["sequence_id"], []).append(r)
     assert all(sum(r["length"] for r in by_doc[d]) == len(x) and len(by_doc[d]) == -(-len(x) // 2048) for d, x in ids.items())
@@ -502,6 +502,13 @@ def test_packing(docs, rows, empty):
         assert at <= 2048
     assert len(by_seq) <= -(-sum(map(len, ids.values())) // 2048) + 1
     assert pack(empty).collect() == []
+    first = next(g for g in by_seq.values() if len(g) > 1)
+    whole = {r["sequence_id"]: (r["length"], bytes(r["ids"])) for r in sequences(pack(docs)).collect()}
+    assert sorted(n for n, _ in whole.values()) == sorted(sum(r["length"] for r in g) for g in by_seq.values())
+    assert all(len(b) == 4 * n for n, b in whole.values()) and first
+    joined = b"".join(b for _, b in whole.values())
+    assert Counter(np.frombuffer(joined, dtype="<u4").tolist()) == Counter(t for x in ids.values() for t in x)
+    assert "ids" not in pack(docs, with_ids=False).columns
 
 
 def test_plan_uses_every_document_once():
