@@ -203,18 +203,3 @@ def stitch(df: DataFrame, key: str, text: str, least: int, most: int, seed: str,
     out = rows.groupBy("grp", "part").agg(F.sort_array(F.collect_list(F.struct("h", F.col(key).alias("k"), F.col(text).alias("t")))).alias("x"), F.max_by(key, F.struct(F.length(text), F.col(key))).alias("question_of"))
     joined = F.array_join(F.transform("x", lambda r: r["t"]), "\n\n")
     return out.select("grp", "part", F.size("x").alias("n_rows"), "question_of", joined.alias("context")).where(F.length("context") >= least)
-
-
-def tool_text(calls: Column, dialect: str = "default") -> Column:
-    """Tool calls (name, arguments JSON) as text of a dialect."""
-    if dialect == "default":
-        return F.array_join(F.transform(calls, lambda c: F.concat(F.lit("Action: "), c["name"], F.lit("\nAction Input: "), c["arguments"])), "\n")
-    if dialect == "llama3":
-        return F.array_join(F.transform(calls, lambda c: F.concat(F.lit('{"name": "'), c["name"], F.lit('", "parameters": '), c["arguments"], F.lit("}"))), ", ")
-    if dialect == "mistral":
-        return F.concat(F.lit("["), F.array_join(F.transform(calls, lambda c: F.concat(F.lit('{"name": "'), c["name"], F.lit('", "arguments": '), c["arguments"], F.lit("}"))), ", "), F.lit("]"))
-    if dialect == "qwen":
-        return F.array_join(F.transform(calls, lambda c: F.concat(F.lit('<tool_call>\n{"name": "'), c["name"], F.lit('", "arguments": '), c["arguments"], F.lit("}\n</tool_call>"))), "\n")
-    if dialect == "glm4":
-        return F.array_join(F.transform(calls, lambda c: F.concat(c["name"], F.lit("\n"), c["arguments"])), "\n")
-    raise ValueError(f"unknown dialect {dialect}")

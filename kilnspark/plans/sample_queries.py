@@ -90,12 +90,6 @@ def stitch_contexts(spark, sf):
     return S.stitch(table(spark, sf, "documents"), "doc_id", "text", 5000, 60000, "st", 20).select("grp", "part", "n_rows", "question_of", F.md5("context").alias("context_md5"))
 
 
-@query("tool_dialects", """SELECT conv_id, 'Action: ' || role || chr(10) || 'Action Input: {}' AS "default", role || chr(10) || '{}' AS glm4, '[{"name": "' || role || '", "arguments": {}}]' AS mistral FROM conversations WHERE turn = 0""")
-def tool_dialects(spark, sf):
-    calls = F.array(F.struct(F.col("role").alias("name"), F.lit("{}").alias("arguments")))
-    return table(spark, sf, "conversations").where("turn = 0").select("conv_id", *[S.tool_text(calls, d).alias(d) for d in ("default", "glm4", "mistral")])
-
-
 @query("prompt_building", "SELECT doc_id, 'Name the language of ' || source || ' item ' || doc_id || '. Answer with one word.' AS prompt, lang AS answer FROM documents")
 def prompt_building(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.format_string("Name the language of %s item %d. Answer with one word.", "source", "doc_id").alias("prompt"), F.col("lang").alias("answer"))
