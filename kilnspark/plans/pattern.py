@@ -5,7 +5,8 @@ A template is literal text with fields in braces:
 * ``{a:Label}``, ``{a:Label.edge>b:Label2}``, ``{a:Label.edge<b:Label2.prop}``:
   a path; variables are bound where they first occur and shared by later fields.
 * ``{a.prop}``: a property of a bound variable; ``[op value]`` after it
-  filters (``= != < <= > >= ~``).
+  filters (``= != < <= > >= ~``); of a list, ``[? op value]`` asks for any and
+  ``[* op value]`` for all elements, and ``[n]`` is the element at place n from 0.
 * ``{force a.x op b.y}``: a condition between properties.
 * ``<* ... *>``: fields inside bind and filter but print nothing.
 
@@ -23,7 +24,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kilnspark.operators.filters import compare, present
+from kilnspark.operators.filters import all_of, any_of, compare, element, present
 from kilnspark.operators.graph import Graph
 from kilnspark.operators.numbering import numbered
 
@@ -31,7 +32,7 @@ _FIELD = re.compile(r"<\*|\*>|\{[^{}]*\}")
 _FORCE = re.compile(r"force\s+(\w+)\.(\w+)\s*(<=|>=|!=|=|<|>|~)\s*(\w+)\.(\w+)$")
 _NODE = re.compile(r"(?:(\w+):)?(\w+)$")
 _STEP = re.compile(r"\.(\w+)([<>])((?:\w+:)?\w+)")
-_TAIL = re.compile(r"\.(\w+)(?:\[(<=|>=|!=|=|<|>|~)\s*(.*)\])?$")
+_TAIL = re.compile(r"\.(\w+)(?:\[(?:(\d+)|([?*_])?\s*(<=|>=|!=|=|<|>|~)\s*(.*))\])?$")
 
 
 @dataclass(frozen=True)
@@ -120,17 +121,28 @@ def _field(p: Pattern, body: str, hidden: bool) -> None:
     m = _TAIL.match(body, at)
     if not m:
         raise TemplateError(f"not a property: {body[at:]}")
-    p.used.add((here, m[1]))
     if m[2]:
-        p.filters.append((here, m[1], m[2], m[3].strip("'\" ")))
-    if not hidden:
-        p.parts.append((here, m[1]))
+        printed = f"{m[1]}[{m[2]}]"
+        p.used.add((here, printed))
+        p.parts += [] if hidden else [(here, printed)]
+        return
+    if m[4]:
+        p.filters.append((here, m[1], (m[3] or "") + m[4], m[5].strip("'\" ")))
+    if not (m[3] or "").strip("_"):  # a condition on a list prints nothing
+        p.used.add((here, m[1]))
+        p.parts += [] if hidden else [(here, m[1])]
 
 
 def _name(var: str, prop: str) -> str:
     return f"{var}__{prop}"
 
 
+def _property(prop: str) -> Column:
+    """A property, or the element of a list at a place (``name[0]``)."""
+    name, _, place = prop.rstrip("]").partition("[")
+    return element(F.col(name), int(place)) if place else F.col(name)
+
+
 def bindings(graph: Graph, p: Pattern, allow_null: bool = False) -> DataFrame:
     """One row for each binding: ``var__id`` and the used properties."""
 
@@ -140,12 +152,13 @@ def bindings(graph: Graph, p: Pattern, allow_null: bool = False) -> DataFrame:
         df = graph.nodes[p.labels[var]]
         for v, prop, op, value in p.filters:
             if v == var:
-                df = df.where(compare(F.col(prop), op, value))
+                test = {"?": any_of, "*": all_of}.get(op[0], compare)
+                df = df.where(test(F.col(prop), op.lstrip("?*_"), value))
         wanted = sorted(prop for v, prop in p.used if v == var)
         if not allow_null:
             for prop in wanted:
-                df = df.where(present(F.col(prop).cast("string")))
-        return df.select(F.col("id").alias(_name(var, "id")), *[F.col(x).alias(_name(var, x)) for x in wanted if x != "id"])
+                df = df.where(present(_property(prop).cast("string")))
+        return df.select(F.col("id").alias(_name(var, "id")), *[_property(x).alias(_name(var, x)) for x in wanted if x != "id"])
 
     def edges(step: Step) -> DataFrame:
         if step.edge not in graph.edges:
