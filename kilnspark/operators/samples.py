@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,6 +78,11 @@ TEMPLATES = {
     "default": ChatTemplate("System: {}\n", "Human: {}\nAssistant:", "{}\n"),
     "alpaca": ChatTemplate("{}\n\n", "### Instruction:\n{}\n\n### Response:\n", "{}\n\n"),
     "chatml": ChatTemplate("<|im_start|>system\n{}<|im_end|>\n", "<|im_start|>user\n{}<|im_end|>\n<|im_start|>assistant\n", "{}<|im_end|>\n"),
+    "gemma": ChatTemplate("<start_of_turn>system\n{}<end_of_turn>\n", "<start_of_turn>user\n{}<end_of_turn>\n<start_of_turn>model\n", "{}<end_of_turn>\n", "<bos>"),
+    "glm4": ChatTemplate("<|system|>\n{}", "<|user|>\n{}<|assistant|>", "\n{}", "[gMASK]<sop>"),
+    "llama4": ChatTemplate("<|header_start|>system<|header_end|>\n\n{}<|eot|>", "<|header_start|>user<|header_end|>\n\n{}<|eot|><|header_start|>assistant<|header_end|>\n\n", "{}<|eot|>", "<|begin_of_text|>"),
+    "phi": ChatTemplate("<|system|>\n{}<|end|>\n", "<|user|>\n{}<|end|>\n<|assistant|>\n", "{}<|end|>\n"),
+    "vicuna": ChatTemplate("{} ", "USER: {} ASSISTANT:", "{}</s>"),
     "llama3": ChatTemplate("<|start_header_id|>system<|end_header_id|>\n\n{}<|eot_id|>", "<|start_header_id|>user<|end_header_id|>\n\n{}<|eot_id|><|start_header_id|>assistant<|end_header_id|>\n\n", "{}<|eot_id|>", "<|begin_of_text|>"),
 }
 
@@ -105,6 +111,39 @@ def byte_tokens(text: Column, offset: int = 3) -> Column:
     return F.transform(pairs, lambda h: F.conv(h, 16, 10).cast("int") + offset)
 
 
+_files: dict[str, object] = {}
+
+
+def _tokenizer(path: str):
+    """A tokenizer file, read once in each worker."""
+    if path not in _files:
+        from tokenizers import Tokenizer
+
+        _files[path] = Tokenizer.from_file(path)
+        _files[path].encode_special_tokens = True
+    return _files[path]
+
+
+def file_tokens(text: Column, path: str) -> Column:
+    """Ids of a tokenizer file, in Arrow batches; a null text has none."""
+
+    @F.pandas_udf("array<int>")
+    def encode(texts: pd.Series) -> pd.Series:
+        return pd.Series([e.ids for e in _tokenizer(path).encode_batch(texts.fillna("").tolist(), add_special_tokens=False)])
+
+    return encode(text)
+
+
+def from_tokens(ids: Column, path: str) -> Column:
+    """The text of ids."""
+
+    @F.pandas_udf("string")
+    def decode(rows: pd.Series) -> pd.Series:
+        return pd.Series(_tokenizer(path).decode_batch([list(map(int, r)) for r in rows], skip_special_tokens=False))
+
+    return decode(ids)
+
+
 def encode_supervised(prompt: Column, response: Column, cutoff: int, eos: int = 2) -> tuple[Column, Column]:
     """input_ids and labels: both sides truncated to their budgets, prompt labels ignored."""
     n, m = infer_lengths(F.size(prompt), F.size(response), cutoff - 1)

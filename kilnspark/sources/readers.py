@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,6 +141,31 @@ class Registry:
     def from_config(cls, config: dict[str, dict]) -> Registry:
         return cls([Dataset(n, **c) for n, c in config.items()])
 
+    def add(self, dataset: Dataset) -> None:
+        if dataset.name in self.datasets:
+            raise ValueError(f"dataset {dataset.name} exists")
+        self.datasets[dataset.name] = dataset
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """The registry as a JSON manifest."""
+        from kilnspark.sources.sinks import write_bytes
+
+        write_bytes(spark, f"{path}/registry.json", json.dumps([asdict(d) for d in self.datasets.values()], indent=1).encode())
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Registry:
+        text = "\n".join(r["value"] for r in spark.read.text(f"{path}/registry.json", wholetext=True).collect())
+        return cls([Dataset(**d) for d in json.loads(text)])
+
+    @staticmethod
+    def kind_of(spark: SparkSession, path: str) -> str:
+        """The one file type under a path; several are an error."""
+        names = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.regexp_extract("path", r"\.([A-Za-z]+)(?:\.gz)?$", 1).alias("kind")).distinct()
+        kinds = sorted(r["kind"] for r in names.limit(len(EXTENSIONS) + 1).collect() if r["kind"])
+        if len(kinds) != 1 or kinds[0] not in EXTENSIONS:
+            raise ValueError(f"file types under {path}: {', '.join(kinds) or 'none'}")
+        return kinds[0]
+
     def enabled(self, names: str | None, default: list[str]) -> list[str]:
         """Names of a comma-separated override, or the defaults."""
         wanted = [n.strip() for n in names.split(",")] if names else default
@@ -149,6 +175,8 @@ class Registry:
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         d = self.datasets[name]
+        if d.kind == "auto":
+            d = replace(d, kind=self.kind_of(spark, d.path))
         if d.kind not in EXTENSIONS:
             raise ValueError(f"unknown file type {d.kind}")
         if d.kind in ("csv", "tsv", "json", "jsonl") and d.schema:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 import hashlib
+import io
 import json
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,3 +64,31 @@ def report(df: DataFrame, most: int = 10_000) -> list[dict]:
     if len(rows) > most:
         raise ValueError("too many rows for a report")
     return [r.asDict(recursive=True) for r in rows]
+
+
+def report_text(df: DataFrame, kind: str, most: int = 10_000) -> str:
+    """A small result as JSON, markdown, CSV or TSV text."""
+    rows, names = report(df, most), df.columns
+    if kind == "json":
+        return json.dumps(rows, indent=None, default=str).replace("}, {", "},\n{")
+    if kind == "md":
+        body = [names, ["-"] * len(names), *[[str(r[c]) for c in names] for r in rows]]
+        return "".join("| " + " | ".join(x) + " |\n" for x in body)
+    if kind in ("csv", "tsv"):
+        out = io.StringIO()
+        writer = csv.writer(out, delimiter="," if kind == "csv" else "\t", lineterminator="\n")
+        writer.writerow(names)
+        writer.writerows([r[c] for c in names] for r in rows)
+        return out.getvalue()
+    raise ValueError(f"unknown report {kind}")
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A small file at any path that Spark's file systems know."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(data)
+    finally:
+        out.close()

@@ -42,3 +42,14 @@ def run_available(df: DataFrame, path: str, checkpoint: str, mode: str = "append
     query = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
+
+
+def run_available_batches(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Aggregates of all that has arrived: each batch replaces the table by the complete result, and the last one stays."""
+
+    def put(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    query = df.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).outputMode("complete").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
