@@ -229,30 +229,41 @@ def _valid(kind: str, s: str) -> bool:
     return 9 <= len(d) <= 15 and bool(re.fullmatch(r"\+?\(?[0-9][ ().0-9-]*[0-9]", s)) and bool(re.search(r"[^0-9]", s))
 
 
+#: Numbers of windows that passes are filled up to, so that those of like size go together.
+_SIZES = np.array([1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128])
+
+
 def _tags(docs: list[str], passes: list[tuple[int, int, int]], model: Model) -> list[np.ndarray]:
-    """Tags of each pass (document, first and last window): averaged emissions, one Viterbi."""
+    """Tags of each pass (document, first and last window): averaged emissions, one Viterbi.
+
+    Behind a pass that is shorter than others of its size nothing but the outside tag is possible.
+    """
     out: list[np.ndarray] = [np.zeros(0, dtype=np.int8)] * len(passes)
-    by_size: dict[int, list[int]] = {}
-    for i, (_, a, b) in enumerate(passes):
-        by_size.setdefault(b - a + 1, []).append(i)
-    for m, members in by_size.items():
+    count = np.array([b - a + 1 for _, a, b in passes])
+    size_of = _SIZES[np.searchsorted(_SIZES, count)]
+    for m in np.unique(size_of).tolist():
+        members = np.flatnonzero(size_of == m)
         size = (m - 1) * STEP + WINDOW
-        share = np.full(size, 0.5)
-        share[:STEP], share[size - STEP :] = 1.0, 1.0
-        most = max(1, 2048 // m)
+        most = max(1, 3072 // m)
         for cut in range(0, len(members), most):
             part = members[cut : cut + most]
             whole = np.full((len(part), size), 4, dtype=np.int64)
-            for r, i in enumerate(part):
-                d, a, _ = passes[i]
-                c = char_classes(docs[d][a * STEP : a * STEP + size])
+            for r, i in enumerate(part.tolist()):
+                d, a, b = passes[i]
+                c = char_classes(docs[d][a * STEP : b * STEP + WINDOW])
                 whole[r, : len(c)] = c
-            e = np.zeros((size, len(part), TAGS))
-            for w in range(m):
-                e[w * STEP : w * STEP + WINDOW] += model.emissions(whole[:, w * STEP : w * STEP + WINDOW])[0]
-            found = model.viterbi(e * share[:, None, None] if m > 1 else e).astype(np.int8)
-            for r, i in enumerate(part):
-                out[i] = found[r]
+            windows = [(np.flatnonzero(count[part] > w), w) for w in range(m)]
+            e = model.emissions(np.concatenate([whole[rows, w * STEP : w * STEP + WINDOW] for rows, w in windows]))[0]
+            total, seen, at = np.zeros((size, len(part), TAGS)), np.zeros((size, len(part)), dtype=np.int64), 0
+            for rows, w in windows:
+                total[w * STEP : w * STEP + WINDOW, rows] += e[:, at : at + len(rows)]
+                seen[w * STEP : w * STEP + WINDOW, rows] += 1
+                at += len(rows)
+            total /= np.maximum(seen, 1)[:, :, None]
+            total[:, :, 1:][seen == 0] = -1e6
+            found = model.viterbi(total).astype(np.int8)
+            for r, i in enumerate(part.tolist()):
+                out[i] = found[r, : (count[i] - 1) * STEP + WINDOW]
     return out
 
 
@@ -274,8 +285,9 @@ def model_spans(docs: list[str], model: Model) -> list[list[tuple[int, int, str]
         grown = set()
         for d, r in todo:
             t, last = tags[d][r], _last(len(docs[d]))
-            a = r[0] - 1 if r[0] and len(t) and t[0] else r[0]
-            b = r[1] + 1 if r[1] < last and len(t) and t[-1] else r[1]
+            more = r[1] - r[0] + 1  # by as much again, so that a long run is read a few times only
+            a = max(0, r[0] - more) if len(t) and t[0] else r[0]
+            b = min(last, r[1] + more) if len(t) and t[-1] else r[1]
             if (a, b) != r:
                 regions[d] = [(a, b) if x == r else x for x in regions[d]]
                 grown.add(d)
