@@ -87,3 +87,24 @@ def rotate(df: DataFrame, key: str, values: str, times: int) -> DataFrame:
     k = F.col("copy") % n
     turned = F.concat(F.slice(values, k + 1, n), F.when(k > 0, F.slice(values, F.lit(1), F.greatest(k, F.lit(1)))).otherwise(F.slice(values, F.lit(1), F.lit(0))))
     return out.withColumn(values, turned)
+
+
+def canonical_items(aliases: DataFrame, group: str, alias: str, prompt: str, seed: str) -> DataFrame:
+    """One benchmark item for each group: a drawn alias that is not its own name, the prompt with it, and the prompt's SHA-256.
+
+    ``prompt`` has {alias}; groups without another name have no item.  The least hash is a partial aggregate.
+    """
+    other = aliases.where(F.lower(F.trim(F.col(alias))) != F.lower(F.trim(F.col(group)))).select(group, F.col(alias).alias("alias"))
+    drawn = other.groupBy(group).agg(F.min(F.struct(F.md5(F.concat_ws("|", F.lit(seed), F.col(group), "alias")).alias("h"), "alias")).alias("x")).select(group, F.col("x.alias").alias("alias"))
+    text = F.replace(F.lit(prompt), F.lit("{alias}"), F.col("alias"))
+    return drawn.select(group, "alias", text.alias("prompt"), F.sha2(text, 256).alias("prompt_hash"))
+
+
+def valid_variants(rows: DataFrame, key: str, text: str, output: str, least: int, most: int, forbidden: list[str]) -> DataFrame:
+    """Generated variants that keep the rules: length of the text, no forbidden word in it, an output, and each text once (the least key stays)."""
+    n = F.length(text)
+    good = rows.where((n >= least) & (n <= most) & (F.trim(F.coalesce(output, F.lit(""))) != ""))
+    for word in forbidden:
+        good = good.where(~F.contains(F.lower(text), F.lit(word.lower())))
+    first = good.groupBy(F.sha1(text).alias("_h")).agg(F.min(key).alias(key))
+    return good.join(first.select(key), key, "left_semi")

@@ -97,3 +97,18 @@ def parse_options(spark, sf):
     text = F.lit("A) first\nB) second\nmore\n")
     b = table(spark, sf, "benchmark").select("item_id", N.parse_options(text).alias("o"), N.answer_letter(F.when(F.col("item_id") % 2 == 0, "so it is. Therefore, B.").otherwise("unclear")).alias("letter"))
     return b.select("item_id", F.get("o", F.lit(0)).alias("a"), F.get("o", F.lit(1)).alias("b"), "letter")
+
+
+@query("canonical_items", """WITH a AS (SELECT n_name AS grp, s_name AS alias FROM supplier JOIN nation ON s_nationkey = n_nationkey UNION ALL SELECT n_name, ' ' || lower(n_name) FROM nation), d AS (SELECT grp, arg_min(alias, struct_pack(h := md5('c|' || grp || '|' || alias), a := alias)) AS alias FROM a WHERE lower(trim(alias)) <> lower(grp) GROUP BY grp)
+SELECT grp, alias, 'Who is ' || alias || '? Name the group.' AS prompt, sha256('Who is ' || alias || '? Name the group.') AS prompt_hash FROM d""")
+def canonical_items(spark, sf):
+    """Groups with an alias other than their own name."""
+    n = table(spark, sf, "nation")
+    a = table(spark, sf, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("grp"), F.col("s_name").alias("alias"))
+    return N.canonical_items(a.union(n.select("n_name", F.concat(F.lit(" "), F.lower("n_name")))), "grp", "alias", "Who is {alias}? Name the group.", "c")
+
+
+@query("valid_variants", "SELECT min(doc_id) AS doc_id FROM documents WHERE length(text) BETWEEN 100 AND 3000 AND NOT contains(lower(text), 'license') AND doc_id % 7 <> 0 GROUP BY sha1(text)")
+def valid_variants(spark, sf):
+    d = table(spark, sf, "documents").withColumn("o", F.when(F.col("doc_id") % 7 == 0, " ").otherwise("yes"))
+    return N.valid_variants(d, "doc_id", "text", "o", 100, 3000, ["License"]).select("doc_id")
