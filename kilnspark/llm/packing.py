@@ -81,16 +81,14 @@ class ChunkTokenizer:
         fresh = self._encode(list(need))
         get = lambda x: fresh.get(x) or cache[x]
         fresh |= {c: get(stem) + get(c[-1:]) for c, stem in stems.items()}
-        out = []
-        for chunks in split:
-            parts_ = list(map(cache.get, chunks))
-            if None in parts_:
-                parts_ = [fresh[c] if x is None else x for c, x in zip(chunks, parts_)]
-            out.append(b"".join(parts_))
-        room = CACHE - len(cache)
-        if room > 0:
-            cache.update(list(fresh.items())[:room])
-        return out
+        # one table for the batch; what the cache has no room for leaves it afterwards
+        cache.update(fresh)
+        found = [b"".join(map(cache.__getitem__, chunks)) for chunks in split]
+        over = len(cache) - CACHE
+        if over > 0:
+            for c in list(fresh)[-over:]:
+                del cache[c]
+        return found
 
 
 def _pieces(path: str, capacity: int, with_ids: bool):
