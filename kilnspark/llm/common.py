@@ -27,7 +27,7 @@ def texts(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in binary.to_pylist()]
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def small_batches(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the named text column holds about ``most_bytes`` in each."""
     for batch in batches:
         if batch.num_rows == 0:

@@ -96,7 +96,7 @@ def _pieces(path: str, capacity: int, with_ids: bool):
         if path not in _kept:
             _kept[path] = ChunkTokenizer(path)
         tokenizer = _kept[path]
-        for batch in small_batches(batches, "text", 4 << 20):
+        for batch in small_batches(batches, "text", 2 << 20):
             rows: list[tuple] = []
             for doc, raw in zip(batch.column("doc_id").to_pylist(), tokenizer.ids(texts(batch.column("text")))):
                 ids = raw + b"\0\0\0\0"
@@ -219,12 +219,12 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the packed pieces of all documents with their token ids.
+    """Pipeline stage: the packed pieces of all documents, with the checksums of their ids.
 
     Null and empty texts are pieces of the end id alone; rows without an id and
     repeated rows are packed each on its own; an empty table gives none.
     """
-    return pack(docs)
+    return pack(docs, with_ids=False)
 
 
 def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
