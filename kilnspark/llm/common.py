@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -10,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from kilnspark.operators.graph import components
 from kilnspark.sources.workspace import materialise
 
-__all__ = ["components", "free_name", "materialise", "parts", "small_batches", "table", "texts"]
+__all__ = ["components", "free_name", "materialise", "parts", "release_memory", "small_batches", "table", "texts"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,3 +47,12 @@ def free_name(taken: list[str], wanted: str) -> str:
     while wanted.lower() in lowered:
         wanted += "_"
     return wanted
+
+
+def release_memory() -> None:
+    """Give memory that earlier tasks of this worker have freed back to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

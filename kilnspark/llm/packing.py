@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kilnspark.llm.common import materialise, parts, small_batches, table, texts
+from kilnspark.llm.common import materialise, parts, release_memory, small_batches, table, texts
 
 CAPACITY = 2048
 CACHE = 450_000
@@ -94,6 +94,7 @@ class ChunkTokenizer:
 def _pieces(path: str, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _kept:
+            release_memory()  # the worker may have served another operator before
             _kept[path] = ChunkTokenizer(path)
         tokenizer = _kept[path]
         for batch in small_batches(batches, "text", 2 << 20):
