@@ -288,8 +288,8 @@ def prefix_tree(ids: DataFrame, steps: DataFrame) -> DataFrame:
 
 def conversation_trie(turns: DataFrame) -> DataFrame:
     """The trie of the rebuilt conversations."""
-    ids, again = rebuilt(numbered_turns(turns))
-    return prefix_tree(ids, prefixes(again))
+    ids, again = rebuilt(materialise(numbered_turns(turns)))
+    return prefix_tree(ids, materialise(prefixes(again)))
 
 
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
