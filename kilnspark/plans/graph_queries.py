@@ -48,19 +48,45 @@ def graph_order_limit(spark, sf):
     return pattern.run(G.star_schema(spark, sf), "<*{c:customer.lives_in>n:nation}*>{c.name} {n.name}", limit=25, seed="g1")
 
 
-_PRIMARY = """WITH b AS (SELECT n_nationkey AS id, n_name || ' ' || c_name AS text FROM nation JOIN customer ON c_nationkey = n_nationkey),
-e AS (SELECT id, text FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY md5('g2|' || text), text) AS rn FROM b) WHERE rn = 1),
-k AS (SELECT *, row_number() OVER (ORDER BY md5('g2|' || id), id) - 1 AS ix FROM e)"""
+#: One order of each drawn customer, one drawn customer of each draw's nation: least hashes, stage by stage.
+_STAGED = """draws AS ({draws}),
+one AS (SELECT draw, n_name, c_custkey, c_name FROM (SELECT d.draw, n_name, c_custkey, c_name, row_number() OVER (PARTITION BY d.draw ORDER BY md5('g2|0|' || d.draw || '|' || c_custkey), c_custkey) AS rn
+  FROM draws d JOIN nation ON n_nationkey = d.id JOIN customer ON c_nationkey = n_nationkey) WHERE rn = 1),
+two AS (SELECT draw, n_name, c_name, o_orderpriority FROM (SELECT o.draw, n_name, c_name, o_orderpriority, row_number() OVER (PARTITION BY o.draw ORDER BY md5('g2|1|' || o.draw || '|' || o_orderkey), o_orderkey) AS rn
+  FROM one o JOIN orders ON o_custkey = o.c_custkey WHERE o_orderstatus <> 'P') WHERE rn = 1)
+SELECT draw, n_name || ': ' || c_name || ' ' || o_orderpriority AS text FROM two"""
+_STAGED_TEMPLATE = "<*{n:nation.lives_in<c:customer.placed>o:order}{o.status[!= P]}*>{n.name}: {c.name} {o.priority}"
 
 
-@query("graph_sample_primaries", _PRIMARY + " SELECT ix AS draw, text FROM k WHERE ix < 10")
+@query("graph_sample_primaries", "WITH " + _STAGED.format(draws="SELECT row_number() OVER (ORDER BY md5('g2|' || n_nationkey), n_nationkey) - 1 AS draw, n_nationkey AS id FROM nation QUALIFY draw < 10"))
 def graph_sample_primaries(spark, sf):
-    return pattern.sample_primaries(G.star_schema(spark, sf), "<*{n:nation.lives_in<c:customer}*>{n.name} {c.name}", "n", 10, "g2")
+    return pattern.sample_staged(G.star_schema(spark, sf), _STAGED_TEMPLATE, "n", 10, "g2", replace=False)
 
 
-@query("graph_sample_replacement", _PRIMARY + " SELECT range AS draw, text FROM range(60) JOIN k ON k.ix = CAST('0x' || substring(md5('g2|' || range), 1, 8) AS BIGINT) % (SELECT count(*) FROM e)")
+@query("graph_sample_replacement", "WITH " + _STAGED.format(draws="SELECT range AS draw, id FROM range(60) JOIN (SELECT n_nationkey AS id, row_number() OVER (ORDER BY md5('g2|' || n_nationkey), n_nationkey) - 1 AS ix FROM nation) ON ix = CAST('0x' || substring(md5('g2|' || range), 1, 15) AS BIGINT) % (SELECT count(*) FROM nation)"))
 def graph_sample_replacement(spark, sf):
-    return pattern.sample_primaries(G.star_schema(spark, sf), "<*{n:nation.lives_in<c:customer}*>{n.name} {c.name}", "n", 60, "g2", replace=True)
+    return pattern.sample_staged(G.star_schema(spark, sf), _STAGED_TEMPLATE, "n", 60, "g2")
+
+
+@query("graph_sample_suppliers", """WITH draws AS (SELECT range AS draw, s_suppkey FROM range(500) JOIN (SELECT s_suppkey, row_number() OVER (ORDER BY md5('g4|' || s_suppkey), s_suppkey) - 1 AS ix FROM supplier) ON ix = CAST('0x' || substring(md5('g4|' || range), 1, 15) AS BIGINT) % (SELECT count(*) FROM supplier)),
+one AS (SELECT draw, s_suppkey, s_name, n_nationkey, n_name FROM draws JOIN supplier USING (s_suppkey) JOIN nation ON n_nationkey = s_nationkey),
+two AS (SELECT * FROM (SELECT o.*, b.s_name AS other, b.s_suppkey AS bk, row_number() OVER (PARTITION BY draw ORDER BY md5('g4|1|' || draw || '|' || b.s_suppkey), b.s_suppkey) AS rn FROM one o JOIN supplier b ON b.s_nationkey = o.n_nationkey AND b.s_suppkey <> o.s_suppkey) WHERE rn = 1)
+SELECT draw, s_name || ' and ' || other || ' in ' || n_name AS text FROM two""")
+def graph_sample_suppliers(spark, sf):
+    """Another supplier of the same nation: two variables of one label differ at the stage that binds the second."""
+    return pattern.sample_staged(G.star_schema(spark, sf), "<*{a:supplier.based_in>n:nation}{b:supplier.based_in>n:nation}*>{a.name} and {b.name} in {n.name}", "a", 500, "g4")
+
+
+@query("graph_sample_expanded", """WITH k AS (SELECT n_nationkey, n_name FROM nation ORDER BY md5('g3|' || n_nationkey), n_nationkey LIMIT 8)
+SELECT text FROM (SELECT DISTINCT n_name || ' ' || c_name AS text FROM k JOIN customer ON c_nationkey = n_nationkey) ORDER BY md5('g3|' || text), text LIMIT 8""")
+def graph_sample_expanded(spark, sf):
+    """Primaries are drawn first, then everything of theirs is expanded."""
+    return pattern.sample_distinct(G.star_schema(spark, sf), "<*{n:nation.lives_in<c:customer}*>{n.name} {c.name}", "n", 8, "g3")
+
+
+@query("graph_bounded", "SELECT text FROM (SELECT DISTINCT c_name || ' ' || o_orderpriority AS text FROM customer JOIN orders ON o_custkey = c_custkey) ORDER BY md5('g5|' || text), text LIMIT 40")
+def graph_bounded(spark, sf):
+    return pattern.run_bounded(G.star_schema(spark, sf), "<*{c:customer.placed>o:order}*>{c.name} {o.priority}", 40, "g5")[0]
 
 
 @query("graph_census", """SELECT 'node' AS kind, 'region' AS name, count(*) AS n FROM region UNION ALL SELECT 'node', 'nation', count(*) FROM nation UNION ALL SELECT 'node', 'customer', count(*) FROM customer UNION ALL SELECT 'node', 'supplier', count(*) FROM supplier UNION ALL SELECT 'node', 'order', count(*) FROM orders

@@ -19,6 +19,8 @@ unless ``allow_null``.
 from __future__ import annotations
 
 import re
+import threading
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from kilnspark.operators.filters import all_of, any_of, compare, element, present
 from kilnspark.operators.graph import Graph
 from kilnspark.operators.numbering import numbered
+from kilnspark.sources.workspace import materialise
 
 _FIELD = re.compile(r"<\*|\*>|\{[^{}]*\}")
 _FORCE = re.compile(r"force\s+(\w+)\.(\w+)\s*(<=|>=|!=|=|<|>|~)\s*(\w+)\.(\w+)$")
@@ -143,66 +146,84 @@ def _property(prop: str) -> Column:
     return element(F.col(name), int(place)) if place else F.col(name)
 
 
-def bindings(graph: Graph, p: Pattern, allow_null: bool = False) -> DataFrame:
-    """One row for each binding: ``var__id`` and the used properties."""
-
-    def nodes(var: str) -> DataFrame:
-        if p.labels[var] not in graph.nodes:
-            raise TemplateError(f"no label {p.labels[var]}")
-        df = graph.nodes[p.labels[var]]
-        for v, prop, op, value in p.filters:
-            if v == var:
-                test = {"?": any_of, "*": all_of}.get(op[0], compare)
-                df = df.where(test(F.col(prop), op.lstrip("?*_"), value))
-        wanted = sorted(prop for v, prop in p.used if v == var)
-        if not allow_null:
-            for prop in wanted:
-                df = df.where(present(_property(prop).cast("string")))
-        return df.select(F.col("id").alias(_name(var, "id")), *[_property(x).alias(_name(var, x)) for x in wanted if x != "id"])
-
-    def edges(step: Step) -> DataFrame:
-        if step.edge not in graph.edges:
-            raise TemplateError(f"no edge {step.edge}")
-        src, dst, rows = graph.edges[step.edge]
-        a, b = (step.src, step.dst) if step.forward else (step.dst, step.src)
-        if (p.labels[a], p.labels[b]) != (src, dst):
-            raise TemplateError(f"{step.edge} leads from {src} to {dst}")
-        return rows.select(F.col("src").alias(_name(a, "id")), F.col("dst").alias(_name(b, "id")))
+def _nodes(graph: Graph, p: Pattern, var: str, allow_null: bool) -> DataFrame:
+    """Nodes a variable may be: its own filters hold and its used properties are there."""
+    if p.labels[var] not in graph.nodes:
+        raise TemplateError(f"no label {p.labels[var]}")
+    df = graph.nodes[p.labels[var]]
+    for v, prop, op, value in p.filters:
+        if v == var:
+            test = {"?": any_of, "*": all_of}.get(op[0], compare)
+            df = df.where(test(F.col(prop), op.lstrip("?*_"), value))
+    wanted = sorted(prop for v, prop in p.used if v == var)
+    if not allow_null:
+        for prop in wanted:
+            df = df.where(present(_property(prop).cast("string")))
+    return df.select(F.col("id").alias(_name(var, "id")), *[_property(x).alias(_name(var, x)) for x in wanted if x != "id"])
+
+
+def _edges(graph: Graph, p: Pattern, step: Step) -> DataFrame:
+    if step.edge not in graph.edges:
+        raise TemplateError(f"no edge {step.edge}")
+    src, dst, rows = graph.edges[step.edge]
+    a, b = (step.src, step.dst) if step.forward else (step.dst, step.src)
+    if (p.labels[a], p.labels[b]) != (src, dst):
+        raise TemplateError(f"{step.edge} leads from {src} to {dst}")
+    return rows.select(F.col("src").alias(_name(a, "id")), F.col("dst").alias(_name(b, "id")))
+
+
+def _conditions(p: Pattern, bound: set[str], now: set[str]) -> list[Column]:
+    """What must hold between bound variables, of which one of ``now`` is the last to be bound."""
+    out = [compare(F.col(_name(a, x)), op, F.col(_name(b, y))) for a, x, op, b, y in p.forces if {a, b} <= bound and {a, b} & now]
+    forced = {frozenset((a, b)) for a, _, _, b, _ in p.forces}
+    order = list(p.labels)
+    for i, a in enumerate(order):
+        for b in order[i + 1 :]:
+            if p.labels[a] == p.labels[b] and {a, b} <= bound and {a, b} & now and frozenset((a, b)) not in forced:
+                out.append(F.col(_name(a, "id")) != F.col(_name(b, "id")))
+    return out
+
 
+def bindings(graph: Graph, p: Pattern, allow_null: bool = False, start: tuple[str, DataFrame] | None = None) -> DataFrame:
+    """One row for each binding: ``var__id`` and the used properties.
+
+    ``start`` is a variable and the few ``id`` it may have: joins begin there, and
+    nothing is expanded from any other node.  Conditions are applied as soon as their
+    variables are bound.  Disjoint paths multiply: that is what such a template means.
+    """
     bound: set[str] = set()
     out: DataFrame | None = None
     todo = list(p.steps)
     order = list(p.labels)
+    if start is not None:
+        order.sort(key=lambda v: v != start[0])
 
     def add(part: DataFrame, keys: list[str]) -> None:
         nonlocal out
         out = part if out is None else out.join(part, keys) if keys else out.crossJoin(part)
 
+    def bind(var: str, keys: list[str]) -> None:
+        nonlocal out
+        rows = _nodes(graph, p, var, allow_null)
+        if start is not None and var == start[0]:
+            rows = rows.join(F.broadcast(start[1].select(F.col("id").alias(_name(var, "id")))), _name(var, "id"), "left_semi")
+        add(rows, keys)
+        bound.add(var)
+        for test in _conditions(p, bound, {var}):
+            out = out.where(test)
+
     while todo or any(v not in bound for v in order):
         # a step that touches what is bound comes first, so that cross products come last
         step = next((s for s in todo if s.src in bound or s.dst in bound), None)
-        if step is None and bound and todo and any(v in bound for v in order):
-            step = None
         if step is None:
-            start = next((v for v in order if v not in bound), None)
-            if start is not None:
-                add(nodes(start), [])
-                bound.add(start)
-                continue
-            step = todo[0]
+            # paths that share nothing with what is bound, or variables alone
+            bind(next(v for v in order if v not in bound), [])
+            continue
         todo.remove(step)
-        add(edges(step), [_name(v, "id") for v in dict.fromkeys((step.src, step.dst)) if v in bound])
+        add(_edges(graph, p, step), [_name(v, "id") for v in dict.fromkeys((step.src, step.dst)) if v in bound])
         for v in (step.src, step.dst):
             if v not in bound:
-                add(nodes(v), [_name(v, "id")])
-                bound.add(v)
-    forced = {frozenset((a, b)) for a, _, _, b, _ in p.forces}
-    for a, x, op, b, y in p.forces:
-        out = out.where(compare(F.col(_name(a, x)), op, F.col(_name(b, y))))
-    for i, a in enumerate(order):
-        for b in order[i + 1 :]:
-            if p.labels[a] == p.labels[b] and frozenset((a, b)) not in forced:
-                out = out.where(F.col(_name(a, "id")) != F.col(_name(b, "id")))
+                bind(v, [_name(v, "id")])
     return out
 
 
@@ -224,22 +245,121 @@ def run(graph: Graph, template: str, limit: int | None = None, order: str | None
     return out if limit is None else out.limit(limit)
 
 
-def sample_primaries(graph: Graph, template: str, primary: str, n: int, seed: str, replace: bool = False) -> DataFrame:
-    """``n`` drawn primaries, one drawn extension of each: (draw, text).
+#: Drawn rows up to which they are broadcast to the edges: what they hold is ids and printed properties.
+BROADCAST_DRAWS = 100_000
 
-    With replacement, draw i takes the primary whose hashed index is its own.
-    """
-    from pyspark.sql import Window
 
+def _hash(seed: str, *cols: Column) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(seed), *[c.cast("string") for c in cols]))
+
+
+def drawn_primaries(graph: Graph, p: Pattern, primary: str, n: int, seed: str) -> DataFrame:
+    """``(id)``: ``n`` different nodes of the primary's label, the least by hash, drawn before anything is expanded."""
+    if primary not in p.labels:
+        raise TemplateError(f"{primary} is not bound")
+    return graph.nodes[p.labels[primary]].select("id").orderBy(_hash(seed, F.col("id")), "id").limit(n)
+
+
+def sample_distinct(graph: Graph, template: str, primary: str, n: int, seed: str, limit: int | None = None, allow_null: bool = False) -> DataFrame:
+    """All texts of ``n`` drawn primaries: DISTINCT, drawn order, LIMIT (``n`` unless given)."""
+    p = parse(template)
+    rows = bindings(graph, p, allow_null, (primary, drawn_primaries(graph, p, primary, n, seed)))
+    return rows.select(render(p).alias("text")).distinct().orderBy(_hash(seed, F.col("text")), "text").limit(n if limit is None else limit)
+
+
+def stages(p: Pattern, primary: str) -> list[tuple[Step, list[Step]]]:
+    """Steps that bind one variable each, from the primary on, and the steps that are then between bound ones."""
+    bound, todo, out = {primary}, list(p.steps), []
+    while todo:
+        step = next((s for s in todo if (s.src in bound) != (s.dst in bound)), None)
+        if step is None:
+            raise TemplateError(f"no path from {primary} to {todo[0].src}")
+        bound |= {step.src, step.dst}
+        todo.remove(step)
+        closed = [s for s in todo if {s.src, s.dst} <= bound]
+        todo = [s for s in todo if s not in closed]
+        out.append((step, closed))
+    if missing := set(p.labels) - bound:
+        raise TemplateError(f"no path from {primary} to {sorted(missing)[0]}")
+    return out
+
+
+def sample_staged(graph: Graph, template: str, primary: str, n: int, seed: str, replace: bool = True, allow_null: bool = False) -> DataFrame:
+    """``(draw, text)``: ``n`` drawn primaries, extended by one drawn neighbour at each stage.
+
+    With replacement draw i takes the primary whose place in the order of hashes is
+    its own hash; without, the i-th of them.  After each stage's join a least-hash
+    aggregate keeps one neighbour for each draw, so rows never outgrow draws times
+    neighbours of one node, and the product of all paths is never built.  Draws whose drawn
+    nodes lead nowhere give no text, as do primaries that fail their own conditions.
+    """
+    p = parse(template)
+    if primary not in p.labels:
+        raise TemplateError(f"{primary} is not bound")
+    plan, key = stages(p, primary), _name(primary, "id")
+    spark = graph.nodes[p.labels[primary]].sparkSession
+    if replace:
+        everyone = materialise(numbered(graph.nodes[p.labels[primary]].select("id"), [_hash(seed, F.col("id")), F.col("id")], "_at"))
+        total = everyone.count()
+        at = F.conv(F.substring(_hash(seed, F.col("draw")), 1, 15), 16, 10).cast("long") % max(1, total)
+        now = spark.range(n).select(F.col("id").alias("draw")).withColumn("_at", at).join(everyone, "_at").select("draw", F.col("id").alias(key))
+    else:
+        drawn = drawn_primaries(graph, p, primary, n, seed)
+        now = numbered(drawn, [_hash(seed, F.col("id")), F.col("id")], "draw").select("draw", F.col("id").alias(key))
+    small = F.broadcast if n <= BROADCAST_DRAWS else (lambda df: df)
+    now = _nodes(graph, p, primary, allow_null).join(small(now), key)
+    bound = {primary}
+    for k, (step, closed) in enumerate(plan):
+        old, new = (step.src, step.dst) if step.src in bound else (step.dst, step.src)
+        grown = _edges(graph, p, step).join(small(now), _name(old, "id")).join(_nodes(graph, p, new, allow_null), _name(new, "id"))
+        bound.add(new)
+        for other in closed:
+            grown = grown.join(_edges(graph, p, other), [_name(v, "id") for v in dict.fromkeys((other.src, other.dst))], "left_semi")
+        for test in _conditions(p, bound, {new}):
+            grown = grown.where(test)
+        mine = F.col(_name(new, "id"))
+        columns = [c for c in grown.columns if c != "draw"]
+        least = F.min_by(F.struct(*columns), F.struct(_hash(f"{seed}|{k}", F.col("draw"), mine), mine))
+        now = materialise(grown.groupBy("draw").agg(least.alias("_x")).select("draw", "_x.*"))
+    return now.select("draw", render(p).alias("text"))
+
+
+def run_bounded(graph: Graph, template: str, limit: int, seed: str | None = None, seconds: float = 90.0, allow_null: bool = False) -> tuple[DataFrame, bool]:
+    """(texts, whether they are complete): ``run``, but no longer than ``seconds``.
+
+    The primary query runs under a tag of its own and is interrupted when its time is
+    up; then the LIMIT goes before DISTINCT, so that the first rows found are enough
+    and fewer than ``limit`` texts may come.  Errors of other kinds are raised.
+    """
     p = parse(template)
-    rows = bindings(graph, p).withColumn("text", render(p))
-    key = _name(primary, "id")
-    one = Window.partitionBy(key).orderBy(F.md5(F.concat_ws("|", F.lit(seed), "text")), "text")
-    each = rows.withColumn("_rn", F.row_number().over(one)).where("_rn = 1").select(key, "text")
-    ranked = numbered(each, [F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string"))), key], "_at")
-    if not replace:
-        return ranked.where(F.col("_at") < n).select(F.col("_at").cast("long").alias("draw"), "text")
-    total = F.broadcast(each.agg(F.count("*").alias("_n")))
-    draws = graph.nodes[p.labels[primary]].sparkSession.range(n).withColumnRenamed("id", "draw").crossJoin(total)
-    place = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.col("draw").cast("string"))), 1, 8), 16, 10).cast("long") % F.col("_n")
-    return draws.withColumn("_at", place).join(ranked, "_at").select("draw", "text")
+    rows = bindings(graph, p, allow_null).select(render(p).alias("text"))
+    spark = rows.sparkSession
+    order = [_hash(seed, F.col("text")), F.col("text")] if seed is not None else [F.col("text")]
+
+    def within(df: DataFrame) -> DataFrame | None:
+        tag, late = f"bounded-{uuid.uuid4().hex}", threading.Event()
+
+        def stop() -> None:
+            late.set()
+            spark.sparkContext.cancelJobsWithTag(tag)
+
+        timer = threading.Timer(seconds, stop)
+        spark.sparkContext.addJobTag(tag)
+        timer.start()
+        try:
+            return materialise(df)
+        except Exception:
+            if late.is_set():
+                return None
+            raise
+        finally:
+            timer.cancel()
+            spark.sparkContext.removeJobTag(tag)
+
+    found = within(rows.distinct().orderBy(*order).limit(limit))
+    if found is not None:
+        return found, True
+    found = within(rows.limit(limit).distinct())
+    if found is None:
+        raise TimeoutError(f"not even {limit} rows in {seconds} seconds")
+    return found, False
