@@ -9,6 +9,7 @@ from kilnspark.registry import query, table
 from kilnspark.sources import readers as R
 from kilnspark.sources import sinks as K
 from kilnspark.sources.workspace import folder
+from kilnspark.streaming import buffers as B
 from kilnspark.streaming import ingest as I
 
 
@@ -167,3 +168,18 @@ def stream_curate(spark, sf):
         s = I.read_files(spark, f"{sf}/documents.parquet*", "doc_id long, text string")
         I.run_available(I.hash_split(I.curate_stream(s), "doc_id", 0.1, "w").select("doc_id", "split"), out, state)
     return spark.read.schema("doc_id long, split string").parquet(out)
+
+
+@query("stream_token_batches", """SELECT shard, (spot // 8)::BIGINT AS batch, (spot % 8)::INTEGER AS place, doc_id, coalesce(len(tokens), 0)::BIGINT AS n_tokens, coalesce(list_sum(tokens), 0)::BIGINT AS total FROM (
+SELECT doc_id % 16 AS shard, doc_id, list_transform(string_split(text, ' '), lambda w: length(w)) AS tokens, row_number() OVER (PARTITION BY doc_id % 16 ORDER BY doc_id) - 1 AS spot, count(*) OVER (PARTITION BY doc_id % 16) AS n FROM documents)
+WHERE spot < n // 8 * 8""")
+def stream_token_batches(spark, sf):
+    """Samples arrive in two lots; the second run takes up the buffers that the first one left."""
+    docs = table(spark, sf, "documents").select((F.col("doc_id") % 16).alias("shard"), F.col("doc_id").alias("position"), F.transform(F.split("text", " "), lambda w: F.length(w)).alias("tokens"))
+    half = docs.agg((F.min("position") + F.max("position")) / 2).first()[0] or 0
+    landing, out, state = folder(spark), folder(spark), folder(spark)
+    for lot in (F.col("position") <= half, F.col("position") > half):
+        docs.where(lot).write.mode("append").parquet(landing)
+        B.run_batches(I.read_files(spark, landing, "shard long, position long, tokens array<int>"), out, state, 8)
+    given = spark.read.schema(B.BATCHES).parquet(out)
+    return given.select("shard", "batch", "place", F.col("position").alias("doc_id"), F.size("tokens").cast("long").alias("n_tokens"), F.aggregate("tokens", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))
