@@ -46,6 +46,75 @@ def matthews(df: DataFrame, pred: str, gold: str) -> DataFrame:
     return c.select(((tp + tn) / (tp + fp + fn + tn)).alias("accuracy"), (2 * tp / (2 * tp + fp + fn)).alias("f1"), F.when(root > 0, (tp * tn - fp * fn) / root).otherwise(0.0).alias("mcc"))
 
 
+def running_count(counts: DataFrame, order: str, count: str, name: str) -> DataFrame:
+    """``counts`` with the sum of ``count`` up to each row in the order of a column without repeats."""
+    from pyspark.sql import Window
+
+    from kilnspark.sources.workspace import materialise
+
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = materialise(counts.repartitionByRange(parts, order).withColumn("_part", F.spark_partition_id()))
+    sums = rows.groupBy("_part").agg(F.sum(count).alias("_s"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    offsets = sums.select("_part", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_before"))
+    local = F.sum(count).over(Window.partitionBy("_part").orderBy(order))
+    return rows.withColumn("_local", local).join(F.broadcast(offsets), "_part").select(*counts.columns, (F.col("_local") + F.col("_before")).alias(name))
+
+
+def spearman(df: DataFrame, pred: str, gold: str) -> DataFrame:
+    """Rank and product-moment correlation of two columns; one row, null if either has no spread."""
+    both = df.where(F.col(pred).isNotNull() & F.col(gold).isNotNull()).select(F.col(pred).cast("double").alias("p"), F.col(gold).cast("double").alias("g"))
+    pairs = both.groupBy("p", "g").agg(F.count("*").cast("long").alias("n"))
+    ranked = pairs.join(_ranks_of(pairs, "p", "rp"), "p").join(_ranks_of(pairs, "g", "rg"), "g")
+
+    def corr(x: str, y: str) -> Column:
+        n, sx, sy = F.sum("n"), F.sum(F.col("n") * F.col(x)), F.sum(F.col("n") * F.col(y))
+        sxy, sxx, syy = (F.sum(F.col("n") * F.col(a) * F.col(b)) for a, b in ((x, y), (x, x), (y, y)))
+        spread = (n * sxx - sx * sx) * (n * syy - sy * sy)
+        return F.when(spread > 0, (n * sxy - sx * sy) / F.sqrt(spread))
+
+    return ranked.agg(corr("rp", "rg").alias("spearman"), corr("p", "g").alias("pearson"))
+
+
+def _ranks_of(pairs: DataFrame, value: str, name: str) -> DataFrame:
+    counts = pairs.groupBy(value).agg(F.sum("n").alias("_n"))
+    return running_count(counts, value, "_n", "_upto").select(value, (F.col("_upto") - (F.col("_n") - 1) / 2).alias(name))
+
+
+def question_scores(df: DataFrame, question: str, pred: str, gold: str) -> DataFrame:
+    """Answers in groups of a question, labels 0 and 1; one row.
+
+    ``f1_m``: mean over questions of the F1 of class 1 (0 where neither has it);
+    ``exact_match``: share of questions whose answers are all right; ``f1_a``: F1 over all answers.
+    """
+    p, g = F.col(pred) == 1, F.col(gold) == 1
+    each = df.groupBy(question).agg(F.sum((p & g).cast("long")).alias("tp"), F.sum(p.cast("long")).alias("p"), F.sum(g.cast("long")).alias("g"), F.min((F.col(pred) == F.col(gold)).cast("int")).alias("right"))
+    f = lambda tp, p, g: F.when(p + g > 0, 2.0 * tp / (p + g)).otherwise(0.0)
+    return each.agg(F.avg(F.col("right").cast("double")).alias("exact_match"), F.avg(f(F.col("tp"), F.col("p"), F.col("g"))).alias("f1_m"), f(F.sum("tp"), F.sum("p"), F.sum("g")).alias("f1_a"))
+
+
+def normal_answer(text: Column) -> Column:
+    """Lower case without ASCII punctuation and articles, single spaces."""
+    bare = F.regexp_replace(F.lower(text), r"[!-/:-@\[-`{-~]", "")
+    return F.trim(F.regexp_replace(F.regexp_replace(bare, r"(?U)\b(?:a|an|the)\b", " "), r"\s+", " "))
+
+
+def _bag_f1(pred: Column, gold: Column) -> Column:
+    """F1 of two bags of words: each word counts as often as both have it."""
+    words = F.array_distinct(pred)
+    count = lambda bag, w: F.size(F.filter(bag, lambda x: x == w))
+    same = F.aggregate(words, F.lit(0), lambda n, w: n + F.least(count(pred, w), count(gold, w)))
+    return F.when(same > 0, 2.0 * same / (F.size(pred) + F.size(gold))).otherwise(0.0)
+
+
+def best_answer(pred: Column, golds: Column) -> tuple[Column, Column]:
+    """(exact match, F1) of a text against the best of several answers; 0 without any."""
+    said, words = normal_answer(pred), F.filter(F.split(normal_answer(pred), " "), lambda w: w != "")
+    exact = F.exists(golds, lambda g: normal_answer(g) == said)
+    scores = F.transform(golds, lambda g: _bag_f1(words, F.filter(F.split(normal_answer(g), " "), lambda w: w != "")))
+    return F.coalesce(exact, F.lit(False)).cast("double"), F.coalesce(F.array_max(scores), F.lit(0.0))
+
+
 def tier_cost(tokens: Column, tiers: list[tuple[int, int | None, float]]) -> Column:
     """Price of a request: the first tier whose bounds hold the count, per million; 0 without one."""
     out = F.lit(0.0)

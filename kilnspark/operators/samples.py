@@ -65,12 +65,21 @@ def merge_tools(messages: Column) -> Column:
 
 @dataclass(frozen=True)
 class ChatTemplate:
-    """Slots of a chat format; ``{}`` stands for the content."""
+    """Slots of a chat format; ``{}`` stands for the content.
+
+    ``observation`` is the user's slot unless given; ``tools`` names the dialect in which
+    turn 0 describes tools and function messages print calls, between ``calls``; ``end`` is what
+    closes the last turn of a sample if its slot doesn't.
+    """
 
     system: str
     user: str
     assistant: str
     prefix: str = ""
+    observation: str = ""
+    tools: str = "default"
+    calls: str = "{}"
+    end: str = ""
 
 
 #: Slots of public chat formats.
@@ -78,6 +87,7 @@ TEMPLATES = {
     "default": ChatTemplate("System: {}\n", "Human: {}\nAssistant:", "{}\n"),
     "alpaca": ChatTemplate("{}\n\n", "### Instruction:\n{}\n\n### Response:\n", "{}\n\n"),
     "chatml": ChatTemplate("<|im_start|>system\n{}<|im_end|>\n", "<|im_start|>user\n{}<|im_end|>\n<|im_start|>assistant\n", "{}<|im_end|>\n"),
+    "qwen": ChatTemplate("<|im_start|>system\n{}<|im_end|>\n", "<|im_start|>user\n{}<|im_end|>\n<|im_start|>assistant\n", "{}<|im_end|>\n", observation="<|im_start|>user\n<tool_response>\n{}\n</tool_response><|im_end|>\n<|im_start|>assistant\n", tools="qwen"),
     "gemma": ChatTemplate("<start_of_turn>system\n{}<end_of_turn>\n", "<start_of_turn>user\n{}<end_of_turn>\n<start_of_turn>model\n", "{}<end_of_turn>\n", "<bos>"),
     "glm4": ChatTemplate("<|system|>\n{}", "<|user|>\n{}<|assistant|>", "\n{}", "[gMASK]<sop>"),
     "llama4": ChatTemplate("<|header_start|>system<|header_end|>\n\n{}<|eot|>", "<|header_start|>user<|header_end|>\n\n{}<|eot|><|header_start|>assistant<|header_end|>\n\n", "{}<|eot|>", "<|begin_of_text|>"),
@@ -98,11 +108,26 @@ def _fill(slot: str, content: Column) -> Column:
     return F.concat(F.lit(before), content, F.lit(after))
 
 
-def render_chat(messages: Column, system: Column, template: str) -> Column:
+def render_chat(messages: Column, system: Column, template: str, tools: Column | None = None, date: str = "") -> Column:
+    """Turn 0 is prefix, system text with the tools described after it, and the first message.
+
+    ``tools`` is a JSON list as text, null or empty for none.  Function messages hold calls as
+    JSON and are printed in the template's dialect; what isn't a call is printed as it is.
+    """
+    from kilnspark.operators.tools import call_text, calls_of, tools_text
+
     t = TEMPLATES[template]
-    turns = F.transform(messages, lambda m: F.when(m["role"].isin("user", "observation", "tool"), _fill(t.user, m["content"])).otherwise(_fill(t.assistant, m["content"])))
-    head = F.when(F.coalesce(system, F.lit("")) != "", _fill(t.system, system)).otherwise(F.lit(""))
-    return F.concat(F.lit(t.prefix), head, F.array_join(turns, ""))
+
+    def one(m: Column) -> Column:
+        calls = _fill(t.calls, call_text(calls_of(m["content"]), t.tools))
+        said = F.when(m["role"] == "function", F.coalesce(calls, m["content"])).otherwise(m["content"])
+        return F.when(m["role"] == "user", _fill(t.user, said)).when(m["role"].isin("observation", "tool"), _fill(t.observation or t.user, said)).otherwise(_fill(t.assistant, said))
+
+    told = F.coalesce(system, F.lit(""))
+    if tools is not None:
+        told = F.concat(told, F.coalesce(tools_text(tools, t.tools, date), F.lit("")))
+    head = F.when(told != "", _fill(t.system, told)).otherwise(F.lit(""))
+    return F.concat(F.lit(t.prefix), head, F.array_join(F.transform(messages, one), ""), F.lit(t.end))
 
 
 def byte_tokens(text: Column, offset: int = 3) -> Column:

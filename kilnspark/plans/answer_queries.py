@@ -253,3 +253,17 @@ def weakness_accuracy(spark, sf):
     k = F.col("doc_id") % 3
     gold = F.concat(F.lit("CWE-"), F.col("doc_id").cast("string"))
     return L.weakness_accuracy(table(spark, sf, "documents").select(gold.alias("g"), F.when(k == 0, F.lower(gold)).when(k == 1, "CWE-x").otherwise("none").alias("p")), "p", "g")
+
+
+@query("answer_nested", """SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN 'A,D' WHEN 1 THEN 'B' WHEN 2 THEN 'C,E' ELSE '' END AS answer FROM conversations WHERE text IS NOT NULL""")
+def answer_nested(spark, sf):
+    """The first balanced object: objects within it, braces and quotes in strings, one that never closes."""
+    k, t = F.col("turn") % 4, F.regexp_replace(_one_line(), '[{}"\\\\]', "")
+    quoted = F.concat(F.lit('{"why": "'), t, F.lit(' a } and a \\" {", '))
+    text = (
+        F.when(k == 0, F.concat(t, F.lit('{"why": {"steps": [{"n": 1}]}, "correct_answers": ["D", "A"]} {"correct_answers": ["B"]}')))
+        .when(k == 1, F.concat(t, quoted, F.lit('"correct_answers": ["B"]} so'), t))
+        .when(k == 2, F.concat(t, F.lit('<json_object> so {"x": {"y": "}"}, "correct_answers": ["E", "C"]} </json_object>{"correct_answers": ["A"]}')))
+        .otherwise(F.concat(t, F.lit('{"a": {"b": 1}')))
+    )
+    return _conv(spark, sf).select("conv_id", "turn", A.multi_answer(text).alias("answer"))

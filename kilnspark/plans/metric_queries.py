@@ -284,3 +284,41 @@ def page_text(spark, sf):
     """Visible text of pages, short pages dropped."""
     t = table(spark, sf, "pages").select("page_id", "url", E.html_text(F.col("html")).alias("text"))
     return t.where(F.length("text") >= 400)
+
+
+@query("rank_correlations", """WITH v AS (SELECT (n_chars // 100)::DOUBLE AS p, (length(text) // 250 + doc_id % 7)::DOUBLE AS g FROM documents),
+r AS (SELECT p, g, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0 AS rp, rank() OVER (ORDER BY g) + (count(*) OVER (PARTITION BY g) - 1) / 2.0 AS rg FROM v)
+SELECT round(corr(rp, rg), 9) AS spearman, round(corr(p, g), 9) AS pearson FROM r""")
+def rank_correlations(spark, sf):
+    """Ties share their mean rank."""
+    d = table(spark, sf, "documents").select(F.floor(F.col("n_chars") / 100).alias("p"), (F.floor(F.length("text") / 250) + F.col("doc_id") % 7).alias("g"))
+    return M.spearman(d, "p", "g").select(*[F.round(c, 9).alias(c) for c in ("spearman", "pearson")])
+
+
+@query("question_scores", f"""WITH p AS ({_PRED}), e AS (SELECT doc_id // 5 AS q, sum((pred = 1 AND quality = 1)::INT) AS tp, sum((pred = 1)::INT) AS p, sum((quality = 1)::INT) AS g, min((pred = quality)::INT) AS ok FROM p GROUP BY 1)
+SELECT round(avg(ok), 9) AS exact_match, round(avg(CASE WHEN p + g > 0 THEN 2.0 * tp / (p + g) ELSE 0 END), 9) AS f1_m, round(2.0 * sum(tp) / (sum(p) + sum(g)), 9) AS f1_a FROM e""")
+def question_scores(spark, sf):
+    """Labels in groups of five documents stand for the answers of a question."""
+    p = _pred(spark, sf).withColumn("q", F.floor(F.col("doc_id") / 5))
+    return M.question_scores(p, "q", "pred", "quality").select(*[F.round(c, 9).alias(c) for c in ("exact_match", "f1_m", "f1_a")])
+
+
+_NORMAL_SQL = "trim(regexp_replace(regexp_replace(regexp_replace(lower({x}), '[!-/:-@\\[-`{{-~]', '', 'g'), '\\b(?:a|an|the)\\b', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+@query("best_answers", f"""WITH ascii AS (SELECT conv_id, turn, regexp_replace(text, '[^\\x00-\\x7F]', 'x', 'g') AS text FROM conversations WHERE text IS NOT NULL),
+c AS (SELECT conv_id, turn, text, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS before, substring(text, 1, 60) AS head FROM ascii),
+x AS (SELECT conv_id, turn, {_NORMAL_SQL.format(x="CASE WHEN turn % 3 = 0 THEN 'The ' || head || '!' ELSE substring(text, 20, 80) END")} AS said, list_filter([head, before], lambda g: g IS NOT NULL) AS golds FROM c),
+g AS (SELECT conv_id, turn, said, string_split(said, ' ') AS s, {_NORMAL_SQL.format(x="unnest(golds)")} AS gold FROM x),
+w AS (SELECT *, string_split(gold, ' ') AS t FROM g),
+f AS (SELECT conv_id, turn, (said = gold)::INT::DOUBLE AS em, list_sum(list_transform(list_distinct(s), lambda k: least(len(list_filter(s, lambda y: y = k)), len(list_filter(t, lambda y: y = k))))) AS same, len(s) + len(t) AS n FROM w)
+SELECT conv_id, turn, max(em) AS exact_match, round(max(2.0 * same / n), 9) AS f1 FROM f GROUP BY ALL""")
+def best_answers(spark, sf):
+    """Exact match and word F1 against the better of one or two answers; the two engines tell words apart by different letters, hence the x."""
+    from pyspark.sql import Window
+
+    ascii_only = F.regexp_replace("text", r"[^\x00-\x7F]", "x")
+    c = table(spark, sf, "conversations").where("text is not null").withColumn("text", ascii_only).withColumn("before", F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn"))).withColumn("head", F.substring("text", 1, 60))
+    said = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("The "), "head", F.lit("!"))).otherwise(F.substring("text", 20, 80))
+    em, f1 = M.best_answer(said, F.array_compact(F.array("head", "before")))
+    return c.select("conv_id", "turn", em.alias("exact_match"), F.round(f1, 9).alias("f1"))

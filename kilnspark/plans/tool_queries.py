@@ -25,7 +25,7 @@ _FORMS = {
     "qwen": "'<tool_call>' || chr(10) || '{\"name\": \"say_' || role || '\", \"arguments\": ' || a || '}' || chr(10) || '</tool_call>' || chr(10) || '<tool_call>' || chr(10) || '{\"name\": \"stop\", \"arguments\": {\"now\": true}}' || chr(10) || '</tool_call>'",
     "minimax1": "'<tool_calls>' || chr(10) || '{\"name\": \"say_' || role || '\", \"arguments\": ' || a || '}' || chr(10) || '{\"name\": \"stop\", \"arguments\": {\"now\": true}}' || chr(10) || '</tool_calls>'",
     "minimax2": "'<invoke name=\"say_' || role || '\">' || chr(10) || '<parameter name=\"what\">' || t || '</parameter>' || chr(10) || '<parameter name=\"times\">' || turn || '</parameter>' || chr(10) || '</invoke>' || chr(10) || '<invoke name=\"stop\">' || chr(10) || '<parameter name=\"now\">true</parameter>' || chr(10) || '</invoke>'",
-    "seed": "chr(10) || '<seed:tool_call>' || chr(10) || '<function=say_' || role || '>' || chr(10) || '<parameter=what>' || t || '</parameter>' || chr(10) || '<parameter=times>' || turn || '</parameter>' || chr(10) || '</function>' || chr(10) || '</seed:tool_call>' || chr(10) || chr(10) || '<seed:tool_call>' || chr(10) || '<function=stop>' || chr(10) || '<parameter=now>true</parameter>' || chr(10) || '</function>' || chr(10) || '</seed:tool_call>'",
+    "seed": "chr(10) || '<seed:tool_call>' || chr(10) || '<function=say_' || role || chr(10) || '<parameter=what>' || t || '</parameter>' || chr(10) || '<parameter=times>' || turn || '</parameter>' || chr(10) || '</function>' || chr(10) || '</seed:tool_call>' || chr(10) || chr(10) || '<seed:tool_call>' || chr(10) || '<function=stop' || chr(10) || '<parameter=now>true</parameter>' || chr(10) || '</function>' || chr(10) || '</seed:tool_call>'",
     "glm4_moe": "chr(10) || '<tool_call>say_' || role || chr(10) || '<arg_key>what</arg_key>' || chr(10) || '<arg_value>' || t || '</arg_value>' || chr(10) || '<arg_key>times</arg_key>' || chr(10) || '<arg_value>' || turn || '</arg_value>' || chr(10) || chr(10) || '<tool_call>stop' || chr(10) || '<arg_key>now</arg_key>' || chr(10) || '<arg_value>true</arg_value>'",
     "qwen35": "'<tool_call>' || chr(10) || '<function=say_' || role || '>' || chr(10) || '<parameter=what>' || chr(10) || t || chr(10) || '</parameter>' || chr(10) || '<parameter=times>' || chr(10) || turn || chr(10) || '</parameter>' || chr(10) || '</function>' || chr(10) || '</tool_call>' || chr(10) || '<tool_call>' || chr(10) || '<function=stop>' || chr(10) || '<parameter=now>' || chr(10) || 'true' || chr(10) || '</parameter>' || chr(10) || '</function>' || chr(10) || '</tool_call>'",
     "lfm2": "'<|tool_call_start|>[say_' || role || '(what=\"' || t || '\", times=' || turn || '), stop(now=true)]<|tool_call_end|>'",
@@ -42,7 +42,12 @@ def tool_call_texts(spark, sf):
 def tool_calls_back(spark, sf):
     """One call in each of the twelve dialects, taken out of its text again."""
     rows = _calls(spark, sf, False)
-    each = F.array(*[F.struct(F.lit(d).alias("dialect"), T.extract_calls(T.call_text(F.col("calls"), d), d).alias("found")) for d in T.DIALECTS])
+
+    def said(d):
+        text = T.call_text(F.col("calls"), d)
+        return F.concat(F.lit("<minimax:tool_call>\n"), text, F.lit("\n</minimax:tool_call>")) if d == "minimax2" else text
+
+    each = F.array(*[F.struct(F.lit(d).alias("dialect"), T.extract_calls(said(d), d).alias("found")) for d in T.DIALECTS])
     x = rows.select("conv_id", "turn", F.explode(each).alias("x")).select("conv_id", "turn", "x.dialect", F.get("x.found", F.lit(0)).alias("c"))
     args = F.from_json(F.col("c.arguments"), "what string, times long")
     return x.select("conv_id", "turn", "dialect", F.col("c.name").alias("name"), args["what"].alias("what"), args["times"].alias("times"))
@@ -53,3 +58,29 @@ def tool_calls_absent(spark, sf):
     """Plain text holds no calls in any dialect."""
     c = table(spark, sf, "conversations").where("text is not null").withColumn("t", F.concat(F.lit("said: "), "text"))
     return c.select("conv_id", "turn", sum((T.extract_calls(F.col("t"), d).isNull().cast("int") for d in T.DIALECTS), F.lit(0)).alias("n"))
+
+
+_TOOL_SQL = """'{"name": "say_' || role || '", "description": "' || t || '", "parameters": {"type": "object", "properties": {"what": {"type": "string", "description": "it", "enum": ["a", "b"]}, "times": {"type": "array", "items": {"type": "integer"}}}, "required": ["what"]}}'"""
+_STOP_SQL = """'{"type": "function", "function": {"name": "stop", "parameters": {"type": "object", "properties": {}}}}'"""
+
+
+@query("tool_descriptions", f"""WITH b AS (SELECT conv_id, turn, role, {_TEXT} AS t FROM conversations WHERE text IS NOT NULL), j AS (SELECT *, {_TOOL_SQL} AS say, {_STOP_SQL} AS stop, '{{"name": "stop", "parameters": {{"type": "object", "properties": {{}}}}}}' AS bare FROM b)
+SELECT conv_id, turn, 'You have access to the following tools:' || chr(10) || '> Tool Name: say_' || role || chr(10) || 'Tool Description: ' || t || chr(10) || 'Tool Args:' || chr(10) || '  - what (string, required): it, should be one of [a, b]' || chr(10) || '  - times (array): , where each item should be integer' || chr(10) || chr(10)
+  || '> Tool Name: stop' || chr(10) || 'Tool Description: ' || chr(10) || 'Tool Args:' || chr(10) || chr(10) || 'Use the following format if using a tool:' || chr(10) || '```' || chr(10) || 'Action: tool name (one of [say_' || role || ', stop])' || chr(10) || 'Action Input: the input to the tool, in a JSON format representing the kwargs (e.g. ```{{"input": "hello world", "num_beams": 5}}```)' || chr(10) || '```' || chr(10) AS "default",
+  '[AVAILABLE_TOOLS] [{{"type": "function", "function": ' || say || '}}, ' || stop || '][/AVAILABLE_TOOLS]' AS mistral,
+  'List of tools: <|tool_list_start|>[' || say || ', ' || bare || ']<|tool_list_end|>' AS lfm2,
+  '<|im_start|>system' || chr(10) || 'Be kind.' || chr(10) || chr(10) || '# Tools' || chr(10) || chr(10) || 'You may call one or more functions to assist with the user query.' || chr(10) || chr(10) || 'You are provided with function signatures within <tools></tools> XML tags:' || chr(10) || '<tools>' || chr(10) || '{{"type": "function", "function": ' || say || '}}' || chr(10) || stop || chr(10) || '</tools>' || chr(10) || chr(10)
+  || 'For each function call, return a json object with function name and arguments within <tool_call></tool_call> XML tags:' || chr(10) || '<tool_call>' || chr(10) || '{{"name": <function-name>, "arguments": <args-json-object>}}' || chr(10) || '</tool_call><|im_end|>' || chr(10)
+  || '<|im_start|>user' || chr(10) || 'Say it.<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) || '<tool_call>' || chr(10) || '{{"name": "stop", "arguments": {{"times": [1, 2]}}}}' || chr(10) || '</tool_call><|im_end|>' || chr(10)
+  || '<|im_start|>user' || chr(10) || '<tool_response>' || chr(10) || t || chr(10) || '</tool_response><|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) AS rendered FROM j""")
+def tool_descriptions(spark, sf):
+    """Tools described in four dialects; the last one inside turn 0 of a chat with a call and its answer."""
+    from kilnspark.operators import samples as S
+
+    c = table(spark, sf, "conversations").where("text is not null").withColumn("t", F.trim(F.regexp_replace("text", "[^A-Za-z ]+", "")))
+    say = F.concat(F.lit('{"name":"say_'), "role", F.lit('","description":"'), "t", F.lit('","parameters":{"type":"object","properties":{"what":{"type":"string","description":"it","enum":["a","b"]},"times":{"type":"array","items":{"type":"integer"}}},"required":["what"]}}'))
+    tools = F.concat(F.lit("["), say, F.lit(', {"type": "function", "function": {"name": "stop", "parameters": {"type": "object", "properties": {}}}}]'))
+    turn = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content"))
+    messages = F.array(turn("user", F.lit("Say it.")), turn("function", F.lit('{"name": "stop", "arguments": {"times":[1,2]}}')), turn("observation", F.col("t")))
+    rows = c.withColumn("tools", tools)
+    return rows.select("conv_id", "turn", *[T.tools_text(F.col("tools"), d).alias(d) for d in ("default", "mistral", "lfm2")], S.render_chat(messages, F.lit("Be kind."), "qwen", F.col("tools")).alias("rendered"))
