@@ -63,6 +63,13 @@ def json_pairs(text: Column) -> Column:
     return F.transform(split_top(inner, ",", r"""(?s)"(?:\\.|[^"\\])*"|[\[\]{},"]|[^\[\]{},"]+"""), lambda p: F.struct(json_text(F.regexp_extract(p, entry, 1)).alias("key"), F.regexp_extract(p, entry, 2).alias("value")))
 
 
+def is_json(text: Column) -> Column:
+    """Whether the text is one JSON value and nothing else; the engine's own parser stops after the first."""
+    listed = F.concat(F.lit("["), text, F.lit("]"))
+    one = F.size(F.from_json(listed, "array<variant>")) == 1
+    return F.coalesce(F.try_parse_json(listed).isNotNull() & one, F.lit(False))
+
+
 def json_text(text: Column) -> Column:
     """The string that a JSON string stands for."""
     return F.try_parse_json(text).cast("string")

@@ -138,3 +138,8 @@ def test_descriptions(spark, dialect):
         "qwen35": ["<tools>\n" + "\n".join(show(function, bare)) + "\n</tools>", "</IMPORTANT>"],
     }.get(dialect, ["<tools>\n" + "\n".join(show(TOOLS[0], typed)) + "\n</tools>"]):
         assert part in found[0]
+
+
+def test_one_json_value_and_nothing_else(spark):
+    values = ['{"a": 1}', ' [1, 2]\n', "1", "null", '"x"', '{"a": 1}{"b": 2}', '{"a": 1}, {"b": 2}', "1,null", "1,2", "", " ", "words", '{"a": ', None, "[1] x", "]["]
+    assert got(texts(spark, values), N.is_json(F.col("t"))) == [True] * 5 + [False] * 11
