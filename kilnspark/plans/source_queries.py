@@ -261,3 +261,37 @@ def sink_scrubbed_lines(spark, sf):
     lines.publish(c.select(F.when(F.col("turn") % 5 == 4, F.substring(whole, 1, 20)).otherwise(whole).alias("value")))
     scrub_lines(lines)
     return lines.read().select(F.from_json("value", "conv_id long, turn long").alias("x")).select("x.*").distinct()
+
+
+def _archive(docs):
+    """One group's documents in an archive, every third one in an archive within it."""
+    import pandas as pd
+
+    data, within = io.BytesIO(), io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        with zipfile.ZipFile(within, "w") as w:
+            for doc_id, text in zip(docs["doc_id"], docs["text"], strict=True):
+                (w if doc_id % 3 == 0 else z).writestr(f"d/{doc_id}.txt", text or "")
+                z.writestr(f"d/{doc_id}.skip", "no")
+        z.writestr("more.zip", within.getvalue())
+    return pd.DataFrame([(int(docs["part"].iloc[0]), data.getvalue())], columns=["part", "data"])
+
+
+@query("scan_nested_archives", "SELECT doc_id, strlen(text) AS n_bytes, doc_id % 3 = 0 AS inside FROM documents")
+def scan_nested_archives(spark, sf):
+    """All documents in archives of 64, made and unzipped in tasks; archives within archives are read through."""
+    from kilnspark.sources.archives import walk
+
+    docs = table(spark, sf, "documents").select("doc_id", "text", F.floor(F.col("doc_id") / 64).alias("part"))
+    made = docs.groupBy("part").applyInPandas(_archive, "part long, data binary")
+
+    def members(batches):
+        import pyarrow as pa
+
+        for given in batches:
+            for data in given.column("data").to_pylist():
+                rows = [(m, len(c)) for m, c in walk(io.BytesIO(data), lambda m: m.endswith(".txt"))]
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], names=["member", "n_bytes"])
+
+    found = made.mapInArrow(members, "member string, n_bytes long")
+    return found.select(F.regexp_extract("member", r"d/(\d+)\.txt$", 1).cast("long").alias("doc_id"), "n_bytes", F.col("member").startswith("more.zip!/").alias("inside"))

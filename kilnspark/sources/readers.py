@@ -67,22 +67,34 @@ def read_pages(spark: SparkSession, path: str, least: int = 400) -> DataFrame:
 
 
 def read_zip(spark: SparkSession, path: str, suffix: str) -> DataFrame:
-    """(path, member, content) of the archives' members with a suffix, unzipped on the executors."""
+    """(path, member, content) of the members with a suffix, archives within archives included, unzipped on the executors.
 
-    def members(frames):
+    Members come out one batch at a time, so that an archive's size bounds nothing but itself.
+    """
+
+    def members(batches):
         import io
-        import zipfile
 
-        import pandas as pd
+        import pyarrow as pa
 
-        for frame in frames:
-            out = []
-            for p, data in zip(frame["path"], frame["content"]):
-                with zipfile.ZipFile(io.BytesIO(data)) as z:
-                    out += [(p, n, z.read(n).decode("utf-8", "replace")) for n in sorted(z.namelist()) if n.endswith(suffix)]
-            yield pd.DataFrame(out, columns=["path", "member", "content"])
+        from kilnspark.sources.archives import walk
+
+        def batch(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows, strict=True)], names=["path", "member", "content"])
+
+        for given in batches:
+            for p, data in zip(given.column("path").to_pylist(), given.column("content").to_pylist(), strict=True):
+                rows, size = [], 0
+                for name, content in walk(io.BytesIO(data), lambda m: m.endswith(suffix)):
+                    rows.append((p, name, content.decode("utf-8", "replace")))
+                    size += len(content)
+                    if size > 4 << 20:
+                        yield batch(rows)
+                        rows, size = [], 0
+                if rows:
+                    yield batch(rows)
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(members, "path string, member string, content string")
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(members, "path string, member string, content string")
 
 
 def read_yaml_rules(spark: SparkSession, path: str) -> DataFrame:
