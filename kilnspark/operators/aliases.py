@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kilnspark.operators.graph import components
+from kilnspark.sources.workspace import materialise
 
 
 def _name(c: Column) -> Column:
@@ -22,22 +23,42 @@ def alias_keys(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("name")).union(edges.select(F.col("b").alias("name"))).distinct()
 
 
+#: Names up to which they are broadcast to the texts' words (some 50 bytes each).
+BROADCAST_NAMES = 200_000
+_WORDS = "[a-z0-9]+"
+
+
+def _grams(words: Column, lengths: list[int]) -> Column:
+    """All runs of words of these lengths, joined by a space, each once."""
+
+    def of(n: int) -> Column:
+        runs = F.transform(F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i: F.array_join(F.slice(words, i, n), " "))
+        return F.when(F.size(words) >= n, runs).otherwise(F.array().cast("array<string>"))
+
+    return F.array_distinct(F.concat(*map(of, lengths)))
+
+
 def resolve(texts: DataFrame, key: str, text: str, names: DataFrame, least: int = 3) -> DataFrame:
     """``(key, actor)``: the text itself if it is a name, else the longest name in it as a whole word (then the earliest), else the text.
 
-    Names under ``least`` characters are not searched for.  Texts meet the names by equality
-    with their own whole-word parts, none longer than the longest name.
+    Names under ``least`` characters are not searched for.  A name that stands in a text as a whole
+    word has its ASCII words there in a row, so texts meet names by runs of as many words as
+    names have; names without such a word meet them by their first sign.  Then the name itself is looked for.
     """
-    longest = names.agg(F.coalesce(F.max(F.length("name")), F.lit(0)).alias("most"))
-    rows = texts.select(key, F.coalesce(_name(F.col(text)), F.lit("")).alias("t")).crossJoin(F.broadcast(longest))  # one row
-    edge = lambda c: ~F.coalesce(c, F.lit("")).rlike("^[a-z0-9]$")
-    places = F.when(F.length("t") > 0, F.sequence(F.lit(1), F.length("t"))).otherwise(F.array().cast("array<int>"))
-    starts = F.filter(places, lambda i: edge(F.when(i > 1, F.col("t").substr(i - 1, F.lit(1)))))
-    ends = F.filter(places, lambda i: edge(F.when(i < F.length("t"), F.col("t").substr(i + 1, F.lit(1)))))
-    cut = rows.select(key, "t", "most", F.explode(starts).alias("at"), ends.alias("ends"))
-    parts = cut.select(key, "at", F.explode(F.transform(F.filter("ends", lambda e: (e >= F.col("at")) & (e < F.col("at") + F.col("most"))), lambda e: F.col("t").substr(F.col("at"), e - F.col("at") + 1))).alias("name"))
-    hits = parts.where(F.length("name") >= least).join(names, "name")
-    best = hits.groupBy(key).agg(F.min(F.struct((-F.length("name")).alias("n"), "at", "name")).alias("x")).select(key, F.col("x.name").alias("found"))
+    wanted = names.where(F.length("name") >= least).withColumn("w", F.regexp_extract_all("name", F.lit(_WORDS), F.lit(0))).select("name", F.size("w").alias("n"), F.when(F.size("w") > 0, F.array_join("w", " ")).otherwise(F.concat(F.lit("\u0000"), F.substring("name", 1, 1))).alias("gram"))
+    wanted = materialise(wanted)
+    sizes = wanted.groupBy("n").agg(F.count("*").alias("c")).collect()  # as many rows as the longest name has words
+    lengths = sorted(r.n for r in sizes if r.n)
+    side = F.broadcast(wanted) if sum(r.c for r in sizes) <= BROADCAST_NAMES else wanted
+    rows = texts.select(key, F.coalesce(_name(F.col(text)), F.lit("")).alias("t"))
+    split = rows.select(key, F.regexp_extract_all("t", F.lit(_WORDS), F.lit(0)).alias("w"), F.array_distinct(F.regexp_extract_all("t", F.lit("(?s)[^a-z0-9\\s]"), F.lit(0))).alias("signs"))
+    parts = [_grams(F.col("w"), lengths)] if lengths else []
+    if any(r.n == 0 for r in sizes):
+        parts.append(F.transform("signs", lambda c: F.concat(F.lit("\u0000"), c)))
+    grams = F.concat(*parts) if parts else F.array().cast("array<string>")
+    met = split.select(key, F.explode(grams).alias("gram")).join(side, "gram").select(key, "name").distinct()
+    hits = met.join(rows, key).where(_whole(F.col("t"), F.col("name")))
+    best = hits.groupBy(key).agg(F.min(F.struct((-F.length("name")).alias("n"), F.expr("locate(name, t)").alias("at"), "name")).alias("x")).select(key, F.col("x.name").alias("found"))
     whole = rows.join(names.select(F.col("name").alias("t"), F.lit(True).alias("is_name")), "t", "left").join(best, key, "left")
     return whole.select(key, F.when(F.col("is_name"), F.col("t")).otherwise(F.coalesce("found", "t")).alias("actor"))
 

@@ -5,12 +5,15 @@ Random choice is an order by ``md5(seed|key)``: any engine can repeat it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kilnspark.operators.numbering import numbered
+from kilnspark.operators.skew import join_counted
+from kilnspark.sources.workspace import materialise
 
 
 def draw(seed: str, *keys: str) -> Column:
@@ -29,13 +32,41 @@ def interleave(df: DataFrame, family: str, key: str, seed: str) -> DataFrame:
     return out.withColumn("pos", (F.col("_rank") + 0.5) * F.col("_all") / F.col("_size")).select(*df.columns, "pos")
 
 
+#: Hexadecimal digits of the draw that make a bin: 65,536 of them.
+BIN_DIGITS = 4
+
+
+def firsts(df: DataFrame, family: list[str], key: str, seed: str, take: Callable[[Column], Column | int]) -> DataFrame:
+    """``df`` with ``_first``: whether a row is among the first of its family in drawn order, ``take`` of the family's size many.
+
+    Nothing sorts a family.  Draws are counted by family and bin; the bin in which
+    the number is reached parts those before it, which all count, from those after
+    it, and only its own rows, one in 65,536 or so, are ranked.  Nulls are a family.
+    """
+    tag = F.to_json(F.array(*[F.col(c).cast("string") for c in family]))
+    rows = df.withColumn("_f", tag).withColumn("_d", draw(seed, key)).withColumn("_bin", F.conv(F.substring("_d", 1, BIN_DIGITS), 16, 10).cast("int"))
+    bins = materialise(rows.groupBy("_f", "_bin").agg(F.count("*").alias("_n")))
+    whole = Window.partitionBy("_f")
+    upto = F.sum("_n").over(whole.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0))
+    known = bins.withColumn("_size", F.sum("_n").over(whole)).withColumn("_upto", upto)
+    wanted = take(F.col("_size"))
+    known = known.withColumn("_k", F.least(F.lit(wanted) if isinstance(wanted, int) else wanted, F.col("_size")))
+    reached = F.col("_upto") >= F.col("_k")
+    plan = known.groupBy("_f").agg(F.max("_size").alias("_size"), F.min(F.when(reached, F.col("_bin"))).alias("_border"), F.min_by(F.col("_k") - F.col("_upto") + F.col("_n"), F.when(reached, F.col("_bin"))).alias("_left"), F.min_by("_n", F.when(reached, F.col("_bin"))).alias("_in"))
+    plan = materialise(plan)
+    total = plan.agg(F.sum("_size")).first()[0] or 0
+    met = join_counted(rows, plan, "_f", "_size", total)
+    sure = (F.col("_bin") < F.col("_border")) | ((F.col("_bin") == F.col("_border")) & (F.col("_left") >= F.col("_in")))
+    open_ = (F.col("_bin") == F.col("_border")) & (F.col("_left") < F.col("_in"))
+    ranked = F.row_number().over(Window.partitionBy("_f").orderBy("_d", key)) <= F.col("_left")
+    clear = met.where(~open_).withColumn("_first", sure)
+    return clear.unionByName(met.where(open_).withColumn("_first", ranked)).select(*df.columns, "_first")
+
+
 def cap(df: DataFrame, family: str, key: str, most: int, seed: str, preserve: str | None = None) -> DataFrame:
     """At most ``most`` rows of each family; families with the preserved prefix stay whole."""
-    w = Window.partitionBy(family).orderBy(draw(seed, key), key)
-    keep = F.col("_rn") <= most
-    if preserve:
-        keep = keep | F.col(family).startswith(preserve)
-    return df.withColumn("_rn", F.row_number().over(w)).where(keep).drop("_rn")
+    kept = F.coalesce(F.col(family).startswith(preserve), F.lit(False)) if preserve else F.lit(False)
+    return firsts(df, [family], key, seed, lambda n: most).where(F.col("_first") | kept).drop("_first")
 
 
 def sample(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:
@@ -45,23 +76,19 @@ def sample(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:
 
 def two_caps(df: DataFrame, actor: str, family: str, key: str, per_actor: int, per_family: int, seed: str) -> DataFrame:
     """Cap each actor, then each family; rows without an actor meet only the second cap."""
-    a = Window.partitionBy(family, actor).orderBy(draw(seed, key), key)
-    f = Window.partitionBy(family).orderBy(draw(seed, key), key)
-    first = df.withColumn("_rn", F.row_number().over(a)).where(F.col(actor).isNull() | (F.col("_rn") <= per_actor))
-    return first.withColumn("_rn", F.row_number().over(f)).where(F.col("_rn") <= per_family).drop("_rn")
+    named = firsts(df.where(F.col(actor).isNotNull()), [family, actor], key, seed, lambda n: per_actor).where("_first").drop("_first")
+    first = materialise(named.unionByName(df.where(F.col(actor).isNull())))
+    return firsts(first, [family], key, seed, lambda n: per_family).where("_first").drop("_first")
 
 
 def validation_slice(df: DataFrame, axis: str, key: str, most: int, seed: str) -> DataFrame:
     """Column ``split``: val for up to ``most`` rows of each axis, train for the others."""
-    w = Window.partitionBy(axis).orderBy(draw(seed, key), key)
-    return df.withColumn("split", F.when(F.row_number().over(w) <= most, "val").otherwise("train"))
+    return firsts(df, [axis], key, seed, lambda n: most).withColumn("split", F.when(F.col("_first"), "val").otherwise("train")).drop("_first")
 
 
 def fraction(df: DataFrame, group: str, key: str, share: float, seed: str) -> DataFrame:
     """ceil(share * n) rows of each group, one at least."""
-    w = Window.partitionBy(group)
-    out = df.withColumn("_rn", F.row_number().over(w.orderBy(draw(seed, key), key))).withColumn("_n", F.count("*").over(w))
-    return out.where(F.col("_rn") <= F.greatest(F.lit(1), F.ceil(F.lit(share) * F.col("_n")))).drop("_rn", "_n")
+    return firsts(df, [group], key, seed, lambda n: F.greatest(F.lit(1), F.ceil(F.lit(share) * n))).where("_first").drop("_first")
 
 
 def resample(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:

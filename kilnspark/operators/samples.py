@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kilnspark.sources.workspace import materialise
+
 from kilnspark.operators.metrics import infer_lengths
 from kilnspark.operators.numbering import numbered
 
@@ -267,3 +269,40 @@ def stitch(df: DataFrame, key: str, text: str, least: int, most: int, seed: str,
     out = rows.groupBy("grp", "part").agg(F.sort_array(F.collect_list(F.struct("h", F.col(key).alias("k"), F.col(text).alias("t")))).alias("x"), F.max_by(key, F.struct(F.length(text), F.col(key))).alias("question_of"))
     joined = F.array_join(F.transform("x", lambda r: r["t"]), "\n\n")
     return out.select("grp", "part", F.size("x").alias("n_rows"), "question_of", joined.alias("context")).where(F.length("context") >= least)
+
+
+#: How a stitched report is laid out.
+REPORT_HEADER = "THREAT INTELLIGENCE REPORT\n============================================================"
+SECTION_RULE = "------------------------------------------------------------"
+QUESTION_HEADER = "\n\nQUESTION\n------------------------------------------------------------\n"
+
+
+def drawn_contexts(df: DataFrame, key: str, text: str, name: str, question: str, count: int, seed: str, rows: tuple[int, int] = (5, 15), chars: tuple[int, int] = (24_000, 56_000), attempts: int = 24) -> DataFrame:
+    """``count`` long contexts: (context, attempt, n_rows, chars, question_of, report, answer).
+
+    Each context has up to ``attempts`` independent draws of ``rows`` many different rows; the first one whose
+    texts have ``chars`` many characters is taken, and if there is none, one more draw of the largest number.
+    Draw j of an attempt is the row at the hash of (seed, context, attempt, j), places already drawn being
+    passed over; after eight hashes for each row wanted it makes do with those it has.  The longest text is
+    the one that is asked about.  Lengths are drawn first, texts of the chosen draws alone are moved.
+    """
+    from kilnspark.operators.numbering import numbered
+
+    least, most = rows
+    pool = materialise(numbered(df.where(F.length(text) > 0).select(key, text, name, question, F.length(text).alias("_len")), [key], "_at"))
+    size = pool.count()
+    place = lambda *x: F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), *[c.cast("string") for c in x])), 1, 15), 16, 10).cast("long")
+    c, a = F.col("context"), F.col("attempt")
+    slots = df.sparkSession.range(count).select(F.col("id").alias("context"), F.explode(F.sequence(F.lit(0), F.lit(attempts))).alias("attempt"))
+    wanted = F.when(a == attempts, most).otherwise(least + place(c, a, F.lit("n")) % (most - least + 1)).cast("int")
+    slots = slots.withColumn("wanted", F.least(wanted, F.lit(size)))
+    places = F.slice(F.array_distinct(F.transform(F.sequence(F.lit(0), 8 * F.col("wanted") - 1), lambda j: place(c, a, j) % max(1, size))), F.lit(1), F.col("wanted"))
+    drawn = slots.where("wanted > 0").select("context", "attempt", F.posexplode(places).alias("j", "_at"))
+    sums = drawn.join(pool.select("_at", "_len"), "_at").groupBy("context", "attempt").agg(F.sum("_len").alias("chars"))
+    fits = (F.col("chars") >= chars[0]) & (F.col("chars") <= chars[1])
+    chosen = sums.where(fits | (a == attempts)).groupBy("context").agg(F.min("attempt").alias("attempt"), F.min_by("chars", "attempt").alias("chars"))
+    held = drawn.join(chosen, ["context", "attempt"]).join(pool, "_at")
+    out = held.groupBy("context", "attempt", "chars").agg(F.sort_array(F.collect_list(F.struct("j", F.col(name).cast("string").alias("name"), F.col(text).alias("text")))).alias("x"), F.min_by(F.struct(key, F.col(question).alias("q"), F.col(text).alias("t")), F.struct(-F.col("_len"), "j")).alias("asked"))
+    section = lambda r, i: F.concat(F.lit("\nSECTION "), (i + 1).cast("string"), F.lit(" ("), F.coalesce(r["name"], F.lit("section")), F.lit(f")\n{SECTION_RULE}\n"), F.trim(r["text"]))
+    report = F.concat(F.lit(REPORT_HEADER), F.array_join(F.transform("x", section), ""), F.lit(QUESTION_HEADER), F.trim(F.coalesce(F.col("asked.q").cast("string"), F.lit(""))))
+    return out.select("context", "attempt", F.size("x").alias("n_rows"), "chars", F.col(f"asked.{key}").alias("question_of"), report.alias("report"), F.trim("asked.t").alias("answer"))

@@ -183,3 +183,20 @@ def stream_token_batches(spark, sf):
         B.run_batches(I.read_files(spark, landing, "shard long, position long, tokens array<int>"), out, state, 8)
     given = spark.read.schema(B.BATCHES).parquet(out)
     return given.select("shard", "batch", "place", F.col("position").alias("doc_id"), F.size("tokens").cast("long").alias("n_tokens"), F.aggregate("tokens", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))
+
+
+@query("stitch_drawn", """WITH pool AS (SELECT doc_id, text, lang, source, length(text) AS len, row_number() OVER (ORDER BY doc_id) - 1 AS spot FROM documents WHERE length(text) > 0), size AS (SELECT count(*) AS n FROM pool),
+slots AS (SELECT c.range AS context, a.range AS attempt, CASE WHEN a.range = 24 THEN 9 ELSE 3 + CAST('0x' || substring(md5('sd|' || c.range || '|' || a.range || '|n'), 1, 15) AS BIGINT) % 7 END AS wanted FROM (SELECT unnest(range(CAST((SELECT n FROM size) // 10 AS BIGINT))) AS range) c, range(25) a),
+hashed AS (SELECT context, attempt, wanted, j, CAST('0x' || substring(md5('sd|' || context || '|' || attempt || '|' || j), 1, 15) AS BIGINT) % (SELECT n FROM size) AS spot FROM (SELECT *, unnest(range(8 * wanted)) AS j FROM slots)),
+firsts AS (SELECT context, attempt, any_value(wanted) AS wanted, spot, min(j) AS h FROM hashed GROUP BY context, attempt, spot),
+drawn AS (SELECT context, attempt, spot, row_number() OVER (PARTITION BY context, attempt ORDER BY h) - 1 AS j FROM firsts QUALIFY j < wanted),
+sums AS (SELECT context, attempt, sum(len)::BIGINT AS chars FROM drawn JOIN pool USING (spot) GROUP BY ALL),
+chosen AS (SELECT context, min(attempt) AS attempt FROM sums WHERE chars BETWEEN 4000 AND 9000 OR attempt = 24 GROUP BY 1),
+held AS (SELECT d.context, d.attempt, s.chars, d.j, p.* FROM chosen c JOIN drawn d ON d.context = c.context AND d.attempt = c.attempt JOIN sums s ON s.context = c.context AND s.attempt = c.attempt JOIN pool p ON p.spot = d.spot)
+SELECT context, attempt::INTEGER AS attempt, count(*)::INTEGER AS n_rows, any_value(chars) AS chars, arg_min(doc_id, struct_pack(l := -len, j := j)) AS question_of,
+  md5('THREAT INTELLIGENCE REPORT' || chr(10) || repeat('=', 60) || string_agg(chr(10) || 'SECTION ' || (j + 1) || ' (' || source || ')' || chr(10) || repeat('-', 60) || chr(10) || trim(text), '' ORDER BY j) || chr(10) || chr(10) || 'QUESTION' || chr(10) || repeat('-', 60) || chr(10) || arg_min(lang, struct_pack(l := -len, j := j))) AS report_md5 FROM held GROUP BY ALL""")
+def stitch_drawn(spark, sf):
+    """One context for ten documents; the first of 24 draws of three to nine rows with 4,000 to 9,000 characters."""
+    docs = table(spark, sf, "documents")
+    out = S.drawn_contexts(docs, "doc_id", "text", "source", "lang", docs.where("length(text) > 0").count() // 10, "sd", (3, 9), (4000, 9000))
+    return out.select("context", "attempt", "n_rows", "chars", "question_of", F.md5("report").alias("report_md5"))
