@@ -29,6 +29,7 @@ from kilnspark.llm.common import materialise, parts, release_memory, small_batch
 
 CAPACITY = 2048
 CACHE = 450_000
+PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _kept: dict[str, ChunkTokenizer] = {}
 
 
@@ -36,8 +37,8 @@ class ChunkTokenizer:
     """Ids of a tokenizer that drops white space, from a cache of chunks.
 
     Pre-tokens never span white space there, so the ids of a text are those of its
-    chunks between ASCII white space.  A chunk that ends in one comma or full
-    stop after an ASCII letter or digit is two pre-tokens.
+    chunks between ASCII white space.  ASCII punctuation at a chunk's end, after
+    an ASCII letter or digit, is a pre-token of its own.
     """
 
     def __init__(self, path: str):
@@ -48,6 +49,9 @@ class ChunkTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         self.ends[[i for s, i in vocabulary.items() if s.endswith("</w>")]] = True
+        single = self.tokenizer.encode("a ; b", add_special_tokens=False).ids
+        alone = self.tokenizer.encode(";", add_special_tokens=False).ids
+        self.semicolon = alone[0] if len(alone) == 1 and single.count(alone[0]) == 1 else None
 
     def _encode(self, chunks: list[bytes]) -> dict[bytes, bytes]:
         """Ids of each chunk.
@@ -68,6 +72,17 @@ class ChunkTokenizer:
                     out[chunks[k]] = raw[at:to]
                     at = to
         rest = [k for k in range(len(chunks)) if chunks[k] not in out]
+        # a semicolon between blanks is a pre-token of its own: chunks without one go through in one text as well
+        joined = [k for k in rest if b";" not in chunks[k] and b"<|" not in chunks[k]] if self.semicolon is not None else []
+        if joined:
+            whole = np.array(self.tokenizer.encode_batch_fast([" ; ".join([decoded[k] for k in joined])], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = np.flatnonzero(whole == self.semicolon)
+            if len(cuts) == len(joined) - 1:
+                raw, at = whole.tobytes(), 0
+                for k, to in zip(joined, [*(4 * cuts).tolist(), len(raw)]):
+                    out[chunks[k]] = raw[at:to]
+                    at = to + 4
+                rest = [k for k in rest if chunks[k] not in out]
         found = self.tokenizer.encode_batch_fast([decoded[k] for k in rest], add_special_tokens=False)
         return out | {chunks[k]: array("I", e.ids).tobytes() for k, e in zip(rest, found)}
 
@@ -76,11 +91,17 @@ class ChunkTokenizer:
         split = [(t if b"<|" in t else t.lower()).split() for t in docs]
         cache = self.cache
         new = set().union(*split) - cache.keys()
-        stems = {c: c[:-1] for c in new if c[-1:] in (b".", b",") and c[-2:-1].isalnum() and b"<|" not in c}
-        need = ((new - stems.keys()) | set(stems.values()) | {b".", b","}) - cache.keys()
+        stems = {}
+        for c in new:
+            stem = c.rstrip(PUNCTUATION)
+            if stem is not c and stem != c and stem[-1:].isalnum() and b"<|" not in c:
+                stems[c] = stem, c[len(stem) :]
+        need = new - stems.keys()
+        need.update(*stems.values())
+        need -= cache.keys()
         fresh = self._encode(list(need))
         get = lambda x: fresh.get(x) or cache[x]
-        fresh |= {c: get(stem) + get(c[-1:]) for c, stem in stems.items()}
+        fresh |= {c: get(stem) + get(tail) for c, (stem, tail) in stems.items()}
         # one table for the batch; what the cache has no room for leaves it afterwards
         cache.update(fresh)
         found = [b"".join(map(cache.__getitem__, chunks)) for chunks in split]
