@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kilnspark.operators.filters import license_verdict, wildcard
+from kilnspark.operators.graph import Graph
 
 
 def row_counts(df: DataFrame, name: str, axes: DataFrame) -> DataFrame:
@@ -61,3 +65,43 @@ def leak_overlap(train: DataFrame, held: DataFrame, keys: list[str]) -> DataFram
 def invariants(df: DataFrame, key: str, text: str) -> DataFrame:
     """Rows, distinct texts and their share, empty texts; one row."""
     return df.agg(F.count("*").alias("rows"), F.countDistinct(F.sha1(text)).alias("distinct_texts"), F.count_if(F.coalesce(F.trim(text), F.lit("")) == "").alias("empty_texts"), F.countDistinct(key).alias("distinct_keys"))
+
+
+@dataclass(frozen=True)
+class Floor:
+    """What a graph must have: nodes of ``label``, with ``prop`` set and over ``chars`` long, with an ``edge`` that leaves them; or edges alone."""
+
+    floor: int
+    label: str | None = None
+    prop: str | None = None
+    chars: int | None = None
+    edge: str | None = None
+
+    @property
+    def name(self) -> str:
+        text = f"{self.label}.{self.prop}" if self.prop else self.label
+        text = f"{text} over {self.chars}" if self.chars is not None else text
+        return text if not self.edge else self.edge if not self.label else f"{self.edge} from {text}"
+
+
+def floors(graph: Graph, wanted: list[Floor]) -> DataFrame:
+    """``(name, got, floor, ok)`` of each floor; a label or edge that the graph lacks has -1."""
+    spark = next(iter(graph.nodes.values())).sparkSession
+
+    def one(f: Floor) -> DataFrame:
+        if (f.label and f.label not in graph.nodes) or (f.edge and f.edge not in graph.edges) or (f.prop and f.prop not in graph.nodes[f.label].columns):
+            rows = spark.range(1).select(F.lit(-1).cast("long").alias("got"))
+        elif not f.label:
+            rows = graph.edges[f.edge][2].agg(F.count("*").alias("got"))
+        else:
+            nodes = graph.nodes[f.label]
+            if f.prop:
+                nodes = nodes.where(F.col(f.prop).isNotNull())
+            if f.chars is not None:
+                nodes = nodes.where(F.length(F.col(f.prop).cast("string")) > f.chars)
+            if f.edge:
+                nodes = nodes.join(graph.edges[f.edge][2].select(F.col("src").alias("id")), "id", "left_semi")
+            rows = nodes.agg(F.count("*").alias("got"))
+        return rows.select(F.lit(f.name).alias("name"), "got", F.lit(f.floor).alias("floor"), (F.col("got") >= f.floor).alias("ok"))
+
+    return reduce(DataFrame.union, map(one, wanted))

@@ -31,27 +31,45 @@ def answer_letter(text: Column) -> Column:
     return F.when(hit != "", hit).otherwise("A")
 
 
+#: A prime over any number of aliases has no factor in common with their numbers of subsets.
+_STEP = 2_147_483_647
+
+
+def _choose(n: Column, k: int) -> Column:
+    """Subsets of ``k`` of ``n`` things, in whole numbers."""
+    product, divisor = F.lit(1).cast("long"), 1
+    for i in range(k):
+        product, divisor = product * (n - i), divisor * (i + 1)
+    return F.when(n >= k, F.call_function("div", product, F.lit(divisor).cast("long"))).otherwise(F.lit(0).cast("long"))
+
+
 def alias_subsets(df: DataFrame, key: str, aliases: str, most: int, cap: int, seed: str) -> DataFrame:
-    """Up to ``cap`` drawn subsets of each size up to ``most``, of all aliases.
+    """``cap`` different drawn subsets of each size up to ``most``, or all if there are fewer, whatever the number of aliases.
 
-    A subset is the aliases of least hash in a drawn order of its own; the same subset is
-    drawn once.  Lists of up to 12 aliases have all their subsets drawn from.
+    Subsets of a size are numbered in the order of their masks.  Draw i takes number
+    (start + i * step) modulo how many there are: the start is hashed, the step shares no
+    factor with it, so no number comes twice; a number is turned into its subset from the largest place down.
     """
-    rows = df.where(F.size(aliases) > 0).select(key, F.col(aliases).alias("_a"))
-    n = F.size("_a")
-    masks = rows.where(n <= 12).select(key, "_a", F.explode(F.sequence(F.lit(1), F.pow(F.lit(2), n).cast("int") - 1)).alias("mask"))
-    small = masks.withColumn("size", F.bit_count("mask")).where(F.col("size") <= most)
-    w = Window.partitionBy(key, "size").orderBy(F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string"), F.col("mask").cast("string"))), "mask")
-    kept = small.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap)
-    kept = kept.select(key, "size", F.filter("_a", lambda a, i: F.getbit(F.col("mask"), i) == 1).alias("subset"))
-    # longer lists: a few more orders than wanted, since two may give the same subset
-    tries = rows.where(n > 12).select(key, "_a", F.explode(F.sequence(F.lit(1), F.least(n, F.lit(most)))).alias("size")).withColumn("try", F.explode(F.sequence(F.lit(1), F.lit(4 * cap))))
-    order = F.sort_array(F.transform("_a", lambda a, i: F.struct(F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string"), F.col("size").cast("string"), F.col("try").cast("string"), i.cast("string"))).alias("h"), i.alias("i"))))
-    picked = tries.select(key, "_a", "size", "try", F.sort_array(F.transform(F.slice(order, F.lit(1), F.col("size")), lambda x: x["i"])).alias("at"))
-    first = picked.groupBy(key, "_a", "size", "at").agg(F.min("try").alias("try"))
-    v = Window.partitionBy(key, "size").orderBy("try")
-    large = first.withColumn("_rn", F.row_number().over(v)).where(F.col("_rn") <= cap)
-    return kept.union(large.select(key, "size", F.transform("at", lambda i: F.get(F.col("_a"), i))))
+    rows = df.where(F.size(aliases) > 0).select(key, F.col(aliases).alias("_a"), F.size(aliases).cast("long").alias("_n"))
+    sized = rows.withColumn("size", F.explode(F.sequence(F.lit(1), F.least(F.col("_n"), F.lit(most)).cast("int"))))
+    count = F.lit(0).cast("long")
+    for k in range(most, 0, -1):
+        count = F.when(F.col("size") == k, _choose(F.col("_n"), k)).otherwise(count)
+    start = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string"), F.col("size").cast("string"))), 1, 13), 16, 10).cast("long")
+    drawn = sized.withColumn("_all", count).withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.col("_all"), F.lit(cap)) - 1)))
+    out = drawn.withColumn("_rest", (start + F.col("_i") * _STEP) % F.col("_all")).withColumn("_at", F.array().cast("array<int>"))
+    places = F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)
+    for k in range(most, 0, -1):
+        here = F.size(_up_to(places, k)) - 1
+        out = out.withColumn("_c", F.when(F.col("size") >= k, here))
+        out = out.withColumn("_rest", F.when(F.col("size") >= k, F.col("_rest") - _choose(F.col("_c").cast("long"), k)).otherwise(F.col("_rest")))
+        out = out.withColumn("_at", F.when(F.col("size") >= k, F.concat("_at", F.array("_c"))).otherwise(F.col("_at")))
+    return out.select(key, "size", F.transform(F.sort_array("_at"), lambda i: F.get(F.col("_a"), i)).alias("subset"))
+
+
+def _up_to(places: Column, k: int) -> Column:
+    """The places of which no more subsets of ``k`` lie below than are left."""
+    return F.filter(places, lambda x: _choose(x, k) <= F.col("_rest"))
 
 
 def hard_negatives(owners: DataFrame, alias: str, owner: str, n: int, seed: str) -> DataFrame:
@@ -74,10 +92,10 @@ def phrasings(facts: DataFrame, templates: dict[str, str]) -> DataFrame:
     return rows.select("left", "right", F.col("_f.form").alias("form"), text.alias("question"))
 
 
-def schema_templates(nodes: list[tuple[str, list[str]]], edges: list[tuple[str, str, str]]) -> list[str]:
-    """One test template for each node property and each edge of a schema."""
-    out = [f"{{x:{label}.{prop}}}" for label, props in nodes for prop in props]
-    return out + [f"{{a:{s}.{e}>b:{d}.id}}" for s, e, d in edges]
+def schema_templates(properties: DataFrame, edges: DataFrame) -> DataFrame:
+    """``(template)``: one test template for each node property and each edge type of a schema."""
+    each = properties.select(F.format_string("{x:%s.%s}", "label", "property").alias("template"))
+    return each.union(edges.select(F.format_string("{a:%s.%s>b:%s.id}", "src_type", "type", "dst_type")))
 
 
 def rotate(df: DataFrame, key: str, values: str, times: int) -> DataFrame:

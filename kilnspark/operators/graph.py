@@ -38,22 +38,45 @@ class Graph:
         parts += [d.agg(F.count("*").alias("n")).select(F.lit("edge").alias("kind"), F.lit(k).alias("name"), "n") for k, (_, _, d) in self.edges.items()]
         return reduce(DataFrame.union, parts)
 
-    def schema_path(self, start: str, end: str) -> list[str] | None:
-        """Fewest labels between two labels, edges taken both ways; the schema is small and lives on the driver."""
-        near: dict[str, set[str]] = {}
-        for a, b, _ in self.edges.values():
-            near.setdefault(a, set()).add(b)
-            near.setdefault(b, set()).add(a)
-        paths, seen = [[start]], {start}
-        while paths:
-            path = paths.pop(0)
-            if path[-1] == end:
-                return path
-            for n in sorted(near.get(path[-1], ())):
-                if n not in seen:
-                    seen.add(n)
-                    paths.append([*path, n])
-        return None
+    def schema_edges(self) -> DataFrame:
+        """``(src_type, type, dst_type)`` of the edge types that have an edge."""
+        from functools import reduce
+
+        each = [rows.limit(1).select(F.lit(a).alias("src_type"), F.lit(kind).alias("type"), F.lit(b).alias("dst_type")) for kind, (a, b, rows) in self.edges.items()]
+        return reduce(DataFrame.union, each)
+
+    def schema_properties(self) -> DataFrame:
+        """``(label, property)`` of all properties that some node has, ids apart."""
+        from functools import reduce
+
+        def of(label: str, rows: DataFrame) -> DataFrame:
+            names = [c for c in rows.columns if c != "id"]
+            counts = rows.agg(*[F.count(c).alias(c) for c in names])
+            each = F.array(*[F.struct(F.lit(c).alias("property"), (F.col(c) > 0).alias("there")) for c in names])
+            return counts.select(F.explode(each).alias("x")).where("x.there").select(F.lit(label).alias("label"), "x.property")
+
+        return reduce(DataFrame.union, [of(k, d) for k, d in self.nodes.items() if len(d.columns) > 1])
+
+
+def schema_path(edges: DataFrame, start: str, end: str) -> DataFrame:
+    """``(step, label)`` of a path of fewest labels, edges taken both ways, the least by names; no rows without one.
+
+    A round goes one edge further from all labels reached, which are met once.
+    """
+    from kilnspark.sources.workspace import materialise
+
+    ways = edges.select(F.col("src_type").alias("a"), F.col("dst_type").alias("b"))
+    ways = materialise(ways.union(ways.select("b", "a")).distinct())
+    front = materialise(edges.sparkSession.createDataFrame([(start, [start])], "label string, path array<string>"))
+    seen = front.select("label")
+    while not front.isEmpty():
+        found = front.where(F.col("label") == end)
+        if not found.isEmpty():
+            return found.select(F.posexplode("path").alias("step", "label")).select((F.col("step") + 1).alias("step"), "label")
+        grown = front.join(ways, F.col("label") == F.col("a")).select(F.col("b").alias("label"), F.concat("path", F.array("b")).alias("path"))
+        front = materialise(grown.join(seen, "label", "left_anti").groupBy("label").agg(F.min("path").alias("path")))
+        seen = seen.union(front.select("label"))
+    return front.select(F.lit(0).alias("step"), "label")
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:

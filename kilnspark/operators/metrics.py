@@ -93,6 +93,19 @@ def question_scores(df: DataFrame, question: str, pred: str, gold: str) -> DataF
     return each.agg(F.avg(F.col("right").cast("double")).alias("exact_match"), F.avg(f(F.col("tp"), F.col("p"), F.col("g"))).alias("f1_m"), f(F.sum("tp"), F.sum("p"), F.sum("g")).alias("f1_a"))
 
 
+def slice_table(slices: DataFrame, kinds: list[str]) -> DataFrame:
+    """``(slice, place, name, n, avg_score, strict_pct, parse_errors)``: slices of each kind by falling size, then by name.
+
+    ``slices`` has a row for each value of each of ``kinds``, the other kinds being null; it is as small as their values are few.
+    """
+    from pyspark.sql import Window
+
+    kind = F.coalesce(*[F.when(F.col(k).isNotNull(), F.lit(k)) for k in kinds])
+    rows = slices.select(kind.alias("slice"), F.coalesce(*[F.col(k).cast("string") for k in kinds]).alias("name"), (F.col("answered") + F.col("parse_errors")).alias("n"), "avg_score", "strict_pct", "parse_errors")
+    place = F.row_number().over(Window.partitionBy("slice").orderBy(F.desc("n"), "name"))
+    return rows.select("slice", place.alias("place"), "name", "n", "avg_score", "strict_pct", "parse_errors")
+
+
 def normal_answer(text: Column) -> Column:
     """Lower case without ASCII punctuation and articles, single spaces."""
     bare = F.regexp_replace(F.lower(text), r"[!-/:-@\[-`{-~]", "")

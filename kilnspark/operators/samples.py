@@ -179,11 +179,16 @@ def encode_supervised(prompt: Column, response: Column, cutoff: int, eos: int =
     return F.concat(p, r, end), F.concat(F.array_repeat(F.lit(IGNORE), F.size(p)), r, end)
 
 
-def encode_pair(prompt: Column, chosen: Column, rejected: Column, cutoff: int) -> tuple[Column, Column]:
-    """Prompt and both responses share one prompt budget, set by the longer response."""
+def encode_pair(prompt: Column, chosen: Column, rejected: Column, cutoff: int) -> tuple[Column, Column, Column, Column]:
+    """(ids, labels) of the chosen and of the rejected response: one prompt budget, set by the longer one; labels hide the prompt."""
     n, m = infer_lengths(F.size(prompt), F.greatest(F.size(chosen), F.size(rejected)), cutoff)
     p = F.slice(prompt, F.lit(1), n)
-    return F.concat(p, F.slice(chosen, F.lit(1), m)), F.concat(p, F.slice(rejected, F.lit(1), m))
+    hidden = F.transform(p, lambda _: F.lit(IGNORE))
+    out = []
+    for response in (chosen, rejected):
+        r = F.slice(response, F.lit(1), m)
+        out += [F.concat(p, r), F.concat(hidden, r)]
+    return tuple(out)
 
 
 def pad(values: Column, size: int, filler: int) -> Column:

@@ -257,15 +257,15 @@ def index_selection(spark, sf):
 
 
 _MIX_SQL = """WITH slots AS (SELECT range AS slot FROM range(400)), h AS (SELECT slot, CAST(('0x' || substring(md5('m1|' || CAST(slot AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0 AS u FROM slots),
-c AS (SELECT slot, CASE WHEN u < 0.7 THEN 'en' ELSE 'fr' END AS dataset FROM h), t AS (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY slot) - 1 AS turn FROM c),
-r AS (SELECT lang AS dataset, doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS at, count(*) OVER (PARTITION BY lang) AS n FROM documents WHERE lang IN ('en', 'fr'))
+c AS (SELECT slot, CASE WHEN u < 0.4 THEN 'en' WHEN u < 0.7 THEN 'fr' WHEN u < 0.9 THEN 'de' ELSE 'es' END AS dataset FROM h), t AS (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY slot) - 1 AS turn FROM c),
+r AS (SELECT lang AS dataset, doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS at, count(*) OVER (PARTITION BY lang) AS n FROM documents)
 SELECT slot, t.dataset, doc_id FROM t JOIN (SELECT DISTINCT dataset, n FROM r) s ON t.dataset = s.dataset JOIN r ON r.dataset = t.dataset AND r.at = t.turn % s.n"""
 
 
 @query("mix_interleave", _MIX_SQL)
 def mix_interleave(spark, sf):
     d = table(spark, sf, "documents")
-    return B.mix_interleave({k: d.where(F.col("lang") == k) for k in ("en", "fr")}, {"en": 0.7, "fr": 0.3}, "doc_id", 400, "m1")
+    return B.mix_interleave({k: d.where(F.col("lang") == k) for k in ("en", "fr", "de", "es")}, {"en": 0.4, "fr": 0.3, "de": 0.2, "es": 0.1}, "doc_id", 400, "m1")
 
 
 @query("mix_concat", "SELECT doc_id AS id, text FROM documents UNION ALL SELECT item_id, text FROM benchmark")
@@ -306,15 +306,15 @@ def resample_weighted(spark, sf):
 
 
 _UNTIL = """WITH c AS (SELECT range AS slot, CAST('0x' || substring(md5('m2|' || range), 1, 8) AS BIGINT) / 4294967296.0 AS u FROM range(0, 20 * (SELECT count(*) FROM documents))),
-t AS (SELECT slot, dataset, row_number() OVER (PARTITION BY dataset ORDER BY slot) - 1 AS turn FROM (SELECT slot, CASE WHEN u < 0.5 THEN 'en' WHEN u < 0.8 THEN 'fr' ELSE 'de' END AS dataset FROM c)),
-r AS (SELECT lang AS dataset, doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS at, count(*) OVER (PARTITION BY lang) AS n FROM documents WHERE lang IN ('en', 'fr', 'de')),
+t AS (SELECT slot, dataset, row_number() OVER (PARTITION BY dataset ORDER BY slot) - 1 AS turn FROM (SELECT slot, CASE WHEN u < 0.4 THEN 'en' WHEN u < 0.7 THEN 'fr' WHEN u < 0.9 THEN 'de' ELSE 'es' END AS dataset FROM c)),
+r AS (SELECT lang AS dataset, doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS at, count(*) OVER (PARTITION BY lang) AS n FROM documents),
 s AS (SELECT t.*, n FROM t JOIN (SELECT DISTINCT dataset, n FROM r) USING (dataset)), e AS (SELECT slot FROM s WHERE turn = n - 1)
 SELECT s.slot, s.dataset, r.doc_id FROM s JOIN r ON r.dataset = s.dataset AND r.at = s.turn % s.n WHERE {rule}"""
 
 
 def _mix_until(spark, sf, stop):
     d = table(spark, sf, "documents")
-    return B.mix_until({k: d.where(F.col("lang") == k) for k in ("en", "fr", "de")}, {"en": 0.5, "fr": 0.3, "de": 0.2}, "doc_id", "m2", stop)
+    return B.mix_until({k: d.where(F.col("lang") == k) for k in ("en", "fr", "de", "es")}, {"en": 0.4, "fr": 0.3, "de": 0.2, "es": 0.1}, "doc_id", "m2", stop)
 
 
 @query("mix_under", _UNTIL.format(rule="s.slot <= (SELECT min(slot) FROM e)"))

@@ -60,19 +60,26 @@ def shuffle_options(spark, sf):
     return N.shuffle_options(b, "item_id", "o", "a", "q").select("item_id", F.array_join("shuffled", ";").alias("shuffled"), "letter")
 
 
-@query("alias_subsets", "WITH m AS (SELECT n_nationkey, range AS mask FROM nation, range(1, 32)), b AS (SELECT *, bit_count(mask) AS size FROM m WHERE bit_count(mask) <= 3), r AS (SELECT *, row_number() OVER (PARTITION BY n_nationkey, size ORDER BY md5('a|' || n_nationkey || '|' || mask), mask) AS rn FROM b) SELECT n_nationkey, CAST(size AS INT) AS size, array_to_string(list_transform(list_filter([0,1,2,3,4], lambda i: (mask >> i) & 1 = 1), lambda i: 'a' || i), ',') AS subset FROM r WHERE rn <= 4")
+_SUBSETS_SQL = """WITH m AS (SELECT range AS mask, bit_count(range) AS size FROM range(1, {top})), b AS (SELECT mask, size, row_number() OVER (PARTITION BY size ORDER BY mask) - 1 AS number, count(*) OVER (PARTITION BY size) AS n FROM m WHERE size <= 3),
+d AS (SELECT n_nationkey, size, (CAST('0x' || substring(md5('a|' || n_nationkey || '|' || size), 1, 13) AS BIGINT) + i * 2147483647) % n AS number FROM nation, (SELECT DISTINCT size, n FROM b), range({cap}) t(i) WHERE i < n)
+SELECT n_nationkey, CAST(d.size AS INT) AS size, array_to_string(list_transform(list_filter(range({n}), lambda i: (mask >> i) & 1 = 1), lambda i: 'a' || i), ',') AS subset FROM d JOIN b ON b.size = d.size AND b.number = d.number"""
+
+
+def _subsets(spark, sf, n, cap):
+    rows = table(spark, sf, "nation").select("n_nationkey", F.array(*[F.lit(f"a{i}") for i in range(n)]).alias("aliases"))
+    return N.alias_subsets(rows, "n_nationkey", "aliases", 3, cap, "a").select("n_nationkey", "size", F.array_join("subset", ",").alias("subset"))
+
+
+@query("alias_subsets", _SUBSETS_SQL.format(top=32, cap=7, n=5))
 def alias_subsets(spark, sf):
-    n = table(spark, sf, "nation").select("n_nationkey", F.array(*[F.lit(f"a{i}") for i in range(5)]).alias("aliases"))
-    return N.alias_subsets(n, "n_nationkey", "aliases", 3, 4, "a").select("n_nationkey", "size", F.array_join("subset", ",").alias("subset"))
+    """Lists of 5 aliases: all subsets of one, seven of the ten of two and of three."""
+    return _subsets(spark, sf, 5, 7)
 
 
-@query("alias_subsets_long", "SELECT n_nationkey, CAST(unnest([1, 2, 3]) AS INT) AS size, 4 AS n, true AS fits FROM nation")
+@query("alias_subsets_long", _SUBSETS_SQL.format(top=1 << 16, cap=40, n=16))
 def alias_subsets_long(spark, sf):
-    """Lists of 20 aliases: four different subsets of each size."""
-    n = table(spark, sf, "nation").select("n_nationkey", F.array(*[F.lit(f"a{i}") for i in range(20)]).alias("aliases"))
-    s = N.alias_subsets(n, "n_nationkey", "aliases", 3, 4, "a")
-    fits = (F.size(F.array_distinct("subset")) == F.col("size")) & (F.size(F.array_intersect("subset", F.array(*[F.lit(f"a{i}") for i in range(20)]))) == F.col("size"))
-    return s.groupBy("n_nationkey", "size").agg(F.count_distinct("subset").cast("int").alias("n"), F.bool_and(fits).alias("fits"))
+    """Lists of 16 aliases: forty different subsets of two and of three."""
+    return _subsets(spark, sf, 16, 40)
 
 
 @query("hard_negatives", "WITH g AS (SELECT DISTINCT c_mktsegment AS foil FROM customer), k AS (SELECT foil, row_number() OVER (ORDER BY md5('h|' || foil), foil) - 1 AS ix FROM g), t AS (SELECT count(*) AS n FROM g) SELECT DISTINCT c_name, c_mktsegment, f.foil FROM customer JOIN k o ON o.foil = c_mktsegment, t, range(1, 4) s JOIN k f ON f.ix = (o.ix + s.range) % t.n")

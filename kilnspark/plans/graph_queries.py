@@ -124,19 +124,28 @@ def graph_components(spark, sf):
     return G.components(e)
 
 
-@query("graph_schema_edges", "SELECT * FROM (VALUES ('customer', 'lives_in', 'nation'), ('customer', 'placed', 'order'), ('nation', 'home_of', 'customer'), ('nation', 'part_of', 'region'), ('supplier', 'based_in', 'nation')) t(src_type, type, dst_type)")
+_SCHEMA_SQL = """schema_edges AS (SELECT DISTINCT 'customer' AS src_type, 'lives_in' AS type, 'nation' AS dst_type FROM customer JOIN nation ON n_nationkey = c_nationkey UNION ALL SELECT DISTINCT 'nation', 'home_of', 'customer' FROM customer JOIN nation ON n_nationkey = c_nationkey
+UNION ALL SELECT DISTINCT 'customer', 'placed', 'order' FROM orders JOIN customer ON c_custkey = o_custkey UNION ALL SELECT DISTINCT 'nation', 'part_of', 'region' FROM nation JOIN region ON r_regionkey = n_regionkey UNION ALL SELECT DISTINCT 'supplier', 'based_in', 'nation' FROM supplier JOIN nation ON n_nationkey = s_nationkey)"""
+
+
+@query("graph_schema_edges", f"WITH {_SCHEMA_SQL} SELECT * FROM schema_edges")
 def graph_schema_edges(spark, sf):
-    g = G.star_schema(spark, sf)
-    return spark.createDataFrame([(s, k, d) for k, (s, d, _) in g.edges.items()], "src_type string, type string, dst_type string")
+    """Edge types of the edges that are there."""
+    return G.star_schema(spark, sf).schema_edges()
 
 
-@query("graph_schema_path", "SELECT unnest([1, 2, 3, 4]) AS step, unnest(['order', 'customer', 'nation', 'region']) AS label")
+@query("graph_schema_path", f"""WITH RECURSIVE {_SCHEMA_SQL}, ways AS (SELECT src_type AS a, dst_type AS b FROM schema_edges UNION SELECT dst_type, src_type FROM schema_edges),
+walk AS (SELECT 'order' AS label, ['order'] AS path UNION ALL SELECT b, list_append(path, b) FROM walk JOIN ways ON a = label WHERE NOT list_contains(path, b)), best AS (SELECT path FROM walk WHERE label = 'region' ORDER BY len(path), path LIMIT 1)
+SELECT unnest(range(1, len(path) + 1))::INTEGER AS step, unnest(path) AS label FROM best""")
 def graph_schema_path(spark, sf):
-    path = G.star_schema(spark, sf).schema_path("order", "region")
-    return spark.createDataFrame([(i + 1, x) for i, x in enumerate(path)], "step int, label string")
+    return G.schema_path(G.star_schema(spark, sf).schema_edges(), "order", "region")
 
 
-# ------------------------------------------------------------ joins
+@query("graph_floors", """SELECT * FROM (SELECT 'customer' AS name, count(*) AS got, 100 AS floor, count(*) >= 100 AS ok FROM customer UNION ALL SELECT 'region', count(*), 6, count(*) >= 6 FROM region UNION ALL SELECT 'ghost', -1, 1, false
+UNION ALL SELECT 'placed', count(*), 1000, count(*) >= 1000 FROM orders JOIN customer ON c_custkey = o_custkey UNION ALL SELECT 'customer.name over 17', count(*), 1, count(*) >= 1 FROM customer WHERE length(c_name) > 17 UNION ALL SELECT 'placed from customer.segment over 8', count(DISTINCT c_custkey), 5, count(DISTINCT c_custkey) >= 5 FROM orders JOIN customer ON c_custkey = o_custkey WHERE length(c_mktsegment) > 8)""")
+def graph_floors(spark, sf):
+    """Counts of labels, edges, long properties and nodes that have both, against what a build needs."""
+    return T.floors(G.star_schema(spark, sf), [T.Floor(100, "customer"), T.Floor(6, "region"), T.Floor(1, "ghost"), T.Floor(1000, edge="placed"), T.Floor(1, "customer", "name", 17), T.Floor(5, "customer", "segment", 8, "placed")])
 
 
 @query("join_resume", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")

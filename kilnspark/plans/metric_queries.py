@@ -26,12 +26,13 @@ def metric_accuracy_mcc(spark, sf):
     return M.matthews(_pred(spark, sf), "pred", "quality")
 
 
-@query("metric_macro_f1", """WITH p AS (SELECT lang AS gold, CASE WHEN doc_id % 5 = 0 THEN 'en' ELSE lang END AS pred FROM documents WHERE lang IN ('en', 'fr')),
-c AS (SELECT avg((pred=gold)::INT) AS accuracy, sum((pred='en' AND gold='en')::INT) tp0, sum((pred='en')::INT) p0, sum((gold='en')::INT) g0, sum((pred='fr' AND gold='fr')::INT) tp1, sum((pred='fr')::INT) p1, sum((gold='fr')::INT) g1 FROM p)
-SELECT accuracy, (2.0*tp0/(p0+g0) + 2.0*tp1/(p1+g1))/2 AS macro_f1 FROM c""")
+_LANGS = ("en", "fr", "de", "es")
+
+
+@query("metric_macro_f1", "WITH p AS (SELECT lang AS gold, CASE WHEN doc_id % 5 = 0 THEN 'en' ELSE lang END AS pred FROM documents), l AS (SELECT unnest(['en', 'fr', 'de', 'es']) AS x), f AS (SELECT x, sum((pred = x AND gold = x)::INT) AS tp, sum((pred = x)::INT) AS p, sum((gold = x)::INT) AS g FROM p, l GROUP BY x) SELECT (SELECT avg((pred = gold)::INT) FROM p) AS accuracy, avg(CASE WHEN p + g > 0 THEN 2.0 * tp / (p + g) ELSE 0 END) AS macro_f1 FROM f")
 def metric_macro_f1(spark, sf):
-    d = table(spark, sf, "documents").where(F.col("lang").isin("en", "fr"))
-    return M.macro_f1(d.select(F.col("lang").alias("gold"), F.when(F.col("doc_id") % 5 == 0, "en").otherwise(F.col("lang")).alias("pred")), "pred", "gold", ["en", "fr"])
+    d = table(spark, sf, "documents")
+    return M.macro_f1(d.select(F.col("lang").alias("gold"), F.when(F.col("doc_id") % 5 == 0, "en").otherwise(F.col("lang")).alias("pred")), "pred", "gold", list(_LANGS))
 
 
 @query("metric_category_accuracy", f"WITH p AS ({_PRED}) SELECT source, avg((pred = quality)::INT) AS accuracy, count(*) AS n FROM p JOIN documents USING (doc_id) GROUP BY source")
@@ -56,9 +57,10 @@ def metric_mean_success(spark, sf):
     return table(spark, sf, "documents").groupBy("source").agg(F.avg(F.when(ok, F.col("n_chars"))).alias("mean_score"), F.count_if(ok).alias("n"))
 
 
-@query("metric_severity_mad", "SELECT avg(abs(a - b)) AS mad, 1 - avg(abs(a - b)) / 7.7 AS accuracy FROM (SELECT (doc_id % 78) / 7.8 AS a, (doc_id % 50) / 5.0 AS b FROM documents WHERE doc_id % 13 <> 0)")
+@query("metric_severity_mad", "SELECT avg(abs(a - b)) AS mad, 1 - avg(abs(a - b)) / 7.7 AS accuracy FROM (SELECT CASE WHEN doc_id % 13 <> 0 THEN (doc_id % 78) / 7.8 END AS a, (doc_id % 50) / 5.0 AS b FROM documents)")
 def metric_severity_mad(spark, sf):
-    d = table(spark, sf, "documents").where("doc_id % 13 <> 0").select(((F.col("doc_id") % 78) / 7.8).alias("a"), ((F.col("doc_id") % 50) / 5.0).alias("b"))
+    """Rows whose score can't be read have none and don't count."""
+    d = table(spark, sf, "documents").select(F.when(F.col("doc_id") % 13 != 0, (F.col("doc_id") % 78) / 7.8).alias("a"), ((F.col("doc_id") % 50) / 5.0).alias("b"))
     mad = F.avg(F.abs(F.col("a") - F.col("b")))
     return d.agg(mad.alias("mad"), (1 - mad / 7.7).alias("accuracy"))
 
@@ -322,3 +324,12 @@ def best_answers(spark, sf):
     said = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("The "), "head", F.lit("!"))).otherwise(F.substring("text", 20, 80))
     em, f1 = M.best_answer(said, F.array_compact(F.array("head", "before")))
     return c.select("conv_id", "turn", em.alias("exact_match"), F.round(f1, 9).alias("f1"))
+
+
+@query("slice_table", """WITH r AS (SELECT lang, source, doc_id % 9 = 0 AS failed, (doc_id % 3)::DOUBLE / 2 AS score FROM documents),
+g AS (SELECT CASE WHEN grouping(source) = 1 THEN 'lang' ELSE 'source' END AS slice, coalesce(lang, source) AS name, sum((NOT failed)::INT) AS answered, sum(failed::INT) AS parse_errors, avg(CASE WHEN NOT failed THEN score END) AS avg_score, 100.0 * sum((NOT failed AND score = 1)::INT) / sum((NOT failed)::INT) AS strict_pct FROM r GROUP BY GROUPING SETS ((lang), (source)))
+SELECT slice, row_number() OVER (PARTITION BY slice ORDER BY answered + parse_errors DESC, name)::INTEGER AS place, name, answered + parse_errors AS n, avg_score, strict_pct, parse_errors FROM g""")
+def slice_table(spark, sf):
+    """Slices of each kind, the largest first."""
+    g = metric_slices(spark, sf).where(F.col("lang").isNotNull() | F.col("source").isNotNull())
+    return M.slice_table(g, ["lang", "source"])

@@ -52,12 +52,22 @@ def encode_supervised(spark, sf):
     return d.select("doc_id", F.size(ids).cast("long").alias("n_ids"), F.size(F.filter(labels, lambda x: x != S.IGNORE)).cast("long").alias("n_labels"))
 
 
-@query("encode_pairwise", """WITH r AS (SELECT doc_id, strlen(lang) * 40 AS s, greatest(strlen(source) * 30, 60) AS t, strlen(source) * 30 AS c FROM documents), k AS (SELECT *, least(CASE WHEN t * 2 < 150 THEN 150 WHEN s * 2 < 150 THEN 150 - s ELSE floor(150 * t / (s + t)::DOUBLE) END, t)::BIGINT AS nt FROM r)
-SELECT doc_id, least(greatest(150 - nt, 0), s) + least(nt, c) AS chosen, least(greatest(150 - nt, 0), s) + least(nt, 60) AS rejected FROM k""")
+_BYTES_SQL = "list_transform(range(0, strlen({x})), lambda p: CAST('0x' || substr(hex(encode({x})), 2 * p + 1, 2) AS INT) + 3)"
+
+
+@query("encode_pairwise", f"""WITH c AS (SELECT conv_id, turn, coalesce(text, '') AS text, coalesce(lead(text) OVER w, '') AS chosen, coalesce(lag(text) OVER w, '') AS rejected FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+r AS (SELECT conv_id, turn, {_BYTES_SQL.format(x="text")} AS p, {_BYTES_SQL.format(x="chosen")} AS c, {_BYTES_SQL.format(x="rejected")} AS r FROM c), l AS (SELECT *, len(p) AS s, greatest(len(c), len(r)) AS t FROM r),
+k AS (SELECT *, least(CASE WHEN t * 2 < 600 THEN 600 WHEN s * 2 < 600 THEN 600 - s ELSE floor(600 * t / (s + t)::DOUBLE) END, t)::BIGINT AS m FROM l), b AS (SELECT *, p[1:least(greatest(600 - m, 0), s)] AS q FROM k)
+SELECT conv_id, turn, md5(array_to_string(list_concat(q, c[1:m]), ',')) AS chosen, md5(array_to_string(list_concat(list_transform(q, lambda x: -100), c[1:m]), ',')) AS chosen_labels, md5(array_to_string(list_concat(q, r[1:m]), ',')) AS rejected, md5(array_to_string(list_concat(list_transform(q, lambda x: -100), r[1:m]), ',')) AS rejected_labels FROM b""")
 def encode_pairwise(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", S.byte_tokens(F.repeat("lang", F.lit(40))).alias("p"), S.byte_tokens(F.repeat("source", F.lit(30))).alias("c"), S.byte_tokens(F.lit("x" * 60)).alias("r"))
-    a, b = S.encode_pair(F.col("p"), F.col("c"), F.col("r"), 150)
-    return d.select("doc_id", F.size(a).cast("long").alias("chosen"), F.size(b).cast("long").alias("rejected"))
+    """A turn as prompt, the next one as the chosen and the one before as the rejected response."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    c = table(spark, sf, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.lead("text").over(w), F.lit("")).alias("chosen"), F.coalesce(F.lag("text").over(w), F.lit("")).alias("rejected"))
+    t = c.select("conv_id", "turn", *[S.byte_tokens(F.col(x)).alias(x) for x in ("text", "chosen", "rejected")])
+    found = S.encode_pair(F.col("text"), F.col("chosen"), F.col("rejected"), 600)
+    return t.select("conv_id", "turn", *[F.md5(F.array_join(x, ",")).alias(n) for x, n in zip(found, ("chosen", "chosen_labels", "rejected", "rejected_labels"), strict=True)])
 
 
 @query("pad_truncate", "SELECT doc_id, list_concat(list_transform(range(1, 1 + least(6, doc_id % 9)), lambda x: x::INT), list_transform(range(0, greatest(0, 6 - doc_id % 9)), lambda x: -100)) AS padded FROM documents")

@@ -165,10 +165,16 @@ def build_scoped_mitigations(spark, sf):
     return U.scoped_mitigations(table(spark, sf, "nation").select(F.concat(F.lit("CWE-"), F.col("n_nationkey").cast("string")).alias("cwe_id"), F.array("n_name", F.lit("second")).alias("mitigations")))
 
 
-@query("schema_templates", "SELECT unnest(['{x:nation.name}', '{x:nation.code}', '{x:region.name}', '{a:nation.part_of>b:region.id}']) AS template")
+@query("schema_templates", """SELECT '{x:' || label || '.' || prop || '}' AS template FROM (SELECT DISTINCT 'region' AS label, 'name' AS prop FROM region WHERE r_name IS NOT NULL UNION ALL SELECT DISTINCT 'nation', 'name' FROM nation WHERE n_name IS NOT NULL UNION ALL SELECT DISTINCT 'customer', unnest(['name', 'segment', 'balance']) FROM customer WHERE c_acctbal IS NOT NULL
+UNION ALL SELECT DISTINCT 'supplier', 'name' FROM supplier UNION ALL SELECT DISTINCT 'order', unnest(['priority', 'status']) FROM orders)
+UNION ALL SELECT DISTINCT '{a:customer.lives_in>b:nation.id}' FROM customer JOIN nation ON n_nationkey = c_nationkey UNION ALL SELECT DISTINCT '{a:nation.home_of>b:customer.id}' FROM customer JOIN nation ON n_nationkey = c_nationkey UNION ALL SELECT DISTINCT '{a:customer.placed>b:order.id}' FROM orders JOIN customer ON c_custkey = o_custkey
+UNION ALL SELECT DISTINCT '{a:nation.part_of>b:region.id}' FROM nation JOIN region ON r_regionkey = n_regionkey UNION ALL SELECT DISTINCT '{a:supplier.based_in>b:nation.id}' FROM supplier JOIN nation ON n_nationkey = s_nationkey""")
 def schema_templates(spark, sf):
-    found = N.schema_templates([("nation", ["name", "code"]), ("region", ["name"])], [("nation", "part_of", "region")])
-    return spark.createDataFrame([(t,) for t in found], "template string")
+    """Templates for what the graph's rows have."""
+    from kilnspark.operators.graph import star_schema
+
+    g = star_schema(spark, sf)
+    return N.schema_templates(g.schema_properties(), g.schema_edges())
 
 
 @query("merge_tool_turns", "SELECT conv_id, string_agg(CASE WHEN turn % 3 = 0 THEN 'user:' || text ELSE '' END || CASE WHEN turn % 3 = 1 THEN 'tool:' || text ELSE '' END || CASE WHEN turn % 3 = 2 THEN chr(10) || '</tool_response>' || chr(10) || '<tool_response>' || chr(10) || text ELSE '' END, '' ORDER BY turn) AS joined FROM conversations WHERE text IS NOT NULL GROUP BY conv_id")
