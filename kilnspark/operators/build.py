@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from kilnspark.functions.extract import uuid5
 from kilnspark.operators.graph import Graph
-from kilnspark.operators.render import first_external_id, technique_id
+from kilnspark.operators.render import technique_id
+from kilnspark.operators.stix import object_nodes
 
 
 def entity_id(namespace: str, name: Column) -> Column:
@@ -23,10 +24,9 @@ def year_from(cve: Column, first: int) -> Column:
 
 
 def add_stix(graph: Graph, objects: DataFrame, labels: list[str]) -> None:
-    """One label for each type; missing texts become ``N/A``."""
+    """Nodes of each type with all its properties."""
     for label in labels:
-        rows = objects.where(F.col("type") == label).select("id", *[F.coalesce(F.col(c), F.lit("N/A")).alias(c) for c in ("name", "description")], F.coalesce(first_external_id(F.col("external_references"), "mitre-attack"), F.lit("N/A")).alias("mitre_id"))
-        graph.add_nodes(label, rows)
+        graph.add_nodes(label, object_nodes(objects, label))
 
 
 def add_relationships(graph: Graph, objects: DataFrame) -> None:

@@ -119,3 +119,50 @@ def canonical_items(spark, sf):
 def valid_variants(spark, sf):
     d = table(spark, sf, "documents").withColumn("o", F.when(F.col("doc_id") % 7 == 0, " ").otherwise("yes"))
     return N.valid_variants(d, "doc_id", "text", "o", 100, 3000, ["License"]).select("doc_id")
+
+
+@query("task_prompts", """WITH c AS (SELECT c_custkey AS k, c_name, c_mktsegment, c_nationkey FROM customer)
+SELECT 'rcm' AS task, 'CVE-' || k AS id, 'Give {id} for: a ' || c_mktsegment || '.' AS prompt, 'CWE-' || c_nationkey AS answer FROM c WHERE k % 3 <> 0
+UNION ALL SELECT 'vsp', 'CVE-' || k, 'Score a ' || c_mktsegment, 'V' || k FROM c WHERE k % 4 <> 0
+UNION ALL SELECT 'rms', 'T' || k, CASE WHEN k % 2 = 0 THEN 'Linux' ELSE 'Enterprise' END || ' needs 2: ' || c_name, 'M' || k || ', M0' FROM c
+UNION ALL SELECT 'ate', 'T' || k, CASE WHEN k % 2 = 0 THEN 'Linux' ELSE 'Enterprise' END || ' saw ' || c_name, 'T' || k FROM c
+UNION ALL SELECT 'taa', 'u' || k, 'Who? ' || CASE WHEN k % 2 = 0 THEN 'did ' || c_mktsegment ELSE c_name END, 'actor ' || c_nationkey FROM c WHERE k % 7 <> 1
+UNION ALL SELECT 'mcq', 'q' || k, CASE WHEN k % 5 = 0 THEN 'given' ELSE 'Pick. Question: ' || c_name || '?' || chr(10) || 'A) one' || chr(10) || 'B) two' || chr(10) || 'C) 3. three' || chr(10) || 'D) four' || chr(10) || 'E) ' || c_mktsegment END, CASE WHEN k % 5 = 0 THEN NULL ELSE 'C' END FROM c""")
+def task_prompts(spark, sf):
+    """All six tasks over the customers."""
+    from kilnspark.operators import tasks as J
+
+    k = F.col("c_custkey")
+    key = lambda p: F.concat(F.lit(p), k.cast("string"))
+    c = table(spark, sf, "customer")
+    text = F.concat(F.lit(" a\n"), "c_mktsegment", F.lit(" "))
+    nation = F.col("c_nationkey").cast("string")
+    cve = c.select(key("CVE-").alias("cve_id"), text.alias("description"), F.when(k % 3 == 0, F.array(F.lit("CWE-1"), F.lit("CWE-2"))).otherwise(F.array(F.concat(F.lit("CWE-"), nation), F.lit("NVD-none"), F.concat(F.lit("CWE-"), nation))).alias("weaknesses"), F.lit(1.0).alias("score"), F.lit("LOW").alias("severity"), F.when(k % 4 != 0, key("V")).alias("vector"))
+    tech = c.select(key("T").alias("technique_id"), F.lit("d").alias("description"), F.when(k % 2 == 0, "Linux").alias("platform"), F.array(key("M"), F.lit("M0")).alias("mitigations"), F.col("c_name").alias("scenario"))
+    seen = c.select(key("u").alias("url"), F.when(k % 2 == 0, F.concat(F.lit("did "), "c_mktsegment")).alias("actions"), F.when(k % 7 != 1, F.col("c_name")).alias("description"), F.concat(F.lit("actor "), nation).alias("actor")).where((k % 7 != 1) | (k % 2 != 0))
+    quiz = c.select(key("q").alias("id"), F.concat("c_name", F.lit("?")).alias("question"), F.lit("A) one").alias("option_a"), F.lit("B. two").alias("option_b"), F.lit("C) 3. three").alias("option_c"), F.lit(" four").alias("option_d"), F.col("c_mktsegment").alias("option_e"), F.when(k % 5 == 0, "given").alias("prompt"), F.lit(" c) three").alias("correct_answer"), F.lit(None).cast("string").alias("answer"))
+    made = {
+        "rcm": J.BUILDERS["rcm"](cve, "Give {{id}} for: {}.").withColumnRenamed("cve_id", "id"), "vsp": J.BUILDERS["vsp"](cve, "Score {}").withColumnRenamed("cve_id", "id"),
+        "rms": J.BUILDERS["rms"](tech, "{} needs {}: {}").withColumnRenamed("technique_id", "id"), "ate": J.BUILDERS["ate"](tech, "{} saw {}").withColumnRenamed("technique_id", "id"),
+        "taa": J.BUILDERS["taa"](seen, "Who? {}").withColumnRenamed("url", "id"), "mcq": J.BUILDERS["mcq"](quiz, "Pick. {}"),
+    }
+    out = None
+    for task, rows in made.items():
+        part = rows.select(F.lit(task).alias("task"), "id", "prompt", "answer")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("fact_questions", """WITH f AS (SELECT n_name AS "left", r_name AS "right" FROM nation JOIN region ON r_regionkey = n_regionkey),
+r AS (SELECT v, row_number() OVER (ORDER BY md5('fq|' || v), v) - 1 AS spot, count(*) OVER () AS n FROM (SELECT DISTINCT "right" AS v FROM f)), l AS (SELECT v, row_number() OVER (ORDER BY md5('fq|' || v), v) - 1 AS spot, count(*) OVER () AS n FROM (SELECT DISTINCT "left" AS v FROM f)),
+x AS (SELECT f.*, form, o.v, f."right" AS answer FROM f JOIN r a ON a.v = f."right", range(5) s(step), (SELECT unnest(['where', 'region of']) AS form) JOIN r o ON true WHERE step < a.n AND o.spot = (a.spot + step) % a.n
+  UNION ALL SELECT f.*, 'which', o.v, f."left" FROM f JOIN l a ON a.v = f."left", range(5) s(step) JOIN l o ON true WHERE step < a.n AND o.spot = (a.spot + step) % a.n),
+g AS (SELECT "left", "right", form, answer, list(v ORDER BY md5('fq|' || "left" || '|' || "right" || '|' || form || '|' || v)) AS options FROM x GROUP BY ALL)
+SELECT "left", "right", form, CASE form WHEN 'where' THEN 'Where is ' || "left" || '?' WHEN 'region of' THEN 'Region of ' || "left" || ':' ELSE 'Which lies in ' || "right" || '?' END AS question, array_to_string(options, ';') AS options, chr((64 + list_position(options, answer))::INT) AS letter FROM g""")
+def fact_questions(spark, sf):
+    """Nations and their regions asked both ways, the options drawn."""
+    from kilnspark.operators import tasks as J
+
+    facts = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("r_regionkey") == F.col("n_regionkey")).select(F.col("n_name").alias("left"), F.col("r_name").alias("right"))
+    found = J.fact_questions(facts, {"where": "Where is {left}?", "region of": "Region of {left}:"}, {"which": "Which lies in {right}?"}, "fq")
+    return found.withColumn("options", F.array_join("options", ";"))

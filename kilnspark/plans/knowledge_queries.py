@@ -234,3 +234,71 @@ def score_columns(spark, sf):
     texts = F.when(F.col("p_partkey") % 2 == 0, F.array(d("es", F.col("p_type")), d("en", F.col("p_name")))).otherwise(F.array(d("fr", F.col("p_brand"))))
     rows = p.select(F.col("p_partkey").cast("string").alias("id"), texts.alias("descriptions"), F.array(F.lit("CWE-1"), F.lit(""), F.lit("CWE-1")).alias("weaknesses"), F.array(F.struct(F.lit("nvd").alias("source"), F.lit("4.0").alias("version"), F.lit(7.0).alias("score"), F.lit("H").alias("severity"), F.lit("v").alias("vector"))).alias("metrics"))
     return N.score_columns(rows).select("id", "description", "weaknesses", "nvd_v40_score", "cna_v31_score")
+
+
+_STIX = _OBJECTS + ", external_references array<struct<source_name:string,external_id:string>>, x_mitre_platforms array<string>, x_mitre_is_subtechnique boolean, aliases array<string>, first_seen string, x_mitre_log_source_references array<struct<x_mitre_data_component_ref:string>>, x_mitre_analytic_refs array<string>"
+
+
+def _stix(spark, sf):
+    """Techniques from suppliers, groups from nations, analytics from customers, components from regions, a strategy for each nation."""
+    s, n, c, r = (table(spark, sf, x) for x in ("supplier", "nation", "customer", "region"))
+    refs = lambda k: F.array(F.struct(F.lit("other").alias("source_name"), F.lit("x").alias("external_id")), F.struct(F.lit("mitre-attack").alias("source_name"), k.alias("external_id")))
+    text = lambda c: F.col(c).cast("string")
+    parts = [
+        s.select(F.lit("attack-pattern").alias("type"), _key("attack-pattern--", "s_suppkey").alias("id"), F.col("s_name").alias("name"), F.when(F.col("s_suppkey") % 2 == 0, refs(_key("T", "s_suppkey"))).alias("external_references"), F.lit("2020-01-02").alias("created"), F.when(F.col("s_suppkey") % 3 == 0, F.array(F.lit("Linux"), F.lit("Windows"))).alias("x_mitre_platforms"), (F.col("s_suppkey") % 5 == 0).alias("x_mitre_is_subtechnique")),
+        n.select(F.lit("intrusion-set").alias("type"), _key("intrusion-set--", "n_nationkey").alias("id"), F.col("n_name").alias("name"), F.array("n_name", F.lower("n_name")).alias("aliases"), F.lit("2021-03-04 05 : 06:07").alias("modified")),
+        r.select(F.lit("x-mitre-data-component").alias("type"), _key("x-mitre-data-component--", "r_regionkey").alias("id"), F.col("r_name").alias("name")),
+        c.select(F.lit("x-mitre-analytic").alias("type"), _key("x-mitre-analytic--", "c_custkey").alias("id"), F.array(*[F.struct(F.concat(F.lit("x-mitre-data-component--"), ((F.col("c_nationkey") + i) % 7).cast("string")).alias("x_mitre_data_component_ref")) for i in (0, 1, 0)]).alias("x_mitre_log_source_references")),
+        c.groupBy("c_nationkey").agg(F.collect_list(_key("x-mitre-analytic--", "c_custkey")).alias("a")).select(F.lit("x-mitre-detection-strategy").alias("type"), _key("x-mitre-detection-strategy--", "c_nationkey").alias("id"), F.concat("a", F.array(F.lit("x-mitre-analytic--none"))).alias("x_mitre_analytic_refs")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return _json(spark, out, _STIX)
+
+
+@query("build_objects", """SELECT 'attack-pattern' AS type, 'attack-pattern--' || s_suppkey AS id, s_name AS name, CASE WHEN s_suppkey % 2 = 0 THEN 'T' || s_suppkey ELSE 'N/A' END AS mitre_id, '2020-01-02T00:00:00' AS created, 'N/A' AS modified, CASE WHEN s_suppkey % 2 = 0 THEN '[{"source_name": "other", "external_id": "x"}, {"source_name": "mitre-attack", "external_id": "T' || s_suppkey || '"}]' ELSE '[]' END AS refs, CASE WHEN s_suppkey % 3 = 0 THEN 'Linux,Windows' ELSE '' END AS listed, s_suppkey % 5 = 0 AS flag FROM supplier
+UNION ALL SELECT 'intrusion-set', 'intrusion-set--' || n_nationkey, n_name, 'N/A', 'N/A', '2021-03-04T05:06:07', '[]', n_name || ',' || lower(n_name), false FROM nation UNION ALL SELECT 'x-mitre-data-component', 'x-mitre-data-component--' || r_regionkey, r_name, 'N/A', 'N/A', 'N/A', NULL, NULL, false FROM region""")
+def build_objects(spark, sf):
+    """Nodes of three of the eleven types, each with what it has of the common and its own properties."""
+    from kilnspark.operators import stix as X
+
+    o = _stix(spark, sf)
+    common = ["type", "id", "name", "mitre_id", "created", "modified"]
+    t = X.object_nodes(o, "attack-pattern").select(*common, F.col("external_references").alias("refs"), F.array_join("x_mitre_platforms", ",").alias("listed"), F.col("x_mitre_is_subtechnique").alias("flag"))
+    g = X.object_nodes(o, "intrusion-set").select(*common, F.col("external_references").alias("refs"), F.array_join("aliases", ",").alias("listed"), F.col("revoked").alias("flag"))
+    d = X.object_nodes(o, "x-mitre-data-component").select(*common, F.lit(None).cast("string").alias("refs"), F.lit(None).cast("string").alias("listed"), F.col("revoked").alias("flag"))
+    return t.unionByName(g).unionByName(d)
+
+
+@query("build_derived_edges", """SELECT DISTINCT 'requires_data' AS kind, 'x-mitre-analytic--' || c_custkey AS src, 'x-mitre-data-component--' || ((c_nationkey + i) % 7) AS dst FROM customer, (SELECT unnest([0, 1]) AS i) WHERE (c_nationkey + i) % 7 IN (SELECT r_regionkey FROM region)
+UNION ALL SELECT 'implemented_by', 'x-mitre-detection-strategy--' || c_nationkey, 'x-mitre-analytic--' || c_custkey FROM customer""")
+def build_derived_edges(spark, sf):
+    """References that objects list, as edges; those that lead nowhere are none."""
+    from kilnspark.operators import stix as X
+
+    edges = X.derived_edges(_stix(spark, sf))
+    return edges["requires_data"].select(F.lit("requires_data").alias("kind"), "src", "dst").union(edges["implemented_by"].select(F.lit("implemented_by"), "src", "dst"))
+
+
+@query("build_configured_graph", """SELECT 'node' AS part, 'order' AS name, count(*) AS n FROM orders UNION ALL SELECT 'node', 'customer', count(*) FROM customer UNION ALL SELECT 'edge', 'placed', count(*) FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderkey % 2 = 0
+UNION ALL SELECT 'edge', 'near', count(*) FROM (SELECT o_orderkey, unnest([o_custkey, o_custkey + 1]) AS k FROM orders) JOIN customer ON c_custkey = k
+UNION ALL SELECT 'public', 'O-', count(*) FROM orders WHERE o_orderkey % 3 = 0""")
+def build_configured_graph(spark, sf):
+    """A document for each order and each customer; relations listed, links made of properties, both counted once they are written."""
+    from kilnspark.operators import stix as X
+    from kilnspark.sources.workspace import folder
+
+    o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
+    text = lambda k: F.col(k).cast("string")
+    thing = lambda **x: F.struct(*[x.get(k, F.lit(None).cast("string")).alias(k) for k in ("uid", "kind", "tags", "key", "ext", "rel", "a", "b") if k != "tags" and k != "ext"], x.get("tags", F.lit(None).cast("array<string>")).alias("tags"), x.get("ext", F.lit(None).cast("array<struct<who:string,id:string>>")).alias("ext"))
+    order = thing(uid=F.concat(F.lit("o"), text("o_orderkey")), kind=F.lit("order"), tags=F.array(text("o_custkey"), (F.col("o_custkey") + 1).cast("string")), ext=F.when(F.col("o_orderkey") % 3 == 0, F.array(F.struct(F.lit("x").alias("who"), F.concat(F.lit("O-"), text("o_orderkey")).alias("id")))))
+    placed = thing(uid=F.concat(F.lit("r"), text("o_orderkey")), kind=F.lit("link"), rel=F.lit("placed"), a=F.concat(F.lit("c"), text("o_custkey")), b=F.concat(F.lit("o"), text("o_orderkey")))
+    note = thing(uid=F.concat(F.lit("n"), text("o_orderkey")), kind=F.lit("note"))
+    docs = o.select(F.struct(F.when(F.col("o_orderkey") % 2 == 0, F.array(order, placed, note)).otherwise(F.array(order)).alias("all")).alias("body"))
+    docs = docs.unionByName(c.select(F.struct(F.array(thing(uid=F.concat(F.lit("c"), text("c_custkey")), kind=F.lit("customer"), key=text("c_custkey"))).alias("all")).alias("body")))
+    config = X.GraphConfig("body/all/*", "uid", "kind", "ext/?/id", "link", "rel", "a", "b", ("note",), (X.Link("near", "order", "tags/*", "customer", "key"),))
+    nodes, edges = X.configured_graph(docs, config)
+    counts = X.create_graph(folder(spark), nodes, edges)
+    public = nodes.where(F.col("public_id").startswith("O-")).agg(F.count("*").alias("n")).select(F.lit("public").alias("part"), F.lit("O-").alias("name"), "n")
+    return counts.unionByName(public)
