@@ -16,7 +16,8 @@ around the window: its ends are free.
 
 The benchmark side goes to every executor; ``MAX_ITEM_WORDS`` bounds it in one
 piece, larger benchmarks are taken block by block.  Defined cases: null texts are empty;
-items of fewer than ``MIN_ITEM_WORDS`` words match nothing; repeated rows get equal results; other
+items of one to four words allow no edit and are found where their words stand in a row; items without
+words match nothing; repeated rows get equal results; other
 columns are left alone; an empty benchmark finds nothing.
 """
 
@@ -38,8 +39,6 @@ TABLES = 24
 SAMPLES = 2
 #: Words of benchmark items that one pass holds, on the driver and in each worker.
 MAX_ITEM_WORDS = 400_000
-#: Items of fewer words match nothing: whatever holds a common word or two would be contaminated.
-MIN_ITEM_WORDS = 4
 _PUNCT = b".,;:!?\"()[]{}'"
 _LOWER_TABLE = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -57,7 +56,7 @@ class Index:
         by_length: dict[int, list[tuple[int, list[int]]]] = {}
         for item, text in items:
             ids = [self.vocab.setdefault(w, len(self.vocab)) for w in words_of(text)]
-            if len(ids) >= MIN_ITEM_WORDS:
+            if ids:
                 by_length.setdefault(len(ids), []).append((item, ids))
         rng = np.random.default_rng(977)
         longest = max(by_length, default=0)

@@ -6,7 +6,8 @@ lower-casing A-Z and joining their words by one space.  A page that repeats
 another page of its host word for word is one page, so that groups of exact
 copies do not turn their own lines into boilerplate; near-duplicate removal
 deals with those.  A line that fewer than ``min_pages`` pages hold is never too
-frequent: on a host of few pages the ratio alone would say that of every line.
+frequent: by default two, since a line of one page is no repeat at all, while on a
+host of few pages the ratio alone would say that of every line.
 
 Lines above a limit are at most 1 / ``max_ratio`` times a host's lines on a mean page,
 so a host's set of them is as small as a page.  Sets meet the documents by
@@ -129,7 +130,7 @@ def _with_sets(rows: DataFrame, over: DataFrame, host: str, spread: list[Column]
     return rows.withColumn(salt, F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")).join(salted, [host, salt], "left").drop(salt)
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_ratio: float = 0.1, min_pages: int = 10, min_left: float = 0.3) -> DataFrame:
+def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_ratio: float = 0.1, min_pages: int = 2, min_left: float = 0.3) -> DataFrame:
     """One row per row of ``docs``: base measures, ``n_removed_words`` and ``kept``.
 
     Lines on more than ``max_ratio`` of a host's distinct pages, and on
@@ -180,7 +181,7 @@ def _apply(min_left: float):
     return run
 
 
-def clean(docs: DataFrame, text_col: str = "text", host_col: str = "source", max_ratio: float = 0.1, min_pages: int = 10, min_left: float = 0.3) -> DataFrame:
+def clean(docs: DataFrame, text_col: str = "text", host_col: str = "source", max_ratio: float = 0.1, min_pages: int = 2, min_left: float = 0.3) -> DataFrame:
     """The documents that ``quality`` keeps, without the lines above its limits; columns stay."""
     pages = _measured(docs, "doc_id", text_col, host_col).select("host", "page", "lines").dropDuplicates(["host", "page"])
     over = _frequent(pages, max_ratio, min_pages)
@@ -206,7 +207,7 @@ def _lines(text: Column) -> Column:
     return F.split(F.regexp_replace(lowered, r"[\x20\x09\x0B-\x0D]+", " "), "\n")
 
 
-def line_dedup(docs: DataFrame, text_col: str = "text", host_col: str = "source", max_ratio: float = 0.1, min_pages: int = 10) -> DataFrame:
+def line_dedup(docs: DataFrame, text_col: str = "text", host_col: str = "source", max_ratio: float = 0.1, min_pages: int = 2) -> DataFrame:
     """``docs`` with boilerplate lines cut out of ``text_col``; rows and columns stay.
 
     A line is boilerplate when more than ``max_ratio`` of the host's distinct
@@ -253,7 +254,7 @@ WITH pages AS (
 totals AS (SELECT host, count(DISTINCT page) AS n FROM pages WHERE text IS NOT NULL GROUP BY host),
 over AS (
   SELECT host, line FROM (SELECT host, line, count(*) AS c FROM seen GROUP BY host, line) JOIN totals USING (host)
-  WHERE c >= 10 AND c > 0.1 * n
+  WHERE c >= 2 AND c > 0.1 * n
 ), dropped AS (SELECT host, page, list(line) AS gone FROM seen JOIN over USING (host, line) GROUP BY host, page),
 cut AS (
   SELECT p.doc_id, p.text, d.gone, array_to_string(list_filter(p.parts,

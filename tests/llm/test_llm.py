@@ -200,7 +200,7 @@ def test_quality_cuts_lines_and_rejects(spark, monkeypatch, broadcast):
     pages = {}
     for r in data:
         pages.setdefault(r[3] or "", set()).add(tuple(key(x) for x in (r[1] or "").split("\n") if words(x)))
-    over = {(h, x) for h, ps in pages.items() for x in {x for p in ps for x in p} if sum(x in p for p in ps) >= 10 and sum(x in p for p in ps) > 0.1 * len(ps)}
+    over = {(h, x) for h, ps in pages.items() for x in {x for p in ps for x in p} if sum(x in p for p in ps) >= 2 and sum(x in p for p in ps) > 0.1 * len(ps)}
     assert len(over) >= 3
     want = Counter()
     for r in data:
@@ -289,7 +289,7 @@ def test_decontaminate_against_brute_force(spark, monkeypatch):
         return min(last)
 
     rng = random.Random(77)
-    items = [(i, prose(rng, rng.randrange(4, 30), 60)) for i in range(12)] + [(20, "one"), (21, None), (3, "another text of the same item number")]
+    items = [(i, prose(rng, rng.randrange(4, 30), 60)) for i in range(12)] + [(20, "one"), (30, "w3"), (31, "w1 w2"), (21, None), (3, "another text of the same item number")]
     data = []
     for i in range(80):
         w = prose(rng, rng.randrange(0, 40), 60).split(" ")
@@ -306,7 +306,7 @@ def test_decontaminate_against_brute_force(spark, monkeypatch):
     for d, text, *_ in data:
         for i, item in items:
             seq = [x.decode() for x in D.words_of((item or "").encode())]
-            if len(seq) >= D.MIN_ITEM_WORDS and best([x.decode() for x in D.words_of(text.encode())], seq) <= int(0.2 * len(seq)):
+            if seq and best([x.decode() for x in D.words_of(text.encode())], seq) <= int(0.2 * len(seq)):
                 possible.add((d, i))
                 if item in text:
                     sure.add((d, i))
@@ -735,3 +735,15 @@ def test_columns_of_other_tables_do_not_clash(spark):
     df = spark.createDataFrame([(1, "a b c d e " * 20, "s", 5, "x"), (2, "a b c d e " * 20, "s", 6, "y")], "doc_id long, text string, source string, host long, page string")
     assert line_dedup(df).columns == df.columns and line_dedup(df).count() == 2
     assert quality(df).count() == 2 and keep_one(spark, df, "").select(F.col("host")).count() == 1
+
+
+def test_ratio_decides_on_small_hosts(spark):
+    """Below ten pages too: three of twenty pages are over a tenth, two are not; a line of one page stays."""
+    from kilnspark.llm.line_rules import line_dedup
+
+    rows = [(k, f"own line of page {k}\n" + ("on three\n" if k < 3 else "") + ("on two\n" if 5 <= k < 7 else "") + "end", "h") for k in range(20)]
+    rows += [(100 + k, f"lone {k}\n" + ("shared" if k < 2 else "else"), "tiny") for k in range(4)]
+    out = {r.doc_id: r.text.split("\n") for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    for k in range(20):
+        assert ("on three" in out[k]) is False and ("on two" in out[k]) is (5 <= k < 7) and "end" not in out[k] and f"own line of page {k}" in out[k]
+    assert [out[100 + k] for k in range(4)] == [["lone 0"], ["lone 1"], ["lone 2"], ["lone 3"]]
