@@ -1,7 +1,8 @@
 """Nested text as Column expressions: balanced objects, splits outside brackets and quotes, JSON respaced.
 
 All fold over runs, not characters: a run is a quoted string, a bracket, a
-separator or what stands between them.  Text without brackets is one run.
+separator or what stands between them.  Text without brackets is one run.  Loops
+of patterns are possessive, so that they don't recurse on long strings.
 """
 
 from __future__ import annotations
@@ -12,9 +13,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Quoted strings (double, single), one sign of structure, or anything else; an open quote is a run of its own.
-_RUNS = r"""(?s)"(?:\\.|[^"\\])*"|'(?:\\.|[^'\\])*'|[\[\](){}:,="']|[^\[\](){}:,="']+"""
+_RUNS = r"""(?s)"(?:[^"\\]++|\\.)*+"|'(?:[^'\\]++|\\.)*+'|[\[\](){}:,="']|[^\[\](){}:,="']+"""
 #: The same for JSON, where single quotes are text.
-_JSON_RUNS = r"""(?s)"(?:\\.|[^"\\])*"|[\[\]{}:,"]|[^\[\]{}:,"\s]+"""
+_JSON_RUNS = r"""(?s)"(?:[^"\\]++|\\.)*+"|[\[\]{}:,"]|[^\[\]{}:,"\s]+"""
 
 
 def runs(text: Column, pattern: str) -> Column:
@@ -47,8 +48,9 @@ def split_top(text: Column, separator: str = ",", pattern: str = _RUNS) -> Colum
         depth = s["depth"] + F.when(run.isin("[", "(", "{"), 1).when(run.isin("]", ")", "}"), -1).otherwise(0)
         return F.struct(depth.alias("depth"), F.when(cut, "").otherwise(F.concat(s["part"], run)).alias("part"), F.when(cut, F.concat(s["parts"], F.array(s["part"]))).otherwise(s["parts"]).alias("parts"))
 
-    folded = F.aggregate(runs(text, pattern), start, step)
-    return F.when(F.trim(text) == "", F.array().cast("array<string>")).otherwise(F.concat(folded["parts"], F.array(folded["part"])))
+    # the last part joins the others at the end of the fold, so that it runs once
+    blank = lambda s: (F.size(s["parts"]) == 0) & (F.trim(s["part"]) == "")
+    return F.aggregate(runs(text, pattern), start, step, lambda s: F.when(blank(s), s["parts"]).otherwise(F.concat(s["parts"], F.array(s["part"]))))
 
 
 def spaced_json(text: Column) -> Column:
@@ -59,8 +61,8 @@ def spaced_json(text: Column) -> Column:
 def json_pairs(text: Column) -> Column:
     """``array<struct<key,value>>`` of a JSON object, in order; values stay JSON text."""
     inner = F.regexp_extract(text, r"(?s)^\s*\{(.*)\}\s*$", 1)
-    entry = r'(?s)^\s*("(?:\\.|[^"\\])*")\s*:\s*(.*?)\s*$'
-    return F.transform(split_top(inner, ",", r"""(?s)"(?:\\.|[^"\\])*"|[\[\]{},"]|[^\[\]{},"]+"""), lambda p: F.struct(json_text(F.regexp_extract(p, entry, 1)).alias("key"), F.regexp_extract(p, entry, 2).alias("value")))
+    entry = r'(?s)^\s*("(?:[^"\\]++|\\.)*+")\s*:\s*(.*?)\s*$'
+    return F.transform(split_top(inner, ",", r"""(?s)"(?:[^"\\]++|\\.)*+"|[\[\]{},"]|[^\[\]{},"]+"""), lambda p: F.struct(json_text(F.regexp_extract(p, entry, 1)).alias("key"), F.regexp_extract(p, entry, 2).alias("value")))
 
 
 def is_json(text: Column) -> Column:
@@ -104,3 +106,53 @@ def form_pattern(form: str, loose: bool = True, **groups: str) -> str:
         if mark is None:
             return out
         out += groups[mark]
+
+
+def json_items(text: Column) -> Column:
+    """Elements of a JSON list, as JSON text."""
+    inner = F.regexp_extract(text, r"(?s)^\s*\[(.*)\]\s*$", 1)
+    return F.transform(split_top(inner, ",", r"""(?s)"(?:[^"\\]++|\\.)*+"|[\[\]{},"]|[^\[\]{},"]+"""), lambda x: F.trim(x))
+
+
+def json_object(pairs: Column) -> Column:
+    """JSON text of ``array<struct<key,value>>``, values being JSON text."""
+    return F.concat(F.lit("{"), F.array_join(F.transform(pairs, lambda p: F.concat(json_string(p["key"]), F.lit(": "), p["value"])), ", "), F.lit("}"))
+
+
+#: A key with its colon, a string, a sign of structure, or anything else.
+_KEYED_RUNS = r"""(?s)"(?:[^"\\]++|\\.)*+"\s*:|"(?:[^"\\]++|\\.)*+"|[\[\]{},"]|[^\[\]{},:"\s]+"""
+
+
+def map_strings(text: Column, change) -> Column:
+    """JSON whose string values are changed, keys being left alone; respaced."""
+
+    def one(run: Column) -> Column:
+        key = F.concat(F.regexp_replace(run, r"\s*:$", ""), F.lit(": "))
+        return F.when(run == ",", ", ").when(run.startswith('"') & run.endswith(":"), key).when(run.startswith('"'), json_string(change(json_text(run)))).otherwise(run)
+
+    return F.array_join(F.transform(runs(text, _KEYED_RUNS), one), "")
+
+
+def find_key(text: Column, key: str) -> Column:
+    """Path to the first place of a key in a JSON text, depth first, places of lists from 0; null without one or where the text is no JSON.
+
+    One fold over the runs of the text keeps the path that it is on; depth first is the order of the text.
+    """
+    names = lambda: F.array().cast("array<string>")
+    start = F.struct(names().alias("path"), names().alias("kinds"), F.lit(False).alias("key"), F.lit(None).cast("string").alias("found"))
+
+    def step(s: Column, run: Column) -> Column:
+        n = F.size(s["kinds"])
+        top = F.get(s["kinds"], n - 1)
+        less = F.slice(s["path"], F.lit(1), F.greatest(n - 1, F.lit(0)))
+        named = s["key"] & run.startswith('"')
+        here = F.concat(less, F.array(json_text(run)))
+        opened, closed = run.isin("{", "["), run.isin("}", "]")
+        path = F.when(opened, F.concat(s["path"], F.array(F.when(run == "[", "0").otherwise("")))).when(closed, less).when(named, here)
+        path = path.when((run == ",") & (top == "["), F.concat(less, F.array((F.get(s["path"], n - 1).cast("int") + 1).cast("string")))).otherwise(s["path"])
+        kinds = F.when(opened, F.concat(s["kinds"], F.array(run))).when(closed, F.slice(s["kinds"], F.lit(1), F.greatest(n - 1, F.lit(0)))).otherwise(s["kinds"])
+        expects = (run == "{") | ((run == ",") & F.coalesce(top == "{", F.lit(False)))
+        hit = F.when(named & (json_text(run) == key), F.array_join(here, "/"))
+        return F.struct(path.alias("path"), kinds.alias("kinds"), expects.alias("key"), F.coalesce(s["found"], hit).alias("found"))
+
+    return F.when(is_json(text), F.aggregate(runs(text, _JSON_RUNS), start, step)["found"])

@@ -93,6 +93,17 @@ def question_scores(df: DataFrame, question: str, pred: str, gold: str) -> DataF
     return each.agg(F.avg(F.col("right").cast("double")).alias("exact_match"), F.avg(f(F.col("tp"), F.col("p"), F.col("g"))).alias("f1_m"), f(F.sum("tp"), F.sum("p"), F.sum("g")).alias("f1_a"))
 
 
+def category_accuracy(df: DataFrame, subject: str, pred: str, gold: str, categories: DataFrame) -> DataFrame:
+    """``(category, accuracy, n)`` in percent with two decimals: subjects by their category, and all of them as ``Average``.
+
+    ``categories`` has (subject, category); a prediction is right if it is the label itself, none is wrong.
+    """
+    right = F.coalesce(F.col(pred) == F.col(gold), F.lit(False)).cast("int")
+    by_subject = df.groupBy(F.col(subject).alias("subject")).agg(F.sum(right).alias("right"), F.count("*").alias("n"))
+    known = by_subject.join(categories, "subject").select(F.explode(F.array("category", F.lit("Average"))).alias("category"), "right", "n")
+    return known.groupBy("category").agg(F.round(100.0 * F.sum("right") / F.sum("n"), 2).alias("accuracy"), F.sum("n").alias("n"))
+
+
 def slice_table(slices: DataFrame, kinds: list[str]) -> DataFrame:
     """``(slice, place, name, n, avg_score, strict_pct, parse_errors)``: slices of each kind by falling size, then by name.
 

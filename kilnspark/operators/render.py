@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kilnspark.functions.nested import is_json, json_items, json_object, json_pairs, json_string, json_text, map_strings
+
 #: Object types that give documents.
 STIX_TYPES = ("attack-pattern", "malware", "tool", "intrusion-set", "campaign", "course-of-action", "x-mitre-tactic")
 
@@ -102,3 +104,40 @@ def flexible_time(value: Column) -> Column:
 def report_digest(text: Column, most: int = 200) -> Column:
     """Hashes out, descriptions cut."""
     return F.substring(F.regexp_replace(text, r"\b[0-9a-fA-F]{32,64}\b", "<hash>"), 1, most)
+
+
+#: What a sandbox report keeps, in this order, and of each technique in it.
+REPORT_KEYS = ("size", "type", "submit_name", "sha256", "av_detect", "vx_family", "threat_score", "threat_level", "verdict", "certificates_validation_message", "total_processes", "total_signatures", "file_metadata", "processes", "mitre_attcks", "network_mode", "signatures")
+TECHNIQUE_KEYS = ("tactic", "technique", "attck_id")
+SIGNATURE_CHARS = 50
+
+
+def truncated_reports(df: DataFrame, report: Column, name: str = "report") -> DataFrame:
+    """``df`` with reports, JSON as text, cut down: the keys that count, hashes in values written ``hash``, short signature descriptions, three keys of each technique.
+
+    A report without signatures or techniques gets empty lists of them; null where the text is no JSON.
+    Each step is a column of its own, since within a function over elements an expression is worked out for each.
+    """
+
+    def in_order(pairs: Column, keys: tuple[str, ...]) -> Column:
+        place = lambda p: F.array_position(F.array(*[F.lit(k) for k in keys]), p["key"])
+        kept = F.filter(pairs, lambda p: p["key"].isin(*keys))
+        return F.transform(F.sort_array(F.transform(kept, lambda p: F.struct(place(p).alias("at"), p["key"].alias("key"), p["value"].alias("value")))), lambda x: F.struct(x["key"].alias("key"), x["value"].alias("value")))
+
+    def shortened(p: Column) -> Column:
+        cut = json_string(F.substring(json_text(p["value"]), 1, SIGNATURE_CHARS))
+        return F.struct(p["key"].alias("key"), F.when(p["key"] == "description", cut).otherwise(p["value"]).alias("value"))
+
+    def lists(p: Column) -> Column:
+        joined = lambda items: F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
+        signs = F.transform(json_items(p["value"]), lambda x: json_object(F.transform(json_pairs(x), shortened)))
+        ways = F.transform(json_items(p["value"]), lambda x: json_object(in_order(json_pairs(x), TECHNIQUE_KEYS)))
+        return F.struct(p["key"].alias("key"), F.when(p["key"] == "signatures", joined(signs)).when(p["key"] == "mitre_attcks", joined(ways)).otherwise(p["value"]).alias("value"))
+
+    rows = df.withColumn("_text", report).withColumn("_text", F.when(is_json(F.col("_text")), F.col("_text"))).withColumn("_pairs", json_pairs(F.col("_text")))
+    rows = rows.withColumn("_kept", in_order(F.col("_pairs"), REPORT_KEYS))
+    rows = rows.withColumn("_kept", F.transform("_kept", lambda p: F.struct(p["key"].alias("key"), map_strings(p["value"], lambda v: F.regexp_replace(v, "[0-9a-f]{32,}", "hash")).alias("value"))))
+    rows = rows.withColumn("_kept", F.transform("_kept", lists))
+    lacks = lambda key: F.when(F.exists("_kept", lambda p: p["key"] == key), F.slice("_kept", F.lit(1), F.lit(0))).otherwise(F.array(F.struct(F.lit(key).alias("key"), F.lit("[]").alias("value"))))
+    out = F.when(F.col("_text").isNotNull(), json_object(F.concat("_kept", lacks("signatures"), lacks("mitre_attcks"))))
+    return rows.withColumn(name, out).drop("_text", "_pairs", "_kept")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kilnspark.functions import answers as A
+from kilnspark.functions import nested as N
 from kilnspark.operators import aliases as L
 from kilnspark.registry import query, table
 
@@ -185,7 +186,7 @@ def navigate_paths(spark, sf):
 def find_key_path(spark, sf):
     k = F.col("item_id") % 3
     doc = F.when(k == 0, F.concat(F.lit('{"a": "wanted", "b": [{}, {"wanted": '), F.to_json(F.struct("text")), F.lit("}]}"))).when(k == 1, '{"wanted": {"wanted": 1}}').otherwise("{broken")
-    return table(spark, sf, "benchmark").select("item_id", A.find_key(doc, "wanted").alias("path"))
+    return table(spark, sf, "benchmark").select("item_id", N.find_key(doc, "wanted").alias("path"))
 
 
 # ------------------------------------------------------------ aliases

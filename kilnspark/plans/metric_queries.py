@@ -333,3 +333,16 @@ def slice_table(spark, sf):
     """Slices of each kind, the largest first."""
     g = metric_slices(spark, sf).where(F.col("lang").isNotNull() | F.col("source").isNotNull())
     return M.slice_table(g, ["lang", "source"])
+
+
+@query("few_shot_accuracy", """WITH r AS (SELECT source AS subject, CASE WHEN doc_id % 11 = 0 THEN NULL ELSE chr((65 + doc_id % 4)::INT) END AS pred, chr((65 + doc_id % 12 % 5)::INT) AS gold FROM documents), c AS (SELECT DISTINCT subject, 'group ' || subject[-1:] AS category FROM r), j AS (SELECT category, coalesce(pred = gold, false)::INT AS ok FROM r JOIN c USING (subject))
+SELECT category, round(100.0 * sum(ok) / count(*), 2) AS accuracy, count(*) AS n FROM (SELECT * FROM j UNION ALL SELECT 'Average', ok FROM j) GROUP BY 1""")
+def few_shot_accuracy(spark, sf):
+    """Letters taken from answers, by subject and category."""
+    from kilnspark.functions import extract
+
+    d = table(spark, sf, "documents")
+    said = F.when(F.col("doc_id") % 11 == 0, "no letter here").otherwise(F.concat(F.lit("so the answer is ("), F.char(65 + F.col("doc_id") % 4), F.lit(").")))
+    rows = d.select(F.col("source").alias("subject"), F.when(extract.choice(said) != "NOT_FOUND", extract.choice(said)).alias("pred"), F.char(65 + F.col("doc_id") % 12 % 5).alias("gold"))
+    groups = rows.select("subject", F.concat(F.lit("group "), F.substring("subject", -1, 1)).alias("category")).distinct()
+    return M.category_accuracy(rows, "subject", "pred", "gold", groups)

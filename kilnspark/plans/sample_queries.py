@@ -210,3 +210,16 @@ def stitch_drawn(spark, sf):
     docs = table(spark, sf, "documents")
     out = S.drawn_contexts(docs, "doc_id", "text", "source", "lang", docs.where("length(text) > 0").count() // 10, "sd", (3, 9), (4000, 9000))
     return out.select("context", "attempt", "n_rows", "chars", "question_of", F.md5("report").alias("report_md5"))
+
+
+@query("batched_map", "SELECT doc_id, len(string_split(text, ' '))::BIGINT AS n_words FROM documents WHERE len(string_split(text, ' ')) > 20")
+def batched_map(spark, sf):
+    """A function over dictionaries of lists that keeps some rows of each batch."""
+    from kilnspark.sources.readers import batched_map as mapped
+
+    def longer(batch):
+        counts = [len(t.split(" ")) if t is not None else 0 for t in batch["text"]]
+        kept = [i for i, n in enumerate(counts) if n > 20]
+        return {"doc_id": [batch["doc_id"][i] for i in kept], "n_words": [counts[i] for i in kept]}
+
+    return mapped(table(spark, sf, "documents").select("doc_id", "text"), longer, "doc_id long, n_words long", 100)

@@ -301,3 +301,16 @@ def scan_nested_archives(spark, sf):
 
     found = made.mapInArrow(members, "member string, n_bytes long")
     return found.select(F.regexp_extract("member", r"d/(\d+)\.txt$", 1).cast("long").alias("doc_id"), "n_bytes", F.col("member").startswith("more.zip!/").alias("inside"))
+
+
+@query("report_truncated", """WITH t AS (SELECT doc_id, trim(regexp_replace(text, '[^A-Za-z ]+', '', 'g')) AS t FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, '{"submit_name": "' || t || ' hash", "processes": [{"name": "hash.exe", "cafe0123456789abcdef0123456789abcdef": ["hash", 7]}], "mitre_attcks": [' || CASE WHEN doc_id % 2 = 0 THEN '{"tactic": "T", "technique": "{x}, [y]"}, {"attck_id": "T1"}' ELSE '' END || '], "signatures": [' || CASE WHEN doc_id % 3 <> 0 THEN '{"name": "s", "description": "' || substr(t, 1, 50) || '"}, {"level": 2}' ELSE '' END || ']}' AS report FROM t""")
+def report_truncated(spark, sf):
+    """A report made of each document: keys out of order, others in between, hashes, nested lists."""
+    h = "0123456789abcdef0123456789abcdef01"
+    t = F.trim(F.regexp_replace("text", "[^A-Za-z ]+", ""))
+    d = table(spark, sf, "documents").where("text is not null").withColumn("t", t)
+    some = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit('"mitre_attcks":[{"extra":{"a":[1]},"technique":"{x}, [y]","tactic":"T"},{"attck_id":"T1"}],'))).otherwise("")
+    signs = F.when(F.col("doc_id") % 3 != 0, F.concat(F.lit('"signatures":[{"name":"s","description":"'), "t", F.lit('"},{"level":2}],'))).otherwise(F.when(F.col("doc_id") % 2 == 0, '"signatures":[],').otherwise('"mitre_attcks":[],"signatures" : [ ],'))
+    report = F.concat(F.lit("{"), signs, F.lit(f'"noise":"{h}",'), some, F.lit(f'"processes":[{{"name":"{h}.exe","cafe{h[:-2]}":["{h}",7]}}],"submit_name":"'), "t", F.lit(f' {h}"'), F.when((F.col("doc_id") % 2 == 1) & (F.col("doc_id") % 3 != 0), ',"mitre_attcks":[]').otherwise(""), F.lit("}"))
+    return R.truncated_reports(d.select("doc_id", report.alias("raw")), F.col("raw")).select("doc_id", "report")

@@ -153,6 +153,17 @@ class Registry:
     def from_config(cls, config: dict[str, dict]) -> Registry:
         return cls([Dataset(n, **c) for n, c in config.items()])
 
+    @classmethod
+    def from_file(cls, spark: SparkSession, path: str, override: str | None = None) -> tuple[Registry, list[str]]:
+        """(registry, names to read) of a JSON config ``{"sources": {name: {"enabled": true, "path": ...}}}``.
+
+        Without a comma-separated ``override`` the enabled sources are read; unknown names are an error.
+        """
+        text = "\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect())
+        sources = json.loads(text).get("sources", {})
+        found = cls.from_config({n: {k: v for k, v in c.items() if k != "enabled"} for n, c in sources.items()})
+        return found, found.enabled(override, [n for n, c in sources.items() if c.get("enabled", False)])
+
     def add(self, dataset: Dataset) -> None:
         if dataset.name in self.datasets:
             raise ValueError(f"dataset {dataset.name} exists")
@@ -198,3 +209,29 @@ class Registry:
         if d.columns:
             rows = rows.select(*[F.col(theirs).alias(ours) for ours, theirs in d.columns.items()])
         return rows if d.samples is None else rows.limit(d.samples)
+
+
+def batched_map(df: DataFrame, change, schema: str, size: int = 1000) -> DataFrame:
+    """``change`` over batches of ``size`` rows of a partition: a dictionary of lists to a dictionary of lists, of any length.
+
+    Batches are whole but for the last one of a partition, however Arrow has cut the rows.
+    """
+
+    def run(frames):
+        import pandas as pd
+
+        def out(rows: list[tuple]):
+            made = change({c: list(v) for c, v in zip(names, zip(*rows, strict=True), strict=True)})
+            return pd.DataFrame({k: pd.Series(v, dtype=object) for k, v in made.items()})
+
+        names, held = None, []
+        for frame in frames:
+            names = list(frame.columns)
+            held += list(frame.itertuples(index=False, name=None))
+            while len(held) >= size:
+                yield out(held[:size])
+                held = held[size:]
+        if held:
+            yield out(held)
+
+    return df.mapInPandas(run, schema)

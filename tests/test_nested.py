@@ -143,3 +143,43 @@ def test_descriptions(spark, dialect):
 def test_one_json_value_and_nothing_else(spark):
     values = ['{"a": 1}', ' [1, 2]\n', "1", "null", '"x"', '{"a": 1}{"b": 2}', '{"a": 1}, {"b": 2}', "1,null", "1,2", "", " ", "words", '{"a": ', None, "[1] x", "]["]
     assert got(texts(spark, values), N.is_json(F.col("t"))) == [True] * 5 + [False] * 11
+
+
+def first_path(value, key, path=()):
+    inner = value.items() if isinstance(value, dict) else enumerate(value) if isinstance(value, list) else ()
+    for name, x in inner:
+        if isinstance(value, dict) and name == key:
+            return "/".join(map(str, (*path, name)))
+        if (deeper := first_path(x, key, (*path, name))) is not None:
+            return deeper
+    return None
+
+
+def test_first_place_of_a_key(spark):
+    rng = random.Random(4)
+
+    def some(depth):
+        if depth == 0 or rng.random() < 0.2:
+            return rng.choice([1, "k", None, True, "a:b", "{", 2.5])
+        if rng.random() < 0.5:
+            return [some(depth - 1) for _ in range(rng.randrange(4))]
+        return {rng.choice(["k", "a", "b,", "é", '"', "k2", "x:"]): some(depth - 1) for _ in range(rng.randrange(4))}
+
+    values = [some(4) for _ in range(400)]
+    dumps = [json.dumps(v, ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 1])) for v in values] + ["{broken", None, '{"a": 1}{"k": 1}', ""]
+    assert got(texts(spark, dumps), N.find_key(F.col("t"), "k")) == [first_path(v, "k") for v in values] + [None] * 4
+
+
+def test_strings_of_json_are_changed_and_keys_stay(spark):
+    values = ['{"ab": "ab", "l": ["ab", {"ab": 1}], "n": 5}', '"ab"', "[]"]
+    assert got(texts(spark, values), N.map_strings(F.col("t"), lambda v: F.replace(v, F.lit("b"), F.lit('"')))) == ['{"ab": "a\\"", "l": ["a\\"", {"ab": 1}], "n": 5}', '"a\\""', "[]"]
+
+
+def test_long_strings_do_not_recurse(spark):
+    long = "word \\\\ and \\n" * 30_000
+    values = ['{"a": "%s", "k": {"b": "%s"}}' % (long, long), '"%s' % long, "'%s" % long]
+    df = texts(spark, values)
+    assert got(df, N.find_key(F.col("t"), "b")) == ["k/b", None, None]
+    assert got(df, F.length(N.balanced(F.col("t")))) == [len(values[0]), None, None]
+    assert got(df, F.size(N.json_pairs(F.col("t"))))[0] == 2 and got(df, F.size(N.split_top(F.col("t")))) == [1, 1, 1]
+    assert json.loads(got(df, N.map_strings(F.col("t"), F.upper))[0])["k"]["b"] == json.loads('"%s"' % long).upper()
