@@ -314,3 +314,22 @@ def report_truncated(spark, sf):
     signs = F.when(F.col("doc_id") % 3 != 0, F.concat(F.lit('"signatures":[{"name":"s","description":"'), "t", F.lit('"},{"level":2}],'))).otherwise(F.when(F.col("doc_id") % 2 == 0, '"signatures":[],').otherwise('"mitre_attcks":[],"signatures" : [ ],'))
     report = F.concat(F.lit("{"), signs, F.lit(f'"noise":"{h}",'), some, F.lit(f'"processes":[{{"name":"{h}.exe","cafe{h[:-2]}":["{h}",7]}}],"submit_name":"'), "t", F.lit(f' {h}"'), F.when((F.col("doc_id") % 2 == 1) & (F.col("doc_id") % 3 != 0), ',"mitre_attcks":[]').otherwise(""), F.lit("}"))
     return R.truncated_reports(d.select("doc_id", report.alias("raw")), F.col("raw")).select("doc_id", "report")
+
+
+@query("stream_sliding", "SELECT w AS start, event_type, count(*) AS n FROM (SELECT event_type, date_trunc('hour', ts) - to_hours(unnest([0, 1, 2])::INTEGER) AS w FROM events) GROUP BY ALL")
+def stream_sliding(spark, sf):
+    """Extension: each event counts in the three windows of three hours that hold it."""
+    out, state = folder(spark), folder(spark)
+    s = T.read_files(spark, f"{sf}/events.parquet*", "event_id long, ts timestamp, event_type string")
+    T.run_available_batches(T.window_counts(s, "ts", "event_type", "3 hours", "1 hour", "1 hour"), out, state)
+    return spark.read.parquet(out)
+
+
+@query("stream_sessions", """WITH e AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events), s AS (SELECT user_id, ts, sum(CASE WHEN before IS NULL OR ts - before >= INTERVAL 6 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM e)
+SELECT min(ts) AS start, max(ts) + INTERVAL 6 HOUR AS "end", user_id, count(*) AS n FROM s GROUP BY user_id, session""")
+def stream_sessions(spark, sf):
+    """Extension: a user's events less than six hours apart."""
+    out, state = folder(spark), folder(spark)
+    s = T.read_files(spark, f"{sf}/events.parquet*", "event_id long, ts timestamp, user_id long")
+    T.run_available_batches(T.session_counts(s, "ts", "user_id", "6 hours", "1 hour"), out, state)
+    return spark.read.parquet(out)

@@ -32,9 +32,26 @@ def dedupe_stream(df: DataFrame, ts: str, text: str, delay: str) -> DataFrame:
     return df.withWatermark(ts, delay).withColumn("_h", F.sha1(text)).dropDuplicatesWithinWatermark(["_h"]).drop("_h")
 
 
-def window_counts(df: DataFrame, ts: str, key: str, size: str, delay: str) -> DataFrame:
-    """Extension: rows by tumbling window and key."""
-    return df.withWatermark(ts, delay).groupBy(F.window(ts, size), key).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), key, "n")
+def check_options(val_size: float = 0, max_samples: int | None = None, has_eval: bool = False) -> None:
+    """Options that a stream of unknown length can't have are errors: a share of its rows, a number of its first rows, two sources of validation rows."""
+    if 0 < val_size < 1:
+        raise ValueError("a stream takes a number of validation rows, not a share")
+    if max_samples is not None:
+        raise ValueError("a stream can't be cut after a number of rows")
+    if val_size and has_eval:
+        raise ValueError("validation rows come from the stream or from a dataset, not from both")
+
+
+def window_counts(df: DataFrame, ts: str, key: str, size: str, delay: str, slide: str | None = None) -> DataFrame:
+    """Extension: rows by tumbling or, with ``slide``, sliding window and key; rows later than ``delay`` are dropped once their window is given out."""
+    window = F.window(ts, size, slide) if slide else F.window(ts, size)
+    return df.withWatermark(ts, delay).groupBy(window, key).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), key, "n")
+
+
+def session_counts(df: DataFrame, ts: str, key: str, gap: str, delay: str) -> DataFrame:
+    """Extension: rows by session of a key; a session ends ``gap`` after its last row."""
+    sessions = df.withWatermark(ts, delay).groupBy(F.session_window(ts, gap), key).agg(F.count("*").alias("n"))
+    return sessions.select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), key, "n")
 
 
 def run_available(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
