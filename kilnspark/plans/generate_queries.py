@@ -166,3 +166,22 @@ def fact_questions(spark, sf):
     facts = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("r_regionkey") == F.col("n_regionkey")).select(F.col("n_name").alias("left"), F.col("r_name").alias("right"))
     found = J.fact_questions(facts, {"where": "Where is {left}?", "region of": "Region of {left}:"}, {"which": "Which lies in {right}?"}, "fq")
     return found.withColumn("options", F.array_join("options", ";"))
+
+
+@query("cluster_rows", """WITH a AS (SELECT 'u' || s_suppkey AS uuid, trim(s_name) AS name, list_filter(['Alias ' || s_suppkey, 'shared', 'x', lower(s_name)], lambda s: length(s) >= 3 AND lower(s) <> lower(s_name)) AS syn, CASE s_nationkey % 3 WHEN 0 THEN 'Norway' WHEN 1 THEN 'SE' ELSE '' END AS country FROM supplier),
+card AS (SELECT uuid, 'Name: ' || name || '. Country: ' || CASE country WHEN '' THEN 'not documented' ELSE country END || '. Synonyms: ' || array_to_string(syn, ', ') || '.' AS output, 'CANON.2' AS shortname FROM a),
+subset AS (SELECT uuid, 'Therefore, the actor is ' || name || CASE country WHEN '' THEN '' ELSE ' (' || country || ')' END || '.' AS output, 'CANON.1' AS shortname FROM a, range(3)),
+k AS (SELECT uuid, name, row_number() OVER (ORDER BY md5('cl|' || uuid), uuid) - 1 AS spot, count(*) OVER () AS n FROM a),
+claim AS (SELECT o.uuid, 'Reject. "Alias ' || substr(o.uuid, 2) || '" is no name of ' || f.name || '; it belongs to ' || o.name || '.' AS output, 'CANON.3' AS shortname FROM k o, range(1, 6) s(step) JOIN k f ON true WHERE f.spot = (o.spot + step) % o.n AND step < o.n)
+SELECT * FROM card UNION ALL SELECT * FROM subset UNION ALL SELECT * FROM claim""")
+def cluster_rows(spark, sf):
+    """Suppliers as actors with a synonym of their own, one that all share, one too short and one that is the name."""
+    from kilnspark.operators import clusters as U
+
+    s = table(spark, sf, "supplier")
+    key = F.col("s_suppkey").cast("string")
+    country = F.when(F.col("s_nationkey") % 3 == 0, " no").when(F.col("s_nationkey") % 3 == 1, "SE")
+    value = F.struct(F.col("s_name").alias("value"), F.concat(F.lit("u"), key).alias("uuid"), F.struct(F.array(F.concat(F.lit(" Alias "), key), F.lit("shared"), F.lit("SHARED"), F.lit("x"), F.lower("s_name")).alias("synonyms"), country.alias("country")).alias("meta"))
+    known = U.actors(s.select(F.lit("actors").alias("type"), F.array(value).alias("values")), {"NO": "Norway"})
+    rows = U.card_rows(known, "cl").unionByName(U.subset_rows(known, "cl")).unionByName(U.rejection_rows(known, "cl"))
+    return rows.select("uuid", "output", "shortname")
