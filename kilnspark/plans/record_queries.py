@@ -70,8 +70,7 @@ def template_manifest(spark, sf):
     path = folder(spark)
     n.select(block.alias("value")).coalesce(1).write.text(path)
     t = M.read_manifest(spark, path)
-    limits = {r["shortname"]: M.resolve_limit(r["count_limit"], asked=12) for r in t.select("shortname", "count_limit").collect()}
-    return t.join(spark.createDataFrame(list(limits.items()), "shortname string, `limit` int"), "shortname").select("shortname", "text", "count_limit", "summary", "limit")
+    return t.select("shortname", "text", "count_limit", "summary", M.limits(F.col("count_limit"), asked=12).alias("limit"))
 
 
 @query("task_scores", """SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN 'CWE-79' WHEN 1 THEN 'A,C' END AS answer, CASE turn % 3 WHEN 0 THEN (conv_id % 2)::DOUBLE WHEN 1 THEN 1.0 / 3 END AS score FROM conversations WHERE text IS NOT NULL""")

@@ -1,6 +1,6 @@
 """Template manifests: blocks of text or JSON rows as a table, and the row limit of a template.
 
-A manifest is small and is read on the driver.
+Each file is parsed where it is read.
 """
 
 from __future__ import annotations
@@ -8,7 +8,8 @@ from __future__ import annotations
 import json
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SCHEMA = "shortname string, text string, summary string, schema string, sample string, shuffle string, source string, count_limit int, per_primary_grouping boolean, source_line int"
 #: Lines that say something about a template.
@@ -74,9 +75,25 @@ def parse_json(text: str) -> list[tuple]:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """A text or JSON manifest as a table of templates."""
-    text = "\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect())
-    return spark.createDataFrame(parse_json(text) if path.endswith(".json") else parse_manifest(text), SCHEMA)
+    """Text or JSON manifests as a table of templates; each file is parsed in the task that reads it."""
+
+    def parse(frames):
+        import pandas as pd
+
+        names = [c.split()[0] for c in SCHEMA.split(", ")]
+        for frame in frames:
+            for file, text in zip(frame["file"], frame["value"], strict=True):
+                rows = parse_json(text) if file.endswith(".json") else parse_manifest(text)
+                yield pd.DataFrame(rows, columns=names).astype({"count_limit": "Int64", "source_line": "Int64"})
+
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    return files.mapInPandas(parse, SCHEMA)
+
+
+def limits(template: Column, override: int | None = None, asked: int = -1, default: int = 10) -> Column:
+    """``resolve_limit`` for a column of templates' own counts."""
+    given = F.lit(override) if override is not None else F.coalesce(template, F.lit(asked if asked >= 0 else default))
+    return F.least(given, F.lit(asked)) if asked >= 0 else given
 
 
 def resolve_limit(template: int | None, override: int | None = None, asked: int = -1, default: int = 10) -> int:
