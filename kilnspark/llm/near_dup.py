@@ -19,6 +19,8 @@ best-estimated partner and its best among the classes before it in a hashed
 order.  After these are verified, a bucket whose members lie in one component is done;
 in others the members of the largest component meet those outside it, and these each other,
 in tiles.  Two members of the largest component are not brought together again.
+There registers are compared first, and only rows with a partner that may be linked with them
+are dealt again with their sets, which are many times as large.
 
 Rows that share a ``doc_id`` are one document with several sets, and it is linked by each of them.
 Rows without ``doc_id`` are kept and take no part.  Texts without words have an
@@ -49,6 +51,9 @@ MISS = 1e-9
 
 _REST = 64 - BUCKETS.bit_length() + 1  # bits that follow the bucket
 _EMPTY = 0xFFFF
+#: Columns of a row's place in a pair of tiles, and those that name the pair.
+_PLACE = {"id": "long", "bucket": "long", "component": "long", "inner": "int", "t1": "int", "t2": "int", "side": "int"}
+_TILES = ["bucket", "inner", "t1", "t2"]
 _STARTS = np.arange(BUCKETS, dtype=np.uint64) << np.uint64(_REST)
 
 
@@ -243,11 +248,56 @@ def _propose(threshold: float):
     return run
 
 
+def _near_pairs(group: dict[str, np.ndarray], least: np.ndarray, comp: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows of a pair of tiles with those of the other side that may be linked with them, judged by registers.
+
+    A pair is looked at in the first band that it shares, and only while its components in ``comp`` differ.
+    """
+    side = group["side"]
+    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    if not len(left) or not len(right) or (comp == comp[0]).all():
+        return
+    a, b = group["regs"][left], group["regs"][right]
+    matches, filled = _matches(a, b)
+    near = (matches >= np.maximum(least[filled], 1)) & (comp[left][:, None] != comp[right][None, :])
+    if side[0] == 2:
+        near &= left[:, None] < right[None, :]
+    a4, b4 = (densify(x).reshape(len(x), -1, ROWS) for x in (a, b))
+    band = int(np.flatnonzero(bands(a[0]) == group["bucket"][0])[0])
+    for i in np.flatnonzero(near.any(axis=1)).tolist():
+        j = np.flatnonzero(near[i])
+        j = j[comp[right[j]] != comp[left[i]]]
+        j = j[(a4[i] == b4[j]).all(axis=2).argmax(axis=1) == band]
+        if len(j):
+            yield left[i], right[j]
+
+
+def _reach(threshold: float):
+    """Of each pair of tiles: the rows with such partners, without sets; the others need not travel with theirs."""
+    least = least_matches(threshold)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, kinds = list(_PLACE), [pa.int64() if k == "long" else pa.int32() for k in _PLACE.values()]
+        out, held = [], 0
+        for group in _groups(batches, _TILES):
+            hit = np.zeros(len(group["id"]), dtype=bool)
+            for i, j in _near_pairs(group, least, group["component"]):
+                hit[i] = hit[j] = True
+            if hit.any():
+                out.append(np.stack([group[c][hit].astype(np.int64) for c in names]))
+                held += int(hit.sum())
+            if held > 50_000:
+                yield _rows(out, names, kinds)
+                out, held = [], 0
+        yield _rows(out, names, kinds)
+
+    return run
+
+
 def _cross(threshold: float):
     """Of each pair of tiles: links between components, decided on full sets.
 
-    A pair is looked at in the first band that it shares.  Once two components
-    are linked here, further pairs of theirs add nothing and are not worked out.
+    Once two components are linked here, further pairs of theirs add nothing and are not worked out.
     """
     least = least_matches(threshold)
     share = round(threshold * 100)
@@ -255,36 +305,20 @@ def _cross(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, kinds = ["a", "b"], [pa.int64()] * 2
         out: list[tuple[int, int]] = []
-        for group in _groups(batches, ["bucket", "inner", "t1", "t2"]):
-            side, part, ids, sets = group["side"], group["component"], group["id"], group["shingles"]
-            left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-            if not len(left) or not len(right) or (part == part[0]).all():
-                continue
-            a, b = group["regs"][left], group["regs"][right]
-            comp = part.copy()
-            matches, filled = _matches(a, b)
-            near = (matches >= np.maximum(least[filled], 1)) & (part[left][:, None] != part[right][None, :])
-            if side[0] == 2:
-                near &= left[:, None] < right[None, :]
-            a4, b4 = (densify(x).reshape(len(x), -1, ROWS) for x in (a, b))
-            band = int(np.flatnonzero(bands(a[0]) == group["bucket"][0])[0])
-            for i in np.flatnonzero(near.any(axis=1)).tolist():
-                j = np.flatnonzero(near[i])
-                j = j[comp[right[j]] != comp[left[i]]]
-                j = j[(a4[i] == b4[j]).all(axis=2).argmax(axis=1) == band]
-                if not len(j):
-                    continue
-                mine = sets[left[i]].view(np.uint64)
-                theirs = [sets[k].view(np.uint64) for k in right[j]]
+        for group in _groups(batches, _TILES):
+            ids, sets, comp = group["id"], group["shingles"], group["component"].copy()
+            for i, js in _near_pairs(group, least, comp):
+                mine = sets[i].view(np.uint64)
+                theirs = [sets[k].view(np.uint64) for k in js]
                 sizes = np.array([len(x) for x in theirs])
                 whole = np.concatenate(theirs)
                 hit = mine[np.minimum(np.searchsorted(mine, whole), len(mine) - 1)] == whole
                 both = np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes) - sizes)
-                for k in right[j[100 * both >= share * (len(mine) + sizes - both)]].tolist():
-                    x, y = comp[left[i]], comp[k]
+                for k in js[100 * both >= share * (len(mine) + sizes - both)].tolist():
+                    x, y = comp[i], comp[k]
                     if x != y:
                         comp[comp == y] = x
-                        out.append((ids[left[i]], ids[k]))
+                        out.append((ids[i], ids[k]))
             if len(out) > 50_000:
                 yield _rows([np.array(out).T], names, kinds)
                 out = []
@@ -368,8 +402,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     known = materialise(members.select("id", "bucket").join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")))
     spread = _open_tiles(known)
-    dealt = spread.join(near, "id").repartition("bucket", "inner", "t1", "t2").sortWithinPartitions("bucket", "inner", "t1", "t2")
-    label = components(links.union(dealt.mapInArrow(_cross(threshold), "a long, b long")))
+    dealt = spread.join(near.select("id", "regs"), "id").repartition(*_TILES).sortWithinPartitions(*_TILES)
+    reached = dealt.mapInArrow(_reach(threshold), ", ".join(f"{c} {k}" for c, k in _PLACE.items()))
+    dealt = reached.join(near.select("id", "regs", "shingles"), "id").repartition(*_TILES).sortWithinPartitions(*_TILES)
+    label = components(links.union(materialise(dealt.mapInArrow(_cross(threshold), "a long, b long"))))
 
     placed = nodes.join(classes.select("n", "f1", "f2", F.col("node").alias("rep"), "n_class"), ["n", "f1", "f2"]).join(label.withColumnRenamed("node", "rep"), "rep", "left")
     placed = placed.select("id", "n", "f1", "f2", "n_class", F.coalesce("component", "rep").alias("label"))

@@ -92,6 +92,60 @@ def test_near_duplicates_of_one_hot_group(spark):
     assert {r["component_id"] for r in out} == {0}
 
 
+@pytest.mark.parametrize("kept", [250, 120])
+def test_sets_travel_only_with_partners(spark, tmp_path, monkeypatch, kept):
+    """Texts with a long passage in common share band buckets without being near; near ones are found as by brute force."""
+    from kilnspark.llm import near_dup
+
+    rng, opened = random.Random(40), []
+    base = prose(rng, 250, 10**6).split(" ")
+    rows = []
+    for i in range(40):
+        own = prose(rng, 300 if kept == 250 else rng.randrange(3, 16), 10**6).split(" ")
+        at = rng.randrange(1 if kept == 250 else 60)
+        rows.append((i, " ".join(base[at : at + kept] + own)))
+    rows += [(100 + i, t.rsplit(" ", 1)[0] + " changed") for i, t in rows[:5]]
+    cross, tiles, folder = near_dup._cross, near_dup._open_tiles, str(tmp_path)
+
+    def counted(threshold):
+        run = cross(threshold)
+
+        def inner(batches):
+            import uuid
+
+            def noted(stream, name):
+                for batch in stream:
+                    with open(f"{folder}/{name}-{uuid.uuid4().hex}", "w") as f:
+                        f.write(str(batch.num_rows))
+                    yield batch
+
+            yield from noted(run(noted(batches, "in")), "out")
+
+        return inner
+
+    def open_tiles(known):
+        out = tiles(known)
+        opened.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dup, "_cross", counted)
+    monkeypatch.setattr(near_dup, "_open_tiles", open_tiles)
+    monkeypatch.setattr(near_dup, "TILE", 8)
+    out = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {i: shingles(t) for i, t in rows}
+    label = {d: d for d in sets}
+    for a, b in itertools.combinations(sets, 2):
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and label[a] != label[b]:
+            low, high = sorted((label[a], label[b]))
+            label = {d: low if c == high else c for d, c in label.items()}
+    assert out == label
+    sent, found = (sum(int(f.read_text()) for f in tmp_path.glob(f"{name}-*")) for name in ("in", "out"))
+    if kept == 250:
+        assert opened[0] > 100 and sent == 0
+    else:
+        assert found > 0
+
+
 def test_sketch_estimates_similarity():
     from kilnspark.llm.near_dup import _EMPTY, BUCKETS, _matches, collisions, estimate, least_matches, sketch
     from kilnspark.llm.kernels import mix
