@@ -138,6 +138,19 @@ def page_parts(html: Column, selectors: tuple[str, ...] = (), skip: frozenset[st
     return parts(html)
 
 
+#: Entities that a heading's text may hold, in the order in which they are decoded.
+ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&amp;": "&"}
+
+
+def first_heading(html: Column, entities: dict[str, str] = ENTITIES) -> Column:
+    """What stands in the first bare ``h1`` as it is written, the entities decoded and white space squashed; empty without one."""
+    text = F.regexp_extract(html, r"(?s)<h1>(.*?)</h1>", 1)
+    for entity, sign in entities.items():
+        text = F.replace(text, F.lit(entity), F.lit(sign))
+    # spaces of all kinds go from the ends, other white space has become a space
+    return F.regexp_replace(F.regexp_replace(text, r"[ \t\n\f\r]+", " "), r"^\p{Zs}+|\p{Zs}+\z", "")
+
+
 def trim_lines(text: Column, start: str | None = None, prefixes: tuple[str, ...] = (), lines: tuple[str, ...] = ()) -> Column:
     """Lines from the first that matches ``start`` on (all if none does), without those of the prefixes and the lines given."""
     rows = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")

@@ -27,3 +27,11 @@ def test_identifiers_are_told_before_they_are_upper_cased(spark, tmp_path):
     docs = [(1, "eine grossartige Sache"), (2, "eine großartige Sache"), (3, "GROSSARTIGE_x GROSSARTIGE1"), (4, "grossartıgeé ſchlüſſel"), (5, "so.Grossartige!"), (6, "strasſenbahn oﬃcefurniture"), (7, None), (8, "")]
     items = [(1, "GROSSARTIGE Strassenbahn"), (2, "officefurniture"), (3, "großzügige"), (4, None)]
     assert held(spark, tmp_path, "filter_exact_id_leak", documents=(docs, "doc_id long, text string"), benchmark=(items, "item_id long, text string")) == [(1,), (5,)]
+
+
+def test_titles_are_what_stands_in_the_first_bare_heading(spark, tmp_path):
+    inner = ["a&&amp", "a &quot;b&quot; &amp;lt; &#39; &eacute;", " a\n\t b\x0b ", "", " ", "\u00a0\u3000a\u00a0", "a <b>b</b>\u2028", "a\u2028\u00a0\u2028", "&nbsp;a&amp;nbsp;", "\u0085"]
+    pages = [(k, f"<html><nav>n</nav><article><h1>{t}</h1><p>x</p><h1>second</h1></article>") for k, t in enumerate(inner)]
+    pages += [(100, "<h1 class='x'>a</h1>"), (101, "<h1>never closed"), (102, "<H1>a</H1>"), (103, None), (104, ""), (105, "<nav><h1>menu</h1></nav><h1>a</h1>"), (106, "<h1 id=a>a</h1><h1>b</h1>"), (107, "<h1>" + "x " * 50_000 + "</h1>")]
+    out = dict(held(spark, tmp_path, "page_titles", pages=(pages, "page_id long, html string")))
+    assert (out[0], out[3], out[101], out[105], out[106]) == ("a&&amp", "", "", "menu", "b") and not {100, 102, 103, 104} & out.keys()
