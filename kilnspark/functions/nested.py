@@ -18,6 +18,16 @@ _RUNS = r"""(?s)"(?:[^"\\]++|\\.)*+"|'(?:[^'\\]++|\\.)*+'|[\[\](){}:,="']|[^\[\]
 _JSON_RUNS = r"""(?s)"(?:[^"\\]++|\\.)*+"|[\[\]{}:,"]|[^\[\]{}:,"\s]+"""
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)``, with the value worked out once however often ``use`` names it, also within functions of its elements."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def bare(text: Column) -> Column:
+    """The text without white space at its ends."""
+    return F.btrim(text, F.lit(" \t\n\x0b\f\r"))
+
+
 def runs(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
@@ -61,15 +71,19 @@ def spaced_json(text: Column) -> Column:
 def json_pairs(text: Column) -> Column:
     """``array<struct<key,value>>`` of a JSON object, in order; values stay JSON text."""
     inner = F.regexp_extract(text, r"(?s)^\s*\{(.*)\}\s*$", 1)
-    entry = r'(?s)^\s*("(?:[^"\\]++|\\.)*+")\s*:\s*(.*?)\s*$'
-    return F.transform(split_top(inner, ",", r"""(?s)"(?:[^"\\]++|\\.)*+"|[\[\]{},"]|[^\[\]{},"]+"""), lambda p: F.struct(json_text(F.regexp_extract(p, entry, 1)).alias("key"), F.regexp_extract(p, entry, 2).alias("value")))
+    entry = r'(?s)^\s*("(?:[^"\\]++|\\.)*+")\s*:(.*+)'
+    return F.transform(split_top(inner, ",", r"""(?s)"(?:[^"\\]++|\\.)*+"|[\[\]{},"]|[^\[\]{},"]+"""), lambda p: F.struct(json_text(F.regexp_extract(p, entry, 1)).alias("key"), bare(F.regexp_extract(p, entry, 2)).alias("value")))
 
 
 def is_json(text: Column) -> Column:
-    """Whether the text is one JSON value and nothing else; the engine's own parser stops after the first."""
-    listed = F.concat(F.lit("["), text, F.lit("]"))
-    one = F.size(F.from_json(listed, "array<variant>")) == 1
-    return F.coalesce(F.try_parse_json(listed).isNotNull() & one, F.lit(False))
+    """Whether the text is one JSON value and nothing else; the engine's own parser stops after the first.
+
+    What doesn't begin like a value is not parsed: a parser that fails costs more than one that succeeds.
+    """
+    at = lambda v, k: F.try_variant_get(v, f"$[{k}]", "variant")
+    begins = lambda listed: listed.rlike(r'^\[[ \t\n\r]*["\[{0-9tfn-]')
+    one = lambda listed: begins(listed) & bound(F.try_parse_json(listed), lambda v: at(v, 0).isNotNull() & at(v, 1).isNull())
+    return F.coalesce(bound(F.concat(F.lit("["), text, F.lit("]")), one), F.lit(False))
 
 
 def json_text(text: Column) -> Column:
@@ -79,8 +93,7 @@ def json_text(text: Column) -> Column:
 
 def json_string(text: Column) -> Column:
     """A string as JSON; letters beyond ASCII stay as they are."""
-    listed = F.to_json(F.array(text))
-    return listed.substr(F.lit(2), F.length(listed) - 2)
+    return bound(F.to_json(F.array(text)), lambda listed: listed.substr(F.lit(2), F.length(listed) - 2))
 
 
 def literal_json(text: Column) -> Column:

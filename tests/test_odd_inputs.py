@@ -35,3 +35,23 @@ def test_titles_are_what_stands_in_the_first_bare_heading(spark, tmp_path):
     pages += [(100, "<h1 class='x'>a</h1>"), (101, "<h1>never closed"), (102, "<H1>a</H1>"), (103, None), (104, ""), (105, "<nav><h1>menu</h1></nav><h1>a</h1>"), (106, "<h1 id=a>a</h1><h1>b</h1>"), (107, "<h1>" + "x " * 50_000 + "</h1>")]
     out = dict(held(spark, tmp_path, "page_titles", pages=(pages, "page_id long, html string")))
     assert (out[0], out[3], out[101], out[105], out[106]) == ("a&&amp", "", "", "menu", "b") and not {100, 102, 103, 104} & out.keys()
+
+
+def test_what_readers_of_calls_are_given_is_worked_out_once(spark):
+    """Within functions of elements an expression would be worked out for each of them."""
+    from pyspark.sql import functions as F
+
+    from kilnspark.operators import tools as T
+
+    given = spark.createDataFrame([("x",)], "t string").select(F.upper("t").alias("t"), F.array(F.struct(F.col("t").alias("name"), F.col("t").alias("arguments"))).alias("calls"))
+    for d in T.DIALECTS:
+        plan = given.select(T.extract_calls(F.concat("t", F.lit("-once-")), d).alias("x"))._jdf.queryExecution().analyzed().toString()
+        assert plan.count("-once-") == 1, d
+        calls = F.transform("calls", lambda c: F.struct(F.concat(c["name"], F.lit("-once-")).alias("name"), c["arguments"].alias("arguments")))
+        assert given.select(T.call_text(calls, d).alias("x"))._jdf.queryExecution().analyzed().toString().count("-once-") == 1, d
+
+
+def test_calls_of_odd_texts_come_back(spark, tmp_path):
+    texts = ["plain words", "", " ", "true", "the null", "false friends", "a  b", "0 1 2", "'quoted' \"twice\" {x} [y], z: \\ é", "tab\there\nand\nlines", "n", " ", None, "word " * 300]
+    rows = [(k, k % 3, ["user", "assistant", "system"][k % 3], t) for k, t in enumerate(texts)]
+    assert len(held(spark, tmp_path, "tool_calls_back", conversations=(rows, "conv_id long, turn long, role string, text string"))) == 12 * (len(rows) - 1)
