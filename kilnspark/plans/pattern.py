@@ -22,6 +22,7 @@ import re
 import threading
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -231,12 +232,108 @@ def render(p: Pattern) -> Column:
     return F.concat(*[F.lit(x) if isinstance(x, str) else F.coalesce(F.col(_name(*x)).cast("string"), F.lit("")) for x in p.parts])
 
 
+#: Rows of each side in a tile of a product: a task holds one side of a tile, and writes a tile or a few.
+TILE = 4096
+
+
+def _part(p: Pattern, names: set[str]) -> Pattern:
+    """What a pattern says about some of its variables."""
+    out = Pattern({v: p.labels[v] for v in p.labels if v in names}, [s for s in p.steps if {s.src, s.dst} <= names], [f for f in p.filters if f[0] in names])
+    out.forces, out.used = [f for f in p.forces if {f[0], f[3]} <= names], {u for u in p.used if u[0] in names}
+    return out
+
+
+def _meeting(p: Pattern) -> tuple[str, set[str], set[str]] | None:
+    """A variable that isn't printed, and two sets of variables that have nothing in common but it; texts of both sides are printed.
+
+    None if there is no such variable, or if two printed properties stand side by side.
+    """
+    printed = {x[0] for x in p.parts if not isinstance(x, str)}
+    inner = p.parts[next((i for i, x in enumerate(p.parts) if not isinstance(x, str)), 0) :]
+    if any(not isinstance(x, str) and not isinstance(y, str) for x, y in zip(inner, inner[1:])):
+        return None
+    forced = {frozenset((f[0], f[3])) for f in p.forces}
+    alike = [{a, b} for a in p.labels for b in p.labels if a < b and p.labels[a] == p.labels[b] and frozenset((a, b)) not in forced]
+    ties = [{s.src, s.dst} for s in p.steps] + [set(f) for f in forced] + alike
+    for v in (x for x in p.labels if x not in printed):
+        groups: list[set[str]] = []
+        for name in p.labels:
+            if name != v and not any(name in g for g in groups):
+                group = {name}
+                while more := {x for t in ties if v not in t and t & group for x in t} - group:
+                    group |= more
+                groups.append(group)
+        near = lambda g: any(v in (s.src, s.dst) and {s.src, s.dst} & g for s in p.steps)
+        told = [g for g in groups if g & printed]
+        if len(told) > 1 and all(near(g) for g in groups):
+            rest = set().union(*[g for g in groups if g is not told[0]])
+            return v, told[0], rest
+    return None
+
+
+def _met(graph: Graph, p: Pattern, v: str, left: set[str], right: set[str], allow_null: bool) -> DataFrame:
+    """Different texts of two sides that meet in ``v``, of which no more is shuffled than the sides.
+
+    Each side is its different printed values by ``v``.  Two values make one text wherever they meet, so only what
+    occurs with several ``v`` on both sides can give it twice.  Values that hold the first sign of a literal
+    between values may be cut in other places.  Texts of such values alone go through a DISTINCT; the others are a
+    product in tiles, and each of them comes once.
+    """
+    printed = list(dict.fromkeys(x for x in p.parts if not isinstance(x, str)))
+    first, last = (i[k] for i in [[i for i, x in enumerate(p.parts) if not isinstance(x, str)]] for k in (0, -1))
+    signs = {x[0] for x in p.parts[first:last] if isinstance(x, str)}
+    key = _name(v, "id")
+    spark = graph.nodes[p.labels[v]].sparkSession
+
+    def side(names: set[str], kind: str) -> DataFrame:
+        columns = [_name(*x) for x in printed if x[0] in names]
+        rows = bindings(graph, _part(p, names | {v}), allow_null).select(key, *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns]).distinct()
+        rows = materialise(rows)
+        many = rows.groupBy(*columns).agg(F.count("*").alias("_n")).where("_n > 1")
+        cut = F.lit(False)
+        for c in columns:
+            for sign in signs:
+                cut = cut | F.contains(F.col(c), F.lit(sign))
+        return materialise(rows.join(many, columns, "left").select(key, *columns, F.when(cut, "cut").when(F.col("_n").isNotNull(), "many").otherwise("once").alias(kind)))
+
+    a, b = side(left, "_a"), side(right, "_b")
+    counts = a.groupBy(key, "_a").agg(F.count("*").alias("_n")).join(b.groupBy(key, "_b").agg(F.count("*").alias("_m")), key)
+    # nine rows at most
+    sizes = counts.groupBy("_a", "_b").agg(F.sum(F.col("_n").cast("double") * F.col("_m")).alias("pairs")).collect()
+
+    def hot(rows: DataFrame, name: str) -> DataFrame:
+        # at most one in TILE of the rows
+        return F.broadcast(rows.groupBy(key).agg(F.ceil(F.count("*") / TILE).cast("int").alias(name)).where(F.col(name) > 1))
+
+    def product(x: DataFrame, y: DataFrame, pairs: float) -> DataFrame:
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * int(pairs / TILE**2))
+        over = lambda name: F.coalesce(F.col(name), F.lit(1))
+        spread = lambda rows, mine, other: (
+            rows.join(hot(x, "_i"), key, "left").join(hot(y, "_j"), key, "left")
+            .select(key, *[c for c in rows.columns if c != key], F.pmod(F.xxhash64(*[c for c in rows.columns if c != key]), over(mine)).cast("int").alias(f"{mine}_at"), F.explode(F.sequence(F.lit(0), over(other) - 1)).alias(f"{other}_at"))
+            .repartition(parts, key, "_i_at", "_j_at")
+        )
+        return spread(x, "_i", "_j").join(spread(y, "_j", "_i").hint("merge"), [key, "_i_at", "_j_at"]).select(render(p).alias("text"))
+
+    once, again = [], []
+    for r in sizes:
+        single = "cut" not in (r["_a"], r["_b"]) and "once" in (r["_a"], r["_b"])
+        (once if single else again).append(product(a.where(F.col("_a") == r["_a"]).drop("_a"), b.where(F.col("_b") == r["_b"]).drop("_b"), r["pairs"]))
+    out = spark.createDataFrame([], "text string")
+    for each in once + ([reduce(DataFrame.union, again).distinct()] if again else []):
+        out = out.union(each)
+    return out
+
+
 def run(graph: Graph, template: str, limit: int | None = None, order: str | None = None, seed: str | None = None, distinct: bool = True, allow_null: bool = False) -> DataFrame:
     """Rendered texts: DISTINCT, then ORDER (a seed draws), then LIMIT."""
     p = parse(template)
-    out = bindings(graph, p, allow_null).select(render(p).alias("text"), *([F.col(order.replace(".", "__")).alias("_order")] if order else []))
-    if distinct:
-        out = out.distinct()
+    meeting = _meeting(p) if distinct and not order else None
+    if meeting:
+        out = _met(graph, p, *meeting, allow_null)
+    else:
+        out = bindings(graph, p, allow_null).select(render(p).alias("text"), *([F.col(order.replace(".", "__")).alias("_order")] if order else []))
+        out = out.distinct() if distinct else out
     if seed is not None:
         out = out.orderBy(F.md5(F.concat_ws("|", F.lit(seed), "text")), "text")
     elif order:

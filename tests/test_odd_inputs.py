@@ -67,3 +67,33 @@ def test_draws_are_never_broadcast(spark):
     plan = S.drawn_contexts(docs, "id", "text", "name", "q", 2000, "s", (3, 9), (1000, 2000))._jdf.queryExecution().executedPlan().toString()
     shared = [part for part in plan.split("BroadcastExchange")[1:] if "attempt" in part.split("Exchange hashpartitioning")[0]]
     assert "Generate" not in plan and not shared, plan
+
+
+def test_sides_that_meet_give_each_text_once(spark, tmp_path, monkeypatch):
+    """Names in several nations, names that hold the sign between them, nations beyond a tile."""
+    from kilnspark.plans import pattern
+
+    monkeypatch.setattr(pattern, "TILE", 3)
+    one = [("region", ([(0, "r")], "r_regionkey long, r_name string")), ("orders", ([(1, 1, "a", "O")], "o_orderkey long, o_custkey long, o_orderpriority string, o_orderstatus string"))]
+    nations = [(n, f"n{n}", 0) for n in range(4)]
+    names = ["a", "a|b", "b", "a|b|c", "|", "x", "y", "z", "é", "w"]
+    customers = [(k, names[k % 10] if k < 40 else f"c{k}", "BUILDING" if k % 9 else "OTHER", 4990.0 + k, k % 3 if k % 10 != 7 else 0) for k in range(90)]
+    suppliers = [(k, ["c", "b|c", "b", "c|", "q", "|b"][k % 6] if k < 20 else f"s{k}", k % 4) for k in range(40)]
+    out = held(
+        spark, tmp_path, "graph_shared_variables", nation=(nations, "n_nationkey long, n_name string, n_regionkey long"), customer=(customers, "c_custkey long, c_name string, c_mktsegment string, c_acctbal double, c_nationkey long"),
+        supplier=(suppliers, "s_suppkey long, s_name string, s_nationkey long"), **dict(one),
+    )
+    assert ("a|b|c",) in out and len(out) == len(set(out)) > 500
+
+
+def test_a_product_of_sides_is_not_shuffled(spark):
+    """Nor are there sides where a variable that is printed, or a condition, ties them."""
+    from kilnspark.operators import graph as G
+    from kilnspark.plans import pattern
+
+    g = G.star_schema(spark, "/root/testdata/sf0.001")
+    plan = lambda t: pattern.run(g, t)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(text" not in plan("<*{c:customer.lives_in>n:nation}{s:supplier.based_in>n:nation}*>{c.name}|{s.name}")
+    for tied in ("*>{c.name}|{s.name} {n.name}", "{force c.name < s.name}*>{c.name}|{s.name}", "*>{c.name}{s.name}"):
+        assert pattern._meeting(pattern.parse("<*{c:customer.lives_in>n:nation}{s:supplier.based_in>n:nation}" + tied)) is None
+    assert pattern._meeting(pattern.parse("<*{a:nation.part_of>r:region}{b:nation.part_of>r:region}*>{a.name}-{b.name}")) is None
